@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from curatio import defaults as D
 from curatio.functions.html import resolve, select_attr, select_texts
 from curatio.operators.curate import extraction_gate
-from curatio.operators.util import ship_by_value
+from curatio.operators.util import ship_by_value, spread
 
 LINK_SCHEMA = T.StructType([
     T.StructField("page_id", T.LongType()), T.StructField("pos", T.IntegerType()),
@@ -44,7 +44,7 @@ def page_links(pages: DataFrame, selector: str = D.LINK_SELECTOR,
                         rows.append((pid, pos, href, resolve(url, href)))
             yield pd.DataFrame(rows, columns=["page_id", "pos", "href", "link"])
 
-    out = pages.select(id_col, url_col, html_col).mapInPandas(parse, LINK_SCHEMA)
+    out = spread(pages.select(id_col, url_col, html_col)).mapInPandas(parse, LINK_SCHEMA)
     if substring:
         out = out.filter(F.col("link").contains(substring))
     return out
@@ -70,7 +70,7 @@ def page_qa(pages: DataFrame, question_selector: str = D.QUESTION_SELECTOR,
             yield pd.DataFrame({"page_id": b[id_col], "question": qs, "answer": ans,
                                 "url": b[url_col]})
 
-    out = pages.select(id_col, url_col, html_col).mapInPandas(parse, QA_SCHEMA)
+    out = spread(pages.select(id_col, url_col, html_col)).mapInPandas(parse, QA_SCHEMA)
     return out.filter(F.col("question").isNotNull() & F.col("answer").isNotNull()
                       & extraction_gate("question", "answer", min_question, min_answer))
 

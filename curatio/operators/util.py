@@ -13,14 +13,17 @@ MAX_BROADCAST_ROWS = 100_000
 def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
                       known_rows: int | None = None, what: str = "table",
                       required: bool = True) -> DataFrame:
-    """Broadcast ``df`` after proving it has at most ``max_rows`` rows.
-
-    ``known_rows`` skips the count when the size is known on the driver
-    (a table built from a parameter). Beyond the bound: raise when the
-    broadcast is required (a theta join would otherwise become a cartesian
-    product), else return ``df`` unhinted so Spark plans a shuffle join."""
-    n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
-    if n <= max_rows:
+    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
+
+    ``known_rows`` is the size when it is known on the driver (a table built
+    from a parameter). ``required`` marks theta/cross joins, which have no
+    shuffle alternative: the size is counted when unknown, and a table over
+    the bound raises. Otherwise an unknown size is not counted at all: the
+    table is returned unhinted and adaptive execution chooses broadcast or
+    shuffle from the measured size of the materialized side."""
+    if known_rows is None and required:
+        known_rows = df.limit(max_rows + 1).count()
+    if known_rows is not None and known_rows <= max_rows:
         return F.broadcast(df)
     if required:
         raise ValueError(f"{what} has more than {max_rows} rows; it must be a "
@@ -28,6 +31,18 @@ def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
     return df
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a narrow, CPU-heavy input over the cores when it arrives
+    in fewer partitions than the cluster has slots (a small file with one
+    row group). Large inputs already have many splits and are left as they
+    are - no shuffle."""
+    sc = df.sparkSession.sparkContext
+    target = min_partitions or sc.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def ship_by_value(*module_names: str) -> None:
     """Pickle the functions of these modules by value, so Python workers
     run the batch functions without the package being installed on them."""

@@ -17,7 +17,8 @@ from curatio.operators import similarity as V
 from curatio.plans import scenario as S
 from curatio.sources.tables import qa_from_conversations, table
 from curatio.sources.readers import classify_json_lines
-from curatio.operators.util import checked_broadcast
+from curatio.operators.util import checked_broadcast, spread
+from curatio.session import cut_lineage
 
 KEYS = S.QA_KEYS
 
@@ -101,7 +102,7 @@ def q_dedup_first_seen(spark: SparkSession, d: str) -> DataFrame:
 # ---------------------------------------------------------------- text
 
 def q_clean_text(spark: SparkSession, d: str) -> DataFrame:
-    pg = table(spark, d, "pages")
+    pg = spread(table(spark, d, "pages"))
     return pg.select("page_id",
                      clean_text(F.concat_ws(" ", "url", "html")).alias("cleaned"),
                      F.length(ustrip("html")).cast("long").alias("stripped_len"))
@@ -184,7 +185,9 @@ def _valid(df: DataFrame) -> DataFrame:
 
 def _final(spark, d) -> DataFrame:
     """Classified -> quality filter -> per-label cap -> running ids."""
-    v = _valid(_classified(spark, d)).filter("valid")
+    # the classified corpus is a table of its own (written once to the
+    # shared checkpoint folder), read by the cap, rank and id steps
+    v = _valid(cut_lineage(_classified(spark, d))).filter("valid")
     v = v.withColumn("qa_key", F.concat_ws("-", *[F.col(k).cast("string") for k in KEYS]))
     capped = K.cap_per_group(v, "label", "qa_key", S.TEST_CAP, S.TEST_SEED)
     return K.running_ids(capped, "label", KEYS, "id")

@@ -65,12 +65,13 @@ def keyword_weight(keyword: Column, markers: Sequence[str] = D.WEIGHT_MARKERS,
 
 
 def _finish(spark: SparkSession, rows: DataFrame, n_kw: int | None, n_cat: int | None,
-            normalize_keywords: bool, **weight_kw) -> Lexicon:
+            normalize_keywords: bool, cats: DataFrame | None = None, **weight_kw) -> Lexicon:
     kw = rows.filter(F.col("keyword").isNotNull() & (F.length("keyword") > 0))
     if normalize_keywords:
         kw = kw.withColumn("keyword", F.lower("keyword"))
     kw = kw.withColumn("weight", keyword_weight(F.col("keyword"), **weight_kw))
-    cats = rows.groupBy("dept").agg(F.min("dept_ord").alias("dept_ord"))
+    if cats is None:
+        cats = rows.groupBy("dept").agg(F.min("dept_ord").alias("dept_ord"))
     return Lexicon(kw, cats, n_kw, n_cat)
 
 
@@ -88,7 +89,9 @@ def lexicon_from_dict(spark: SparkSession, mapping: dict[str, Sequence[str]],
             rows.append((dept, d_ord, k_ord, kw))
     df = spark.createDataFrame(rows, LEXICON_SCHEMA)
     n_kw = sum(len(v) for v in mapping.values())
-    return _finish(spark, df, n_kw, len(mapping), normalize_keywords, **weight_kw)
+    cats = spark.createDataFrame([(d, i) for i, d in enumerate(mapping)],
+                                 "dept string, dept_ord int")
+    return _finish(spark, df, n_kw, len(mapping), normalize_keywords, cats, **weight_kw)
 
 
 def read_lexicon(spark: SparkSession, path: str, normalize_keywords: bool = False,

@@ -36,6 +36,8 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     in fewer partitions than the cluster has slots (a small file with one
     row group). Large inputs already have many splits and are left as they
     are - no shuffle."""
+    if df.isStreaming:
+        return df
     sc = df.sparkSession.sparkContext
     target = min_partitions or sc.defaultParallelism
     if df.rdd.getNumPartitions() < target:

@@ -1,19 +1,23 @@
 """Blend, exclusion rules and labelling.
 
-One DataFrame chain per corpus::
-
-    QA rows --repartition(keys)--> composite text -> clean
-      x categories (broadcast)            -> similarity
-      left-join lexicon (broadcast)       -> keyword hits, related boost
-      group by (keys, dept)               -> category scores     (no exchange)
-      window over keys                    -> winner, exclusions  (no exchange)
-      group by keys                       -> label               (no exchange)
-      join back to the QA rows on keys    -> labelled rows       (no exchange)
-
-The only exchange is the first one: every later aggregate, window and join
-is keyed by a superset of the text keys and reuses that hash partitioning.
-Scores are rounded to ``precision`` decimals before ranking so that the
-result does not depend on the order in which a float sum was taken.
+Scoring a text needs only that text and the (small) lexicon, so the whole
+classification is one narrow projection per row - no exchange at all:
+
+    QA rows -> composite text -> clean                      (codegen)
+      x lexicon row (broadcast, exactly one row)            (narrow)
+      per category: hits, related boost, similarity, blend  (higher-order fns)
+      winner, exclusions, arg-max, fallback                 (same projection)
+
+The lexicon row is ``array<struct<dept, dept_ord, proto, proto_norm,
+kws: array<struct<kw_ord, kw, weight>>>>`` in category order, so sums run in
+lexicon order as in the original, and the related-keyword boost is applied
+as repeated multiplication. A hot category or key cannot skew anything: no
+row ever moves. Scores are rounded to ``precision`` decimals before
+ranking so that labels do not depend on float evaluation order.
+
+:func:`apply_exclusions` and :func:`pick_labels` do the same on a long
+``(keys, dept, score)`` table (one window and one aggregate, both keyed by
+the text keys) for scores computed elsewhere.
 """
 
 from __future__ import annotations
@@ -21,13 +25,14 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curatio import defaults as D
 from curatio.functions.text import clean_text, composite_text
-from curatio.operators.lexicon import Lexicon, _category_scores
-from curatio.operators.similarity import prototype_table, similarity_rows
+from curatio.functions.vectors import dot, norm
+from curatio.operators.lexicon import Lexicon, _bcast_keywords
+from curatio.operators.similarity import prototype_table
 from curatio.operators.util import checked_broadcast
 
 
@@ -59,19 +64,128 @@ def classification_text(qa: DataFrame, question_col: str = "question",
         composite_text(question_col, answer_col, answer_prefix)))
 
 
+KW_TYPE = "array<struct<kw_ord:int,kw:string,weight:double>>"
+
+
+def lexicon_row(lex: Lexicon, prototypes: DataFrame | None = None) -> DataFrame:
+    """The whole lexicon (with prototypes) as ONE row, column ``_lex``.
+
+    Built by two small aggregates over the parameter tables; the lexicon
+    size is checked first (counted when it is not known on the driver)."""
+    _bcast_keywords(lex)  # size check only
+    kws = (lex.keywords.groupBy("dept")
+           .agg(F.sort_array(F.collect_list(F.struct(
+               "kw_ord", F.col("keyword").alias("kw"), "weight"))).alias("kws")))
+    cats = prototype_table(lex.categories, prototypes)
+    c = cats.join(kws, "dept", "left").select(F.struct(
+        "dept_ord", "dept", "proto", "proto_norm",
+        F.coalesce(F.col("kws"), F.array().cast(KW_TYPE)).alias("kws")).alias("c"))
+    return c.agg(F.sort_array(F.collect_list("c")).alias("_lex"))
+
+
+def _keyword_score(t: Column, tlen: Column, qend: Column, cat: Column, p: ClassifyParams) -> Column:
+    """K2-K5 for one category of one text, keywords in lexicon order."""
+    hits = F.transform(F.filter(cat["kws"], lambda k: t.contains(k["kw"])),
+                       lambda k: F.struct(k["kw"].alias("kw"), k["weight"].alias("w"),
+                                          (F.position(k["kw"], t) - 1).alias("pos")))
+
+    def hit_score(h):
+        kw, pos = h["kw"], h["pos"]
+        cnt = ((tlen - F.length(F.replace(t, kw, F.lit("")))) / F.length(kw)).cast("long")
+        base = cnt * h["w"] * F.when(pos < qend, F.lit(p.early_factor)).otherwise(F.lit(1.0))
+        start = F.greatest(pos - p.context_radius, F.lit(0))
+        end = F.least(tlen, pos + F.length(kw) + p.context_radius)
+        ctx = F.substr(t, start + 1, end - start)
+        related = F.filter(cat["kws"], lambda r: (r["kw"] != kw) & ctx.contains(r["kw"]))
+        return F.aggregate(related, base, lambda acc, _r: acc * F.lit(p.related_factor))
+
+    return F.aggregate(hits, F.lit(0.0), lambda acc, h: acc + hit_score(h))
+
+
+def question_end(t: Column, question_mark: str = D.QUESTION_MARK) -> Column:
+    """K3: position of the question mark, else half the length."""
+    qm = F.position(F.lit(question_mark), t) - 1
+    return F.when(qm >= 0, qm).otherwise(F.floor(F.length(t) / 2).cast("int"))
+
+
+def row_scores(t: Column, vec: Column, vec_norm: Column, lexarr: Column,
+               tlen: Column, qend: Column, p: ClassifyParams) -> Column:
+    """V5: ``array<struct<dept, dept_ord, similarity, kw_score, score>>``,
+    one element per category, for one text."""
+
+    def parts(c):
+        sim = F.coalesce(dot(vec, c["proto"]) / (F.greatest(vec_norm, F.lit(D.COSINE_EPS))
+                                                 * F.greatest(c["proto_norm"], F.lit(D.COSINE_EPS))),
+                         F.lit(0.0))
+        return F.struct(c["dept"].alias("dept"), c["dept_ord"].alias("dept_ord"),
+                        sim.alias("similarity"),
+                        _keyword_score(t, tlen, qend, c, p).alias("kw_score"))
+
+    first = F.transform(lexarr, parts)
+    return F.transform(first, lambda s: F.struct(
+        s["dept"].alias("dept"), s["dept_ord"].alias("dept_ord"),
+        s["similarity"].alias("similarity"), s["kw_score"].alias("kw_score"),
+        (F.lit(p.similarity_weight) * s["similarity"]
+         + F.lit(p.keyword_weight) * s["kw_score"]).alias("score")))
+
+
+def _argmax(arr: Column, field: str, precision: int) -> Column:
+    """First category with the highest rounded ``field`` (ties -> lowest
+    dept_ord): struct(r, o, dept)."""
+    return F.array_max(F.transform(arr, lambda s: F.struct(
+        F.round(s[field], precision).alias("r"), (-s["dept_ord"]).alias("o"),
+        s["dept"].alias("dept"))))
+
+
+def adjust_scores(scores: Column, winner: Column, p: ClassifyParams) -> Column:
+    """V6 on one text's score array: the winner halves what it excludes."""
+    rules = sorted(set((str(a), str(b)) for a, b in p.exclusions))
+    rule_arr = F.array(*[F.struct(F.lit(a).alias("w"), F.lit(b).alias("e")) for a, b in rules]) \
+        if rules else F.array().cast("array<struct<w:string,e:string>>")
+
+    def adjust(s):
+        ex = F.exists(rule_arr, lambda r: (r["w"] == winner) & (r["e"] == s["dept"]))
+        return F.struct(s["dept"].alias("dept"), s["dept_ord"].alias("dept_ord"),
+                        s["similarity"].alias("similarity"), s["kw_score"].alias("kw_score"),
+                        s["score"].alias("raw_score"), ex.alias("excluded"),
+                        F.when(ex, s["score"] * F.lit(p.exclusion_factor))
+                        .otherwise(s["score"]).alias("score"))
+
+    return F.transform(scores, adjust)
+
+
+def _scored(rows: DataFrame, text_col: str, lex: Lexicon, vec_col: str | None,
+            prototypes: DataFrame | None, p: ClassifyParams) -> DataFrame:
+    """Adds ``_adj`` (adjusted score array), ``label``, ``best_score``.
+    Each stage is its own projection column, so every per-row array is
+    computed once (Catalyst does not inline an expensive column that is
+    used more than once)."""
+    lexrow = checked_broadcast(lexicon_row(lex, prototypes), known_rows=1, what="lexicon row")
+    vec = F.col(vec_col) if vec_col else F.lit(None).cast("array<float>")
+    t = F.col(text_col)
+    j = (rows.crossJoin(lexrow).withColumn("_vn", norm(vec))
+         .withColumn("_tlen", F.length(t)).withColumn("_qend", question_end(t, p.question_mark)))
+    j = j.withColumn("_s", row_scores(t, vec, F.col("_vn"), F.col("_lex"), F.col("_tlen"),
+                                      F.col("_qend"), p))
+    j = j.withColumn("_w", _argmax(F.col("_s"), "score", p.precision)["dept"])
+    j = j.withColumn("_adj", adjust_scores(F.col("_s"), F.col("_w"), p))
+    j = j.withColumn("_best", _argmax(F.col("_adj"), "score", p.precision))
+    j = (j.withColumn("label", F.when(F.col("_best.r") > 0, F.col("_best.dept"))
+                      .otherwise(F.lit(p.fallback)))
+         .withColumn("best_score", F.col("_best.r")))
+    return j.drop("_s", "_lex", "_vn", "_tlen", "_qend", "_w", "_best")
+
+
 def category_scores(texts: DataFrame, keys: Sequence[str], text_col: str, lex: Lexicon,
                     vec_col: str | None = None, prototypes: DataFrame | None = None,
                     params: ClassifyParams | None = None) -> DataFrame:
-    """V5: blended score for every (text, category):
-    ``similarity_weight * cosine + keyword_weight * keyword score``.
-    Output: keys, dept, dept_ord, similarity, kw_score, score."""
+    """V5 + V6 in long form: keys, dept, dept_ord, similarity, kw_score,
+    raw_score, excluded, score (adjusted) - one row per (text, category),
+    generated narrowly from each text's score array."""
     p = params or ClassifyParams()
-    protos = prototype_table(lex.categories, prototypes)
-    base = similarity_rows(texts, keys, vec_col, protos, lex.n_categories, extra=[text_col])
-    base = base.withColumnRenamed(text_col, "_t")
-    s = _category_scores(base, keys, lex, p.related_factor, carry=["similarity"], **p.hit_kw())
-    return s.withColumn("score", F.lit(p.similarity_weight) * F.col("similarity")
-                        + F.lit(p.keyword_weight) * F.col("kw_score"))
+    s = _scored(texts.select(*keys, text_col, *([vec_col] if vec_col else [])),
+                text_col, lex, vec_col, prototypes, p)
+    return s.select(*keys, F.explode("_adj").alias("c")).select(*keys, "c.*")
 
 
 def _rule_table(spark, rules: Sequence[tuple[str, str]]) -> DataFrame:
@@ -116,20 +230,13 @@ def pick_labels(adjusted: DataFrame, keys: Sequence[str],
 def classify(qa: DataFrame, keys: Sequence[str], lex: Lexicon,
              vec_col: str | None = None, prototypes: DataFrame | None = None,
              params: ClassifyParams | None = None, question_col: str = "question",
-             answer_col: str = "answer", partitioned: bool = False,
-             with_scores: bool = False):
+             answer_col: str = "answer", with_scores: bool = False) -> DataFrame:
     """V8: label every QA row. Returns the input rows plus ``label`` and
-    ``best_score`` (and the long score table when ``with_scores``).
-
-    ``partitioned=True`` says the input is already hash-partitioned by
-    ``keys`` (e.g. read from a table bucketed by them) - no exchange then."""
+    ``best_score`` (plus ``scores``, the adjusted per-category array, when
+    ``with_scores``). Narrow: the rows are never shuffled."""
     p = params or ClassifyParams()
-    rows = qa if partitioned else qa.repartition(*keys)
-    rows = classification_text(rows, question_col, answer_col, "ctext", p.answer_prefix)
-    scores = category_scores(rows, keys, "ctext", lex, vec_col, prototypes, p)
-    adjusted = apply_exclusions(scores, keys, p)
-    labels = pick_labels(adjusted, keys, p)
-    out = rows.drop("ctext").join(labels, list(keys), "inner")
-    if with_scores:
-        return out, adjusted
-    return out
+    cols = qa.columns
+    rows = classification_text(qa, question_col, answer_col, "_ctext", p.answer_prefix)
+    out = _scored(rows, "_ctext", lex, vec_col, prototypes, p)
+    extra = [F.col("_adj").alias("scores")] if with_scores else []
+    return out.select(*cols, "label", "best_score", *extra)

@@ -154,12 +154,10 @@ def q_prototype_scores(spark: SparkSession, d: str) -> DataFrame:
 
 def q_blend_scores(spark: SparkSession, d: str) -> DataFrame:
     lex = _lex(spark)
-    p = _params()
-    rows = C.classification_text(_qa_vectors(spark, d).repartition(*KEYS), "question", "answer", "ctext")
-    s = C.category_scores(rows, KEYS, "ctext", lex, "embedding", _protos(spark, d, lex), p)
-    a = C.apply_exclusions(s, KEYS, p)
+    rows = C.classification_text(_qa_vectors(spark, d), "question", "answer", "ctext")
+    a = C.category_scores(rows, KEYS, "ctext", lex, "embedding", _protos(spark, d, lex), _params())
     return a.select(*KEYS, "dept", _r6("similarity").alias("similarity"),
-                    _r6("kw_score").alias("kw_score"), _r6("adj_score").alias("score"), "excluded")
+                    _r6("kw_score").alias("kw_score"), _r6("score").alias("score"), "excluded")
 
 
 def q_classify(spark: SparkSession, d: str) -> DataFrame:

@@ -108,3 +108,16 @@ def test_plan_streams_texts_against_broadcast_lexicon(spark, lex):
     # one exchange only (the explicit repartition); the aggregates reuse it
     assert plan.count("Exchange hashpartitioning") == 1, plan
     assert F is not None
+
+
+def test_row_scoring_matches_join_scoring_and_brute_force(spark, lex):
+    from curatio.operators.classify import ClassifyParams, category_scores
+    texts = spark.createDataFrame(list(enumerate(TEXTS)), "id long, t string")
+    p = ClassifyParams(fallback="none", exclusions=[])
+    rows = category_scores(texts, ["id"], "t", lex, params=p).collect()
+    got = {(r.id, r.dept): r.kw_score for r in rows}
+    joined = {(r.id, r.dept): r.kw_score for r in keyword_scores(texts, ["id"], "t", lex).collect()}
+    assert got.keys() == joined.keys()
+    for (i, dept), v in got.items():
+        assert v == pytest.approx(joined[(i, dept)])
+        assert v == pytest.approx(brute_score(TEXTS[i], LEX[dept], MARKERS))

@@ -22,16 +22,23 @@ def test_keys_match():
     assert len(E.queries()) >= 20
 
 
-def test_classify_plan_single_exchange(spark):
-    from curatio.plans import slate as S
-    plan = _plan(S.q_classify(spark, SF001))
-    assert "BroadcastNestedLoopJoin" in plan
-    lines = plan.split("\n")
-    # the only single-partition exchange gathers partial counts (one row
-    # per partition) of the one-row embedding count, never rows
-    for i, line in enumerate(lines):
-        if "Exchange SinglePartition" in line:
-            assert "partial_count" in lines[i + 1], line
+def test_classify_is_narrow(spark):
+    """Classification never moves a row: the row side of the plan (printed
+    before the broadcast lexicon row) has no exchange, and the output keeps
+    the input partitioning."""
+    from curatio.operators.classify import classify
+    from curatio.operators.lexicon import lexicon_from_dict
+    from curatio.plans.scenario import TEST_LEXICON
+    qa = spark.createDataFrame([(i, f"q the ing {i}", "answer der und keit " * 3) for i in range(50)],
+                               "id long, question string, answer string").repartition(5)
+    out = classify(qa, ["id"], lexicon_from_dict(spark, TEST_LEXICON))
+    plan = _plan(out)
+    row_side = plan.split("BroadcastExchange")[0]
+    assert "BroadcastNestedLoopJoin" in row_side
+    # the only exchange on the row side is the input's own repartition(5)
+    assert row_side.count("Exchange") == 1 and "RoundRobinPartitioning(5)" in row_side
+    assert out.rdd.getNumPartitions() == 5
+    assert out.count() == 50
 
 
 def test_results_independent_of_shuffle_partitions(spark):

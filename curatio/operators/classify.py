@@ -185,7 +185,10 @@ def category_scores(texts: DataFrame, keys: Sequence[str], text_col: str, lex: L
     p = params or ClassifyParams()
     s = _scored(texts.select(*keys, text_col, *([vec_col] if vec_col else [])),
                 text_col, lex, vec_col, prototypes, p)
-    return s.select(*keys, F.explode("_adj").alias("c")).select(*keys, "c.*")
+    # inline_outer: a non-outer explode makes the optimizer infer a
+    # size(_adj) > 0 filter and push it below, recomputing the whole score
+    # chain inside the join condition; the arrays are never empty anyway
+    return s.select(*keys, F.inline_outer("_adj"))
 
 
 def _rule_table(spark, rules: Sequence[tuple[str, str]]) -> DataFrame:

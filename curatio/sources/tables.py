@@ -8,8 +8,18 @@ from pyspark.sql import functions as F
 from curatio.functions.text import ustrip
 
 
+_TABLES: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A parquet table; the DataFrame (file listing and schema) is made once
+    per session and path and reused - the same immutable logical scan."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), spark.sparkContext.applicationId, path)
+    df = _TABLES.get(key)
+    if df is None:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 def qa_from_conversations(conv: DataFrame, user_role: str = "user",

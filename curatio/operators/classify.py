@@ -8,8 +8,9 @@ classification is one narrow projection per row - no exchange at all:
       per category: hits, related boost, similarity, blend  (higher-order fns)
       winner, exclusions, arg-max, fallback                 (same projection)
 
-The lexicon row is ``array<struct<dept, dept_ord, proto, proto_norm,
-kws: array<struct<kw_ord, kw, weight>>>>`` in category order, so sums run in
+The lexicon row is ``array<struct<dept_ord, dept, kws: array<struct<kw_ord,
+kw, weight>>>>`` in category order (a literal from the size-checked
+parameter table) and the prototype row a ``map<dept, (proto, norm)>``, so sums run in
 lexicon order as in the original, and the related-keyword boost is applied
 as repeated multiplication. A hot category or key cannot skew anything: no
 row ever moves. Scores are rounded to ``precision`` decimals before
@@ -27,12 +28,12 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from curatio import defaults as D
 from curatio.functions.text import clean_text, composite_text
-from curatio.functions.vectors import dot, norm
+from curatio.functions.vectors import norm
 from curatio.operators.lexicon import Lexicon, _bcast_keywords
-from curatio.operators.similarity import prototype_table
 from curatio.operators.util import checked_broadcast
 
 
@@ -65,41 +66,49 @@ def classification_text(qa: DataFrame, question_col: str = "question",
 
 
 KW_TYPE = "array<struct<kw_ord:int,kw:string,weight:double>>"
-
-
-def lexicon_row(lex: Lexicon, prototypes: DataFrame | None = None) -> DataFrame:
-    """The whole lexicon (with prototypes) as ONE row, column ``_lex``.
-
-    Built by two small aggregates over the parameter tables; the lexicon
-    size is checked first (counted when it is not known on the driver)."""
-    _bcast_keywords(lex)  # size check only
-    kws = (lex.keywords.groupBy("dept")
-           .agg(F.sort_array(F.collect_list(F.struct(
-               "kw_ord", F.col("keyword").alias("kw"), "weight"))).alias("kws")))
-    cats = prototype_table(lex.categories, prototypes)
-    c = cats.join(kws, "dept", "left").select(F.struct(
-        "dept_ord", "dept", "proto", "proto_norm",
-        F.coalesce(F.col("kws"), F.array().cast(KW_TYPE)).alias("kws")).alias("c"))
-    return c.agg(F.sort_array(F.collect_list("c")).alias("_lex"))
-
-
-def _keyword_score(t: Column, tlen: Column, qend: Column, cat: Column, p: ClassifyParams) -> Column:
-    """K2-K5 for one category of one text, keywords in lexicon order."""
-    hits = F.transform(F.filter(cat["kws"], lambda k: t.contains(k["kw"])),
-                       lambda k: F.struct(k["kw"].alias("kw"), k["weight"].alias("w"),
-                                          (F.position(k["kw"], t) - 1).alias("pos")))
-
-    def hit_score(h):
-        kw, pos = h["kw"], h["pos"]
-        cnt = ((tlen - F.length(F.replace(t, kw, F.lit("")))) / F.length(kw)).cast("long")
-        base = cnt * h["w"] * F.when(pos < qend, F.lit(p.early_factor)).otherwise(F.lit(1.0))
-        start = F.greatest(pos - p.context_radius, F.lit(0))
-        end = F.least(tlen, pos + F.length(kw) + p.context_radius)
-        ctx = F.substr(t, start + 1, end - start)
-        related = F.filter(cat["kws"], lambda r: (r["kw"] != kw) & ctx.contains(r["kw"]))
-        return F.aggregate(related, base, lambda acc, _r: acc * F.lit(p.related_factor))
-
-    return F.aggregate(hits, F.lit(0.0), lambda acc, h: acc + hit_score(h))
+LEX_TYPE = T.StructType([T.StructField("_lex", T.ArrayType(T.StructType([
+    T.StructField("dept_ord", T.IntegerType()), T.StructField("dept", T.StringType()),
+    T.StructField("kws", T.ArrayType(T.StructType([
+        T.StructField("kw_ord", T.IntegerType()), T.StructField("kw", T.StringType()),
+        T.StructField("weight", T.DoubleType())])))])))])
+PMAP_TYPE = "map<string,struct<proto:array<float>,proto_norm:double>>"
+
+
+def lexicon_row(lex: Lexicon) -> DataFrame:
+    """The whole lexicon as ONE row, column ``_lex``: categories in order,
+    each with its keywords in order. The lexicon is a parameter table of
+    checked size (at most MAX_BROADCAST_ROWS keywords), so it is read once
+    on the driver and becomes a one-row literal table: no Spark stage. It is
+    built once per Lexicon and reused by every query that scores with it."""
+    if lex.row is not None:
+        return lex.row
+    _bcast_keywords(lex)  # size check (counted when unknown)
+    kws = lex.keywords.select("dept", "kw_ord", "keyword", "weight").collect()
+    cats = sorted((r.dept_ord, r.dept) for r in lex.categories.select("dept", "dept_ord").collect())
+    by_dept: dict = {}
+    for r in kws:
+        by_dept.setdefault(r.dept, []).append((r.kw_ord, r.keyword, float(r.weight)))
+    arr = [(o, d, sorted(by_dept.get(d, []))) for o, d in cats]
+    lex.row = lex.keywords.sparkSession.createDataFrame([(arr,)], LEX_TYPE)
+    return lex.row
+
+
+def prototype_row(prototypes: DataFrame | None, spark) -> DataFrame:
+    """Prototypes as ONE row, column ``_pmap``: dept -> (proto, norm), the
+    norm computed once per prototype (one small aggregate)."""
+    if prototypes is None:
+        return spark.range(1).select(F.lit(None).cast(PMAP_TYPE).alias("_pmap"))
+    p = prototypes.select("dept", F.struct(F.col("proto").cast("array<float>").alias("proto"),
+                                           norm("proto").alias("proto_norm")).alias("v"))
+    return p.agg(F.map_from_entries(F.collect_list(F.struct("dept", "v"))).alias("_pmap"))
+
+
+def _num(x: float) -> str:
+    return f"CAST({float(x)!r} AS DOUBLE)"
+
+
+def _str(x: str) -> str:
+    return "'" + str(x).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def question_end(t: Column, question_mark: str = D.QUESTION_MARK) -> Column:
@@ -108,50 +117,58 @@ def question_end(t: Column, question_mark: str = D.QUESTION_MARK) -> Column:
     return F.when(qm >= 0, qm).otherwise(F.floor(F.length(t) / 2).cast("int"))
 
 
-def row_scores(t: Column, vec: Column, vec_norm: Column, lexarr: Column,
-               tlen: Column, qend: Column, p: ClassifyParams) -> Column:
-    """V5: ``array<struct<dept, dept_ord, similarity, kw_score, score>>``,
-    one element per category, for one text."""
-
-    def parts(c):
-        sim = F.coalesce(dot(vec, c["proto"]) / (F.greatest(vec_norm, F.lit(D.COSINE_EPS))
-                                                 * F.greatest(c["proto_norm"], F.lit(D.COSINE_EPS))),
-                         F.lit(0.0))
-        return F.struct(c["dept"].alias("dept"), c["dept_ord"].alias("dept_ord"),
-                        sim.alias("similarity"),
-                        _keyword_score(t, tlen, qend, c, p).alias("kw_score"))
-
-    first = F.transform(lexarr, parts)
-    return F.transform(first, lambda s: F.struct(
-        s["dept"].alias("dept"), s["dept_ord"].alias("dept_ord"),
-        s["similarity"].alias("similarity"), s["kw_score"].alias("kw_score"),
-        (F.lit(p.similarity_weight) * s["similarity"]
-         + F.lit(p.keyword_weight) * s["kw_score"]).alias("score")))
-
-
-def _argmax(arr: Column, field: str, precision: int) -> Column:
+def row_scores_sql(t: str, vec: str, p: ClassifyParams) -> str:
+    """V1 + K2-K5 + V5 for one text, as one SQL expression over the columns
+    ``t`` (clean text), ``vec`` (embedding), ``_vn`` (its norm), ``_tlen``,
+    ``_qend``, ``_lex`` and ``_pmap``. Result: one struct per category
+    ``(dept, dept_ord, similarity, kw_score)``, keywords summed in lexicon
+    order; the related-keyword boost is a repeated multiplication."""
+    r, eps = int(p.context_radius), _num(D.COSINE_EPS)
+    start = f"greatest(h.pos - {r}, 0)"
+    ctx = f"substr({t}, {start} + 1, least(_tlen, h.pos + length(h.kw) + {r}) - {start})"
+    base = (f"CAST((_tlen - length(replace({t}, h.kw, ''))) / length(h.kw) AS BIGINT) * h.w"
+            f" * (CASE WHEN h.pos < _qend THEN {_num(p.early_factor)} ELSE {_num(1.0)} END)")
+    hit = (f"aggregate(filter(c.kws, q -> q.kw != h.kw AND contains({ctx}, q.kw)), {base},"
+           f" (b, q) -> b * {_num(p.related_factor)})")
+    hits = (f"transform(filter(c.kws, k -> contains({t}, k.kw)),"
+            f" k -> named_struct('kw', k.kw, 'w', k.weight, 'pos', position(k.kw, {t}) - 1))")
+    kw_score = f"aggregate({hits}, {_num(0.0)}, (acc, h) -> acc + {hit})"
+    pr = "try_element_at(_pmap, c.dept)"
+    dot = (f"aggregate(zip_with({vec}, {pr}.proto, (x, y) -> CAST(x AS DOUBLE) * CAST(y AS DOUBLE)),"
+           f" {_num(0.0)}, (a, v) -> a + v)")
+    sim = (f"coalesce({dot} / (greatest(_vn, {eps}) * greatest({pr}.proto_norm, {eps})),"
+           f" {_num(0.0)})")
+    return (f"transform(_lex, c -> named_struct('dept', c.dept, 'dept_ord', c.dept_ord,"
+            f" 'similarity', {sim}, 'kw_score', {kw_score}))")
+
+
+def blend_sql(p: ClassifyParams) -> str:
+    return (f"transform(_s0, s -> named_struct('dept', s.dept, 'dept_ord', s.dept_ord,"
+            f" 'similarity', s.similarity, 'kw_score', s.kw_score, 'score',"
+            f" {_num(p.similarity_weight)} * s.similarity + {_num(p.keyword_weight)} * s.kw_score))")
+
+
+def argmax_sql(arr: str, field: str, precision: int) -> str:
     """First category with the highest rounded ``field`` (ties -> lowest
     dept_ord): struct(r, o, dept)."""
-    return F.array_max(F.transform(arr, lambda s: F.struct(
-        F.round(s[field], precision).alias("r"), (-s["dept_ord"]).alias("o"),
-        s["dept"].alias("dept"))))
+    return (f"array_max(transform({arr}, s -> named_struct('r', round(s.{field}, {int(precision)}),"
+            f" 'o', -s.dept_ord, 'dept', s.dept)))")
 
 
-def adjust_scores(scores: Column, winner: Column, p: ClassifyParams) -> Column:
-    """V6 on one text's score array: the winner halves what it excludes."""
+def adjust_sql(p: ClassifyParams) -> str:
+    """V6: the winner ``_w`` halves the scores of the categories it excludes."""
     rules = sorted(set((str(a), str(b)) for a, b in p.exclusions))
-    rule_arr = F.array(*[F.struct(F.lit(a).alias("w"), F.lit(b).alias("e")) for a, b in rules]) \
-        if rules else F.array().cast("array<struct<w:string,e:string>>")
-
-    def adjust(s):
-        ex = F.exists(rule_arr, lambda r: (r["w"] == winner) & (r["e"] == s["dept"]))
-        return F.struct(s["dept"].alias("dept"), s["dept_ord"].alias("dept_ord"),
-                        s["similarity"].alias("similarity"), s["kw_score"].alias("kw_score"),
-                        s["score"].alias("raw_score"), ex.alias("excluded"),
-                        F.when(ex, s["score"] * F.lit(p.exclusion_factor))
-                        .otherwise(s["score"]).alias("score"))
-
-    return F.transform(scores, adjust)
+    if rules:
+        arr = "array(" + ", ".join(f"named_struct('w', {_str(a)}, 'e', {_str(b)})"
+                                   for a, b in rules) + ")"
+        ex = f"array_contains({arr}, named_struct('w', _w, 'e', s.dept))"
+    else:
+        ex = "false"
+    return (f"transform(transform(_s, s -> named_struct('s', s, 'ex', {ex})),"
+            f" z -> named_struct('dept', z.s.dept, 'dept_ord', z.s.dept_ord,"
+            f" 'similarity', z.s.similarity, 'kw_score', z.s.kw_score, 'raw_score', z.s.score,"
+            f" 'excluded', z.ex, 'score', CASE WHEN z.ex THEN z.s.score * {_num(p.exclusion_factor)}"
+            f" ELSE z.s.score END))")
 
 
 def _scored(rows: DataFrame, text_col: str, lex: Lexicon, vec_col: str | None,
@@ -159,21 +176,24 @@ def _scored(rows: DataFrame, text_col: str, lex: Lexicon, vec_col: str | None,
     """Adds ``_adj`` (adjusted score array), ``label``, ``best_score``.
     Each stage is its own projection column, so every per-row array is
     computed once (Catalyst does not inline an expensive column that is
-    used more than once)."""
-    lexrow = checked_broadcast(lexicon_row(lex, prototypes), known_rows=1, what="lexicon row")
+    used more than once). The per-row chain is written as SQL expressions:
+    the same plan, parsed once in the JVM."""
+    lexrow = checked_broadcast(lexicon_row(lex), known_rows=1, what="lexicon row")
+    prow = checked_broadcast(prototype_row(prototypes, rows.sparkSession), known_rows=1,
+                             what="prototype row")
     vec = F.col(vec_col) if vec_col else F.lit(None).cast("array<float>")
     t = F.col(text_col)
-    j = (rows.crossJoin(lexrow).withColumn("_vn", norm(vec))
-         .withColumn("_tlen", F.length(t)).withColumn("_qend", question_end(t, p.question_mark)))
-    j = j.withColumn("_s", row_scores(t, vec, F.col("_vn"), F.col("_lex"), F.col("_tlen"),
-                                      F.col("_qend"), p))
-    j = j.withColumn("_w", _argmax(F.col("_s"), "score", p.precision)["dept"])
-    j = j.withColumn("_adj", adjust_scores(F.col("_s"), F.col("_w"), p))
-    j = j.withColumn("_best", _argmax(F.col("_adj"), "score", p.precision))
-    j = (j.withColumn("label", F.when(F.col("_best.r") > 0, F.col("_best.dept"))
-                      .otherwise(F.lit(p.fallback)))
-         .withColumn("best_score", F.col("_best.r")))
-    return j.drop("_s", "_lex", "_vn", "_tlen", "_qend", "_w", "_best")
+    j = (rows.crossJoin(lexrow).crossJoin(prow)
+         .withColumns({"_v": vec, "_tlen": F.length(t), "_qend": question_end(t, p.question_mark)})
+         .withColumn("_vn", norm("_v")))
+    j = j.withColumn("_s0", F.expr(row_scores_sql(f"`{text_col}`", "_v", p)))
+    j = j.withColumn("_s", F.expr(blend_sql(p)))
+    j = j.withColumn("_w", F.expr(argmax_sql("_s", "score", p.precision) + ".dept"))
+    j = j.withColumn("_adj", F.expr(adjust_sql(p)))
+    j = j.withColumn("_best", F.expr(argmax_sql("_adj", "score", p.precision)))
+    j = j.withColumns({"label": F.when(F.col("_best.r") > 0, F.col("_best.dept"))
+                       .otherwise(F.lit(p.fallback)), "best_score": F.col("_best.r")})
+    return j.drop("_s0", "_s", "_lex", "_pmap", "_v", "_vn", "_tlen", "_qend", "_w", "_best")
 
 
 def category_scores(texts: DataFrame, keys: Sequence[str], text_col: str, lex: Lexicon,

@@ -37,6 +37,7 @@ class Lexicon:
     categories: DataFrame
     n_keywords: int | None = None
     n_categories: int | None = None
+    row: DataFrame | None = None  # one-row form, built once (see classify.lexicon_row)
 
 
 LEXICON_SCHEMA = T.StructType([

@@ -23,8 +23,16 @@ from curatio.session import cut_lineage
 KEYS = S.QA_KEYS
 
 
+_LEXICONS: dict = {}
+
+
 def _lex(spark, mapping=None) -> L.Lexicon:
-    return L.lexicon_from_dict(spark, mapping or S.TEST_LEXICON, markers=S.TEST_MARKERS)
+    """The scenario lexicon, built once per session (a job's parameter)."""
+    mapping = mapping or S.TEST_LEXICON
+    key = (spark.sparkContext.applicationId, repr(mapping))
+    if key not in _LEXICONS:
+        _LEXICONS[key] = L.lexicon_from_dict(spark, mapping, markers=S.TEST_MARKERS)
+    return _LEXICONS[key]
 
 
 def _params(**kw) -> C.ClassifyParams:

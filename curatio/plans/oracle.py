@@ -45,19 +45,33 @@ def _markers(col: str) -> str:
     return " OR ".join(f"contains({col}, {_q(m)})" for m in S.TEST_MARKERS)
 
 
-def base_ctes(mapping=None, vectors: bool = True, sim_w: float = 0.7, kw_w: float = 0.3) -> str:
-    """CTE chain: qa, texts, lex, cats, hits, rel, kw, [qv, cp,] sim, blend,
-    ranked, adj, labels."""
-    mapping = mapping or S.TEST_LEXICON
-    rules = ", ".join(f"({_q(a)}, {_q(b)})" for a, b in S.TEST_EXCLUSIONS)
-    parts = [f"""
-qa AS (
+CONV_QA = """
   SELECT u.conv_id, u.turn, u.text AS question, a.text AS answer
   FROM conversations u JOIN conversations a
     ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
-  WHERE u.role = 'user' AND a.role = 'assistant'),
+  WHERE u.role = 'user' AND a.role = 'assistant'"""
+
+DOC_QA = """
+  SELECT doc_id,
+    CASE WHEN strpos(text, chr(10)) > 0 THEN substr(text, 1, strpos(text, chr(10)) - 1) ELSE text END AS question,
+    CASE WHEN strpos(text, chr(10)) > 0 THEN substr(text, strpos(text, chr(10)) + 1) ELSE '' END AS answer
+  FROM documents"""
+
+
+def base_ctes(mapping=None, vectors: bool = True, sim_w: float = 0.7, kw_w: float = 0.3,
+              qa_sql: str = CONV_QA, keys=("conv_id", "turn"), vec_key: str = "conv_id") -> str:
+    """CTE chain: qa, texts, lex, cats, hits, rel, kw, [qv, ex, cp,] sim,
+    blend, ranked, adj, top, labels, classified."""
+    mapping = mapping or S.TEST_LEXICON
+    K = ", ".join(keys)
+    tk = ", ".join(f"t.{k}" for k in keys)
+    hk = ", ".join(f"h.{k}" for k in keys)
+    rk = " AND ".join(f"r.{k} = t.{k}" for k in keys)
+    rules = ", ".join(f"({_q(a)}, {_q(b)})" for a, b in S.TEST_EXCLUSIONS)
+    parts = [f"""
+qa AS ({qa_sql}),
 texts AS (
-  SELECT conv_id, turn,
+  SELECT {K},
     {clean_sql("coalesce(question,'') || ' ' || coalesce(question,'') || ' ' || substr(coalesce(answer,''), 1, 200)")} AS ctext
   FROM qa),
 lex AS (
@@ -68,7 +82,7 @@ lex AS (
 cats AS (SELECT * FROM (VALUES {_cat_values(mapping)}) v(dept, dept_ord)),
 rules AS (SELECT * FROM (VALUES {rules}) v(x_winner, x_excluded)),
 hits0 AS (
-  SELECT t.conv_id, t.turn, l.dept, l.dept_ord, l.kw_ord, l.keyword, l.weight, t.ctext,
+  SELECT {tk}, l.dept, l.dept_ord, l.kw_ord, l.keyword, l.weight, t.ctext,
     (length(t.ctext) - length(replace(t.ctext, l.keyword, ''))) // length(l.keyword) AS cnt,
     instr(t.ctext, l.keyword) - 1 AS pos,
     CASE WHEN instr(t.ctext, '?') > 0 THEN instr(t.ctext, '?') - 1
@@ -81,38 +95,41 @@ hits AS (
     cnt * weight * (CASE WHEN pos < qend THEN 1.5::DOUBLE ELSE 1.0::DOUBLE END) AS base0
   FROM hits0),
 rel AS (
-  SELECT h.conv_id, h.turn, h.dept, h.dept_ord, h.kw_ord, h.keyword,
+  SELECT {hk}, h.dept, h.dept_ord, h.kw_ord, h.keyword,
     any_value(h.base0) AS base0, count(r.keyword) AS n_related
   FROM hits h LEFT JOIN lex r
     ON r.dept = h.dept AND r.keyword <> h.keyword AND contains(h.context, r.keyword)
-  GROUP BY h.conv_id, h.turn, h.dept, h.dept_ord, h.kw_ord, h.keyword),
+  GROUP BY {hk}, h.dept, h.dept_ord, h.kw_ord, h.keyword),
 rel2 AS (SELECT *, base0 * power(1.2::DOUBLE, n_related) AS base FROM rel),
 kw AS (
-  SELECT t.conv_id, t.turn, c.dept, c.dept_ord,
+  SELECT {tk}, c.dept, c.dept_ord,
     coalesce((SELECT sum(r.base) FROM rel2 r
-              WHERE r.conv_id = t.conv_id AND r.turn = t.turn AND r.dept = c.dept), 0.0::DOUBLE) AS kw_score
+              WHERE {rk} AND r.dept = c.dept), 0.0::DOUBLE) AS kw_score
   FROM texts t CROSS JOIN cats c)"""]
     if vectors:
-        parts.append("""
+        qk = ", ".join(f"q.{k}" for k in keys)
+        vk = ", ".join(f"v.{k}" for k in keys)
+        parts.append(f"""
 qv AS (
-  SELECT q.conv_id, q.turn, e.embedding FROM qa q
-  LEFT JOIN embeddings e ON e.vec_id = q.conv_id % (SELECT count(*) FROM embeddings)),
+  SELECT {qk}, e.embedding FROM qa q
+  LEFT JOIN embeddings e ON e.vec_id = q.{vec_key} % (SELECT count(*) FROM embeddings)),
 ex AS (SELECT label, arg_min(embedding, vec_id) AS proto FROM embeddings GROUP BY label),
 cp AS (SELECT c.dept, c.dept_ord, ex.proto FROM cats c LEFT JOIN ex ON ex.label = c.dept_ord),
 sim AS (
-  SELECT v.conv_id, v.turn, cp.dept,
+  SELECT {vk}, cp.dept,
     coalesce(list_cosine_similarity(v.embedding::DOUBLE[], cp.proto::DOUBLE[]), 0.0::DOUBLE) AS similarity
   FROM qv v CROSS JOIN cp)""")
     else:
-        parts.append("""
-sim AS (SELECT t.conv_id, t.turn, c.dept, 0.0::DOUBLE AS similarity FROM texts t CROSS JOIN cats c)""")
+        parts.append(f"""
+sim AS (SELECT {tk}, c.dept, 0.0::DOUBLE AS similarity FROM texts t CROSS JOIN cats c)""")
+    kk = ", ".join(f"k.{k}" for k in keys)
     parts.append(f"""
 blend AS (
-  SELECT k.conv_id, k.turn, k.dept, k.dept_ord, s.similarity, k.kw_score,
+  SELECT {kk}, k.dept, k.dept_ord, s.similarity, k.kw_score,
     {sim_w}::DOUBLE * s.similarity + {kw_w}::DOUBLE * k.kw_score AS score
-  FROM kw k JOIN sim s USING (conv_id, turn, dept)),
+  FROM kw k JOIN sim s USING ({K}, dept)),
 ranked AS (
-  SELECT *, first_value(dept) OVER (PARTITION BY conv_id, turn
+  SELECT *, first_value(dept) OVER (PARTITION BY {K}
             ORDER BY round(score, 6) DESC, dept_ord) AS winner
   FROM blend),
 adj AS (
@@ -120,16 +137,16 @@ adj AS (
     CASE WHEN x.x_winner IS NOT NULL THEN score * 0.5::DOUBLE ELSE score END AS adj_score
   FROM ranked r LEFT JOIN rules x ON x.x_winner = r.winner AND x.x_excluded = r.dept),
 top AS (
-  SELECT conv_id, turn, dept, round(adj_score, 6) AS best,
-    row_number() OVER (PARTITION BY conv_id, turn ORDER BY round(adj_score, 6) DESC, dept_ord) AS rn
+  SELECT {K}, dept, round(adj_score, 6) AS best,
+    row_number() OVER (PARTITION BY {K} ORDER BY round(adj_score, 6) DESC, dept_ord) AS rn
   FROM adj),
 labels AS (
-  SELECT conv_id, turn, CASE WHEN best > 0 THEN dept ELSE {_q(S.TEST_FALLBACK)} END AS label,
+  SELECT {K}, CASE WHEN best > 0 THEN dept ELSE {_q(S.TEST_FALLBACK)} END AS label,
     best AS best_score
   FROM top WHERE rn = 1),
 classified AS (
-  SELECT q.conv_id, q.turn, q.question, q.answer, l.label, l.best_score
-  FROM qa q JOIN labels l USING (conv_id, turn))""")
+  SELECT q.*, l.label, l.best_score
+  FROM qa q JOIN labels l USING ({K}))""")
     return "WITH " + ",".join(parts)
 
 
@@ -266,6 +283,10 @@ SELECT NULL, true, coalesce(sum(original), 0)::BIGINT, coalesce(sum(filtered), 0
   coalesce(sum(least(filtered, {S.TEST_CAP})), 0)::BIGINT FROM per"""
     q["distribution"] = base_ctes() + _dist("classified", "label")
     q["lang_distribution"] = _dist("documents", "lang")
+    q["classify_documents"] = (base_ctes(qa_sql=DOC_QA, keys=("doc_id",), vec_key="doc_id")
+                               + "\nSELECT doc_id, label, best_score FROM labels")
+    q["classification_stats"] = base_ctes() + """
+SELECT label || ': ' || CAST(count(*) AS VARCHAR) || '条' AS value FROM classified GROUP BY label"""
     q["group_rows"] = base_ctes() + """,
 g AS (SELECT label, row_number() OVER (ORDER BY min(struct_pack(conv_id := conv_id, turn := turn))) - 1 AS group_rank
       FROM classified GROUP BY label)

@@ -15,7 +15,7 @@ from curatio.operators import pages as P
 from curatio.operators import report as R
 from curatio.operators import similarity as V
 from curatio.plans import scenario as S
-from curatio.sources.tables import qa_from_conversations, table
+from curatio.sources.tables import qa_from_conversations, qa_from_documents, table
 from curatio.sources.readers import classify_json_lines
 from curatio.operators.util import checked_broadcast, spread
 from curatio.session import cut_lineage
@@ -45,12 +45,13 @@ def _qa(spark, d) -> DataFrame:
     return qa_from_conversations(table(spark, d, "conversations"))
 
 
-def _qa_vectors(spark, d) -> DataFrame:
-    """QA rows with an embedding: vector ``conv_id mod |embeddings|``.
+def _qa_vectors(spark, d, qa: DataFrame | None = None, key: str = "conv_id") -> DataFrame:
+    """QA rows with an embedding: vector ``key mod |embeddings|``.
     The count is a one-row aggregate, broadcast without a driver trip."""
     emb = table(spark, d, "embeddings")
     n = F.broadcast(emb.agg(F.count(F.lit(1)).alias("_n")))
-    qa = _qa(spark, d).crossJoin(n).withColumn("_vk", F.pmod("conv_id", "_n")).drop("_n")
+    qa = (qa if qa is not None else _qa(spark, d)).crossJoin(n) \
+        .withColumn("_vk", F.pmod(key, "_n")).drop("_n")
     vec = emb.select(F.col("vec_id").alias("_vk"), "embedding")
     return qa.join(vec, "_vk", "left").drop("_vk")
 
@@ -172,6 +173,20 @@ def q_classify(spark: SparkSession, d: str) -> DataFrame:
     return _classified(spark, d).select(*KEYS, "label", "best_score")
 
 
+def q_classify_documents(spark: SparkSession, d: str) -> DataFrame:
+    """The document corpus through the same chain: first line = question,
+    the rest = answer, keyed by doc_id."""
+    lex = _lex(spark)
+    docs = qa_from_documents(table(spark, d, "documents")).select("doc_id", "question", "answer")
+    out = C.classify(_qa_vectors(spark, d, docs, "doc_id"), ["doc_id"], lex, "embedding",
+                     _protos(spark, d, lex), _params())
+    return out.select("doc_id", "label", "best_score")
+
+
+def q_classification_stats(spark: SparkSession, d: str) -> DataFrame:
+    return R.stats_lines(_classified(spark, d), "label")
+
+
 def q_classify_similarity(spark: SparkSession, d: str) -> DataFrame:
     return _classified(spark, d, keyword_weight=0.0).select(*KEYS, "label", "best_score")
 
@@ -257,6 +272,8 @@ QUERIES = {
     "prototype_scores": q_prototype_scores,
     "blend_scores": q_blend_scores,
     "classify": q_classify,
+    "classify_documents": q_classify_documents,
+    "classification_stats": q_classification_stats,
     "classify_similarity": q_classify_similarity,
     "classify_sparse": q_classify_sparse,
     "quality_filter": q_quality_filter,

@@ -122,3 +122,19 @@ def test_drop_seen(spark):
     df = spark.createDataFrame([("u1",), ("u2",)], "url string")
     seen = spark.createDataFrame([("u1",)], "url string")
     assert [r.url for r in K.drop_seen(df, seen, ["url"]).collect()] == ["u2"]
+
+
+def test_cap_and_ids_independent_of_shuffle_partitions(spark):
+    rows = [(i, ["x", "y", "z"][i % 3] if i % 5 else "x") for i in range(400)]
+    df = spark.createDataFrame(rows, "pos long, g string")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    results = []
+    try:
+        for n in ("1", "8", "64"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            capped = K.cap_per_group(df.withColumn("k", F.col("pos").cast("string")), "g", "k", 50)
+            ids = K.running_ids(capped, "g", ["pos"], "id")
+            results.append(sorted((r.pos, r.id) for r in ids.collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert results[0] == results[1] == results[2] and len(results[0]) == 150

@@ -82,3 +82,23 @@ def test_count_and_position(spark):
     rows = df.select(count_occurrences("t", "k").alias("c"),
                      first_pos(F.col("t"), F.col("k")).alias("p")).collect()
     assert [(r.c, r.p) for r in rows] == [("aaaa".count("aa"), 0), (2, 1), (0, -1)]
+
+
+def test_clean_random_unicode(spark):
+    """Code points from many blocks: Latin-1, combining marks, Greek,
+    general punctuation and spaces, CJK, fullwidth forms, superscripts,
+    roman numerals, control characters."""
+    rnd = random.Random(11)
+    ranges = [(0x20, 0x7e), (0x00, 0x1f), (0x80, 0xff), (0x300, 0x36f), (0x370, 0x3ff),
+              (0x2000, 0x206f), (0x2150, 0x218f), (0x3000, 0x303f), (0x4e00, 0x4e80),
+              (0xff00, 0xffef), (0x660, 0x669), (0x1680, 0x1680), (0x85, 0x85)]
+    texts = []
+    for _ in range(400):
+        chars = []
+        for _ in range(rnd.randint(0, 40)):
+            lo, hi = rnd.choice(ranges)
+            chars.append(chr(rnd.randint(lo, hi)))
+        if rnd.random() < 0.3:
+            chars.insert(rnd.randint(0, len(chars)), rnd.choice(["http://x.y/Z", "https://a.b?c=1&d", "<i>"]))
+        texts.append("".join(chars))
+    assert _run(spark, texts, clean_text) == [py_clean(s) for s in texts]

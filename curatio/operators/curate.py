@@ -179,17 +179,19 @@ def conversation_records(df: DataFrame, id_col: str = "id", question_col: str =
 
 def conversion_stats(df: DataFrame, group_col: str, valid_col: str,
                      cap: int | None = D.CAP_PER_CATEGORY) -> DataFrame:
-    """A6 + A7: per group original / filtered / final counts and a grand
-    total row (``is_total``) summed from the per-group rows."""
-    final = (F.least(F.col("_f"), F.lit(cap)) if cap else F.col("_f"))
-    per = df.groupBy(group_col).agg(F.count(F.lit(1)).alias("original"),
-                                    F.count_if(F.col(valid_col)).alias("_f"))
-    per = per.withColumn("final", final.cast("long")).withColumnRenamed("_f", "filtered")
-    total = per.agg(F.sum("original").alias("original"), F.sum("filtered").alias("filtered"),
-                    F.sum("final").alias("final"))
-    out = per.select(group_col, F.lit(False).alias("is_total"), "original", "filtered", "final")
-    tot = total.select(F.lit(None).cast(df.schema[group_col].dataType).alias(group_col),
-                       F.lit(True).alias("is_total"),
-                       *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
-                         for c in ("original", "filtered", "final")])
-    return out.unionByName(tot)
+    """A6 + A7: per group original / filtered / final counts plus a grand
+    total row (``is_total``), in ONE pass over the rows: a rollup (group
+    rows and the total from the same partial aggregates). The total's
+    ``final`` is the sum of the per-group capped counts - a window over the
+    tiny rollup output (one row per group), never over rows."""
+    r = df.rollup(group_col).agg(F.count(F.lit(1)).alias("original"),
+                                 F.count_if(F.col(valid_col)).alias("filtered"),
+                                 F.grouping_id().alias("_gid"))
+    capped = F.least(F.col("filtered"), F.lit(cap)) if cap else F.col("filtered")
+    r = r.withColumn("_fg", F.when(F.col("_gid") == 0, capped))
+    total_final = F.sum("_fg").over(Window.partitionBy(F.lit(1)))
+    return r.select(group_col, (F.col("_gid") == 1).alias("is_total"),
+                    F.col("original").cast("long").alias("original"),
+                    F.col("filtered").cast("long").alias("filtered"),
+                    F.when(F.col("_gid") == 0, F.col("_fg"))
+                    .otherwise(F.coalesce(total_final, F.lit(0))).cast("long").alias("final"))

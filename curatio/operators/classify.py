@@ -34,7 +34,7 @@ from curatio import defaults as D
 from curatio.functions.text import clean_text, composite_text
 from curatio.functions.vectors import norm
 from curatio.operators.lexicon import Lexicon, _bcast_keywords
-from curatio.operators.util import checked_broadcast
+from curatio.operators.util import checked_broadcast, spread
 
 
 @dataclass
@@ -203,7 +203,7 @@ def category_scores(texts: DataFrame, keys: Sequence[str], text_col: str, lex: L
     raw_score, excluded, score (adjusted) - one row per (text, category),
     generated narrowly from each text's score array."""
     p = params or ClassifyParams()
-    s = _scored(texts.select(*keys, text_col, *([vec_col] if vec_col else [])),
+    s = _scored(spread(texts.select(*keys, text_col, *([vec_col] if vec_col else []))),
                 text_col, lex, vec_col, prototypes, p)
     # inline_outer: a non-outer explode makes the optimizer infer a
     # size(_adj) > 0 filter and push it below, recomputing the whole score
@@ -259,7 +259,8 @@ def classify(qa: DataFrame, keys: Sequence[str], lex: Lexicon,
     ``with_scores``). Narrow: the rows are never shuffled."""
     p = params or ClassifyParams()
     cols = qa.columns
-    rows = classification_text(qa, question_col, answer_col, "_ctext", p.answer_prefix)
+    # CPU-heavy and narrow: a single-split input is spread over the cores
+    rows = classification_text(spread(qa), question_col, answer_col, "_ctext", p.answer_prefix)
     out = _scored(rows, "_ctext", lex, vec_col, prototypes, p)
     extra = [F.col("_adj").alias("scores")] if with_scores else []
     return out.select(*cols, "label", "best_score", *extra)

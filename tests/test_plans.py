@@ -30,14 +30,14 @@ def test_classify_is_narrow(spark):
     from curatio.operators.lexicon import lexicon_from_dict
     from curatio.plans.scenario import TEST_LEXICON
     qa = spark.createDataFrame([(i, f"q the ing {i}", "answer der und keit " * 3) for i in range(50)],
-                               "id long, question string, answer string").repartition(5)
+                               "id long, question string, answer string").repartition(16)
     out = classify(qa, ["id"], lexicon_from_dict(spark, TEST_LEXICON))
     plan = _plan(out)
     row_side = plan.split("BroadcastExchange")[0]
     assert "BroadcastNestedLoopJoin" in row_side
-    # the only exchange on the row side is the input's own repartition(5)
-    assert row_side.count("Exchange") == 1 and "RoundRobinPartitioning(5)" in row_side
-    assert out.rdd.getNumPartitions() == 5
+    # the only exchange on the row side is the input's own repartition(16)
+    assert row_side.count("Exchange") == 1 and "RoundRobinPartitioning(16)" in row_side
+    assert out.rdd.getNumPartitions() == 16
     assert out.count() == 50
 
 

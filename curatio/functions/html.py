@@ -1,6 +1,9 @@
 """Small HTML helper for the page batch functions.
 
-Per page: one pass of the stdlib tokenizer with an open-element stack.
+Per page: one pass of a regex tokenizer (the chunking rules of the stdlib
+``html.parser``: entities decoded per text chunk, a ``<`` that starts no tag
+is its own text chunk, script/style bodies are raw text) with an
+open-element stack.
 Selectors are descendant chains of compound selectors (``tag``, ``.class``,
 ``#id``, e.g. ``.clearfix h1``). Text of an element is every text node
 inside it stripped, empties dropped, joined without a separator; comments
@@ -9,7 +12,7 @@ and script/style text are not text; entities are decoded."""
 from __future__ import annotations
 
 import re
-from html.parser import HTMLParser
+from html import unescape
 from urllib.parse import urljoin
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta",
@@ -23,6 +26,11 @@ SELF_CLOSING_SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"},
                          "option": {"option"}, "tr": {"tr"}, "td": {"td", "th"},
                          "th": {"td", "th"}}
 _COMPOUND = re.compile(r"([a-zA-Z0-9_-]+)|\.([a-zA-Z0-9_-]+)|#([a-zA-Z0-9_-]+)")
+# comment | declaration | processing instruction | start/end tag
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>"
+                    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_ATTR = re.compile(r"([^\s=/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_CDATA = {"script", "style"}  # bodies are raw text: no tags inside
 
 
 def parse_selector(sel: str) -> list[tuple[str | None, frozenset, str | None]]:
@@ -61,9 +69,8 @@ def matches(chain, stack) -> bool:
     return True
 
 
-class _PageParser(HTMLParser):
+class _PageParser:
     def __init__(self, first_selectors: dict, all_selector, attr: str | None):
-        super().__init__(convert_charrefs=True)
         self.first = {k: parse_selector(v) for k, v in first_selectors.items()}
         self.all_chain = parse_selector(all_selector) if all_selector else None
         self.attr = attr
@@ -133,8 +140,51 @@ class _PageParser(HTMLParser):
             for cap in self.open_caps:
                 cap[2].append(s)
 
+    def _data(self, chunk: str):
+        # a "<" that starts no tag is a text chunk of its own
+        parts = chunk.split("<")
+        if parts[0]:
+            self.handle_data(unescape(parts[0]))
+        for part in parts[1:]:
+            self.handle_data("<")
+            if part:
+                self.handle_data(unescape(part))
+
+    def feed(self, html: str):
+        pos, n = 0, len(html)
+        while pos < n:
+            m = _TOKEN.search(html, pos)
+            if m is None:
+                self._data(html[pos:])
+                break
+            if m.start() > pos:
+                self._data(html[pos:m.start()])
+            pos = m.end()
+            name = m.group(2)
+            if name is None:
+                continue  # comment, declaration, processing instruction
+            tag = name.lower()
+            if m.group(1):
+                self.handle_endtag(tag)
+                continue
+            raw = m.group(3) or ""
+            attrs = []
+            for a in _ATTR.finditer(raw.rstrip("/")):
+                v = a.group(2) if a.group(2) is not None else (
+                    a.group(3) if a.group(3) is not None else a.group(4))
+                attrs.append((a.group(1).lower(), None if v is None else unescape(v)))
+            if raw.endswith("/"):
+                self.handle_startendtag(tag, attrs)
+            else:
+                self.handle_starttag(tag, attrs)
+            if tag in _CDATA:
+                end = re.compile(r"</%s(?=[\t\n\r\f />])" % tag, re.I).search(html, pos)
+                stop = end.start() if end else n
+                if stop > pos:
+                    self.handle_data(html[pos:stop])
+                pos = stop
+
     def finish(self):
-        self.close()
         self._pop_to(0)
 
 

@@ -108,11 +108,10 @@ def deciding_captures(captures: DataFrame, url_col: str = "url", attempt_col: st
     err = F.col(error_col)
     ok = (F.col(status_col) == ok_status) & err.isNull()
     fatal = err.isNotNull() & ~err.isin(*retryable_errors)
-    decides = first.filter(ok | fatal).withColumn("_ok", ok)
-    # earliest deciding attempt per URL (map-side combined aggregate)
-    best = decides.groupBy(url_col).agg(F.min(F.struct("_try", "_ok")).alias("_d"))
-    best = best.filter(F.col("_d._ok")).select(url_col, F.col("_d._try").alias("_try"))
-    return first.join(best, [url_col, "_try"]).withColumnRenamed("_try", "try_no")
-
-
-ship_by_value("curatio.functions.html", __name__)
+    # earliest deciding attempt of the URL: a second window over the same
+    # partitioning (no join back, no further exchange)
+    decider = F.min(F.when(ok | fatal, F.struct(F.col("_try").alias("t"), ok.alias("ok")))) \
+        .over(Window.partitionBy(url_col))
+    out = first.withColumn("_d", decider)
+    out = out.filter((F.col("_try") == F.col("_d.t")) & F.col("_d.ok"))
+    return out.drop("_d").withColumnRenamed("_try", "try_no")

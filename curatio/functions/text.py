@@ -95,8 +95,3 @@ def first_pos(text, needle) -> Column:
 def slice0(text, start, end) -> Column:
     """Python ``text[start:end]`` for 0-based column bounds, 0 <= start <= end."""
     return F.substr(_c(text), _c(start) + 1, _c(end) - _c(start))
-
-
-def ulength(c) -> Column:
-    """Length in code points after a Unicode strip."""
-    return F.length(ustrip(c))

@@ -51,10 +51,6 @@ class ClassifyParams:
     related_factor: float = D.RELATED_FACTOR
     question_mark: str = D.QUESTION_MARK
 
-    def hit_kw(self) -> dict:
-        return {"context_radius": self.context_radius, "early_factor": self.early_factor,
-                "question_mark": self.question_mark}
-
 
 def classification_text(qa: DataFrame, question_col: str = "question",
                         answer_col: str = "answer", out_col: str = "ctext",

@@ -1,9 +1,10 @@
-"""Embedding similarity.
+"""Embedding similarity (V1-V4; J3 is part of the row scoring in
+:mod:`curatio.operators.classify`).
 
 Texts carry an embedding column (``ARRAY<FLOAT>``), produced upstream by
 any model; :func:`embed_with` applies a user model as an Arrow-batched
 iterator pandas UDF (one model load per Python worker). Category
-prototypes are a small table ``dept, proto`` joined by broadcast."""
+prototypes are a small table ``dept, proto``."""
 
 from __future__ import annotations
 
@@ -15,8 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from curatio import defaults as D
-from curatio.functions.vectors import cosine, norm
-from curatio.operators.util import checked_broadcast, ship_by_value
+from curatio.functions.vectors import cosine
+from curatio.operators.util import ship_by_value
 
 
 def pair_similarity(pairs: DataFrame, left: DataFrame, right: DataFrame,
@@ -42,36 +43,6 @@ def exemplar_prototypes(vectors: DataFrame, id_col: str, vec_col: str, group_col
                  F.min(id_col).alias("proto_id")))
 
 
-def prototype_table(categories: DataFrame, prototypes: DataFrame | None) -> DataFrame:
-    """categories (dept, dept_ord) + optional prototypes (dept, proto) with
-    the prototype norm precomputed once."""
-    cats = categories.select("dept", "dept_ord")
-    if prototypes is None:
-        return cats.withColumn("proto", F.lit(None).cast("array<float>")).withColumn(
-            "proto_norm", F.lit(None).cast("double"))
-    p = prototypes.select(F.col("dept").alias("p_dept"), "proto")
-    return (cats.join(p, cats.dept == p.p_dept, "left").drop("p_dept")
-            .withColumn("proto_norm", norm("proto")))
-
-
-def similarity_rows(texts: DataFrame, keys: Sequence[str], vec_col: str | None,
-                    protos: DataFrame, n_categories: int | None = None,
-                    eps: float = D.COSINE_EPS, extra: Sequence[str] = ()) -> DataFrame:
-    """Texts x categories (broadcast; one row per category) with the
-    cosine of the text vector and the category prototype; 0.0 when either
-    is missing. The text norm is computed once per text, before the product."""
-    cols = [*keys, *extra]
-    if vec_col is not None:
-        t = texts.select(*cols, F.col(vec_col).alias("_v")).withColumn("_vn", norm("_v"))
-    else:
-        t = texts.select(*cols, F.lit(None).cast("array<float>").alias("_v"),
-                         F.lit(None).cast("double").alias("_vn"))
-    j = t.crossJoin(checked_broadcast(protos, known_rows=n_categories, what="categories"))
-    sim = F.coalesce(cosine("_v", "proto", eps, norm_a="_vn", norm_b="proto_norm"),
-                     F.lit(0.0))
-    return j.select(*cols, "dept", "dept_ord", sim.alias("similarity"))
-
-
 def embed_with(df: DataFrame, text_col: str, out_col: str,
                make_model: Callable[[], Callable[[pd.Series], Sequence[Sequence[float]]]]) -> DataFrame:
     """V4 hook: add ``out_col`` = model(text) with an iterator pandas UDF.

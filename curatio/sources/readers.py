@@ -95,8 +95,8 @@ def schema_gate(df: DataFrame, required: Sequence[str] = ("question", "answer"),
     return df
 
 
-def newest_file(spark: SparkSession, folder: str, prefix: str, suffix: str,
-                by: str = "mtime") -> str:
+def newest_file(spark: SparkSession, folder: str, prefix: str = D.RAW_PREFIX,
+                suffix: str = D.RAW_SUFFIX, by: str = "mtime") -> str:
     """The newest matching file under ``folder`` - by modification
     time (``mtime``; Spark exposes no ctime) or by file name (``name``,
     descending). Raises FileNotFoundError when none matches. Only file
@@ -133,7 +133,3 @@ def category_sizes(spark: SparkSession, path: str) -> DataFrame:
     e = raw.select(F.posexplode(F.map_entries(m)).alias("dept_pos", "e"))
     return e.select(F.col("e.key").alias("dept"), "dept_pos",
                     F.size("e.value").cast("long").alias("count"))
-
-
-def raw_file_name(prefix: str = D.RAW_PREFIX, suffix: str = D.RAW_SUFFIX) -> str:
-    return f"{prefix}*{suffix}"

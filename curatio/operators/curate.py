@@ -138,7 +138,9 @@ def running_index(df: DataFrame, order_cols: Sequence, out_col: str = "n") -> Da
 def first_appearance_rank(df: DataFrame, group_col: str, order_cols: Sequence[str],
                           out_col: str = "group_rank") -> DataFrame:
     """A3 category order: rank of each group by its first row in input
-    order (one small aggregate row per group, then broadcast back)."""
+    order (one small aggregate row per group, joined back - broadcast by
+    AQE from its measured size). ``df`` is read twice: pass a materialized
+    table when it is expensive to recompute."""
     first = df.groupBy(group_col).agg(F.min(F.struct(*order_cols)).alias("_first"))
     ranked = first.withColumn(out_col, F.row_number().over(Window.orderBy("_first")) - 1)
     ranked = checked_broadcast(ranked.select(group_col, out_col), what="groups", required=False)

@@ -252,7 +252,10 @@ def q_lang_distribution(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_group_rows(spark: SparkSession, d: str) -> DataFrame:
-    c = _classified(spark, d).select(*KEYS, "label")
+    # the classified corpus is read twice (rank aggregate + join back), so it
+    # is a written table first: classification is narrow and has no
+    # exchange that a second reader could reuse
+    c = cut_lineage(_classified(spark, d).select(*KEYS, "label"))
     return K.first_appearance_rank(c, "label", KEYS, "group_rank").select(
         "label", F.col("group_rank").cast("long").alias("group_rank"), *KEYS)
 

@@ -31,16 +31,17 @@ def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
     return df
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a narrow, CPU-heavy input over the cores when it arrives
-    in fewer partitions than the cluster has slots (a small file with one
-    row group). Large inputs already have many splits and are left as they
-    are - no shuffle."""
+def spread(df: DataFrame, min_partitions: int | None = None, max_fill: float = 0.25) -> DataFrame:
+    """Round-robin a narrow, CPU-heavy input over the slots when it arrives
+    in so few partitions that it would use at most ``max_fill`` of them (a
+    small file with one row group). An input with a reasonable number of
+    splits is left alone - never a full shuffle of a large input for a
+    small gain in parallelism."""
     if df.isStreaming:
         return df
     sc = df.sparkSession.sparkContext
     target = min_partitions or sc.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    if df.rdd.getNumPartitions() <= max_fill * target:
         return df.repartition(target)
     return df
 

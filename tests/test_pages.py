@@ -63,3 +63,15 @@ def test_deciding_captures(spark):
     # a 200 decides even if it parses to nothing later (no retry)
     assert got == {"first200": 0, "retry": 1, "retry_err": 1, "empty_then_ok": 0}
     assert F is not None
+
+
+def test_batch_functions_ship_by_value():
+    """Python workers must not need the package installed: the modules
+    holding batch functions are pickled by value."""
+    from pyspark import cloudpickle
+
+    import curatio.operators.pages  # noqa: F401
+    import curatio.operators.similarity  # noqa: F401
+    reg = cloudpickle.list_registry_pickle_by_value()
+    assert {"curatio.functions.html", "curatio.operators.pages",
+            "curatio.operators.similarity"} <= set(reg)

@@ -31,17 +31,34 @@ def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
     return df
 
 
-def spread(df: DataFrame, min_partitions: int | None = None, max_fill: float = 0.25) -> DataFrame:
-    """Round-robin a narrow, CPU-heavy input over the slots when it arrives
-    in so few partitions that it would use at most ``max_fill`` of them (a
-    small file with one row group). An input with a reasonable number of
-    splits is left alone - never a full shuffle of a large input for a
-    small gain in parallelism."""
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size estimate of ``df`` (None when unavailable)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001
+        return None
+
+
+def spread(df: DataFrame, min_partitions: int | None = None, max_fill: float = 0.25,
+           small_bytes: int = 1 << 30) -> DataFrame:
+    """Round-robin a narrow, CPU-heavy input over the slots when it would
+    otherwise leave most of them idle:
+
+    * a small input (estimated at most ``small_bytes``) with fewer
+      partitions than slots - e.g. a parquet file whose single row group
+      sits in one of several byte-range splits - is cheap to spread;
+    * a large input is spread only when its split count fills at most
+      ``max_fill`` of the slots; otherwise it is left alone (never a full
+      shuffle of a large input for a small gain in parallelism)."""
     if df.isStreaming:
         return df
     sc = df.sparkSession.sparkContext
     target = min_partitions or sc.defaultParallelism
-    if df.rdd.getNumPartitions() <= max_fill * target:
+    parts = df.rdd.getNumPartitions()
+    if parts >= target:
+        return df
+    size = estimated_bytes(df)
+    if (size is not None and size <= small_bytes) or parts <= max_fill * target:
         return df.repartition(target)
     return df
 

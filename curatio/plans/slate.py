@@ -49,7 +49,8 @@ def _qa_vectors(spark, d, qa: DataFrame | None = None, key: str = "conv_id") ->
     """QA rows with an embedding: vector ``key mod |embeddings|``.
     The count is a one-row aggregate, broadcast without a driver trip."""
     emb = table(spark, d, "embeddings")
-    n = F.broadcast(emb.agg(F.count(F.lit(1)).alias("_n")))
+    # a global aggregate has exactly one row: a proven size
+    n = checked_broadcast(emb.agg(F.count(F.lit(1)).alias("_n")), known_rows=1, what="count")
     qa = (qa if qa is not None else _qa(spark, d)).crossJoin(n) \
         .withColumn("_vk", F.pmod(key, "_n")).drop("_n")
     vec = emb.select(F.col("vec_id").alias("_vk"), "embedding")

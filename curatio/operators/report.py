@@ -31,7 +31,7 @@ def distribution(df: DataFrame, group_col: str, tie_col: str | None = None,
     out = counts.select(group_col, "count",
                         F.round(F.try_divide(F.col("count") * 100.0, total), precision)
                         .alias("percentage"),
-                        rank.alias("rank"))
+                        rank.cast("long").alias("rank"))
     return out.withColumn("is_top", F.col("rank") <= top_n)
 
 

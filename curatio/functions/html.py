@@ -166,13 +166,16 @@ class _PageParser:
             tag = name.lower()
             if m.group(1):
                 self.handle_endtag(tag)
+                if self.all_chain is None and len(self.done) == len(self.first):
+                    return  # every first match is complete: the rest cannot change it
                 continue
             raw = m.group(3) or ""
             attrs = []
-            for a in _ATTR.finditer(raw.rstrip("/")):
-                v = a.group(2) if a.group(2) is not None else (
-                    a.group(3) if a.group(3) is not None else a.group(4))
-                attrs.append((a.group(1).lower(), None if v is None else unescape(v)))
+            if raw.strip(" \t\n\r\f/"):
+                for a in _ATTR.finditer(raw.rstrip("/")):
+                    v = a.group(2) if a.group(2) is not None else (
+                        a.group(3) if a.group(3) is not None else a.group(4))
+                    attrs.append((a.group(1).lower(), None if v is None else unescape(v)))
             if raw.endswith("/"):
                 self.handle_startendtag(tag, attrs)
             else:

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curatio.functions.text import ustrip
-
 
 _TABLES: dict = {}
 
@@ -52,4 +50,4 @@ def qa_from_documents(docs: DataFrame) -> DataFrame:
         F.col("source").alias("url"))
 
 
-__all__ = ["table", "qa_from_conversations", "qa_from_documents", "ustrip"]
+__all__ = ["table", "qa_from_conversations", "qa_from_documents"]

@@ -46,15 +46,29 @@ def dedup_batch(batch: DataFrame, batch_id: int, target: str, key: str = "url",
     was not committed by an earlier batch."""
     spark = batch.sparkSession
     first = dedup_first_seen(batch, [key], list(order_cols))
-    try:
+    committed = [b for b in _batch_dirs(spark, target) if b != batch_id]
+    if committed:
         seen = spark.read.parquet(target).filter(F.col("batch_id") != batch_id).select(key)
         first = drop_seen(first, seen, [key])
-    except Exception as e:  # noqa: BLE001 - no committed batch yet
-        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-            raise
     first.write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch_id={batch_id}")
 
 
+def _batch_dirs(spark: SparkSession, target: str) -> list[int]:
+    """Ids of the ``batch_id=N`` folders under ``target`` (any Hadoop file
+    system: HDFS, object stores, local)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(target)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    out = []
+    for st in fs.listStatus(path):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("batch_id="):
+            out.append(int(name.split("=", 1)[1]))
+    return out
+
+
 def stream_dedup(lines: DataFrame, target: str, checkpoint: str, key: str = "url",
                  order_cols: Sequence[str] = ("part", "line"),
                  available_now: bool = True) -> StreamingQuery:

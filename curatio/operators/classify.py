@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from curatio import defaults as D
 from curatio.functions.text import clean_text, composite_text
 from curatio.functions.vectors import norm
-from curatio.operators.lexicon import Lexicon, _bcast_keywords
+from curatio.operators.lexicon import Lexicon, _bcast_categories, _bcast_keywords
 from curatio.operators.util import checked_broadcast, spread
 
 
@@ -89,11 +89,17 @@ def lexicon_row(lex: Lexicon) -> DataFrame:
     return lex.row
 
 
-def prototype_row(prototypes: DataFrame | None, spark) -> DataFrame:
+def prototype_row(prototypes: DataFrame | None, spark, lex: Lexicon | None = None) -> DataFrame:
     """Prototypes as ONE row, column ``_pmap``: dept -> (proto, norm), the
-    norm computed once per prototype (one small aggregate)."""
+    norm computed once per prototype (one small aggregate). With ``lex``
+    only the lexicon's categories are kept (a left semi join), so the row
+    is bounded by the size-checked category table; a category must have at
+    most one prototype (a duplicate key fails the map)."""
     if prototypes is None:
         return spark.range(1).select(F.lit(None).cast(PMAP_TYPE).alias("_pmap"))
+    if lex is not None:
+        _bcast_categories(lex)  # size check
+        prototypes = prototypes.join(lex.categories.select("dept"), "dept", "left_semi")
     p = prototypes.select("dept", F.struct(F.col("proto").cast("array<float>").alias("proto"),
                                            norm("proto").alias("proto_norm")).alias("v"))
     return p.agg(F.map_from_entries(F.collect_list(F.struct("dept", "v"))).alias("_pmap"))
@@ -175,7 +181,7 @@ def _scored(rows: DataFrame, text_col: str, lex: Lexicon, vec_col: str | None,
     used more than once). The per-row chain is written as SQL expressions:
     the same plan, parsed once in the JVM."""
     lexrow = checked_broadcast(lexicon_row(lex), known_rows=1, what="lexicon row")
-    prow = checked_broadcast(prototype_row(prototypes, rows.sparkSession), known_rows=1,
+    prow = checked_broadcast(prototype_row(prototypes, rows.sparkSession, lex), known_rows=1,
                              what="prototype row")
     vec = F.col(vec_col) if vec_col else F.lit(None).cast("array<float>")
     t = F.col(text_col)

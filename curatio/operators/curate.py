@@ -54,8 +54,13 @@ def dedup_first_seen(df: DataFrame, key_cols: Sequence[str], order_cols: Sequenc
 
     ``row_number() = 1`` is planned with a partial WindowGroupLimit before
     the exchange, so a hot key is cut to one row per map partition before
-    it is shuffled. Null keys are one group (as a seen-set treats None)."""
-    w = Window.partitionBy(*key_cols).orderBy(*order_cols)
+    it is shuffled. Null keys are one group (as a seen-set treats None).
+
+    A 64-bit hash of the key leads the partition spec: the groups are the
+    same (the hash is a function of the key), but the sorts compare the
+    hash first, so long keys with shared prefixes (near-copy texts) are
+    compared in full only on equal hashes."""
+    w = Window.partitionBy(F.xxhash64(*key_cols), *key_cols).orderBy(*order_cols)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 

@@ -51,8 +51,9 @@ def merge(spark: SparkSession, parts, out_dir: str) -> bool:
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
     """Raw QA rows from JSON lines (a folder) or the original JSON array
-    file; the schema gate raises when a row lacks question or answer."""
-    if os.path.isfile(path) and path.endswith(".json"):
+    file (a path ending in ``.json``; any file system); the schema gate
+    raises when a row lacks question or answer."""
+    if path.endswith(".json"):
         df = RD.read_json_array(spark, path)
     else:
         df = spark.read.schema(RD.QA_DDL).json(path)

@@ -260,6 +260,8 @@ def classify(qa: DataFrame, keys: Sequence[str], lex: Lexicon,
     ``best_score`` (plus ``scores``, the adjusted per-category array, when
     ``with_scores``). Narrow: the rows are never shuffled."""
     p = params or ClassifyParams()
+    out_cols = ("label", "best_score", "scores")
+    qa = qa.drop(*[c for c in out_cols if c in qa.columns])  # re-labelling replaces
     cols = qa.columns
     # CPU-heavy and narrow: a single-split input is spread over the cores
     rows = classification_text(spread(qa), question_col, answer_col, "_ctext", p.answer_prefix)

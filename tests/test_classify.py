@@ -67,3 +67,13 @@ def test_excluded_scores_halved(spark):
     got = {r.dept: (r.adj_score, r.excluded) for r in adj}
     assert got["b"] == (pytest.approx(0.4), True)
     assert got["a"] == (pytest.approx(0.9), False)
+
+
+def test_relabelling_replaces_outputs(spark):
+    from curatio.operators.classify import classify
+    from curatio.operators.lexicon import lexicon_from_dict
+    lex = lexicon_from_dict(spark, {"a": ["xx"], "z": []})
+    qa = spark.createDataFrame([(0, "xx q", "xx answer here", "old", 9.0)],
+                               "id long, question string, answer string, label string, best_score double")
+    out = classify(qa, ["id"], lex, params=ClassifyParams(fallback="z", exclusions=[]))
+    assert out.columns.count("label") == 1 and out.collect()[0].label == "a"

@@ -138,3 +138,23 @@ def test_cap_and_ids_independent_of_shuffle_partitions(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert results[0] == results[1] == results[2] and len(results[0]) == 150
+
+
+@pytest.mark.parametrize("bucket_chars", [1, 2])
+def test_cap_histogram_edges_random(spark, bucket_chars):
+    """Few, crowded buckets stress the crossing bucket: exact min(n, cap)
+    smallest md5(seed|key) per group for random sizes and caps."""
+    import hashlib
+    import random
+    rnd = random.Random(bucket_chars)
+    sizes = {f"g{i}": rnd.choice([0, 1, 7, 16, 17, 60, 200]) for i in range(8)}
+    rows = [(g, f"{g}:{j}") for g, n in sizes.items() for j in range(n)]
+    df = spark.createDataFrame(rows, "g string, k string")
+    for cap in (1, 5, 16, 17, 50):
+        got = {}
+        for r in K.cap_per_group(df, "g", "k", cap, seed=7, bucket_chars=bucket_chars).collect():
+            got.setdefault(r.g, set()).add(r.k)
+        for g, n in sizes.items():
+            keys = [f"{g}:{j}" for j in range(n)]
+            want = set(sorted(keys, key=lambda k: (hashlib.md5(f"7|{k}".encode()).hexdigest(), k))[:cap])
+            assert got.get(g, set()) == want, (g, n, cap)

@@ -190,15 +190,20 @@ def conversion_stats(df: DataFrame, group_col: str, valid_col: str,
     total row (``is_total``), in ONE pass over the rows: a rollup (group
     rows and the total from the same partial aggregates). The total's
     ``final`` is the sum of the per-group capped counts - a window over the
-    tiny rollup output (one row per group), never over rows."""
+    tiny rollup output (one row per group), never over rows. A one-row
+    anchor left-joined to that output keeps a zero total row for an empty
+    corpus."""
     r = df.rollup(group_col).agg(F.count(F.lit(1)).alias("original"),
                                  F.count_if(F.col(valid_col)).alias("filtered"),
                                  F.grouping_id().alias("_gid"))
+    anchor = df.sparkSession.range(1).select(F.lit(1).alias("_k"))
+    r = anchor.join(r.withColumn("_k", F.lit(1)), "_k", "left")
+    is_group = F.coalesce(F.col("_gid") == 0, F.lit(False))
     capped = F.least(F.col("filtered"), F.lit(cap)) if cap else F.col("filtered")
-    r = r.withColumn("_fg", F.when(F.col("_gid") == 0, capped))
+    r = r.withColumn("_fg", F.when(is_group, capped))
     total_final = F.sum("_fg").over(Window.partitionBy(F.lit(1)))
-    return r.select(group_col, (F.col("_gid") == 1).alias("is_total"),
-                    F.col("original").cast("long").alias("original"),
-                    F.col("filtered").cast("long").alias("filtered"),
-                    F.when(F.col("_gid") == 0, F.col("_fg"))
+    return r.select(group_col, (~is_group).alias("is_total"),
+                    F.coalesce(F.col("original"), F.lit(0)).cast("long").alias("original"),
+                    F.coalesce(F.col("filtered"), F.lit(0)).cast("long").alias("filtered"),
+                    F.when(is_group, F.col("_fg"))
                     .otherwise(F.coalesce(total_final, F.lit(0))).cast("long").alias("final"))

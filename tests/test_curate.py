@@ -158,3 +158,9 @@ def test_cap_histogram_edges_random(spark, bucket_chars):
             keys = [f"{g}:{j}" for j in range(n)]
             want = set(sorted(keys, key=lambda k: (hashlib.md5(f"7|{k}".encode()).hexdigest(), k))[:cap])
             assert got.get(g, set()) == want, (g, n, cap)
+
+
+def test_conversion_stats_empty_corpus(spark):
+    df = spark.createDataFrame([], "g string, ok boolean")
+    rows = K.conversion_stats(df, "g", "ok", cap=5).collect()
+    assert [(r.g, r.is_total, r.original, r.filtered, r.final) for r in rows] == [(None, True, 0, 0, 0)]

@@ -1,0 +1 @@
+"""Column functions: text cleaning, vectors, and the per-page HTML helper."""

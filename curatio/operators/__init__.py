@@ -1,0 +1 @@
+"""DataFrame -> DataFrame operators: pages, lexicon, similarity, classification, curation, report."""

@@ -1,0 +1 @@
+"""Sources (tables, readers) and sinks."""

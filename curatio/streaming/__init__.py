@@ -1,0 +1 @@
+"""Structured Streaming intake and cross-batch dedup."""

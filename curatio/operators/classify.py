@@ -62,7 +62,7 @@ def classification_text(qa: DataFrame, question_col: str = "question",
 
 
 KW_TYPE = "array<struct<kw_ord:int,kw:string,weight:double>>"
-LEX_TYPE = T.StructType([T.StructField("_lex", T.ArrayType(T.StructType([
+LEX_TYPE = T.StructType([T.StructField("__cl_lex", T.ArrayType(T.StructType([
     T.StructField("dept_ord", T.IntegerType()), T.StructField("dept", T.StringType()),
     T.StructField("kws", T.ArrayType(T.StructType([
         T.StructField("kw_ord", T.IntegerType()), T.StructField("kw", T.StringType()),
@@ -71,7 +71,7 @@ PMAP_TYPE = "map<string,struct<proto:array<float>,proto_norm:double>>"
 
 
 def lexicon_row(lex: Lexicon) -> DataFrame:
-    """The whole lexicon as ONE row, column ``_lex``: categories in order,
+    """The whole lexicon as ONE row, column ``__cl_lex``: categories in order,
     each with its keywords in order. The lexicon is a parameter table of
     checked size (at most MAX_BROADCAST_ROWS keywords), so it is read once
     on the driver and becomes a one-row literal table: no Spark stage. It is
@@ -90,19 +90,19 @@ def lexicon_row(lex: Lexicon) -> DataFrame:
 
 
 def prototype_row(prototypes: DataFrame | None, spark, lex: Lexicon | None = None) -> DataFrame:
-    """Prototypes as ONE row, column ``_pmap``: dept -> (proto, norm), the
+    """Prototypes as ONE row, column ``__cl_pmap``: dept -> (proto, norm), the
     norm computed once per prototype (one small aggregate). With ``lex``
     only the lexicon's categories are kept (a left semi join), so the row
     is bounded by the size-checked category table; a category must have at
     most one prototype (a duplicate key fails the map)."""
     if prototypes is None:
-        return spark.range(1).select(F.lit(None).cast(PMAP_TYPE).alias("_pmap"))
+        return spark.range(1).select(F.lit(None).cast(PMAP_TYPE).alias("__cl_pmap"))
     if lex is not None:
         _bcast_categories(lex)  # size check
         prototypes = prototypes.join(lex.categories.select("dept"), "dept", "left_semi")
     p = prototypes.select("dept", F.struct(F.col("proto").cast("array<float>").alias("proto"),
                                            norm("proto").alias("proto_norm")).alias("v"))
-    return p.agg(F.map_from_entries(F.collect_list(F.struct("dept", "v"))).alias("_pmap"))
+    return p.agg(F.map_from_entries(F.collect_list(F.struct("dept", "v"))).alias("__cl_pmap"))
 
 
 def _num(x: float) -> str:
@@ -121,31 +121,31 @@ def question_end(t: Column, question_mark: str = D.QUESTION_MARK) -> Column:
 
 def row_scores_sql(t: str, vec: str, p: ClassifyParams) -> str:
     """V1 + K2-K5 + V5 for one text, as one SQL expression over the columns
-    ``t`` (clean text), ``vec`` (embedding), ``_vn`` (its norm), ``_tlen``,
-    ``_qend``, ``_lex`` and ``_pmap``. Result: one struct per category
+    ``t`` (clean text), ``vec`` (embedding), ``__cl_vn`` (its norm), ``__cl_tlen``,
+    ``__cl_qend``, ``__cl_lex`` and ``__cl_pmap``. Result: one struct per category
     ``(dept, dept_ord, similarity, kw_score)``, keywords summed in lexicon
     order; the related-keyword boost is a repeated multiplication."""
     r, eps = int(p.context_radius), _num(D.COSINE_EPS)
     start = f"greatest(h.pos - {r}, 0)"
-    ctx = f"substr({t}, {start} + 1, least(_tlen, h.pos + length(h.kw) + {r}) - {start})"
-    base = (f"CAST((_tlen - length(replace({t}, h.kw, ''))) / length(h.kw) AS BIGINT) * h.w"
-            f" * (CASE WHEN h.pos < _qend THEN {_num(p.early_factor)} ELSE {_num(1.0)} END)")
+    ctx = f"substr({t}, {start} + 1, least(__cl_tlen, h.pos + length(h.kw) + {r}) - {start})"
+    base = (f"CAST((__cl_tlen - length(replace({t}, h.kw, ''))) / length(h.kw) AS BIGINT) * h.w"
+            f" * (CASE WHEN h.pos < __cl_qend THEN {_num(p.early_factor)} ELSE {_num(1.0)} END)")
     hit = (f"aggregate(filter(c.kws, q -> q.kw != h.kw AND contains({ctx}, q.kw)), {base},"
            f" (b, q) -> b * {_num(p.related_factor)})")
     hits = (f"transform(filter(c.kws, k -> contains({t}, k.kw)),"
             f" k -> named_struct('kw', k.kw, 'w', k.weight, 'pos', position(k.kw, {t}) - 1))")
     kw_score = f"aggregate({hits}, {_num(0.0)}, (acc, h) -> acc + {hit})"
-    pr = "try_element_at(_pmap, c.dept)"
+    pr = "try_element_at(__cl_pmap, c.dept)"
     dot = (f"aggregate(zip_with({vec}, {pr}.proto, (x, y) -> CAST(x AS DOUBLE) * CAST(y AS DOUBLE)),"
            f" {_num(0.0)}, (a, v) -> a + v)")
-    sim = (f"coalesce({dot} / (greatest(_vn, {eps}) * greatest({pr}.proto_norm, {eps})),"
+    sim = (f"coalesce({dot} / (greatest(__cl_vn, {eps}) * greatest({pr}.proto_norm, {eps})),"
            f" {_num(0.0)})")
-    return (f"transform(_lex, c -> named_struct('dept', c.dept, 'dept_ord', c.dept_ord,"
+    return (f"transform(__cl_lex, c -> named_struct('dept', c.dept, 'dept_ord', c.dept_ord,"
             f" 'similarity', {sim}, 'kw_score', {kw_score}))")
 
 
 def blend_sql(p: ClassifyParams) -> str:
-    return (f"transform(_s0, s -> named_struct('dept', s.dept, 'dept_ord', s.dept_ord,"
+    return (f"transform(__cl_s0, s -> named_struct('dept', s.dept, 'dept_ord', s.dept_ord,"
             f" 'similarity', s.similarity, 'kw_score', s.kw_score, 'score',"
             f" {_num(p.similarity_weight)} * s.similarity + {_num(p.keyword_weight)} * s.kw_score))")
 
@@ -158,15 +158,15 @@ def argmax_sql(arr: str, field: str, precision: int) -> str:
 
 
 def adjust_sql(p: ClassifyParams) -> str:
-    """V6: the winner ``_w`` halves the scores of the categories it excludes."""
+    """V6: the winner ``__cl_w`` halves the scores of the categories it excludes."""
     rules = sorted(set((str(a), str(b)) for a, b in p.exclusions))
     if rules:
         arr = "array(" + ", ".join(f"named_struct('w', {_str(a)}, 'e', {_str(b)})"
                                    for a, b in rules) + ")"
-        ex = f"array_contains({arr}, named_struct('w', _w, 'e', s.dept))"
+        ex = f"array_contains({arr}, named_struct('w', __cl_w, 'e', s.dept))"
     else:
         ex = "false"
-    return (f"transform(transform(_s, s -> named_struct('s', s, 'ex', {ex})),"
+    return (f"transform(transform(__cl_s, s -> named_struct('s', s, 'ex', {ex})),"
             f" z -> named_struct('dept', z.s.dept, 'dept_ord', z.s.dept_ord,"
             f" 'similarity', z.s.similarity, 'kw_score', z.s.kw_score, 'raw_score', z.s.score,"
             f" 'excluded', z.ex, 'score', CASE WHEN z.ex THEN z.s.score * {_num(p.exclusion_factor)}"
@@ -175,7 +175,7 @@ def adjust_sql(p: ClassifyParams) -> str:
 
 def _scored(rows: DataFrame, text_col: str, lex: Lexicon, vec_col: str | None,
             prototypes: DataFrame | None, p: ClassifyParams) -> DataFrame:
-    """Adds ``_adj`` (adjusted score array), ``label``, ``best_score``.
+    """Adds ``__cl_adj`` (adjusted score array), ``label``, ``best_score``.
     Each stage is its own projection column, so every per-row array is
     computed once (Catalyst does not inline an expensive column that is
     used more than once). The per-row chain is written as SQL expressions:
@@ -186,16 +186,17 @@ def _scored(rows: DataFrame, text_col: str, lex: Lexicon, vec_col: str | None,
     vec = F.col(vec_col) if vec_col else F.lit(None).cast("array<float>")
     t = F.col(text_col)
     j = (rows.crossJoin(lexrow).crossJoin(prow)
-         .withColumns({"_v": vec, "_tlen": F.length(t), "_qend": question_end(t, p.question_mark)})
-         .withColumn("_vn", norm("_v")))
-    j = j.withColumn("_s0", F.expr(row_scores_sql(f"`{text_col}`", "_v", p)))
-    j = j.withColumn("_s", F.expr(blend_sql(p)))
-    j = j.withColumn("_w", F.expr(argmax_sql("_s", "score", p.precision) + ".dept"))
-    j = j.withColumn("_adj", F.expr(adjust_sql(p)))
-    j = j.withColumn("_best", F.expr(argmax_sql("_adj", "score", p.precision)))
-    j = j.withColumns({"label": F.when(F.col("_best.r") > 0, F.col("_best.dept"))
-                       .otherwise(F.lit(p.fallback)), "best_score": F.col("_best.r")})
-    return j.drop("_s0", "_s", "_lex", "_pmap", "_v", "_vn", "_tlen", "_qend", "_w", "_best")
+         .withColumns({"__cl_v": vec, "__cl_tlen": F.length(t), "__cl_qend": question_end(t, p.question_mark)})
+         .withColumn("__cl_vn", norm("__cl_v")))
+    j = j.withColumn("__cl_s0", F.expr(row_scores_sql(f"`{text_col}`", "__cl_v", p)))
+    j = j.withColumn("__cl_s", F.expr(blend_sql(p)))
+    j = j.withColumn("__cl_w", F.expr(argmax_sql("__cl_s", "score", p.precision) + ".dept"))
+    j = j.withColumn("__cl_adj", F.expr(adjust_sql(p)))
+    j = j.withColumn("__cl_best", F.expr(argmax_sql("__cl_adj", "score", p.precision)))
+    j = j.withColumns({"label": F.when(F.col("__cl_best.r") > 0, F.col("__cl_best.dept"))
+                       .otherwise(F.lit(p.fallback)), "best_score": F.col("__cl_best.r")})
+    return j.drop("__cl_s0", "__cl_s", "__cl_lex", "__cl_pmap", "__cl_v", "__cl_vn",
+                  "__cl_tlen", "__cl_qend", "__cl_w", "__cl_best")
 
 
 def category_scores(texts: DataFrame, keys: Sequence[str], text_col: str, lex: Lexicon,
@@ -208,9 +209,9 @@ def category_scores(texts: DataFrame, keys: Sequence[str], text_col: str, lex: L
     s = _scored(spread(texts.select(*keys, text_col, *([vec_col] if vec_col else []))),
                 text_col, lex, vec_col, prototypes, p)
     # inline_outer: a non-outer explode makes the optimizer infer a
-    # size(_adj) > 0 filter and push it below, recomputing the whole score
+    # size(__cl_adj) > 0 filter and push it below, recomputing the whole score
     # chain inside the join condition; the arrays are never empty anyway
-    return s.select(*keys, F.inline_outer("_adj"))
+    return s.select(*keys, F.inline_outer("__cl_adj"))
 
 
 def _rule_table(spark, rules: Sequence[tuple[str, str]]) -> DataFrame:
@@ -264,7 +265,7 @@ def classify(qa: DataFrame, keys: Sequence[str], lex: Lexicon,
     qa = qa.drop(*[c for c in out_cols if c in qa.columns])  # re-labelling replaces
     cols = qa.columns
     # CPU-heavy and narrow: a single-split input is spread over the cores
-    rows = classification_text(spread(qa), question_col, answer_col, "_ctext", p.answer_prefix)
-    out = _scored(rows, "_ctext", lex, vec_col, prototypes, p)
-    extra = [F.col("_adj").alias("scores")] if with_scores else []
+    rows = classification_text(spread(qa), question_col, answer_col, "__cl_ctext", p.answer_prefix)
+    out = _scored(rows, "__cl_ctext", lex, vec_col, prototypes, p)
+    extra = [F.col("__cl_adj").alias("scores")] if with_scores else []
     return out.select(*cols, "label", "best_score", *extra)

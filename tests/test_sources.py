@@ -96,3 +96,21 @@ def test_sinks_round_trip(spark, tmpdir_path):
     assert SK.write_links(empty, os.path.join(tmpdir_path, "links")) is False
     assert not os.path.exists(os.path.join(tmpdir_path, "links"))
     assert SK.output_name("classified_qa_20240101_000000.json") == "20240101_000000"
+
+
+def test_first_seen_order_across_splits_of_one_file(spark, tmpdir_path):
+    """A large part file read in many splits: the first line per URL in
+    (file, line) order still wins."""
+    p = os.path.join(tmpdir_path, "part_big.jsonl")
+    with open(p, "w") as f:
+        for i in range(400):
+            f.write(json.dumps({"question": f"q{i}", "answer": f"a{i}", "url": f"u{i % 37}"}) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")
+        parts = RD.read_json_parts(spark, [p])
+        assert parts.rdd.getNumPartitions() > 5
+        got = {r.url: r.question for r in RD.merge_parts(parts).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == {f"u{j}": f"q{j}" for j in range(37)}

@@ -61,3 +61,22 @@ def test_merge_parts_job(spark, tmpdir_path):
     assert jobs.merge(spark, [p], os.path.join(tmpdir_path, "merged"))
     got = [r.answer for r in spark.read.json(os.path.join(tmpdir_path, "merged")).collect()]
     assert got == ["a"]
+
+
+def test_command_line(spark, tmpdir_path):
+    from curatio.__main__ import main
+    pages = spark.createDataFrame(
+        [(0, "https://site.example/q/0", PAGE.format(q="头痛怎么办", a="多喝水多休息，必要时去医院检查。", i=0))],
+        "page_id long, url string, html string")
+    pages.write.parquet(os.path.join(tmpdir_path, "pages"))
+    lex = os.path.join(tmpdir_path, "lex.json")
+    with open(lex, "w", encoding="utf-8") as f:
+        json.dump({"内科": ["头痛"], "其他科": []}, f, ensure_ascii=False)
+    assert main(["extract", "--pages", os.path.join(tmpdir_path, "pages"), "--out", os.path.join(tmpdir_path, "raw")]) == 0
+    assert main(["classify", "--raw", os.path.join(tmpdir_path, "raw"), "--lexicon", lex,
+                 "--out", os.path.join(tmpdir_path, "p")]) == 0
+    assert main(["convert", "--classified", os.path.join(tmpdir_path, "p", "classified"),
+                 "--out", os.path.join(tmpdir_path, "p")]) == 0
+    recs = spark.read.json(os.path.join(tmpdir_path, "p", "conversations")).collect()
+    assert [r.id for r in recs] == ["内科_0"]
+    assert main(["report", "--classified", os.path.join(tmpdir_path, "p", "classified")]) == 0

@@ -196,6 +196,8 @@ e AS (SELECT page_id, url, unnest(hrefs) AS href, unnest(range(0, len(hrefs))) A
 l AS (SELECT page_id, CAST(pos AS INTEGER) AS pos, href,
         regexp_extract(url, '^([a-zA-Z]+://[^/?#]+)', 1) || href AS link FROM e)
 SELECT * FROM l WHERE contains(link, {_q(S.PAGE_LINK_SUBSTRING)})"""
+    q["page_anchors"] = q["page_links"].replace(
+        f"SELECT * FROM l WHERE contains(link, {_q(S.PAGE_LINK_SUBSTRING)})", "SELECT * FROM l")
     def node_text(pattern: str) -> str:
         inner = f"regexp_extract(html, {_q(pattern)}, 1)"
         stripped = f"trim(regexp_replace({inner}, '\\s*<[^>]+>\\s*', '', 'g'))"

@@ -83,6 +83,12 @@ def q_page_links(spark: SparkSession, d: str) -> DataFrame:
     return P.page_links(table(spark, d, "pages"), S.PAGE_LINK_SELECTOR, S.PAGE_LINK_SUBSTRING)
 
 
+def q_page_anchors(spark: SparkSession, d: str) -> DataFrame:
+    """Every anchor of the selector, document order and duplicates kept (no
+    substring filter)."""
+    return P.page_links(table(spark, d, "pages"), S.PAGE_LINK_SELECTOR, None)
+
+
 def q_page_qa(spark: SparkSession, d: str) -> DataFrame:
     return P.page_qa(table(spark, d, "pages"), S.PAGE_QUESTION_SELECTOR, S.PAGE_ANSWER_SELECTOR)
 
@@ -263,6 +269,7 @@ def q_group_rows(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "page_links": q_page_links,
+    "page_anchors": q_page_anchors,
     "page_qa": q_page_qa,
     "latest_capture": q_latest_capture,
     "bad_rows_split": q_bad_rows_split,

@@ -47,6 +47,7 @@ def main(argv=None) -> int:
     s = sub.add_parser("merge")
     s.add_argument("--parts", required=True)
     s.add_argument("--out", required=True)
+    s.add_argument("--previous", default=None, help="raw rows of earlier runs (URLs to skip)")
     s = sub.add_parser("classify")
     s.add_argument("--raw", required=True)
     s.add_argument("--lexicon", required=True)
@@ -68,7 +69,7 @@ def main(argv=None) -> int:
     elif a.cmd == "extract":
         jobs.extract(spark.read.parquet(a.pages), a.out, a.question_selector, a.answer_selector)
     elif a.cmd == "merge":
-        jobs.merge(spark, a.parts, a.out)
+        jobs.merge(spark, a.parts, a.out, a.previous)
     elif a.cmd == "classify":
         jobs.classify_corpus(spark, jobs.read_raw(spark, a.raw), read_lexicon(spark, a.lexicon), a.out)
     elif a.cmd == "convert":

@@ -43,9 +43,13 @@ def extract(pages: DataFrame, out_dir: str, question_selector: str = D.QUESTION_
     return SK.write_parts(qa, os.path.join(out_dir, f"run_ts={SK.run_stamp()}"))
 
 
-def merge(spark: SparkSession, parts, out_dir: str) -> bool:
-    """Union JSON-lines part files, skip bad lines, first row per URL."""
+def merge(spark: SparkSession, parts, out_dir: str, previous: str | None = None) -> bool:
+    """Union JSON-lines part files, skip bad lines, first row per URL; with
+    ``previous`` (raw rows of earlier runs) URLs already seen are skipped
+    (J6, a null-safe left anti join)."""
     merged = RD.merge_parts(RD.read_json_parts(spark, parts))
+    if previous:
+        merged = K.drop_seen(merged, spark.read.schema(RD.QA_DDL).json(previous), ["url"])
     return SK.write_parts(merged, os.path.join(out_dir, f"run_ts={SK.run_stamp()}"))
 
 

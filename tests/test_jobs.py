@@ -80,3 +80,18 @@ def test_command_line(spark, tmpdir_path):
     recs = spark.read.json(os.path.join(tmpdir_path, "p", "conversations")).collect()
     assert [r.id for r in recs] == ["内科_0"]
     assert main(["report", "--classified", os.path.join(tmpdir_path, "p", "classified")]) == 0
+
+
+def test_merge_skips_urls_of_earlier_runs(spark, tmpdir_path):
+    first = os.path.join(tmpdir_path, "part_a.jsonl")
+    with open(first, "w") as f:
+        f.write(json.dumps({"question": "q", "answer": "a", "url": "u1"}) + "\n")
+    assert jobs.merge(spark, [first], os.path.join(tmpdir_path, "run1"))
+    second = os.path.join(tmpdir_path, "part_b.jsonl")
+    with open(second, "w") as f:
+        f.write(json.dumps({"question": "q2", "answer": "again", "url": "u1"}) + "\n")
+        f.write(json.dumps({"question": "q3", "answer": "new", "url": "u9"}) + "\n")
+    assert jobs.merge(spark, [second], os.path.join(tmpdir_path, "run2"),
+                      previous=os.path.join(tmpdir_path, "run1"))
+    got = [r.url for r in spark.read.json(os.path.join(tmpdir_path, "run2")).collect()]
+    assert got == ["u9"]

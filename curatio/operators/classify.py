@@ -1,20 +1,22 @@
 """Blend, exclusion rules and labelling.
 
 Scoring a text needs only that text and the (small) lexicon, so the whole
-classification is one narrow projection per row - no exchange at all:
+classification is one narrow projection per row - no exchange at all
+(beyond spreading a small single-split input over the slots):
 
     QA rows -> composite text -> clean                      (codegen)
-      x lexicon row (broadcast, exactly one row)            (narrow)
+      x lexicon row, x prototype row (broadcast, one row)   (narrow)
       per category: hits, related boost, similarity, blend  (higher-order fns)
-      winner, exclusions, arg-max, fallback                 (same projection)
+      winner, exclusions, arg-max, fallback                 (same stage)
 
 The lexicon row is ``array<struct<dept_ord, dept, kws: array<struct<kw_ord,
 kw, weight>>>>`` in category order (a literal from the size-checked
-parameter table) and the prototype row a ``map<dept, (proto, norm)>``, so sums run in
-lexicon order as in the original, and the related-keyword boost is applied
-as repeated multiplication. A hot category or key cannot skew anything: no
-row ever moves. Scores are rounded to ``precision`` decimals before
-ranking so that labels do not depend on float evaluation order.
+parameter table), so sums run in lexicon order as in the original and the
+related-keyword boost is a repeated multiplication; the prototype row is a
+``map<dept, (proto, norm)>`` bounded by the categories. A hot category or
+key cannot skew anything: no row moves. Scores are rounded to
+``precision`` decimals before ranking so that labels do not depend on float
+evaluation order.
 
 :func:`apply_exclusions` and :func:`pick_labels` do the same on a long
 ``(keys, dept, score)`` table (one window and one aggregate, both keyed by

@@ -77,10 +77,19 @@ def page_qa(pages: DataFrame, question_selector: str = D.QUESTION_SELECTOR,
 
 # ---------------------------------------------------------------- captures
 
-def decode_body(body_col: str = "body", charset: str = D.PAGE_CHARSET):
-    """Bytes -> text with the page charset, invalid bytes -> U+FFFD
-    (Python codec semantics; Spark's ``decode`` rejects GB18030 without
-    legacy flags and raises on malformed input)."""
+def decode_body(body_col: str = "body", charset: str = D.PAGE_CHARSET, spark=None):
+    """Bytes -> text with the page charset, invalid bytes -> U+FFFD.
+
+    JVM path (built-in ``decode``) when the session allows any Java charset
+    with replacement of malformed input (``spark.sql.legacy.javaCharsets``
+    and ``spark.sql.legacy.codingErrorAction`` both true); otherwise an Arrow
+    pandas UDF with Python's codec (Spark's ``decode`` rejects GB18030 and
+    raises on malformed bytes by default)."""
+    if spark is not None:
+        flags = [spark.conf.get(k, "false").lower() == "true"
+                 for k in ("spark.sql.legacy.javaCharsets", "spark.sql.legacy.codingErrorAction")]
+        if all(flags):
+            return F.decode(F.col(body_col), charset)
 
     @F.pandas_udf(T.StringType())
     def _decode(s: pd.Series) -> pd.Series:

@@ -75,3 +75,25 @@ def test_batch_functions_ship_by_value():
     reg = cloudpickle.list_registry_pickle_by_value()
     assert {"curatio.functions.html", "curatio.operators.pages",
             "curatio.operators.similarity"} <= set(reg)
+
+
+def test_decode_gb18030_jvm_path(spark):
+    """With the legacy charset flags on, the built-in JVM decode is used and
+    agrees with Python's codec on good and malformed bytes."""
+    samples = ["头痛abc".encode("gb18030"), bytes.fromhex("CDB7FFFF61626381"), "€ 中文".encode("gb18030")]
+    df = spark.createDataFrame([(b,) for b in samples], "body binary")
+    keys = ("spark.sql.legacy.javaCharsets", "spark.sql.legacy.codingErrorAction")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "true")
+        col = decode_body("body", spark=spark)
+        assert "pandas" not in str(col).lower()
+        got = [r[0] for r in df.select(col).collect()]
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert got == [b.decode("gb18030", errors="replace") for b in samples]

@@ -164,3 +164,23 @@ def test_conversion_stats_empty_corpus(spark):
     df = spark.createDataFrame([], "g string, ok boolean")
     rows = K.conversion_stats(df, "g", "ok", cap=5).collect()
     assert [(r.g, r.is_total, r.original, r.filtered, r.final) for r in rows] == [(None, True, 0, 0, 0)]
+
+
+def test_quality_random_unicode_padding(spark):
+    import random
+    import sys
+    ws = [c for c in map(chr, range(sys.maxunicode + 1)) if c.isspace()]
+    rnd = random.Random(9)
+    terms = ["咨询电话", "热线", "QQ群", "微信号"]
+    rows = []
+    for _ in range(400):
+        pad = lambda: "".join(rnd.choice(ws) for _ in range(rnd.randint(0, 3)))
+        q = pad() + "".join(rnd.choice("ab问 ") for _ in range(rnd.randint(0, 3))) + pad()
+        body = "".join(rnd.choice("xyz医生 ") for _ in range(rnd.randint(5, 14)))
+        if rnd.random() < 0.2:
+            body += rnd.choice(terms + ["qq群"])
+        rows.append((q, pad() + body + pad()))
+    df = spark.createDataFrame(rows, "q string, a string")
+    got = [r[0] for r in df.select(K.quality_mask("q", "a")).collect()]
+    want = [len(q.strip()) >= 1 and len(a.strip()) >= 10 and not any(t in a for t in terms) for q, a in rows]
+    assert got == want

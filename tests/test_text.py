@@ -102,3 +102,18 @@ def test_clean_random_unicode(spark):
             chars.insert(rnd.randint(0, len(chars)), rnd.choice(["http://x.y/Z", "https://a.b?c=1&d", "<i>"]))
         texts.append("".join(chars))
     assert _run(spark, texts, clean_text) == [py_clean(s) for s in texts]
+
+
+def test_clean_supplementary_planes(spark):
+    """Code points beyond the BMP (UTF-16 surrogate pairs on the JVM): emoji
+    (not word), CJK extension B (letters), math alphanumerics (letters) and
+    math digits (decimal digits, removed by the digit step)."""
+    rnd = random.Random(13)
+    ranges = [(0x1F600, 0x1F64F), (0x20000, 0x2007F), (0x1D400, 0x1D47F), (0x1D7CE, 0x1D7FF),
+              (0x10400, 0x1044F), (0x20, 0x7E), (0x3000, 0x3000)]
+    texts = []
+    for _ in range(300):
+        texts.append("".join(chr(rnd.randint(*rnd.choice(ranges))) for _ in range(rnd.randint(0, 30))))
+    assert _run(spark, texts, clean_text) == [py_clean(s) for s in texts]
+    comp = _run(spark, ["\U0001F600" * 250], lambda c: composite_text(c, c))
+    assert comp == ["\U0001F600" * 250 + " " + "\U0001F600" * 250 + " " + "\U0001F600" * 200]

@@ -26,14 +26,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curatio.llm.scratch import Scratch
 
-#: Letters whose counts bound the distance from below.
-LETTERS = "etaniorsdl"
-_BITS = 6
+#: Letters whose counts bound the distance from below, in two halves.
+LETTERS = ("abcdefghijklm", "nopqrstuvwxyz")
+_BITS = 4
 #: Verified pairs are looked up by a broadcast of their keys up to this many.
 BROADCAST_KEYS = 200_000
 
@@ -56,29 +56,32 @@ def _keyed(lines: DataFrame, rules: LineRules) -> DataFrame:
 
 
 def classes_of(lines: DataFrame, rules: LineRules) -> DataFrame:
-    """One row per distinct line: its key, length, letter counts and text."""
+    """One row per distinct line: its key, first place, number of places, text."""
     return (_keyed(lines, rules).groupBy("h")
-            .agg(F.first("line").alias("line"))
-            .select("h", "line", F.length("line").alias("len"), _letters().alias("bag")))
+            .agg(F.min(F.struct("id", "line_no")).alias("first"), F.count(F.lit(1)).alias("n"),
+                 F.first("line").alias("line")))
 
 
-def _letters(line: str = "line") -> Column:
-    """Counts of ten letters, six bits each."""
+def _letters(half: int) -> Column:
+    """Counts of thirteen letters, four bits each."""
     total = F.lit(0).cast("long")
-    for k, c in enumerate(LETTERS):
-        n = F.length(line) - F.length(F.replace(F.col(line), F.lit(c), F.lit("")))
+    for k, c in enumerate(LETTERS[half]):
+        n = F.length("line") - F.length(F.replace(F.col("line"), F.lit(c), F.lit("")))
         total = total + F.shiftleft(F.pmod(n, F.lit(1 << _BITS)).cast("long"), k * _BITS)
     return total
 
 
-def _letters_apart(a: Column, b: Column, most: int) -> Column:
-    """Could the counts stem from lines within so many edits? One edit changes
-    one count by one, or two counts by one each."""
-    size, total, each = 1 << _BITS, F.lit(0), []
-    for k in range(len(LETTERS)):
-        d = F.pmod(F.shiftright(a, k * _BITS).bitwiseAND(size - 1)
-                   - F.shiftright(b, k * _BITS).bitwiseAND(size - 1) + F.lit(size // 2), F.lit(size)) - size // 2
-        total = total + F.abs(d)
+def _letters_near(most: int) -> Column:
+    """Could the counts of ``bags_a`` and ``bags_b`` stem from lines within so
+    many edits? One edit changes one count by one, or two counts by one each;
+    counts are known modulo 16, which can only make them look nearer."""
+    size, total = 1 << _BITS, F.lit(0)
+    for half in range(2):
+        a, b = F.col("bags_a")[half], F.col("bags_b")[half]
+        for k in range(len(LETTERS[half])):
+            d = F.pmod(F.shiftright(a, k * _BITS).bitwiseAND(size - 1)
+                       - F.shiftright(b, k * _BITS).bitwiseAND(size - 1) + F.lit(size // 2), F.lit(size)) - size // 2
+            total = total + F.abs(d)
     return total <= 2 * most
 
 
@@ -91,34 +94,42 @@ def _places(tau: int) -> list[tuple[int, int, int]]:
 
 
 def segment_rows(classes: DataFrame, rules: LineRules) -> DataFrame:
-    """(h, bag, key, own): a row for each place of each line; ``own`` marks the
+    """(h, key, own): a row for each place of each line; ``own`` marks the
     line's own segments, which are the index."""
     tau, parts = rules.threshold, rules.threshold + 1
     places = F.array(*[F.struct(F.lit(a).alias("less"), F.lit(i).alias("i"), F.lit(s).alias("shift"))
                        for a, i, s in _places(tau)])
-    rows = classes.select("h", "bag", "len", "line", F.explode(places).alias("p"))
+    rows = classes.select("h", F.length("line").alias("len"), "line", F.explode(places).alias("p"))
     # a line of n characters has tau + 1 segments; the last ones are one
     # longer where n is no multiple
-    rows = rows.select("h", "bag", "len", "line", "p", (F.col("len") - F.col("p.less")).alias("n"))
+    rows = rows.select("h", "len", "line", "p", (F.col("len") - F.col("p.less")).alias("n"))
     base = F.expr(f"n div {parts}").cast("int")
     first_long = parts - F.pmod("n", F.lit(parts))
     i = F.col("p.i")
-    rows = rows.select("h", "bag", "len", "line", "p", "n",
+    rows = rows.select("h", "len", "line", "p", "n",
                        (i * base + F.greatest(F.lit(0), i - first_long) + F.col("p.shift")).alias("at"),
                        (base + (i >= first_long).cast("int")).alias("size"))
     rows = rows.filter((F.col("n") >= rules.min_chars) & (F.col("at") >= 0) & (F.col("at") + F.col("size") <= F.col("len")))
-    return rows.select("h", "bag", F.xxhash64("n", i, F.substring(F.col("line"), F.col("at") + 1, F.col("size"))).alias("key"),
+    return rows.select("h", F.xxhash64("n", i, F.substring(F.col("line"), F.col("at") + 1, F.col("size"))).alias("key"),
                        ((F.col("p.less") == 0) & (F.col("p.shift") == 0)).alias("own"))
 
 
-def candidates(classes: DataFrame, rules: LineRules) -> DataFrame:
+def met_rows(classes: DataFrame, rules: LineRules) -> DataFrame:
+    """The segment rows whose key lines of different classes have: index and
+    probes meet in one shuffle of narrow rows."""
+    key = Window.partitionBy("key")
+    return (segment_rows(classes, rules)
+            .withColumn("lo", F.min("h").over(key)).withColumn("hi", F.max("h").over(key))
+            .filter("lo <> hi").select("key", "h", "own"))
+
+
+def candidates(met: DataFrame, bags: DataFrame, rules: LineRules) -> DataFrame:
     """Pairs (a, b) of class keys that share a segment at a fitting place and
-    whose letter counts leave the distance open."""
-    rows = segment_rows(classes, rules)
-    prb = rows.select(F.col("h").alias("a"), F.col("bag").alias("bag_a"), "key")
-    idx = rows.filter("own").select(F.col("h").alias("b"), F.col("bag").alias("bag_b"), "key")
-    return (prb.join(idx, "key")
-            .filter((F.col("a") != F.col("b")) & _letters_apart(F.col("bag_a"), F.col("bag_b"), rules.threshold))
+    whose letter counts leave the distance open. ``bags``: (h, bags)."""
+    rows = met.join(bags, "h")
+    prb = rows.select("key", F.col("h").alias("a"), F.col("bags").alias("bags_a"))
+    idx = rows.filter("own").select("key", F.col("h").alias("b"), F.col("bags").alias("bags_b"))
+    return (prb.join(idx, "key").filter((F.col("a") != F.col("b")) & _letters_near(rules.threshold))
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
@@ -162,26 +173,25 @@ def removals(docs: DataFrame, rules: LineRules, scratch: Scratch, id_col: str =
              text_col: str = "text") -> DataFrame:
     """(h, first, near): classes that lose occurrences; ``near`` when an
     earlier class lies within the threshold, so that all occurrences go."""
-    lines = lines_of(docs, id_col, text_col)
-    classes = classes_of(lines, rules)
-    pairs = scratch.put(candidates(classes, rules), "pairs")
-    keys = scratch.put(pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct(), "keys")
+    classes = scratch.put(classes_of(lines_of(docs, id_col, text_col), rules), "classes")
+    met = scratch.put(met_rows(classes, rules), "met")
+    keys = met.select("h").distinct()
     few = keys.count() <= BROADCAST_KEYS
-    own = _keyed(lines, rules).join(F.broadcast(keys) if few else keys, "h", "left_semi" if not few else "inner")
-    texts = scratch.put(own.groupBy("h").agg(F.min(F.struct("id", "line_no")).alias("first"),
-                                             F.first("line").alias("line"))
-                        .select("h", "first", F.split("line", "").alias("chars")), "texts")
-    side = lambda k: texts.select(F.col("h").alias(k), F.col("first").alias(f"first_{k}"),
+    lines = classes.join(F.broadcast(keys) if few else keys, "h")
+    lines = scratch.put(lines.select("h", "first", F.array(_letters(0), _letters(1)).alias("bags"),
+                                     F.split("line", "").alias("chars")), "lines")
+    pairs = candidates(met, lines.select("h", "bags"), rules)
+    side = lambda k: lines.select(F.col("h").alias(k), F.col("first").alias(f"first_{k}"),
                                   F.col("chars").alias(f"chars_{k}"))
     near = (pairs.join(side("a"), "a").join(side("b"), "b")
             .filter(within(F.col("chars_a"), F.col("chars_b"), rules.threshold))
             .select(F.when(F.col("first_a") < F.col("first_b"), F.col("b")).otherwise(F.col("a")).alias("h"))
             .distinct().withColumn("near", F.lit(True)))
-    exact = (_keyed(lines, rules).groupBy("h")
-             .agg(F.min(F.struct("id", "line_no")).alias("first"), F.count(F.lit(1)).alias("n")))
-    out = (exact.join(near, "h", "left").withColumn("near", F.coalesce("near", F.lit(False)))
-           .filter(F.col("near") | (F.col("n") > 1)))
-    return scratch.put(out.select("h", "first", "near"), "removals")
+    out = (classes.select("h", "first", "n").join(near, "h", "left")
+           .withColumn("near", F.coalesce("near", F.lit(False))).filter(F.col("near") | (F.col("n") > 1)))
+    out = scratch.put(out.select("h", "first", "near"), "removals")
+    scratch.drop("classes", "met", "lines")
+    return out
 
 
 def removed_lines(docs: DataFrame, rules: LineRules, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -193,8 +203,8 @@ def removed_lines(docs: DataFrame, rules: LineRules, id_col: str = "doc_id", tex
             .filter(F.col("near") | ~F.struct("id", "line_no").eqNullSafe(F.col("first"))))
     out = gone.groupBy("id").agg(F.collect_set(F.struct("line_no", "near")).alias("gone"))
     out = scratch.put(out, "gone")
-    scratch.drop("pairs", "keys", "texts", "removals")
-    return out
+    scratch.drop("removals")
+    return out.hint("merge")      # grows with the corpus: never broadcast
 
 
 def _without(text: Column, gone: Column) -> Column:

@@ -19,6 +19,8 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "cc") -> DataFram
     labels = scratch.put(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near"))
                          .select("node", F.least("node", "near").alias("root")), f"{name}-0")
     k = 0
+    if labels.isEmpty():
+        return labels
     while True:
         near = (both.join(labels.select(F.col("node").alias("b"), F.col("root").alias("near")), "b")
                 .groupBy(F.col("a").alias("node")).agg(F.min("near").alias("near")))

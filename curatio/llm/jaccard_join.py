@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from curatio.llm import textnum as tn
 from curatio.llm.components import components
-from curatio.llm.scratch import Scratch
+from curatio.llm.scratch import Scratch, cleaned_shuffles
 from curatio.operators.util import ship_by_value
 
 
@@ -45,7 +45,7 @@ from curatio.operators.util import ship_by_value
 class JoinRules:
     words: int = 5
     percent: int = 80
-    frequent: int = 65_536        # most frequent shingles that the order puts last (512 KB broadcast)
+    frequent: int = 262_144       # most frequent shingles that the order puts last (2 MB broadcast)
     block: int = 512              # members of a block of a tile
     max_bits: int = 65_536
 
@@ -95,7 +95,7 @@ def _set_keys(h: np.ndarray, begin: np.ndarray) -> np.ndarray:
 def _bitmap(h: np.ndarray, max_bits: int) -> bytes:
     """Each shingle flips one of about len(h) bits (a power of two)."""
     bits = 128
-    while bits < len(h) and bits < max_bits:
+    while bits < 0.6 * len(h) and bits < max_bits:
         bits *= 2
     odd = np.bincount((h % U(bits)).astype(I), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
@@ -119,8 +119,20 @@ def frequent_shingles(docs: DataFrame, rules: JoinRules) -> np.ndarray:
                 yield pa.RecordBatch.from_arrays([pa.array(value[often].view(I)), pa.array(n[often].astype(I))],
                                                  ["shingle", "n"])
 
-    top = (docs.mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-           .orderBy(F.desc("n"), "shingle").limit(rules.frequent).select("shingle").toPandas())
+    with cleaned_shuffles(docs.sparkSession):
+        often = Scratch(docs.sparkSession, "jaccard").put(
+            docs.mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+            .withColumn("level", F.floor(8 * F.log2("n")).cast("int")), "frequent")
+    # the levels of frequency that fit into the list
+    levels, room, cut = often.groupBy("level").count().collect(), rules.frequent, None
+    for level, n in sorted(levels, reverse=True):
+        room -= n
+        if room < 0:
+            break
+        cut = level
+    if cut is None:
+        return np.zeros(0, U)
+    top = often.filter(F.col("level") >= cut).select("shingle").toPandas()
     return np.sort(top["shingle"].to_numpy(np.int64).view(U))
 
 
@@ -280,20 +292,22 @@ def _tile_pairs(tiles: DataFrame, rules: JoinRules) -> DataFrame:
 
 
 def _tiles(members: DataFrame, rules: JoinRules) -> DataFrame:
-    """Members (tok, h, n, root, bits) dealt to tiles: shingle, pair of
-    neighbouring size bands, pair of blocks. ``side`` is 0 where a block
-    meets itself, else -1 and 1."""
+    """Members (tok, h, n, root) dealt to tiles: a shingle, if it has few
+    members; else a shingle, a pair of neighbouring size bands, a pair of
+    blocks. ``side`` is 0 where a block meets itself, else -1 and 1."""
     step = 100 / rules.percent
     m = members.withColumn("band", F.floor(F.log(F.col("n")) / F.log(F.lit(step)) + 1e-9))
-    blocks = (m.groupBy("tok", "band").agg(F.count(F.lit(1)).alias("k"))
-              .withColumn("blocks", F.ceil(F.col("k") / rules.block)))
-    near = blocks.select("tok", (F.col("band") - 1).alias("band"), F.col("blocks").alias("above")) \
-        .join(blocks.select("tok", "band"), ["tok", "band"], "left_semi")
-    below = blocks.select("tok", (F.col("band") + 1).alias("band"), F.col("blocks").alias("below")) \
-        .join(blocks.select("tok", "band"), ["tok", "band"], "left_semi")
-    m = (m.join(blocks.select("tok", "band", "blocks"), ["tok", "band"])
-         .join(near, ["tok", "band"], "left").join(below, ["tok", "band"], "left")
-         .withColumn("block", F.pmod("h", F.col("blocks"))))
+    sizes = m.groupBy("tok", "band").agg(F.count(F.lit(1)).alias("k"))
+    large = (sizes.groupBy("tok").agg(F.sum("k").alias("all"), F.map_from_entries(F.collect_list(
+        F.struct("band", F.ceil(F.col("k") / rules.block).alias("b")))).alias("bands"))   # a few dozen bands at most
+             .filter(F.col("all") > rules.block).select("tok", "bands"))
+    m = m.join(large, "tok", "left")
+    small = m.filter("bands IS NULL").select(F.xxhash64("tok").alias("tile"), "h", "n", "root", F.lit(0).alias("side"))
+    m = m.filter("bands IS NOT NULL").select(
+        "tok", "h", "n", "root", "band", F.col("bands")[F.col("band")].alias("blocks"),
+        F.try_element_at("bands", F.col("band") + 1).alias("above"),
+        F.try_element_at("bands", F.col("band") - 1).alias("below"))
+    m = m.withColumn("block", F.pmod("h", F.col("blocks")))
     own = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda j: F.struct(
         F.col("band").alias("lo"), F.col("band").alias("hi"), F.least("block", j).alias("x"), F.greatest("block", j).alias("y"),
         F.when(j == F.col("block"), 0).when(F.col("block") < j, -1).otherwise(1).alias("side")))
@@ -306,8 +320,9 @@ def _tiles(members: DataFrame, rules: JoinRules) -> DataFrame:
     none = F.array_except(own, own)
     spots = F.concat(own, F.when(F.col("above").isNull(), none).otherwise(up),
                      F.when(F.col("below").isNull(), none).otherwise(down))
-    return (m.select("tok", "h", "n", "root", "bits", F.explode(spots).alias("s"))
-            .select(F.xxhash64("tok", "s.lo", "s.hi", "s.x", "s.y").alias("tile"), "h", "n", "root", "s.side", "bits"))
+    split = (m.select("tok", "h", "n", "root", F.explode(spots).alias("s"))
+             .select(F.xxhash64("tok", "s.lo", "s.hi", "s.x", "s.y").alias("tile"), "h", "n", "root", "s.side"))
+    return small.unionByName(split)
 
 
 def jaccard_components(docs: DataFrame, rules: JoinRules | None = None, id_col: str = "doc_id",
@@ -321,33 +336,39 @@ def jaccard_components(docs: DataFrame, rules: JoinRules | None = None, id_col:
     src = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
     frequent = frequent_shingles(src.select("text"), rules)
     sk = scratch.put(sketches(src, rules, frequent), "sketches")
-    reps = sk.filter("h IS NOT NULL").groupBy("h").agg(F.min("id").alias("rep"))
     classes = scratch.put(sk.filter("prefix IS NOT NULL").groupBy("h").agg(
         F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits")), "classes")
+    ids = scratch.put(sk.select("id", "n", "h"), "ids")
+    small = scratch.put(classes.select("h", "n", "bits"), "signatures")
+    reps = scratch.put(ids.filter("h IS NOT NULL").groupBy("h").agg(F.min("id").alias("rep")), "reps")
+    scratch.drop("sketches")
     members = classes.select("h", F.explode("prefix").alias("tok"))
     ends = (members.groupBy("tok").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).filter("lo <> hi"))
     shared = scratch.put(members.join(ends, "tok"), "shared")
+    scratch.drop("classes")
     # every member against the two ends of its tile
     ab = shared.select("h", F.explode(F.array("lo", "hi")).alias("o")).filter("h <> o")
     ab = ab.select(F.least("h", "o").alias("a"), F.greatest("h", "o").alias("b")).distinct()
-    small = classes.select("h", "n", "bits")
     ab = scratch.put(_passing(_with_sketches(ab, small), rules), "ends")
     links = verified(ab, src, reps, rules, scratch, "ends")
     roots = components(links, scratch, "near")
     # the rest: tiles that still hold more than one component
     tagged = (shared.select("tok", "h").join(roots.withColumnRenamed("node", "h"), "h", "left")
               .withColumn("root", F.coalesce("root", "h")))
+    tagged = scratch.put(tagged, "tagged")
     mixed = tagged.groupBy("tok").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1")
-    left = tagged.join(mixed.select("tok"), "tok").join(small, "h")
-    rest = scratch.put(_tile_pairs(_tiles(left, rules), rules), "rest")
+    left = scratch.put(tagged.join(mixed.select("tok"), "tok").join(small.select("h", "n"), "h"), "left")
+    scratch.drop("shared", "tagged")
+    rest = scratch.put(_tile_pairs(_tiles(left, rules).join(small.select("h", "bits"), "h"), rules), "rest")
+    scratch.drop("left")
     more = verified(rest, src, reps, rules, scratch, "rest")
     roots = components(links.union(more), scratch, "all")
     named = (reps.join(roots.withColumnRenamed("node", "h"), "h", "left")
              .withColumn("root", F.coalesce("root", "h")))
     names = named.groupBy("root").agg(F.min("rep").alias("name"))
     by_class = scratch.put(named.join(names, "root").select("h", "name"), "names")
-    scratch.drop("shared", "ends", "rest", "classes")
-    return (sk.select("id", "n", "h").join(by_class, "h", "left")
+    scratch.drop("ends", "rest", "signatures", "reps")
+    return (ids.join(by_class, "h", "left")
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                     F.when(F.col("h").isNull(), F.col("id")).otherwise(F.col("name")).alias("component_id")))
 

@@ -10,7 +10,7 @@ sets form a class. Two classes link when ``100 * intersection >= 80 * union``.
   so a passage that many documents hold hardly ever makes a tile. A tile is a
   shingle and a pair of size bands; a large one is split into blocks, and its
   pairs of blocks are compared apart.
-* Signatures. Each set has a bitmap of about as many bits as shingles, in
+* Signatures. Each set has a bitmap of about twice as many bits as shingles, in
   which every shingle flips one bit. Bits that differ bound the symmetric
   difference from below and so the intersection from above. Pairs that pass
   are verified by exact intersection of the sorted arrays.
@@ -93,9 +93,9 @@ def _set_keys(h: np.ndarray, begin: np.ndarray) -> np.ndarray:
 
 
 def _bitmap(h: np.ndarray, max_bits: int) -> bytes:
-    """Each shingle flips one of about len(h) bits (a power of two)."""
+    """Each shingle flips one of about 2 len(h) bits (a power of two)."""
     bits = 128
-    while bits < 0.6 * len(h) and bits < max_bits:
+    while bits < 1.5 * len(h) and bits < max_bits:
         bits *= 2
     odd = np.bincount((h % U(bits)).astype(I), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
@@ -356,7 +356,11 @@ def jaccard_components(docs: DataFrame, rules: JoinRules | None = None, id_col:
     tagged = (shared.select("tok", "h").join(roots.withColumnRenamed("node", "h"), "h", "left")
               .withColumn("root", F.coalesce("root", "h")))
     tagged = scratch.put(tagged, "tagged")
-    mixed = tagged.groupBy("tok").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1")
+    # shingles with the same members make one tile
+    mixed = (tagged.groupBy("tok").agg(
+        F.min("root").alias("r0"), F.max("root").alias("r1"), F.count(F.lit(1)).alias("k"),
+        F.bit_xor(F.xxhash64("h")).alias("x"), F.bit_xor(F.xxhash64("h", F.lit(1))).alias("y"))
+        .filter("r0 <> r1").groupBy("k", "x", "y").agg(F.min("tok").alias("tok")))
     left = scratch.put(tagged.join(mixed.select("tok"), "tok").join(small.select("h", "n"), "h"), "left")
     scratch.drop("shared", "tagged")
     rest = scratch.put(_tile_pairs(_tiles(left, rules).join(small.select("h", "bits"), "h"), rules), "rest")

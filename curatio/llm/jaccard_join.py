@@ -48,6 +48,8 @@ class JoinRules:
     frequent: int = 262_144       # most frequent shingles that the order puts last (2 MB broadcast)
     block: int = 512              # members of a block of a tile
     max_bits: int = 65_536
+    fine_bits: int = 1 << 20      # of the wider signatures that pairs are held against before the sets
+    broadcast: int = 200_000      # (id, key) rows that may be broadcast to fetch texts (3 MB)
 
 
 U, I = np.uint64, np.int64
@@ -92,10 +94,10 @@ def _set_keys(h: np.ndarray, begin: np.ndarray) -> np.ndarray:
     return np.where(size > 0, key, U(0)).view(I)
 
 
-def _bitmap(h: np.ndarray, max_bits: int) -> bytes:
-    """Each shingle flips one of about 2 len(h) bits (a power of two)."""
+def _bitmap(h: np.ndarray, share: float, max_bits: int) -> bytes:
+    """Each shingle flips one of about ``share`` bits a shingle (a power of two)."""
     bits = 128
-    while bits < 1.5 * len(h) and bits < max_bits:
+    while bits < share * len(h) and bits < max_bits:
         bits *= 2
     odd = np.bincount((h % U(bits)).astype(I), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
@@ -165,7 +167,7 @@ def sketches(docs: DataFrame, rules: JoinRules, frequent: np.ndarray) -> DataFra
                     take = int(size[i] - _need(size[i], rules.percent) + 1)
                     first = np.concatenate([own[~rank][:take], own[rank][:max(0, take - int((~rank).sum()))]])
                     prefixes.append(first.view(I))
-                    maps.append(_bitmap(own, rules.max_bits))
+                    maps.append(_bitmap(own, 1.5, rules.max_bits))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), pa.array(size.astype(I)), pa.array(keys, mask=size == 0),
                      pa.array(prefixes, pa.list_(pa.int64())), pa.array(maps, pa.binary())],
@@ -215,7 +217,9 @@ def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, rules: JoinRule
     """The pairs (a, b) that link, by exact intersection. The sets of the
     classes that occur in pairs are made anew from one document of each."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct().join(reps, "h")
-    texts = docs.join(wanted.select("h", F.col("rep").alias("id")), "id")
+    wanted = scratch.put(wanted.select("h", F.col("rep").alias("id")), f"{name}-wanted")
+    few = wanted.count() <= rules.broadcast
+    texts = docs.join(F.broadcast(wanted) if few else wanted, "id")
 
     def sets(batches):
         hasher = tn.Hasher()
@@ -226,11 +230,15 @@ def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, rules: JoinRule
                 keys = _set_keys(h, begin)
                 # repeated rows of an id: those with this set
                 right = np.flatnonzero(keys == part.column("h").to_numpy(zero_copy_only=False))
-                lists = [h[begin[i]:begin[i + 1]].tobytes() for i in right]
-                yield pa.RecordBatch.from_arrays([pa.array(keys[right]), pa.array(lists, pa.binary())], ["h", "items"])
+                lists = [h[begin[i]:begin[i + 1]] for i in right]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys[right]), pa.array([len(x) for x in lists], pa.int64()),
+                     pa.array([_bitmap(x, 12, rules.fine_bits) for x in lists], pa.binary()),
+                     pa.array([x.tobytes() for x in lists], pa.binary())], ["h", "n", "bits", "items"])
 
-    arrays = scratch.put(texts.select("h", "text").mapInArrow(sets, "h long, items binary").dropDuplicates(["h"]),
-                         f"{name}-sets")
+    arrays = scratch.put(texts.select("h", "text").mapInArrow(sets, "h long, n long, bits binary, items binary")
+                         .dropDuplicates(["h"]), f"{name}-sets")
+    pairs = scratch.put(_passing(_with_sketches(pairs, arrays), rules), f"{name}-close")
     both = (pairs.join(arrays.select(F.col("h").alias("a"), F.col("items").alias("xa")), "a")
             .join(arrays.select(F.col("h").alias("b"), F.col("items").alias("xb")), "b"))
 
@@ -244,7 +252,7 @@ def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, rules: JoinRule
             yield batch.select(["a", "b"]).filter(pa.array(ok))
 
     out = scratch.put(both.select("a", "b", "xa", "xb").mapInArrow(exact, "a long, b long"), f"{name}-links")
-    scratch.drop(f"{name}-sets")
+    scratch.drop(f"{name}-sets", f"{name}-wanted", f"{name}-close")
     return out
 
 

@@ -17,9 +17,10 @@ sets form a class. Two classes link when ``100 * intersection >= 80 * union``.
 * Copies. Each class is first held against the smallest and the largest class
   key of every tile that it is in, which joins large groups of near copies in
   as many pairs as they have members. Tiles whose members are then one
-  component need no further pair; within the others only pairs of different
-  components are compared. No link between components is lost, and none is
-  emitted for all pairs of a group.
+  component need no further pair; of the others a forest of the closest pairs
+  of different components is verified first, and then all pairs that pass and
+  are still apart. No link between components is lost, and a group of near
+  copies is never emitted as all its pairs.
 
 Defined results: null or empty texts have ``n_shingles`` 0 and are their own
 component; a null id belongs to the component of its set, named after its
@@ -236,9 +237,10 @@ def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, rules: JoinRule
                      pa.array([_bitmap(x, 12, rules.fine_bits) for x in lists], pa.binary()),
                      pa.array([x.tobytes() for x in lists], pa.binary())], ["h", "n", "bits", "items"])
 
-    arrays = scratch.put(texts.select("h", "text").mapInArrow(sets, "h long, n long, bits binary, items binary")
-                         .dropDuplicates(["h"]), f"{name}-sets")
-    pairs = scratch.put(_passing(_with_sketches(pairs, arrays), rules), f"{name}-close")
+    # rows that repeat an id give their set again, and equal pairs: harmless
+    arrays = scratch.put(texts.select("h", "text").mapInArrow(sets, "h long, n long, bits binary, items binary"),
+                         f"{name}-sets")
+    pairs = scratch.put(_passing(_with_sketches(pairs, arrays), rules).distinct(), f"{name}-close")
     both = (pairs.join(arrays.select(F.col("h").alias("a"), F.col("items").alias("xa")), "a")
             .join(arrays.select(F.col("h").alias("b"), F.col("items").alias("xb")), "b"))
 
@@ -251,15 +253,35 @@ def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, rules: JoinRule
                 ok[i] = 100 * inter >= rules.percent * (len(x) + len(y) - inter)
             yield batch.select(["a", "b"]).filter(pa.array(ok))
 
-    out = scratch.put(both.select("a", "b", "xa", "xb").mapInArrow(exact, "a long, b long"), f"{name}-links")
+    out = scratch.put(both.select("a", "b", "xa", "xb").mapInArrow(exact, "a long, b long").distinct(), f"{name}-links")
     scratch.drop(f"{name}-sets", f"{name}-wanted", f"{name}-close")
     return out
 
 
-def _tile_pairs(tiles: DataFrame, rules: JoinRules) -> DataFrame:
+def _spanning(found):
+    """Of (differing bits, a, b) pairs a forest that joins what they join,
+    with few differing bits."""
+    parent: dict = {}
+
+    def top(x):
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    out = []
+    for _, a, b, ra, rb in sorted(found):
+        x, y = top(ra), top(rb)
+        if x != y:
+            parent[x] = y
+            out.append((a, b))
+    return out
+
+
+def _tile_pairs(tiles: DataFrame, rules: JoinRules, forest: bool) -> DataFrame:
     """Pairs (a, b) of a tile's members, of different components and sides,
-    whose signatures leave a link open. The rows of a tile come together;
-    a tile holds two blocks at most."""
+    whose signatures leave a link open: all, or a forest of the closest that
+    joins the same components. The rows of a tile come together; a tile holds
+    two blocks at most."""
     def run(batches):
         def flush(rows):
             h = np.array([r[0] for r in rows])
@@ -275,9 +297,10 @@ def _tile_pairs(tiles: DataFrame, rules: JoinRules) -> DataFrame:
                 js = js[_may_link(n[i], n[js], 0, rules.percent)]
                 if len(js):
                     differ = np.bitwise_count(bits[js] ^ bits[i]).sum(axis=1).astype(I)
-                    js = js[_may_link(n[i], n[js], differ, rules.percent)]
-                    found += [(min(h[i], h[j]), max(h[i], h[j])) for j in js]
-            return found
+                    ok = _may_link(n[i], n[js], differ, rules.percent)
+                    found += [(d, min(h[i], h[j]), max(h[i], h[j]), root[i], root[j])
+                              for d, j in zip(differ[ok].tolist(), js[ok])]
+            return _spanning(found) if forest else [f[1:3] for f in found]
 
         key, rows, out = None, [], []
         for batch in batches:
@@ -359,27 +382,30 @@ def jaccard_components(docs: DataFrame, rules: JoinRules | None = None, id_col:
     ab = ab.select(F.least("h", "o").alias("a"), F.greatest("h", "o").alias("b")).distinct()
     ab = scratch.put(_passing(_with_sketches(ab, small), rules), "ends")
     links = verified(ab, src, reps, rules, scratch, "ends")
-    roots = components(links, scratch, "near")
-    # the rest: tiles that still hold more than one component
-    tagged = (shared.select("tok", "h").join(roots.withColumnRenamed("node", "h"), "h", "left")
-              .withColumn("root", F.coalesce("root", "h")))
-    tagged = scratch.put(tagged, "tagged")
-    # shingles with the same members make one tile
-    mixed = (tagged.groupBy("tok").agg(
-        F.min("root").alias("r0"), F.max("root").alias("r1"), F.count(F.lit(1)).alias("k"),
-        F.bit_xor(F.xxhash64("h")).alias("x"), F.bit_xor(F.xxhash64("h", F.lit(1))).alias("y"))
-        .filter("r0 <> r1").groupBy("k", "x", "y").agg(F.min("tok").alias("tok")))
-    left = scratch.put(tagged.join(mixed.select("tok"), "tok").join(small.select("h", "n"), "h"), "left")
-    scratch.drop("shared", "tagged")
-    rest = scratch.put(_tile_pairs(_tiles(left, rules).join(small.select("h", "bits"), "h"), rules), "rest")
-    scratch.drop("left")
-    more = verified(rest, src, reps, rules, scratch, "rest")
-    roots = components(links.union(more), scratch, "all")
+    # the rest: tiles that still hold more than one component; first a forest
+    # of their closest pairs, then all pairs that are still apart
+    for forest in (True, False):
+        roots = components(links, scratch, f"roots-{forest}")
+        tagged = (shared.select("tok", "h").join(roots.withColumnRenamed("node", "h"), "h", "left")
+                  .withColumn("root", F.coalesce("root", "h")))
+        tagged = scratch.put(tagged, "tagged")
+        # shingles with the same members make one tile
+        mixed = (tagged.groupBy("tok").agg(
+            F.min("root").alias("r0"), F.max("root").alias("r1"), F.count(F.lit(1)).alias("k"),
+            F.bit_xor(F.xxhash64("h")).alias("x"), F.bit_xor(F.xxhash64("h", F.lit(1))).alias("y"))
+            .filter("r0 <> r1").groupBy("k", "x", "y").agg(F.min("tok").alias("tok")))
+        left = scratch.put(tagged.join(mixed.select("tok"), "tok").join(small.select("h", "n"), "h"), "left")
+        scratch.drop("tagged")
+        tiles = _tiles(left, rules).join(small.select("h", "bits"), "h")
+        rest = scratch.put(_tile_pairs(tiles, rules, forest), "rest")
+        links = links.union(verified(rest, src, reps, rules, scratch, f"rest-{forest}"))
+        scratch.drop("left", "rest")
+    roots = components(links, scratch, "all")
     named = (reps.join(roots.withColumnRenamed("node", "h"), "h", "left")
              .withColumn("root", F.coalesce("root", "h")))
     names = named.groupBy("root").agg(F.min("rep").alias("name"))
     by_class = scratch.put(named.join(names, "root").select("h", "name"), "names")
-    scratch.drop("ends", "rest", "signatures", "reps")
+    scratch.drop("ends", "shared", "signatures", "reps")
     return (ids.join(by_class, "h", "left")
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                     F.when(F.col("h").isNull(), F.col("id")).otherwise(F.col("name")).alias("component_id")))

@@ -73,11 +73,12 @@ def clean_text(c) -> Column:
     return F.trim(x)
 
 
-def composite_text(question, answer, prefix_chars: int = 200) -> Column:
-    """Classification text: question, question again, answer prefix."""
+def composite_text(question, answer, prefix_chars: int | None = 200) -> Column:
+    """Classification text: question, question again, answer prefix (the
+    whole answer when ``prefix_chars`` is None)."""
     q = F.coalesce(_c(question), F.lit(""))
     a = F.coalesce(_c(answer), F.lit(""))
-    return F.concat_ws(" ", q, q, F.substring(a, 1, prefix_chars))
+    return F.concat_ws(" ", q, q, a if prefix_chars is None else F.substring(a, 1, prefix_chars))
 
 
 def count_occurrences(text, needle) -> Column:

@@ -47,7 +47,7 @@ class ClassifyParams:
     exclusions: Sequence[tuple[str, str]] = field(default_factory=lambda: list(D.EXCLUSION_RULES))
     exclusion_factor: float = D.EXCLUSION_FACTOR
     precision: int = 6
-    answer_prefix: int = D.ANSWER_PREFIX_CHARS
+    answer_prefix: int | None = D.ANSWER_PREFIX_CHARS     # None: the whole answer
     context_radius: int = D.CONTEXT_RADIUS
     early_factor: float = D.EARLY_FACTOR
     related_factor: float = D.RELATED_FACTOR
@@ -56,7 +56,7 @@ class ClassifyParams:
 
 def classification_text(qa: DataFrame, question_col: str = "question",
                         answer_col: str = "answer", out_col: str = "ctext",
-                        answer_prefix: int = D.ANSWER_PREFIX_CHARS) -> DataFrame:
+                        answer_prefix: int | None = D.ANSWER_PREFIX_CHARS) -> DataFrame:
     """P2 + C0-C6: cleaned composite text used for scoring (the output rows
     keep the original question and answer)."""
     return qa.withColumn(out_col, clean_text(

@@ -78,8 +78,9 @@ def drop_seen(df: DataFrame, seen: DataFrame, key_cols: Sequence[str]) -> DataFr
 # --------------------------------------------------------------------- cap
 
 def sample_hash(key, seed: int = D.CAP_SEED) -> Column:
-    """Deterministic per-row draw: md5(seed | key) as lower-case hex."""
-    return F.md5(F.concat(F.lit(f"{seed}|"), _c(key).cast("string")))
+    """Deterministic per-row draw: md5(seed | key) as lower-case hex; a null
+    key draws like an empty one."""
+    return F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(_c(key).cast("string"), F.lit(""))))
 
 
 def cap_per_group(df: DataFrame, group_col: str, key_col: str,

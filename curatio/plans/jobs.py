@@ -88,7 +88,8 @@ def convert_corpus(spark: SparkSession, classified: DataFrame, out_dir: str,
                                                       reject_terms=reject_terms))
     stats = K.conversion_stats(v, "label", "valid", cap)
     stats.coalesce(1).write.mode("overwrite").json(os.path.join(out_dir, "conversion_stats"))
-    kept = v.filter("valid").withColumn("qa_key", F.col("pos").cast("string"))
+    # drawn by content, not by position, which depends on the file layout
+    kept = v.filter("valid").withColumn("qa_key", F.md5(F.to_json(F.struct("url", "question", "answer"))))
     capped = K.cap_per_group(kept, "label", "qa_key", cap, seed)
     ids = K.running_ids(capped, "label", ["pos"], "id")
     records = K.conversation_records(ids, "id", "question", "answer")

@@ -285,7 +285,9 @@ SELECT NULL, true, coalesce(sum(original), 0)::BIGINT, coalesce(sum(filtered), 0
   coalesce(sum(least(filtered, {S.TEST_CAP})), 0)::BIGINT FROM per"""
     q["distribution"] = base_ctes() + _dist("classified", "label")
     q["lang_distribution"] = _dist("documents", "lang")
+    # documents are read whole: the answer without its prefix
     q["classify_documents"] = (base_ctes(qa_sql=DOC_QA, keys=("doc_id",), vec_key="doc_id")
+                               .replace("substr(coalesce(answer,''), 1, 200)", "coalesce(answer,'')")
                                + "\nSELECT doc_id, label, best_score FROM labels")
     q["classification_stats"] = base_ctes() + """
 SELECT label || ': ' || CAST(count(*) AS VARCHAR) || '条' AS value FROM classified GROUP BY label"""

@@ -182,11 +182,11 @@ def q_classify(spark: SparkSession, d: str) -> DataFrame:
 
 def q_classify_documents(spark: SparkSession, d: str) -> DataFrame:
     """The document corpus through the same chain: first line = question,
-    the rest = answer, keyed by doc_id."""
+    the rest = answer (read whole), keyed by doc_id."""
     lex = _lex(spark)
     docs = qa_from_documents(spread(table(spark, d, "documents"))).select("doc_id", "question", "answer")
     out = C.classify(_qa_vectors(spark, d, docs, "doc_id"), ["doc_id"], lex, "embedding",
-                     _protos(spark, d, lex), _params())
+                     _protos(spark, d, lex), _params(answer_prefix=None))
     return out.select("doc_id", "label", "best_score")
 
 

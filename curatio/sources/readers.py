@@ -37,11 +37,15 @@ def read_link_list(spark: SparkSession, path: str) -> DataFrame:
 
 def classify_json_lines(df: DataFrame, line_col: str, schema: str | T.StructType,
                         required: Sequence[str] = ("url",)) -> DataFrame:
-    """S3 core: parse JSON lines; a line is bad when it does not parse, is
-    not an object, or lacks a required key (a key present with a null value
-    is fine). Adds the parsed fields and ``is_bad``."""
+    """S3 core: parse JSON lines; a line is bad when it does not parse as a
+    whole (text after the object, or single quotes, make it bad), is not an
+    object, or lacks a required key (a key present with a null value is
+    fine). Adds the parsed fields and ``is_bad``."""
     keys = F.json_object_keys(F.col(line_col))
-    bad = keys.isNull()
+    # the line as the only element of an array: the parser must reach its end
+    whole = F.from_json(F.concat(F.lit("["), F.col(line_col), F.lit("]")), "array<string>",
+                        {"allowSingleQuotes": "false"})
+    bad = keys.isNull() | F.coalesce(F.size(whole) != 1, F.lit(True))
     for k in required:
         bad = bad | ~F.array_contains(keys, k)
     parsed = F.from_json(F.col(line_col), schema)
@@ -57,13 +61,21 @@ def classify_json_lines(df: DataFrame, line_col: str, schema: str | T.StructType
 def read_json_parts(spark: SparkSession, paths: Sequence[str] | str,
                     schema: str = QA_DDL, required: Sequence[str] = ("url",)) -> DataFrame:
     """S3 + U1: union JSONL part files; every line carries ``part`` (file
-    path), ``block`` (split start) and ``line_id`` (increasing within a
-    split), which together give (part, line) order. Returns good and bad
-    lines with ``is_bad``; bad lines keep ``value`` for the log."""
+    path), ``part_no`` (position in the given list of paths), ``part_key``
+    (the path with its numbers padded, so part_2 comes before part_10),
+    ``block`` (split start) and ``line_id`` (increasing within a split),
+    which together give (part, line) order. Returns good and bad lines with
+    ``is_bad``; bad lines keep ``value`` for the log."""
+    given = [] if isinstance(paths, str) else list(paths)
     raw = spark.read.text(paths if isinstance(paths, str) else list(paths))
     raw = raw.select("value", F.col("_metadata.file_path").alias("part"),
                      F.col("_metadata.file_block_start").alias("block"),
                      F.monotonically_increasing_id().alias("line_id"))
+    no = F.lit(len(given))
+    for k, p in reversed(list(enumerate(given))):
+        no = F.when(F.col("part").endswith("/" + p.rstrip("/").split("://")[-1].lstrip("/")), F.lit(k)).otherwise(no)
+    padded = F.regexp_replace(F.regexp_replace("part", r"(\d+)", "0" * 19 + "$1"), r"\d*(\d{19})", "$1")
+    raw = raw.withColumn("part_no", no).withColumn("part_key", padded)
     return classify_json_lines(raw, "value", schema, required)
 
 
@@ -71,7 +83,7 @@ def merge_parts(parts: DataFrame, key: str = "url") -> DataFrame:
     """S3 + A5: good lines only, first seen per key in (part, line) order."""
     from curatio.operators.curate import dedup_first_seen
     good = parts.filter(~F.col("is_bad"))
-    return dedup_first_seen(good, [key], ["part", "block", "line_id"])
+    return dedup_first_seen(good, [key], ["part_no", "part_key", "block", "line_id"])
 
 
 def read_json_array(spark: SparkSession, path: str, schema: str = QA_DDL) -> DataFrame:

@@ -20,19 +20,25 @@ def run_stamp(fmt: str = "%Y%m%d_%H%M%S") -> str:
 
 def write_links(links: DataFrame, path: str, mode: str = "overwrite") -> bool:
     """Link rows as JSON lines; no output at all when there are none."""
-    if links.isEmpty():
-        return False
     links.select("pos", F.col("link").alias("url")).write.mode(mode).json(path)
-    return True
+    return _kept(links.sparkSession, path)
+
+
+def _kept(spark, path: str) -> bool:
+    """Whether the folder just written holds a row; it goes if not. The
+    output is looked at, so that the input is computed once."""
+    if not spark.read.text(path).isEmpty():
+        return True
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    return False
 
 
 def write_parts(rows: DataFrame, path: str) -> bool:
     """QA rows as JSON lines (only when there are results); the
     folder is replaced atomically per the commit protocol."""
-    if rows.isEmpty():
-        return False
     rows.select("question", "answer", "url").write.mode("overwrite").json(path)
-    return True
+    return _kept(rows.sparkSession, path)
 
 
 def write_classified(df: DataFrame, path: str, group_col: str = "label",

@@ -184,3 +184,10 @@ def test_quality_random_unicode_padding(spark):
     got = [r[0] for r in df.select(K.quality_mask("q", "a")).collect()]
     want = [len(q.strip()) >= 1 and len(a.strip()) >= 10 and not any(t in a for t in terms) for q, a in rows]
     assert got == want
+
+
+def test_cap_keeps_rows_with_null_keys(spark):
+    from curatio.operators.curate import cap_per_group
+    df = spark.createDataFrame([("g", None if k % 7 == 0 else str(k)) for k in range(20)], "g string, k string")
+    assert cap_per_group(df, "g", "k", 10, 42).count() == 10
+    assert cap_per_group(df, "g", "k", 25, 42).count() == 20

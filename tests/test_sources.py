@@ -114,3 +114,27 @@ def test_first_seen_order_across_splits_of_one_file(spark, tmpdir_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got == {f"u{j}": f"q{j}" for j in range(37)}
+
+
+def test_malformed_lines_of_every_kind_are_bad(spark):
+    from curatio.sources.readers import classify_json_lines
+    lines = ['{"url":"u"}', '  {"url":null}  ', '{"url":"u"} trailing', '{"url":"u"}{"url":"v"}', '{"url":"u"},{"url":"v"}',
+             "{'url':'u'}", '["url"]', '"url"', "", None, '{"url":"u"', '{"other":1}']
+    df = spark.createDataFrame([(k, x) for k, x in enumerate(lines)], "k int, line string")
+    got = {r.k: r.is_bad for r in classify_json_lines(df, "line", "url STRING").collect()}
+    assert [got[k] for k in range(len(lines))] == [False, False] + [True] * 10
+
+
+def test_merge_takes_parts_by_number_and_by_given_order(spark, tmpdir_path):
+    import os
+    from curatio.sources.readers import merge_parts, read_json_parts
+    paths = []
+    for n in range(16):
+        paths.append(os.path.join(tmpdir_path, f"part_{n}.jsonl"))
+        with open(paths[-1], "w") as f:
+            f.write(f'{{"question":"q{n}","answer":"a","url":"same"}}\n')
+    first = lambda p: [r.question for r in merge_parts(read_json_parts(spark, p)).collect()]
+    assert first(os.path.join(tmpdir_path, "part_*.jsonl")) == ["q0"]
+    assert first(os.path.join(tmpdir_path, "part_1*.jsonl")) == ["q1"]
+    assert first([paths[2], paths[10]]) == ["q2"]
+    assert first([paths[10], paths[2]]) == ["q10"]

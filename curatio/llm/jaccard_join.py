@@ -111,7 +111,7 @@ def frequent_shingles(docs: DataFrame, rules: JoinRules) -> np.ndarray:
     def count(batches):
         hasher = tn.Hasher()
         for batch in batches:
-            for part in tn.chunks(batch, "text", 2 * tn.CHUNK_BYTES):
+            for part in tn.chunks(batch, "text", 4 * tn.CHUNK_BYTES):
                 h, rows = shingle_sets(part.column("text"), hasher, rules.words)
                 begin = np.searchsorted(rows, np.arange(part.num_rows + 1))
                 _, one = np.unique(_set_keys(h, begin), return_index=True)

@@ -169,7 +169,7 @@ def fit(docs: DataFrame, cfg: Training | None = None, id_col="doc_id", text_col=
 
 
 class _Net:
-    BATCH = 256
+    BATCH = 128
 
     def __init__(self, model: dict):
         self.m = model

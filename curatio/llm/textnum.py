@@ -10,8 +10,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 4 << 20
-BLOCK = 1 << 21
+CHUNK_BYTES = 1 << 20
+BLOCK = 1 << 19
 U = np.uint64
 
 

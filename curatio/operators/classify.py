@@ -1,8 +1,7 @@
 """Blend, exclusion rules and labelling.
 
 Scoring a text needs only that text and the (small) lexicon, so the whole
-classification is one narrow projection per row - no exchange at all
-(beyond spreading a small single-split input over the slots):
+classification is one narrow projection per row - no exchange at all:
 
     QA rows -> composite text -> clean                      (codegen)
       x lexicon row, x prototype row (broadcast, one row)   (narrow)
@@ -14,9 +13,9 @@ kw, weight>>>>`` in category order (a literal from the size-checked
 parameter table), so sums run in lexicon order as in the original and the
 related-keyword boost is a repeated multiplication; the prototype row is a
 ``map<dept, (proto, norm)>`` bounded by the categories. A hot category or
-key cannot skew anything: no row moves. Scores are rounded to
-``precision`` decimals before ranking so that labels do not depend on float
-evaluation order.
+key cannot skew anything: no row moves. Categories are ranked on the raw
+scores; keywords are summed in lexicon order, so a score does not depend on
+the layout of the rows.
 
 :func:`apply_exclusions` and :func:`pick_labels` do the same on a long
 ``(keys, dept, score)`` table (one window and one aggregate, both keyed by
@@ -36,7 +35,7 @@ from curatio import defaults as D
 from curatio.functions.text import clean_text, composite_text
 from curatio.functions.vectors import norm
 from curatio.operators.lexicon import Lexicon, _bcast_categories, _bcast_keywords
-from curatio.operators.util import checked_broadcast, spread
+from curatio.operators.util import checked_broadcast
 
 
 @dataclass
@@ -46,7 +45,6 @@ class ClassifyParams:
     fallback: str = D.FALLBACK_CATEGORY
     exclusions: Sequence[tuple[str, str]] = field(default_factory=lambda: list(D.EXCLUSION_RULES))
     exclusion_factor: float = D.EXCLUSION_FACTOR
-    precision: int = 6
     answer_prefix: int | None = D.ANSWER_PREFIX_CHARS     # None: the whole answer
     context_radius: int = D.CONTEXT_RADIUS
     early_factor: float = D.EARLY_FACTOR
@@ -152,10 +150,10 @@ def blend_sql(p: ClassifyParams) -> str:
             f" {_num(p.similarity_weight)} * s.similarity + {_num(p.keyword_weight)} * s.kw_score))")
 
 
-def argmax_sql(arr: str, field: str, precision: int) -> str:
-    """First category with the highest rounded ``field`` (ties -> lowest
-    dept_ord): struct(r, o, dept)."""
-    return (f"array_max(transform({arr}, s -> named_struct('r', round(s.{field}, {int(precision)}),"
+def argmax_sql(arr: str, field: str) -> str:
+    """First category with the highest ``field`` (ties -> lowest dept_ord):
+    struct(r, o, dept)."""
+    return (f"array_max(transform({arr}, s -> named_struct('r', s.{field},"
             f" 'o', -s.dept_ord, 'dept', s.dept)))")
 
 
@@ -192,9 +190,9 @@ def _scored(rows: DataFrame, text_col: str, lex: Lexicon, vec_col: str | None,
          .withColumn("__cl_vn", norm("__cl_v")))
     j = j.withColumn("__cl_s0", F.expr(row_scores_sql(f"`{text_col}`", "__cl_v", p)))
     j = j.withColumn("__cl_s", F.expr(blend_sql(p)))
-    j = j.withColumn("__cl_w", F.expr(argmax_sql("__cl_s", "score", p.precision) + ".dept"))
+    j = j.withColumn("__cl_w", F.expr(argmax_sql("__cl_s", "score") + ".dept"))
     j = j.withColumn("__cl_adj", F.expr(adjust_sql(p)))
-    j = j.withColumn("__cl_best", F.expr(argmax_sql("__cl_adj", "score", p.precision)))
+    j = j.withColumn("__cl_best", F.expr(argmax_sql("__cl_adj", "score")))
     j = j.withColumns({"label": F.when(F.col("__cl_best.r") > 0, F.col("__cl_best.dept"))
                        .otherwise(F.lit(p.fallback)), "best_score": F.col("__cl_best.r")})
     return j.drop("__cl_s0", "__cl_s", "__cl_lex", "__cl_pmap", "__cl_v", "__cl_vn",
@@ -208,7 +206,7 @@ def category_scores(texts: DataFrame, keys: Sequence[str], text_col: str, lex: L
     raw_score, excluded, score (adjusted) - one row per (text, category),
     generated narrowly from each text's score array."""
     p = params or ClassifyParams()
-    s = _scored(spread(texts.select(*keys, text_col, *([vec_col] if vec_col else []))),
+    s = _scored(texts.select(*keys, text_col, *([vec_col] if vec_col else [])),
                 text_col, lex, vec_col, prototypes, p)
     # inline_outer: a non-outer explode makes the optimizer infer a
     # size(__cl_adj) > 0 filter and push it below, recomputing the whole score
@@ -229,8 +227,7 @@ def apply_exclusions(scores: DataFrame, keys: Sequence[str],
     ``excluded`` and ``adj_score``."""
     p = params or ClassifyParams()
     w = Window.partitionBy(*keys)
-    rs = F.round("score", p.precision)
-    s = scores.withColumn("winner", F.max_by("dept", F.struct(rs, -F.col("dept_ord"))).over(w))
+    s = scores.withColumn("winner", F.max_by("dept", F.struct("score", -F.col("dept_ord"))).over(w))
     if not p.exclusions:
         return s.withColumn("excluded", F.lit(False)).withColumn("adj_score", F.col("score"))
     rules = _rule_table(scores.sparkSession, p.exclusions)
@@ -247,10 +244,9 @@ def pick_labels(adjusted: DataFrame, keys: Sequence[str],
     """A2 + P5: arg-max of the adjusted scores (ties to the first category
     in lexicon order); the fallback category when the best is not > 0."""
     p = params or ClassifyParams()
-    rs = F.round("adj_score", p.precision)
     agg = adjusted.groupBy(*keys).agg(
-        F.max_by("dept", F.struct(rs, -F.col("dept_ord"))).alias("top"),
-        F.max(rs).alias("best_score"))
+        F.max_by("dept", F.struct("adj_score", -F.col("dept_ord"))).alias("top"),
+        F.max("adj_score").alias("best_score"))
     return agg.select(*keys, F.when(F.col("best_score") > 0, F.col("top"))
                       .otherwise(F.lit(p.fallback)).alias("label"), "best_score")
 
@@ -266,8 +262,7 @@ def classify(qa: DataFrame, keys: Sequence[str], lex: Lexicon,
     out_cols = ("label", "best_score", "scores")
     qa = qa.drop(*[c for c in out_cols if c in qa.columns])  # re-labelling replaces
     cols = qa.columns
-    # CPU-heavy and narrow: a single-split input is spread over the cores
-    rows = classification_text(spread(qa), question_col, answer_col, "__cl_ctext", p.answer_prefix)
+    rows = classification_text(qa, question_col, answer_col, "__cl_ctext", p.answer_prefix)
     out = _scored(rows, "__cl_ctext", lex, vec_col, prototypes, p)
     extra = [F.col("__cl_adj").alias("scores")] if with_scores else []
     return out.select(*cols, "label", "best_score", *extra)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from curatio import defaults as D
 from curatio.functions.text import ustrip
-from curatio.operators.util import checked_broadcast
+from curatio.operators.util import checked_broadcast, measured_broadcast
 from curatio.session import cut_lineage
 
 
@@ -107,7 +107,7 @@ def cap_per_group(df: DataFrame, group_col: str, key_col: str,
     cut = cum.filter((F.col("_cum") > cap) & (F.col("_cum") - F.col("_n") <= cap)).select(
         F.col(group_col).alias("_g"), F.col("_b").alias("_cut_b"),
         (F.lit(cap) - (F.col("_cum") - F.col("_n"))).alias("_need"))
-    cut = checked_broadcast(cut, what="cap thresholds", required=False)
+    cut = measured_broadcast(cut)       # at most one row a group
     j = x.join(cut, x[group_col].eqNullSafe(cut["_g"]), "left")
     below = j.filter(F.col("_cut_b").isNull() | (F.col("_b") < F.col("_cut_b")))
     edge = j.filter(F.col("_b") == F.col("_cut_b"))
@@ -135,8 +135,7 @@ def running_index(df: DataFrame, order_cols: Sequence, out_col: str = "n") -> Da
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     offs = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(
         Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    offs = checked_broadcast(offs.select("_pid", "_off"), what="partition offsets",
-                             required=False)
+    offs = measured_broadcast(offs.select("_pid", "_off"))
     out = s.join(offs, "_pid").withColumn(out_col, F.col("_off") + F.col("_loc"))
     return out.drop("_mid", "_pid", "_loc", "_off")
 
@@ -144,13 +143,13 @@ def running_index(df: DataFrame, order_cols: Sequence, out_col: str = "n") -> Da
 def first_appearance_rank(df: DataFrame, group_col: str, order_cols: Sequence[str],
                           out_col: str = "group_rank") -> DataFrame:
     """A3 category order: rank of each group by its first row in input
-    order (one small aggregate row per group, joined back - broadcast by
-    AQE from its measured size). ``df`` is read twice: pass a materialized
+    order (one small aggregate row per group, joined back - broadcast behind
+    a count of it). ``df`` is read twice: pass a materialized
     table when it is expensive to recompute."""
     first = df.groupBy(group_col).agg(F.min(F.struct(*order_cols)).alias("_first"))
     ranked = first.withColumn(out_col, F.row_number().over(Window.orderBy("_first")) - 1)
-    ranked = checked_broadcast(ranked.select(group_col, out_col), what="groups", required=False)
-    return df.join(ranked, group_col)
+    ranked = measured_broadcast(ranked.select(F.col(group_col).alias("_g"), out_col))
+    return df.join(ranked, F.col(group_col).eqNullSafe(F.col("_g"))).drop("_g")
 
 
 def running_ids(df: DataFrame, group_col: str, order_cols: Sequence[str],

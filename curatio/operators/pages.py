@@ -28,7 +28,8 @@ QA_SCHEMA = T.StructType([
 
 def page_links(pages: DataFrame, selector: str = D.LINK_SELECTOR,
                substring: str | None = D.LINK_SUBSTRING, id_col: str = "page_id",
-               url_col: str = "url", html_col: str = "html") -> DataFrame:
+               url_col: str = "url", html_col: str = "html",
+               partitions: int | None = None) -> DataFrame:
     """X1 + X2 + P1 + U2: one row per matching anchor, document order kept
     in ``pos``, duplicates kept; ``link`` is the href resolved against the
     page URL. Anchors without ``href`` are skipped (the original drops the
@@ -44,7 +45,7 @@ def page_links(pages: DataFrame, selector: str = D.LINK_SELECTOR,
                         rows.append((pid, pos, href, resolve(url, href)))
             yield pd.DataFrame(rows, columns=["page_id", "pos", "href", "link"])
 
-    out = spread(pages.select(id_col, url_col, html_col)).mapInPandas(parse, LINK_SCHEMA)
+    out = spread(pages.select(id_col, url_col, html_col), partitions).mapInPandas(parse, LINK_SCHEMA)
     if substring:
         out = out.filter(F.col("link").contains(substring))
     return out
@@ -54,7 +55,8 @@ def page_qa(pages: DataFrame, question_selector: str = D.QUESTION_SELECTOR,
             answer_selector: str = D.ANSWER_SELECTOR, id_col: str = "page_id",
             url_col: str = "url", html_col: str = "html",
             min_question: int = D.EXTRACT_MIN_QUESTION,
-            min_answer: int = D.EXTRACT_MIN_ANSWER) -> DataFrame:
+            min_answer: int = D.EXTRACT_MIN_ANSWER,
+            partitions: int | None = None) -> DataFrame:
     """question = text of the first question-selector match, answer =
     text of the first answer-selector match; both must exist, then the
     extraction length gate. Output: page_id, question, answer, url."""
@@ -70,7 +72,7 @@ def page_qa(pages: DataFrame, question_selector: str = D.QUESTION_SELECTOR,
             yield pd.DataFrame({"page_id": b[id_col], "question": qs, "answer": ans,
                                 "url": b[url_col]})
 
-    out = spread(pages.select(id_col, url_col, html_col)).mapInPandas(parse, QA_SCHEMA)
+    out = spread(pages.select(id_col, url_col, html_col), partitions).mapInPandas(parse, QA_SCHEMA)
     return out.filter(F.col("question").isNotNull() & F.col("answer").isNotNull()
                       & extraction_gate("question", "answer", min_question, min_answer))
 

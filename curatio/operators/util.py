@@ -31,36 +31,22 @@ def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
     return df
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate of ``df`` (None when unavailable)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001
-        return None
+def measured_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """A side made from data that is expected to be small (one row a group, a
+    partition or a category): written once to the shared checkpoint folder,
+    counted there, and broadcast when it has at most ``max_rows`` rows, so that
+    the other side does not move. Over the bound it is returned unhinted: the
+    join shuffles on its key."""
+    from curatio.session import cut_lineage
+    small = cut_lineage(df)
+    return F.broadcast(small) if small.limit(max_rows + 1).count() <= max_rows else small
 
 
-def spread(df: DataFrame, min_partitions: int | None = None, max_fill: float = 0.25,
-           small_bytes: int = 1 << 30) -> DataFrame:
-    """Round-robin a narrow, CPU-heavy input over the slots when it would
-    otherwise leave most of them idle:
-
-    * a small input (estimated at most ``small_bytes``) with fewer
-      partitions than slots - e.g. a parquet file whose single row group
-      sits in one of several byte-range splits - is cheap to spread;
-    * a large input is spread only when its split count fills at most
-      ``max_fill`` of the slots; otherwise it is left alone (never a full
-      shuffle of a large input for a small gain in parallelism)."""
-    if df.isStreaming:
-        return df
-    sc = df.sparkSession.sparkContext
-    target = min_partitions or sc.defaultParallelism
-    parts = df.rdd.getNumPartitions()
-    if parts >= target:
-        return df
-    size = estimated_bytes(df)
-    if (size is not None and size <= small_bytes) or parts <= max_fill * target:
-        return df.repartition(target)
-    return df
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Round-robin the input of a narrow, CPU-heavy step over ``partitions``
+    tasks; left as it was read when None. For files with fewer row groups than
+    the cluster has slots; planning it runs nothing."""
+    return df.repartition(partitions) if partitions and not df.isStreaming else df
 
 
 def ship_by_value(*module_names: str) -> None:

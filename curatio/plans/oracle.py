@@ -2,7 +2,7 @@
 
 Patterns and parameters come from the same modules the Spark side uses, so
 the two can only differ in engine semantics. Doubles are rounded to 6
-decimals on both sides, and ranking uses the rounded score.
+decimals on both sides in the output; ranking uses the raw score.
 """
 
 from __future__ import annotations
@@ -103,7 +103,7 @@ rel AS (
 rel2 AS (SELECT *, base0 * power(1.2::DOUBLE, n_related) AS base FROM rel),
 kw AS (
   SELECT {tk}, c.dept, c.dept_ord,
-    coalesce((SELECT sum(r.base) FROM rel2 r
+    coalesce((SELECT sum(r.base ORDER BY r.kw_ord) FROM rel2 r
               WHERE {rk} AND r.dept = c.dept), 0.0::DOUBLE) AS kw_score
   FROM texts t CROSS JOIN cats c)"""]
     if vectors:
@@ -130,19 +130,19 @@ blend AS (
   FROM kw k JOIN sim s USING ({K}, dept)),
 ranked AS (
   SELECT *, first_value(dept) OVER (PARTITION BY {K}
-            ORDER BY round(score, 6) DESC, dept_ord) AS winner
+            ORDER BY score DESC, dept_ord) AS winner
   FROM blend),
 adj AS (
   SELECT r.*, x.x_winner IS NOT NULL AS excluded,
     CASE WHEN x.x_winner IS NOT NULL THEN score * 0.5::DOUBLE ELSE score END AS adj_score
   FROM ranked r LEFT JOIN rules x ON x.x_winner = r.winner AND x.x_excluded = r.dept),
 top AS (
-  SELECT {K}, dept, round(adj_score, 6) AS best,
-    row_number() OVER (PARTITION BY {K} ORDER BY round(adj_score, 6) DESC, dept_ord) AS rn
+  SELECT {K}, dept, adj_score AS best,
+    row_number() OVER (PARTITION BY {K} ORDER BY adj_score DESC, dept_ord) AS rn
   FROM adj),
 labels AS (
   SELECT {K}, CASE WHEN best > 0 THEN dept ELSE {_q(S.TEST_FALLBACK)} END AS label,
-    best AS best_score
+    round(best, 6) AS best_score
   FROM top WHERE rn = 1),
 classified AS (
   SELECT q.*, l.label, l.best_score

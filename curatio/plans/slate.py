@@ -23,6 +23,14 @@ from curatio.session import cut_lineage
 KEYS = S.QA_KEYS
 
 
+
+def _tasks(spark) -> int | None:
+    """Tasks for the CPU-heavy narrow steps (the session setting
+    ``curatio.input.partitions``); unset: as the files are read."""
+    n = spark.conf.get("curatio.input.partitions", None)
+    return int(n) if n else None
+
+
 _LEXICONS: dict = {}
 
 
@@ -49,9 +57,10 @@ def _qa_vectors(spark, d, qa: DataFrame | None = None, key: str = "conv_id") ->
     """QA rows with an embedding: vector ``key mod |embeddings|``.
     The count is a one-row aggregate, broadcast without a driver trip."""
     emb = table(spark, d, "embeddings")
+    qa = spread(qa if qa is not None else _qa(spark, d), _tasks(spark))
     # a global aggregate has exactly one row: a proven size
     n = checked_broadcast(emb.agg(F.count(F.lit(1)).alias("_n")), known_rows=1, what="count")
-    qa = (qa if qa is not None else _qa(spark, d)).crossJoin(n) \
+    qa = qa.crossJoin(n) \
         .withColumn("_vk", F.pmod(key, "_n")).drop("_n")
     vec = emb.select(F.col("vec_id").alias("_vk"), "embedding")
     return qa.join(vec, "_vk", "left").drop("_vk")
@@ -80,17 +89,19 @@ def _r6(c):
 # ------------------------------------------------------------------ pages
 
 def q_page_links(spark: SparkSession, d: str) -> DataFrame:
-    return P.page_links(table(spark, d, "pages"), S.PAGE_LINK_SELECTOR, S.PAGE_LINK_SUBSTRING)
+    return P.page_links(table(spark, d, "pages"), S.PAGE_LINK_SELECTOR, S.PAGE_LINK_SUBSTRING,
+                        partitions=_tasks(spark))
 
 
 def q_page_anchors(spark: SparkSession, d: str) -> DataFrame:
     """Every anchor of the selector, document order and duplicates kept (no
     substring filter)."""
-    return P.page_links(table(spark, d, "pages"), S.PAGE_LINK_SELECTOR, None)
+    return P.page_links(table(spark, d, "pages"), S.PAGE_LINK_SELECTOR, None, partitions=_tasks(spark))
 
 
 def q_page_qa(spark: SparkSession, d: str) -> DataFrame:
-    return P.page_qa(table(spark, d, "pages"), S.PAGE_QUESTION_SELECTOR, S.PAGE_ANSWER_SELECTOR)
+    return P.page_qa(table(spark, d, "pages"), S.PAGE_QUESTION_SELECTOR, S.PAGE_ANSWER_SELECTOR,
+                     partitions=_tasks(spark))
 
 
 def q_latest_capture(spark: SparkSession, d: str) -> DataFrame:
@@ -118,7 +129,7 @@ def q_dedup_first_seen(spark: SparkSession, d: str) -> DataFrame:
 # ---------------------------------------------------------------- text
 
 def q_clean_text(spark: SparkSession, d: str) -> DataFrame:
-    pg = spread(table(spark, d, "pages"))
+    pg = spread(table(spark, d, "pages"), _tasks(spark))
     return pg.select("page_id",
                      clean_text(F.concat_ws(" ", "url", "html")).alias("cleaned"),
                      F.length(ustrip("html")).cast("long").alias("stripped_len"))
@@ -146,7 +157,7 @@ def q_keyword_context(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_keyword_scores(spark: SparkSession, d: str) -> DataFrame:
-    s = L.keyword_scores(_texts(spark, d).repartition(*KEYS), KEYS, "ctext", _lex(spark))
+    s = L.keyword_scores(_texts(spark, d), KEYS, "ctext", _lex(spark))
     return s.select(*KEYS, "dept", _r6("kw_score").alias("kw_score"))
 
 
@@ -162,7 +173,7 @@ def q_cosine_pairs(spark: SparkSession, d: str) -> DataFrame:
 def q_prototype_scores(spark: SparkSession, d: str) -> DataFrame:
     emb = table(spark, d, "embeddings")
     protos = V.exemplar_prototypes(emb, "vec_id", "embedding", "label")
-    protos = checked_broadcast(protos, what="prototypes")
+    protos = checked_broadcast(cut_lineage(protos), what="prototypes")
     j = emb.select("vec_id", "embedding").crossJoin(
         protos.select(F.col("label").alias("proto_label"), "proto"))
     return j.select("vec_id", "proto_label", _r6(cosine("embedding", "proto")).alias("similarity"))
@@ -177,17 +188,17 @@ def q_blend_scores(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_classify(spark: SparkSession, d: str) -> DataFrame:
-    return _classified(spark, d).select(*KEYS, "label", "best_score")
+    return _classified(spark, d).select(*KEYS, "label", _r6("best_score").alias("best_score"))
 
 
 def q_classify_documents(spark: SparkSession, d: str) -> DataFrame:
     """The document corpus through the same chain: first line = question,
     the rest = answer (read whole), keyed by doc_id."""
     lex = _lex(spark)
-    docs = qa_from_documents(spread(table(spark, d, "documents"))).select("doc_id", "question", "answer")
+    docs = qa_from_documents(table(spark, d, "documents")).select("doc_id", "question", "answer")
     out = C.classify(_qa_vectors(spark, d, docs, "doc_id"), ["doc_id"], lex, "embedding",
                      _protos(spark, d, lex), _params(answer_prefix=None))
-    return out.select("doc_id", "label", "best_score")
+    return out.select("doc_id", "label", _r6("best_score").alias("best_score"))
 
 
 def q_classification_stats(spark: SparkSession, d: str) -> DataFrame:
@@ -195,13 +206,13 @@ def q_classification_stats(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_classify_similarity(spark: SparkSession, d: str) -> DataFrame:
-    return _classified(spark, d, keyword_weight=0.0).select(*KEYS, "label", "best_score")
+    return _classified(spark, d, keyword_weight=0.0).select(*KEYS, "label", _r6("best_score").alias("best_score"))
 
 
 def q_classify_sparse(spark: SparkSession, d: str) -> DataFrame:
     lex = _lex(spark, S.SPARSE_LEXICON)
     out = C.classify(_qa(spark, d), KEYS, lex, None, None, _params())
-    return out.select(*KEYS, "label", "best_score")
+    return out.select(*KEYS, "label", _r6("best_score").alias("best_score"))
 
 
 # -------------------------------------------------------------- curation

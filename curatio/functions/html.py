@@ -6,8 +6,10 @@ is its own text chunk, script/style bodies are raw text) with an
 open-element stack.
 Selectors are descendant chains of compound selectors (``tag``, ``.class``,
 ``#id``, e.g. ``.clearfix h1``). Text of an element is every text node
-inside it stripped, empties dropped, joined without a separator; comments
-and script/style text are not text; entities are decoded."""
+inside it stripped, empties dropped, joined without a separator; adjacent
+chunks are one node, tags and comments end it; comments and the text of
+script, style, template and ruby annotations are not text; entities are
+decoded."""
 
 from __future__ import annotations
 
@@ -17,7 +19,8 @@ from urllib.parse import urljoin
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta",
         "param", "source", "track", "wbr"}
-RAW_TEXT = {"script", "style", "template"}
+# Elements whose text does not count as text of what holds them.
+NO_TEXT = {"script", "style", "template", "rt", "rp"}
 # Start tags that implicitly close an open <p>.
 CLOSES_P = {"address", "article", "aside", "blockquote", "div", "dl", "fieldset", "footer",
             "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "nav",
@@ -28,7 +31,9 @@ SELF_CLOSING_SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"},
 _COMPOUND = re.compile(r"([a-zA-Z0-9_-]+)|\.([a-zA-Z0-9_-]+)|#([a-zA-Z0-9_-]+)")
 # comment | declaration | processing instruction | start/end tag
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>"
-                    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+                    r"|<(/?)([a-zA-Z][^\s/>]*)"
+                    # a quote opens a value only right after the equals sign
+                    r"((?:=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*|(?=>))|[^>=])*+)>", re.S)
 _ATTR = re.compile(r"([^\s=/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _CDATA = {"script", "style"}  # bodies are raw text: no tags inside
 
@@ -78,11 +83,13 @@ class _PageParser:
         self.open_caps: list[list] = []    # [name, depth, chunks]
         self.done: dict[str, str] = {}
         self.attrs_found: list[str | None] = []
-        self.raw = 0
+        self.hidden = 0                    # open elements without text
+        self.node: list[str] = []          # chunks of the current text node
 
     def _pop_to(self, idx: int):
         while len(self.stack) > idx:
-            self.stack.pop()
+            if self.stack.pop()[0] in NO_TEXT:
+                self.hidden -= 1
             depth = len(self.stack)
             keep = []
             for cap in self.open_caps:
@@ -99,6 +106,7 @@ class _PageParser:
                 return
 
     def handle_starttag(self, tag, attrs):
+        self.end_node()
         a = dict(attrs)
         if tag in CLOSES_P:
             self._close_nearest({"p"})
@@ -112,8 +120,8 @@ class _PageParser:
                 self.open_caps.append([name, len(self.stack), []])
         if self.all_chain is not None and matches(self.all_chain, self.stack):
             self.attrs_found.append(a.get(self.attr))
-        if tag in RAW_TEXT:
-            self.raw += 1
+        if tag in NO_TEXT:
+            self.hidden += 1
         if tag in VOID:
             self._pop_to(len(self.stack) - 1)
 
@@ -123,19 +131,21 @@ class _PageParser:
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
+        self.end_node()
         if tag in VOID:
             return
         for i in range(len(self.stack) - 1, -1, -1):
             if self.stack[i][0] == tag:
-                if tag in RAW_TEXT:
-                    self.raw = max(0, self.raw - 1)
                 self._pop_to(i)
                 return
 
     def handle_data(self, data):
-        if self.raw:
-            return
-        s = data.strip()
+        if not self.hidden:
+            self.node.append(data)
+
+    def end_node(self):
+        s = "".join(self.node).strip()
+        self.node = []
         if s:
             for cap in self.open_caps:
                 cap[2].append(s)
@@ -162,6 +172,7 @@ class _PageParser:
             pos = m.end()
             name = m.group(2)
             if name is None:
+                self.end_node()
                 continue  # comment, declaration, processing instruction
             tag = name.lower()
             if m.group(1):
@@ -170,13 +181,14 @@ class _PageParser:
                     return  # every first match is complete: the rest cannot change it
                 continue
             raw = m.group(3) or ""
-            attrs = []
+            attrs, closed = [], raw.endswith("/")
             if raw.strip(" \t\n\r\f/"):
-                for a in _ATTR.finditer(raw.rstrip("/")):
+                for a in _ATTR.finditer(raw):
+                    closed = closed and (a.group(4) is None or a.end() < len(raw))
                     v = a.group(2) if a.group(2) is not None else (
                         a.group(3) if a.group(3) is not None else a.group(4))
                     attrs.append((a.group(1).lower(), None if v is None else unescape(v)))
-            if raw.endswith("/"):
+            if closed:
                 self.handle_startendtag(tag, attrs)
             else:
                 self.handle_starttag(tag, attrs)
@@ -188,6 +200,7 @@ class _PageParser:
                 pos = stop
 
     def finish(self):
+        self.end_node()
         self._pop_to(0)
 
 

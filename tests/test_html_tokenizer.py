@@ -28,6 +28,11 @@ class _StdlibDriven(HTMLParser):
     def handle_data(self, data):
         self.h.handle_data(data)
 
+    def handle_comment(self, data):
+        self.h.end_node()
+
+    handle_decl = handle_pi = unknown_decl = handle_comment
+
 
 def stdlib_select(html, selectors):
     h = H._PageParser(selectors, None, None)
@@ -72,3 +77,16 @@ def test_attribute_extraction_equals_stdlib():
         for sel in ("a", "div a", "img", ".a a"):
             assert H.select_attr(html, sel, "href") == stdlib_attrs(html, sel, "href"), html
         assert H.select_attr(html, "img", "alt") == stdlib_attrs(html, "img", "alt"), html
+
+
+def test_literal_pages():
+    """Hand-worked texts."""
+    text = lambda html, sel="div": H.select_texts(html, {"t": sel})["t"]
+    assert text("<div><p title=it's>Hello there</p><p>don't stop</p></div>") == "Hello theredon't stop"
+    assert text("<div><span><template>gone</span>kept</div>") == "kept"
+    assert text("<div>5 < 10 mg</div>") == "5 < 10 mg"
+    assert text("<div> a &lt; b <!-- c --> d </div>") == "a < bd"
+    assert text("<div><ruby>kan<rp>(</rp><rt>ji</rt><rp>)</rp></ruby> x</div>") == "kanx"
+    assert text("<div title='a>b' class=\"c>d\">in</div>") == "in"
+    assert text("<div><script>x</script>y<style>z</style></div>") == "y"
+    assert H.select_attr("<a href=/x/>l</a><a href=>m</a><a href='/y'/>", "a") == ["/x/", None, "/y"]

@@ -218,12 +218,25 @@ WITH c AS (
 b AS (SELECT url, min(try_no) AS try_no FROM c WHERE try_no <= 3 AND status = 200 GROUP BY url)
 SELECT c.url, c.event_id, CAST(c.try_no - 1 AS BIGINT) AS attempt FROM c JOIN b USING (url, try_no)"""
     q["bad_rows_split"] = """
-SELECT event_id,
-  CASE WHEN bad THEN NULL ELSE TRY_CAST(json_extract(props, '$.k') AS BIGINT) END AS k, bad AS is_bad
-FROM (SELECT event_id, props,
-        coalesce(NOT (json_type(TRY_CAST(props AS JSON)) = 'OBJECT')
-                 OR NOT list_contains(json_keys(TRY_CAST(props AS JSON)), 'k'), true) AS bad
-      FROM events)"""
+WITH l AS (
+  SELECT event_id, CASE event_type WHEN 'click' THEN props || ' trailing' WHEN 'error' THEN '[' || props || ']'
+    WHEN 'purchase' THEN substr(props, 1, length(props) - 1)
+    WHEN 'signup' THEN replace(props, '"k"', '"j"') ELSE props END AS line
+  FROM events),
+b AS (SELECT event_id, line, coalesce(CASE WHEN json_valid(line) THEN json_type(line) <> 'OBJECT'
+        OR NOT list_contains(json_keys(line), 'k') ELSE true END, true) AS bad FROM l)
+SELECT event_id, CASE WHEN bad THEN NULL ELSE TRY_CAST(json_extract(line, '$.k') AS BIGINT) END AS k, bad AS is_bad
+FROM b"""
+    q["unseen_questions"] = """
+SELECT conv_id, turn FROM conversations u WHERE role = 'user' AND NOT EXISTS (
+  SELECT 1 FROM (SELECT text FROM documents UNION ALL SELECT text FROM conversations WHERE role = 'assistant') s
+  WHERE s.text IS NOT DISTINCT FROM u.text)"""
+    q["quarantine"] = """
+SELECT u.conv_id, u.turn, u.text IS NULL OR a.text IS NULL AS is_bad
+FROM conversations u LEFT JOIN conversations a
+  ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
+WHERE u.role = 'user'"""
+    q["decoded_pages"] = "SELECT page_id, html FROM pages"
     q["dedup_first_seen"] = """
 SELECT doc_id, lang, source, n_chars FROM (
   SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS rn FROM documents)
@@ -252,6 +265,16 @@ WITH ex AS (SELECT label, arg_min(embedding, vec_id) AS proto FROM embeddings GR
 SELECT e.vec_id, ex.label AS proto_label,
   round(list_cosine_similarity(e.embedding::DOUBLE[], ex.proto::DOUBLE[]), 6) AS similarity
 FROM embeddings e CROSS JOIN ex"""
+    letters = "aeio"
+    vec = lambda c: "[" + ", ".join(
+        f"(length({c}) - length(replace({c}, '{x}', '')))::DOUBLE" for x in letters) + "]"
+    dot = lambda a, b: " + ".join(f"{a}[{k + 1}] * {b}[{k + 1}]" for k in range(len(letters)))
+    q["keyword_prototype_scores"] = base_ctes(vectors=False) + f""",
+p AS (SELECT c.dept, coalesce(string_agg(l.keyword, ' ' ORDER BY l.kw_ord), '') AS t
+      FROM cats c LEFT JOIN lex l USING (dept) GROUP BY c.dept),
+v AS (SELECT qa.conv_id, qa.turn, p.dept, {vec("coalesce(qa.question, '')")} AS x, {vec("p.t")} AS y FROM qa CROSS JOIN p)
+SELECT conv_id, turn, dept, round(({dot("x", "y")}) / (greatest(sqrt({dot("x", "x")}), 1e-8)
+  * greatest(sqrt({dot("y", "y")}), 1e-8)), 6) AS similarity FROM v"""
     q["blend_scores"] = base_ctes() + """
 SELECT conv_id, turn, dept, round(similarity, 6) AS similarity, round(kw_score, 6) AS kw_score,
   round(adj_score, 6) AS score, excluded FROM adj"""
@@ -274,6 +297,12 @@ SELECT doc_id, lang FROM (
     q["conversations_out"] = _final_ctes() + """
 SELECT id, to_json([{'from': 'user', 'value': question}, {'from': 'assistant', 'value': answer}])::VARCHAR
   AS conversations FROM final"""
+    prompts = " ".join(f"WHEN {_q(g)} THEN {_q(p)}" for g, p in S.TEST_PROMPTS)
+    q["prompted_conversations"] = _final_ctes() + f"""
+SELECT id, to_json(CASE WHEN label IN ({", ".join(_q(g) for g, _ in S.TEST_PROMPTS)})
+    THEN [{{'from': 'system', 'value': CASE label {prompts} END}}] ELSE [] END
+  || [{{'from': 'user', 'value': question}}, {{'from': 'assistant', 'value': answer}}])::VARCHAR AS conversations
+FROM final"""
     q["conversion_stats"] = base_ctes() + f""",
 per AS (
   SELECT label, count(*) AS original,

@@ -19,6 +19,7 @@ TEST_EXCLUSIONS = [("en", "de"), ("fr", "es")]
 TEST_FALLBACK = "other"
 # Reject terms are words of the data, so the filter has something to reject.
 TEST_REJECT_TERMS = ["Nicht", "ción", "thtion"]
+TEST_PROMPTS = [("en", "Answer in English."), ("de", "Antworte auf Deutsch.")]
 TEST_CAP = 140
 TEST_SEED = 42
 QA_KEYS = ["conv_id", "turn"]
@@ -26,3 +27,8 @@ PAGE_QUESTION_SELECTOR = "article h1"
 PAGE_ANSWER_SELECTOR = "article"
 PAGE_LINK_SELECTOR = "nav a"
 PAGE_LINK_SUBSTRING = "en"
+
+
+def letter_model():
+    """A deterministic stand-in for a text model: counts of four letters."""
+    return lambda texts: [[float(t.count(c)) for c in "aeio"] for t in texts]

@@ -3,6 +3,7 @@ over the whole driver tables. Column names match :mod:`curatio.plans.oracle`."""
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,8 +17,8 @@ from curatio.operators import report as R
 from curatio.operators import similarity as V
 from curatio.plans import scenario as S
 from curatio.sources.tables import qa_from_conversations, qa_from_documents, table
-from curatio.sources.readers import classify_json_lines
-from curatio.operators.util import checked_broadcast, spread
+from curatio.sources.readers import classify_json_lines, schema_gate
+from curatio.operators.util import checked_broadcast, ship_by_value, spread
 from curatio.session import cut_lineage
 
 KEYS = S.QA_KEYS
@@ -116,7 +117,14 @@ def q_latest_capture(spark: SparkSession, d: str) -> DataFrame:
 # ------------------------------------------------------------- sources
 
 def q_bad_rows_split(spark: SparkSession, d: str) -> DataFrame:
-    ev = table(spark, d, "events").select("event_id", F.col("props").alias("line"))
+    # the stored objects, and by the kind of event each way of being bad:
+    # text after the object, not an object, cut short, key missing
+    kind, p = F.col("event_type"), F.col("props")
+    line = (F.when(kind == "click", F.concat(p, F.lit(" trailing")))
+            .when(kind == "error", F.concat(F.lit("["), p, F.lit("]")))
+            .when(kind == "purchase", F.substr(p, F.lit(1), F.length(p) - 1))
+            .when(kind == "signup", F.replace(p, F.lit('"k"'), F.lit('"j"'))).otherwise(p))
+    ev = table(spark, d, "events").select("event_id", line.alias("line"))
     out = classify_json_lines(ev, "line", "k BIGINT", required=["k"])
     return out.select("event_id", F.col("k"), "is_bad")
 
@@ -126,6 +134,38 @@ def q_dedup_first_seen(spark: SparkSession, d: str) -> DataFrame:
     return K.dedup_first_seen(docs, ["text"], ["doc_id"]).select("doc_id", "lang", "source", "n_chars")
 
 
+def q_unseen_questions(spark: SparkSession, d: str) -> DataFrame:
+    """User turns whose text no document of the corpus holds as a whole,
+    nor an assistant said."""
+    conv = table(spark, d, "conversations")
+    said = conv.filter(F.col("role") == "assistant").select("text").unionByName(
+        table(spark, d, "documents").select("text"))
+    return K.drop_seen(conv.filter(F.col("role") == "user"), said, ["text"]).select("conv_id", "turn")
+
+
+def q_quarantine(spark: SparkSession, d: str) -> DataFrame:
+    """User turns with the answer that follows; those without one are
+    quarantined."""
+    conv = table(spark, d, "conversations")
+    a = conv.filter(F.col("role") == "assistant").select(
+        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer"))
+    q = conv.filter(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("question"))
+    good, bad = schema_gate(q.join(a, ["conv_id", "turn"], "left"), mode="quarantine")
+    return good.select(*KEYS, F.lit(False).alias("is_bad")).unionByName(
+        bad.select(*KEYS, F.lit(True).alias("is_bad")))
+
+
+def q_decoded_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Pages as bytes of the crawl's charset, decoded."""
+    @F.pandas_udf("binary")
+    def body(s: pd.Series) -> pd.Series:
+        return s.map(lambda t: None if t is None else t.encode("gb18030"))
+
+    pg = spread(table(spark, d, "pages").select("page_id", "html"), _tasks(spark))
+    return pg.select("page_id", body("html").alias("body")).select(
+        "page_id", P.decode_body("body", spark=spark).alias("html"))
+
+
 # ---------------------------------------------------------------- text
 
 def q_clean_text(spark: SparkSession, d: str) -> DataFrame:
@@ -179,6 +219,17 @@ def q_prototype_scores(spark: SparkSession, d: str) -> DataFrame:
     return j.select("vec_id", "proto_label", _r6(cosine("embedding", "proto")).alias("similarity"))
 
 
+def q_keyword_prototype_scores(spark: SparkSession, d: str) -> DataFrame:
+    """V3 + V4: questions against the categories' keyword prototypes, both
+    embedded by the model hook."""
+    lex = _lex(spark)
+    protos = checked_broadcast(V.keyword_prototypes(lex.keywords, lex.categories, S.letter_model),
+                               known_rows=lex.n_categories, what="prototypes")
+    qa = V.embed_with(spread(_qa(spark, d), _tasks(spark)), "question", "qv", S.letter_model)
+    return qa.select(*KEYS, "qv").crossJoin(protos).select(
+        *KEYS, "dept", _r6(cosine("qv", "proto")).alias("similarity"))
+
+
 def q_blend_scores(spark: SparkSession, d: str) -> DataFrame:
     lex = _lex(spark)
     rows = C.classification_text(_qa_vectors(spark, d), "question", "answer", "ctext")
@@ -256,6 +307,13 @@ def q_conversations_out(spark: SparkSession, d: str) -> DataFrame:
     return rec.select("id", F.to_json("conversations").alias("conversations"))
 
 
+def q_prompted_conversations(spark: SparkSession, d: str) -> DataFrame:
+    """Records with the system turn of the label, for labels that have one."""
+    prompts = spark.createDataFrame(S.TEST_PROMPTS, "g string, prompt string")
+    rec = K.conversation_records(_final(spark, d), "id", "question", "answer", prompts=prompts, group_col="label")
+    return rec.select("id", F.to_json("conversations").alias("conversations"))
+
+
 def q_conversion_stats(spark: SparkSession, d: str) -> DataFrame:
     v = _valid(_classified(spark, d))
     return K.conversion_stats(v, "label", "valid", S.TEST_CAP)
@@ -284,6 +342,9 @@ QUERIES = {
     "page_qa": q_page_qa,
     "latest_capture": q_latest_capture,
     "bad_rows_split": q_bad_rows_split,
+    "unseen_questions": q_unseen_questions,
+    "quarantine": q_quarantine,
+    "decoded_pages": q_decoded_pages,
     "dedup_first_seen": q_dedup_first_seen,
     "clean_text": q_clean_text,
     "composite_text": q_composite_text,
@@ -292,6 +353,7 @@ QUERIES = {
     "keyword_scores": q_keyword_scores,
     "cosine_pairs": q_cosine_pairs,
     "prototype_scores": q_prototype_scores,
+    "keyword_prototype_scores": q_keyword_prototype_scores,
     "blend_scores": q_blend_scores,
     "classify": q_classify,
     "classify_documents": q_classify_documents,
@@ -302,8 +364,12 @@ QUERIES = {
     "cap_per_group": q_cap_per_group,
     "running_ids": q_running_ids,
     "conversations_out": q_conversations_out,
+    "prompted_conversations": q_prompted_conversations,
     "conversion_stats": q_conversion_stats,
     "distribution": q_distribution,
     "lang_distribution": q_lang_distribution,
     "group_rows": q_group_rows,
 }
+
+# the small functions above also run where the package isn't installed
+ship_by_value(__name__, "curatio.plans.scenario")

@@ -49,7 +49,10 @@ def main(argv=None) -> int:
     s.add_argument("--out", required=True)
     s.add_argument("--previous", default=None, help="raw rows of earlier runs (URLs to skip)")
     s = sub.add_parser("classify")
-    s.add_argument("--raw", required=True)
+    s.add_argument("--raw", default=None, help="raw rows; else the newest raw file of --raw-dir")
+    s.add_argument("--raw-dir", default=".")
+    s.add_argument("--vectors", default=None, help="parquet: url, embedding")
+    s.add_argument("--prototypes", default=None, help="parquet: dept, proto")
     s.add_argument("--lexicon", required=True)
     s.add_argument("--out", required=True)
     s = sub.add_parser("convert")
@@ -71,7 +74,11 @@ def main(argv=None) -> int:
     elif a.cmd == "merge":
         jobs.merge(spark, a.parts, a.out, a.previous)
     elif a.cmd == "classify":
-        jobs.classify_corpus(spark, jobs.read_raw(spark, a.raw), read_lexicon(spark, a.lexicon), a.out)
+        raw = jobs.read_raw(spark, a.raw) if a.raw else jobs.newest_raw(spark, a.raw_dir)
+        raw = jobs.with_vectors(raw, spark.read.parquet(a.vectors)) if a.vectors else raw
+        jobs.classify_corpus(spark, raw, read_lexicon(spark, a.lexicon), a.out,
+                             vec_col="embedding" if a.vectors else None,
+                             prototypes=spark.read.parquet(a.prototypes) if a.prototypes else None)
     elif a.cmd == "convert":
         jobs.convert_corpus(spark, spark.read.parquet(a.classified), a.out, a.max_samples or None, a.seed)
     elif a.cmd == "report":

@@ -67,7 +67,7 @@ def dedup_first_seen(df: DataFrame, key_cols: Sequence[str], order_cols: Sequenc
 def drop_seen(df: DataFrame, seen: DataFrame, key_cols: Sequence[str]) -> DataFrame:
     """Rows whose key was not seen in an earlier run (left anti join;
     null keys compare equal, as a seen-set holds None)."""
-    s = seen.select(*[F.col(k).alias(f"_seen_{k}") for k in key_cols]).distinct()
+    s = seen.select(*[F.col(k).alias(f"_seen_{k}") for k in key_cols])
     cond = None
     for k in key_cols:
         c = df[k].eqNullSafe(s[f"_seen_{k}"])

@@ -61,16 +61,33 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
         df = RD.read_json_array(spark, path)
     else:
         df = spark.read.schema(RD.QA_DDL).json(path)
+    df = df.select("*", F.struct(*RD.input_position()).alias("pos"))
     return RD.schema_gate(df)
 
 
+def newest_raw(spark: SparkSession, folder: str) -> DataFrame:
+    """The newest raw array file of a folder, as the original takes when no
+    path is given."""
+    return read_raw(spark, RD.newest_file(spark, folder))
+
+
+def with_vectors(raw: DataFrame, vectors: DataFrame, key: str = "url", vec_col: str = "embedding") -> DataFrame:
+    """Rows with the embedding of their ``key`` (one row a key; null where
+    there is none)."""
+    one = vectors.groupBy(key).agg(F.min_by(vec_col, F.xxhash64(vec_col)).alias(vec_col))
+    return raw.join(one, key, "left")
+
+
 def classify_corpus(spark: SparkSession, raw: DataFrame, lex: Lexicon, out_dir: str,
                     params: ClassifyParams | None = None, vec_col: str | None = None,
                     prototypes: DataFrame | None = None) -> DataFrame:
     """Label every raw row; write the corpus partitioned by category and the
-    ``category: N条`` stats. Rows keep their input position (``pos``) for
-    the first-appearance order of categories and the running ids."""
-    rows = raw.withColumn("pos", F.monotonically_increasing_id())
+    ``category: N条`` stats. Rows keep their input position (``pos``: part and
+    line, if read by :func:`read_raw`) for the first-appearance order of
+    categories and the running ids. An empty corpus is an error."""
+    rows = raw if "pos" in raw.columns else raw.withColumn("pos", F.monotonically_increasing_id())
+    if not rows.take(1):
+        raise ValueError("the corpus is empty")
     labelled = classify(rows, ["pos"], lex, vec_col, prototypes, params)
     labelled = labelled.select("pos", "question", "answer", "url", "label")
     SK.write_classified(labelled, os.path.join(out_dir, "classified"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,11 +75,22 @@ def read_json_parts(spark: SparkSession, paths: Sequence[str] | str,
     no = F.lit(len(given))
     for k, p in reversed(list(enumerate(given))):
         no = F.when(F.col("part").endswith("/" + p.rstrip("/").split("://")[-1].lstrip("/")), F.lit(k)).otherwise(no)
-    padded = F.regexp_replace(F.regexp_replace("part", r"(\d+)", "0" * 19 + "$1"), r"\d*(\d{19})", "$1")
-    raw = raw.withColumn("part_no", no).withColumn("part_key", padded)
+    raw = raw.withColumn("part_no", no).withColumn("part_key", number_order("part"))
     return classify_json_lines(raw, "value", schema, required)
 
 
+def number_order(path):
+    """A path with its numbers padded, so that part_2 comes before part_10."""
+    return F.regexp_replace(F.regexp_replace(path, r"(\d+)", "0" * 19 + "$1"), r"\d*(\d{19})", "$1")
+
+
+def input_position() -> list:
+    """Columns that give the (part, line) order of a file scan, whatever the
+    splits: select them right from the read."""
+    return [number_order(F.col("_metadata.file_path")).alias("part"),
+            F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line_id")]
+
+
 def merge_parts(parts: DataFrame, key: str = "url") -> DataFrame:
     """S3 + A5: good lines only, first seen per key in (part, line) order."""
     from curatio.operators.curate import dedup_first_seen
@@ -113,10 +125,14 @@ def newest_file(spark: SparkSession, folder: str, prefix: str = D.RAW_PREFIX,
     time (``mtime``; Spark exposes no ctime) or by file name (``name``,
     descending). Raises FileNotFoundError when none matches. Only file
     metadata is read (one row per file, via the file index)."""
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", f"{prefix}*{suffix}")
-             .load(folder).select("path", "modificationTime"))
     order = F.col("modificationTime") if by == "mtime" else F.col("path")
-    row = files.agg(F.max_by("path", order).alias("p")).first()
+    try:       # the folder's own files, not those of folders in it
+        row = (spark.read.format("binaryFile").load(f"{folder.rstrip('/')}/{prefix}*{suffix}")
+               .agg(F.max_by("path", order).alias("p")).first())
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        row = None
     if row is None or row["p"] is None:
         raise FileNotFoundError(f"no {prefix}*{suffix} file in {folder}")
     return row["p"]

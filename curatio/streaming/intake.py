@@ -4,10 +4,11 @@ T1: new page files -> QA rows, incrementally (file source, the same
 ``mapInPandas`` parse and JVM gates as the batch operator).
 T2: exact first-seen URL dedup across micro-batches: inside a batch the
 first row per URL in (part, line) order wins; across batches a left anti
-join against the rows already committed drops URLs seen before. Each batch
-writes its own ``batch_id=N`` folder with overwrite, so a replayed batch
-replaces its partial output instead of duplicating it, and the "seen" read
-excludes the batch being written.
+join against the rows already committed drops URLs seen before. Rows are
+stored by hash bucket of the URL, so a batch reads the buckets of its own keys
+only. Within a bucket each batch writes its own ``batch_id=N`` folder with
+overwrite, so a replayed batch replaces its partial output instead of
+duplicating it, and the "seen" read excludes the batch being written.
 """
 
 from __future__ import annotations
@@ -41,32 +42,33 @@ def stream_page_qa(spark: SparkSession, source_dir: str, out_dir: str, checkpoin
 
 
 def dedup_batch(batch: DataFrame, batch_id: int, target: str, key: str = "url",
-                order_cols: Sequence[str] = ("part", "line")) -> None:
+                order_cols: Sequence[str] = ("part", "line"), buckets: int = 64) -> None:
     """T2 body for ``foreachBatch``: first-seen rows of this batch whose key
-    was not committed by an earlier batch."""
+    was not committed by an earlier batch. Only the hash buckets that the
+    batch's keys fall into are read."""
     spark = batch.sparkSession
-    first = dedup_first_seen(batch, [key], list(order_cols))
-    committed = [b for b in _batch_dirs(spark, target) if b != batch_id]
-    if committed:
-        seen = spark.read.parquet(target).filter(F.col("batch_id") != batch_id).select(key)
-        first = drop_seen(first, seen, [key])
-    first.write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch_id={batch_id}")
-
-
-def _batch_dirs(spark: SparkSession, target: str) -> list[int]:
-    """Ids of the ``batch_id=N`` folders under ``target`` (any Hadoop file
-    system: HDFS, object stores, local)."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(target)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    out = []
-    for st in fs.listStatus(path):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("batch_id="):
-            out.append(int(name.split("=", 1)[1]))
-    return out
+    first = dedup_first_seen(batch, [key], list(order_cols)).withColumn(
+        "bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")).persist()
+    try:
+        touched = [r.bucket for r in first.select("bucket").distinct().collect()]    # ``buckets`` at most
+        kept = first
+        paths = _existing(spark, [f"{target.rstrip('/')}/bucket={b}" for b in sorted(touched)])
+        if paths:
+            seen = (spark.read.option("basePath", target).parquet(*paths)
+                    .filter(F.col("batch_id") != batch_id).select(key))
+            kept = drop_seen(first, seen, [key])
+        (kept.withColumn("batch_id", F.lit(batch_id).cast("long")).repartition("bucket")
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("bucket", "batch_id").parquet(target))
+    finally:
+        first.unpersist()
+
+
+def _existing(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Those of the folders that exist (any Hadoop file system)."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop = [(p, jvm.org.apache.hadoop.fs.Path(p)) for p in paths]
+    return [p for p, h in hadoop if h.getFileSystem(conf).exists(h)]
 
 
 def stream_dedup(lines: DataFrame, target: str, checkpoint: str, key: str = "url",

@@ -77,3 +77,24 @@ def test_relabelling_replaces_outputs(spark):
                                "id long, question string, answer string, label string, best_score double")
     out = classify(qa, ["id"], lex, params=ClassifyParams(fallback="z", exclusions=[]))
     assert out.columns.count("label") == 1 and out.collect()[0].label == "a"
+
+
+def test_labels_follow_raw_scores(spark):
+    """Scores that differ in the seventh decimal, and a best score of 4e-7."""
+    got = _labels(spark, [[0.5000001, 0.5000004, 0, 0, 0], [0, 4e-7, 0, 0, 0]], rules=[])
+    assert got == {0: "b", 1: "b"}
+
+
+def test_building_classify_runs_nothing(spark):
+    from curatio.operators.classify import classify
+    from curatio.operators.lexicon import lexicon_from_dict
+    from pyspark.sql import functions as F
+    lex = lexicon_from_dict(spark, {"a": ["xx"], "z": []})
+    classify(spark.range(1).selectExpr("id", "'q' question", "'a' answer"), ["id"], lex)   # the lexicon row is made once
+    spark.sparkContext.setJobGroup("building", "")
+    try:
+        qa = spark.range(100).groupBy("id").agg(F.lit("xx").alias("question"), F.lit("xx").alias("answer"))
+        classify(qa, ["id"], lex)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

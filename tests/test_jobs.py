@@ -95,3 +95,48 @@ def test_merge_skips_urls_of_earlier_runs(spark, tmpdir_path):
                       previous=os.path.join(tmpdir_path, "run1"))
     got = [r.url for r in spark.read.json(os.path.join(tmpdir_path, "run2")).collect()]
     assert got == ["u9"]
+
+
+def test_vectors_and_prototypes_from_files_change_labels(spark, tmpdir_path):
+    from curatio.__main__ import main
+    raw = os.path.join(tmpdir_path, "xywy_qa_1.json")
+    with open(raw, "w", encoding="utf-8") as f:
+        json.dump([{"question": "头痛怎么办", "answer": "多喝水多休息", "url": "u1"},
+                   {"question": "头痛又来了", "answer": "多喝水多休息", "url": "u2"}], f, ensure_ascii=False)
+    lex = os.path.join(tmpdir_path, "lex.json")
+    with open(lex, "w", encoding="utf-8") as f:
+        json.dump({"内科": ["头痛"], "外科": ["骨折"], "其他科": []}, f, ensure_ascii=False)
+    spark.createDataFrame([("u1", [-9.0, 9.0])], "url string, embedding array<float>").write.parquet(
+        os.path.join(tmpdir_path, "v"))
+    spark.createDataFrame([("内科", [1.0, -1.0]), ("外科", [-1.0, 1.0])], "dept string, proto array<float>").write.parquet(
+        os.path.join(tmpdir_path, "p"))
+
+    def labels(out, *more):
+        assert main(["classify", "--raw-dir", tmpdir_path, "--lexicon", lex, "--out", out, *more]) == 0
+        return {r.url: r.label for r in spark.read.parquet(os.path.join(out, "classified")).collect()}
+
+    assert labels(os.path.join(tmpdir_path, "a")) == {"u1": "内科", "u2": "内科"}
+    assert labels(os.path.join(tmpdir_path, "b"), "--vectors", os.path.join(tmpdir_path, "v"), "--prototypes",
+                  os.path.join(tmpdir_path, "p")) == {"u1": "外科", "u2": "内科"}
+
+
+def test_ids_do_not_depend_on_splits(spark, tmpdir_path):
+    """Sixteen parts of different sizes, split small and large: the same ids."""
+    for k in range(16):
+        with open(os.path.join(tmpdir_path, f"part_{k}.json"), "w") as f:
+            for i in range(3 + 40 * (k % 3)):
+                f.write(json.dumps({"question": f"q {k} {i}", "answer": "long enough answer", "url": f"u{k}-{i}"}) + "\n")
+    from curatio.operators.lexicon import lexicon_from_dict
+    lex, old, got = lexicon_from_dict(spark, {"a": ["q"], "z": []}), spark.conf.get("spark.sql.files.maxPartitionBytes"), []
+    try:
+        for size in ("512", "128m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            c = jobs.classify_corpus(spark, jobs.read_raw(spark, os.path.join(tmpdir_path, "part_*")), lex,
+                                     os.path.join(tmpdir_path, f"out{size}"))
+            recs = jobs.convert_corpus(spark, c, os.path.join(tmpdir_path, f"out{size}"), cap=50)
+            got.append({r.id: r.conversations[0].value for r in recs.collect()})
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got[0] == got[1] and len(got[0]) == 50
+    order = [tuple(map(int, got[0][k].split()[1:])) for k in sorted(got[0], key=lambda s: int(s.split("_")[1]))]
+    assert order == sorted(order)

@@ -59,3 +59,22 @@ def test_every_query_runs_on_smoke_data(spark):
         df = fn(spark, SF001)
         df.limit(1).collect()
         assert df.columns, name
+
+
+def test_rows_do_not_move_to_their_group(spark):
+    """With static broadcasts off, the thresholds, ranks and offsets are
+    broadcast behind their count, and the rows have no exchange on the group."""
+    from pyspark.sql import functions as F
+
+    from curatio.operators import curate as K
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        df = spark.range(2000).select("id", F.when(F.col("id") % 7 > 0, F.col("id") % 3).cast("string").alias("g"))
+        capped = K.cap_per_group(df, "g", "id", 100)
+        plans = [_plan(capped), _plan(K.first_appearance_rank(df, "g", ["id"])), _plan(K.running_index(df, ["id"]))]
+        assert all("SortMergeJoin" not in p and "ShuffledHashJoin" not in p and "BroadcastHashJoin" in p for p in plans)
+        assert capped.count() == 400      # three groups and the rows without one
+        assert K.first_appearance_rank(df, "g", ["id"]).count() == 2000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

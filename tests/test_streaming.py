@@ -57,3 +57,22 @@ def test_dedup_batch_replay_is_idempotent(spark, tmpdir_path):
     dedup_batch(b1, 1, target)            # and once more
     got = sorted((r.url, r.answer) for r in spark.read.parquet(target).collect())
     assert got == [("u1", "a1"), ("u2", "a2"), ("u3", "a3")]
+
+
+def test_batch_reads_touched_buckets_only(spark, tmpdir_path):
+    """A bucket that no key of the batch falls into isn't read: an unreadable
+    file in it does no harm."""
+    from curatio.streaming.intake import dedup_batch
+    target = os.path.join(tmpdir_path, "merged")
+    ddl = "part string, line long, url string, answer string"
+    dedup_batch(spark.createDataFrame([("p", i, f"u{i}", "a") for i in range(40)], ddl), 0, target)
+    one = spark.createDataFrame([("p", 0, "u3", "late"), ("p", 1, "u3", "again")], ddl)
+    bucket = one.selectExpr("pmod(xxhash64(url), 64) b").first().b
+    other = next(d for d in sorted(os.listdir(target)) if d.startswith("bucket=") and d != f"bucket={bucket}")
+    broken = os.path.join(target, other, "batch_id=7")
+    os.makedirs(broken)
+    with open(os.path.join(broken, "part-0.parquet"), "w") as f:
+        f.write("not parquet")
+    dedup_batch(one, 1, target)
+    got = spark.read.option("basePath", target).parquet(os.path.join(target, f"bucket={bucket}")).filter("url = 'u3'")
+    assert [r.answer for r in got.collect()] == ["a"]

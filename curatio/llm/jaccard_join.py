@@ -241,8 +241,12 @@ def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, rules: JoinRule
     arrays = scratch.put(texts.select("h", "text").mapInArrow(sets, "h long, n long, bits binary, items binary"),
                          f"{name}-sets")
     pairs = scratch.put(_passing(_with_sketches(pairs, arrays), rules).distinct(), f"{name}-close")
-    both = (pairs.join(arrays.select(F.col("h").alias("a"), F.col("items").alias("xa")), "a")
-            .join(arrays.select(F.col("h").alias("b"), F.col("items").alias("xb")), "b"))
+    # the sets themselves move only for the classes of pairs that are left
+    needed = scratch.put(pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct(), f"{name}-needed")
+    few = needed.count() <= rules.broadcast
+    items = arrays.select("h", "items").join(F.broadcast(needed) if few else needed, "h", "left_semi")
+    both = (pairs.join(items.select(F.col("h").alias("a"), F.col("items").alias("xa")), "a")
+            .join(items.select(F.col("h").alias("b"), F.col("items").alias("xb")), "b"))
 
     def exact(batches):
         for batch in batches:
@@ -254,7 +258,7 @@ def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, rules: JoinRule
             yield batch.select(["a", "b"]).filter(pa.array(ok))
 
     out = scratch.put(both.select("a", "b", "xa", "xb").mapInArrow(exact, "a long, b long").distinct(), f"{name}-links")
-    scratch.drop(f"{name}-sets", f"{name}-wanted", f"{name}-close")
+    scratch.drop(f"{name}-sets", f"{name}-wanted", f"{name}-close", f"{name}-needed")
     return out
 
 

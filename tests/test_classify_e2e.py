@@ -31,13 +31,13 @@ def py_label(q, a, vec, protos, sim_w, kw_w, fallback="other"):
     depts = list(TEST_LEXICON)
     scores = [sim_w * _cos(vec, protos.get(d)) + kw_w * brute_score(text, TEST_LEXICON[d], TEST_MARKERS)
               for d in depts]
-    r = [round(s, 6) for s in scores]
+    r = list(scores)
     top = max(range(len(depts)), key=lambda i: (r[i], -i))
     adj = list(scores)
     for w, e in TEST_EXCLUSIONS:
         if depts[top] == w:
             adj[depts.index(e)] *= 0.5
-    ra = [round(s, 6) for s in adj]
+    ra = list(adj)
     best = max(range(len(depts)), key=lambda i: (ra[i], -i))
     return (depts[best] if ra[best] > 0 else fallback), ra[best]
 

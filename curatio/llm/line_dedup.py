@@ -14,7 +14,8 @@ What remains is verified exactly by a bit-parallel automaton over the
 Scale: narrow rows are shuffled by class and by segment key; copies meet in a
 map-side aggregate, so a line that a third of all documents hold is one row
 per task; texts are shuffled once for the classes and once to write the
-result. Lines shorter than ``min_chars`` code points are left alone.
+result. Lines shorter than ``min_chars`` code points take no part in the near
+join; equal ones are removed like any others.
 
 Defined results: null text stays null and has no lines, empty text stays
 empty; blank lines are kept; rows that repeat a document id are one document
@@ -51,13 +52,13 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             .filter(F.col("line").rlike("\\S")))
 
 
-def _keyed(lines: DataFrame, rules: LineRules) -> DataFrame:
-    return lines.filter(F.length("line") >= rules.min_chars).withColumn("h", F.xxhash64("line"))
+def _keyed(lines: DataFrame) -> DataFrame:
+    return lines.withColumn("h", F.xxhash64("line"))
 
 
-def classes_of(lines: DataFrame, rules: LineRules) -> DataFrame:
+def classes_of(lines: DataFrame) -> DataFrame:
     """One row per distinct line: its key, first place, number of places, text."""
-    return (_keyed(lines, rules).groupBy("h")
+    return (_keyed(lines).groupBy("h")
             .agg(F.min(F.struct("id", "line_no")).alias("first"), F.count(F.lit(1)).alias("n"),
                  F.first("line").alias("line")))
 
@@ -99,7 +100,8 @@ def segment_rows(classes: DataFrame, rules: LineRules) -> DataFrame:
     tau, parts = rules.threshold, rules.threshold + 1
     places = F.array(*[F.struct(F.lit(a).alias("less"), F.lit(i).alias("i"), F.lit(s).alias("shift"))
                        for a, i, s in _places(tau)])
-    rows = classes.select("h", F.length("line").alias("len"), "line", F.explode(places).alias("p"))
+    rows = classes.filter(F.length("line") >= rules.min_chars)
+    rows = rows.select("h", F.length("line").alias("len"), "line", F.explode(places).alias("p"))
     # a line of n characters has tau + 1 segments; the last ones are one
     # longer where n is no multiple
     rows = rows.select("h", "len", "line", "p", (F.col("len") - F.col("p.less")).alias("n"))
@@ -173,7 +175,7 @@ def removals(docs: DataFrame, rules: LineRules, scratch: Scratch, id_col: str =
              text_col: str = "text") -> DataFrame:
     """(h, first, near): classes that lose occurrences; ``near`` when an
     earlier class lies within the threshold, so that all occurrences go."""
-    classes = scratch.put(classes_of(lines_of(docs, id_col, text_col), rules), "classes")
+    classes = scratch.put(classes_of(lines_of(docs, id_col, text_col)), "classes")
     met = scratch.put(met_rows(classes, rules), "met")
     keys = met.select("h").distinct()
     few = keys.count() <= BROADCAST_KEYS
@@ -198,7 +200,7 @@ def removed_lines(docs: DataFrame, rules: LineRules, id_col: str = "doc_id", tex
     """(id, gone: array of (line_no, near)) of the documents that lose lines."""
     scratch = Scratch(docs.sparkSession, "lines")
     lost = removals(docs, rules, scratch, id_col, text_col)
-    gone = (_keyed(lines_of(docs, id_col, text_col), rules).select("h", "id", "line_no")
+    gone = (_keyed(lines_of(docs, id_col, text_col)).select("h", "id", "line_no")
             .join(lost, "h")
             .filter(F.col("near") | ~F.struct("id", "line_no").eqNullSafe(F.col("first"))))
     out = gone.groupBy("id").agg(F.collect_set(F.struct("line_no", "near")).alias("gone"))

@@ -394,6 +394,15 @@ def test_line_dedup_equals_brute_force(spark, tau):
     assert line_dedup.line_dedup(docs(spark, rows).limit(0), rules).count() == 0
 
 
+def test_line_dedup_removes_short_repeats(spark):
+    rows = [(1, "Les.\nHaanth.\n \nLes."), (2, "Haanth."), (3, "\nonly here\nLes.\nLet."), (4, "x\nx\nx"), (5, "Haanth.\n \nLes.")]
+    got = {r.doc_id: r for r in line_dedup.line_dedup(docs(spark, rows), line_dedup.LineRules()).collect()}
+    assert {i: (r.text, r.n_lines, r.n_exact, r.n_near) for i, r in got.items()} == {
+        1: ("Les.\nHaanth.\n ", 3, 1, 0), 2: ("", 1, 1, 0), 3: ("\nonly here\nLet.", 3, 1, 0), 4: ("x", 3, 2, 0), 5: (" ", 2, 2, 0)}
+    left = line_dedup.apply(docs(spark, rows), line_dedup.LineRules(), length_col=None)
+    assert sorted(r.doc_id for r in left.collect()) == [1, 3, 4]
+
+
 def test_line_dedup_keeps_columns_and_drops_emptied_documents(spark):
     line = "a line that is long enough to count"
     df = spark.createDataFrame([(1, line, "a", 35, 9), (2, line + ".", "b", 36, 9), (3, "other text\n" + line, "c", 46, 9), (4, None, "d", 0, 9),

@@ -1,7 +1,7 @@
 """Line dedup by a segment-partition edit join, in DataFrame functions alone.
 
 A line is removed when an equal line, or one within ``threshold`` edits,
-stands earlier in the corpus (by document id, then line number). Equal lines
+stands earlier in the corpus (by document id, hash of the text, line number). Equal lines
 collapse into classes first. Of two classes within the threshold the shorter
 is cut into ``threshold + 1`` segments, one of which must occur unchanged in
 the longer; the index holds (length, segment number, segment) of each class,
@@ -18,8 +18,9 @@ result. Lines shorter than ``min_chars`` code points take no part in the near
 join; equal ones are removed like any others.
 
 Defined results: null text stays null and has no lines, empty text stays
-empty; blank lines are kept; rows that repeat a document id are one document
-and get equal results; of equal ids and lines all stay; null ids sort first;
+empty; blank lines are kept; rows that repeat a document id and its text are
+one document and get equal results; rows of one id, or without one, whose texts
+differ are different documents; null ids sort first;
 an empty table gives no rows; columns other than id and text are ignored by
 :func:`line_dedup` and carried by :func:`apply`."""
 
@@ -46,9 +47,10 @@ class LineRules:
 
 
 def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, line_no, line) of every line that is not blank."""
-    src = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
-    return (src.select("id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    """(id, t, line_no, line) of every line that is not blank; ``t`` is the
+    hash of the whole text, which tells documents of one id apart."""
+    src = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"), F.xxhash64(docs[text_col]).alias("t"))
+    return (src.select("id", "t", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
             .filter(F.col("line").rlike("\\S")))
 
 
@@ -59,7 +61,7 @@ def _keyed(lines: DataFrame) -> DataFrame:
 def classes_of(lines: DataFrame) -> DataFrame:
     """One row per distinct line: its key, first place, number of places, text."""
     return (_keyed(lines).groupBy("h")
-            .agg(F.min(F.struct("id", "line_no")).alias("first"), F.count(F.lit(1)).alias("n"),
+            .agg(F.min(F.struct("id", "t", "line_no")).alias("first"), F.count(F.lit(1)).alias("n"),
                  F.first("line").alias("line")))
 
 
@@ -197,13 +199,13 @@ def removals(docs: DataFrame, rules: LineRules, scratch: Scratch, id_col: str =
 
 
 def removed_lines(docs: DataFrame, rules: LineRules, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, gone: array of (line_no, near)) of the documents that lose lines."""
+    """(id, t, gone: array of (line_no, near)) of the documents that lose lines."""
     scratch = Scratch(docs.sparkSession, "lines")
     lost = removals(docs, rules, scratch, id_col, text_col)
-    gone = (_keyed(lines_of(docs, id_col, text_col)).select("h", "id", "line_no")
+    gone = (_keyed(lines_of(docs, id_col, text_col)).select("h", "id", "t", "line_no")
             .join(lost, "h")
-            .filter(F.col("near") | ~F.struct("id", "line_no").eqNullSafe(F.col("first"))))
-    out = gone.groupBy("id").agg(F.collect_set(F.struct("line_no", "near")).alias("gone"))
+            .filter(F.col("near") | ~F.struct("id", "t", "line_no").eqNullSafe(F.col("first"))))
+    out = gone.groupBy("id", "t").agg(F.collect_set(F.struct("line_no", "near")).alias("gone"))
     out = scratch.put(out, "gone")
     scratch.drop("removals")
     return out.hint("merge")      # grows with the corpus: never broadcast
@@ -219,9 +221,9 @@ def _without(text: Column, gone: Column) -> Column:
 def line_dedup(docs: DataFrame, rules: LineRules, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: id, n_lines (not blank), n_exact and n_near (lines removed
     as equal, or as near, to an earlier one), text without them."""
-    gone = removed_lines(docs, rules, id_col, text_col).withColumnRenamed("id", "gone_id")
+    gone = removed_lines(docs, rules, id_col, text_col).withColumnsRenamed({"id": "gone_id", "t": "gone_t"})
     src = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
-    j = src.join(gone, F.col("id").eqNullSafe(F.col("gone_id")), "left")
+    j = src.join(gone, F.col("id").eqNullSafe(F.col("gone_id")) & (F.xxhash64("text") == F.col("gone_t")), "left")
     count = lambda near: F.coalesce(F.size(F.filter("gone", lambda g: g["near"] == near)), F.lit(0)).cast("long")
     # blank lines aren't counted; a null text has no lines
     n_lines = F.coalesce(F.size(F.filter(F.split("text", "\n"), lambda x: x.rlike("\\S"))), F.lit(0)).cast("long")
@@ -237,8 +239,9 @@ def apply(docs: DataFrame, rules: LineRules, id_col: str = "doc_id", text_col: s
     its length column brought up to date); a document of which nothing but
     blanks is left goes."""
     gone = removed_lines(docs, rules, id_col, text_col).select(
-        F.col("id").alias("__gone_id"), F.col("gone").alias("__gone"))
-    j = docs.join(gone, docs[id_col].eqNullSafe(F.col("__gone_id")), "left")
+        F.col("id").alias("__gone_id"), F.col("t").alias("__gone_t"), F.col("gone").alias("__gone"))
+    j = docs.join(gone, docs[id_col].eqNullSafe(F.col("__gone_id"))
+                  & (F.xxhash64(docs[text_col]) == F.col("__gone_t")), "left")
     j = j.withColumn("__text", _without(docs[text_col], F.col("__gone")))
     j = j.filter(F.col("__gone").isNull() | F.col("__text").rlike("\\S"))
     cols = []

@@ -403,6 +403,25 @@ def test_line_dedup_removes_short_repeats(spark):
     assert sorted(r.doc_id for r in left.collect()) == [1, 3, 4]
 
 
+def test_line_dedup_tells_texts_of_one_id_apart(spark):
+    same, other = "a line that several documents hold", "another line that several hold"
+    rows = [(None, f"unlike any of the others, one\n{same}"), (None, f"not to be found elsewhere, two\n{same}"),
+            (None, "three is alone with its line\nand with its second line, too"), (7, f"{other}\nof its own: zero one"),
+            (7, f"stands here and nowhere else\n{other}"), (8, f"{same}\n{other}\nleft of eight"), (None, None),
+            (9, "twice the very same row"), (9, "twice the very same row")]
+    got = line_dedup.line_dedup(docs(spark, rows), line_dedup.LineRules()).collect()
+    texts = [r.text for r in got]
+    lines = [x for t in texts for x in (t or "").split("\n") if x]
+    assert len(got) == len(rows) and texts.count(None) == 1 and texts.count("twice the very same row") == 2
+    want = {x for _, t in rows for x in (t or "").split("\n") if x}
+    assert set(lines) == want and len(lines) == len(want) + 1
+    assert sum(same in (r.text or "") for r in got if r.doc_id is None) == 1
+    assert sum(other in r.text for r in got if r.doc_id == 7) == 1
+    assert [r.text for r in got if r.doc_id == 8] == ["left of eight"]
+    again = line_dedup.apply(docs(spark, rows), line_dedup.LineRules(), length_col=None).collect()
+    assert sorted(r.text or "" for r in again) == sorted(t or "" for t in texts)
+
+
 def test_line_dedup_keeps_columns_and_drops_emptied_documents(spark):
     line = "a line that is long enough to count"
     df = spark.createDataFrame([(1, line, "a", 35, 9), (2, line + ".", "b", 36, 9), (3, "other text\n" + line, "c", 46, 9), (4, None, "d", 0, 9),

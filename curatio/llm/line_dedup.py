@@ -11,6 +11,11 @@ below inside the join, so classes that only share a segment are not emitted.
 What remains is verified exactly by a bit-parallel automaton over the
 ``2 * threshold + 1`` diagonals of the band.
 
+For longer lines the threshold grows with the length: a line is near, too,
+within one changed word for each ``words_per_edit`` words of the shorter line
+(:func:`word_edits`). The same segment method finds these over arrays of words, in
+bands of length with one threshold each (:func:`near_by_words`).
+
 Scale: narrow rows are shuffled by class and by segment key; copies meet in a
 map-side aggregate, so a line that a third of all documents hold is one row
 per task; texts are shuffled once for the classes and once to write the
@@ -44,6 +49,7 @@ BROADCAST_KEYS = 200_000
 class LineRules:
     threshold: int = 2
     min_chars: int = 20
+    words_per_edit: int = 20
 
 
 def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -173,6 +179,139 @@ def within(ca: Column, cb: Column, tau: int) -> Column:
                .bitwiseAND(F.lit(1)) == 1))
 
 
+#: A word is a run of up to so many letters and digits; marks and the letters
+#: of scripts without spaces are words of their own.
+_NO_SPACES = "".join(rf"\p{{Is{k}}}" for k in ("Ideographic", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar"))
+WORD = rf"[\p{{L}}\p{{M}}\p{{N}}&&[^{_NO_SPACES}]]{{1,16}}|\S"
+#: From so many edits on, thresholds double and bands are matched at any place.
+_LONG = 32
+_BUCKETS = 16
+
+
+def word_edits(n: Column, rules: LineRules) -> Column:
+    """Words that may differ where the shorter line has ``n``: one for each
+    ``words_per_edit``; from 32 on, the powers of two of that."""
+    per = rules.words_per_edit
+    doubled = F.length(F.bin(F.floor(n / F.lit(per * _LONG)))) - 1
+    return (F.when(n < per * _LONG, F.floor(n / F.lit(per)))
+            .otherwise(F.lit(_LONG).cast("long") * F.pow(F.lit(2), doubled).cast("long"))).cast("int")
+
+
+def _band(n: Column, rules: LineRules) -> Column:
+    """Fewest words of the band of ``n``; all lines of a band have the same
+    threshold. Short bands are wider than the threshold."""
+    per, tau = rules.words_per_edit, word_edits(n, rules)
+    step = F.least(F.floor((n - tau * per) / (tau + 1)), F.greatest(F.floor(F.lit(per) / (tau + 1)) - 1, F.lit(0)))
+    return F.when(tau < _LONG, tau * per + step * (tau + 1)).otherwise(tau * per).cast("int")
+
+
+def word_rows(lines: DataFrame, rules: LineRules) -> DataFrame:
+    """(h, key, own) of lines (h, words, n). The shorter line of a pair is cut,
+    from its start, into one segment more than its band's threshold. Take the
+    first segment up to which no more edits lie than segments before it: it is
+    unchanged and moved by its number at most, and no further back than the
+    edits left for the rest allow."""
+    words, n = F.col("words"), F.col("n")
+
+    def keys(lo, own_band):
+        tau = word_edits(lo, rules)
+        size = F.floor(lo / (tau + 1)).cast("int")
+        key = lambda i, at: F.xxhash64(lo, i, F.slice(words, at + 1, size))
+
+        def placed(i):
+            shifts = F.sequence(-F.least(i, tau - i), i)
+            return F.transform(F.filter(shifts, lambda d: (i * size + d >= 0) & (i * size + d + size <= n)),
+                               lambda d: F.struct(key(i, i * size + d).alias("key"), (own_band & (d == 0)).alias("own")))
+
+        def anywhere():
+            own = F.transform(F.sequence(F.lit(0), tau), lambda i: F.struct(
+                key(F.lit(-1), i * size).alias("key"), own_band.alias("own")))
+            at = F.sequence(F.lit(0), F.greatest(n - size, F.lit(0)))
+            return F.array_distinct(F.concat(F.when(own_band, own).otherwise(F.slice(own, 1, 0)), F.transform(
+                at, lambda p: F.struct(key(F.lit(-1), p).alias("key"), F.lit(False).alias("own")))))
+        return F.when(tau < _LONG, F.flatten(F.transform(F.sequence(F.lit(0), tau), placed))).otherwise(anywhere())
+
+    # the bands of all lengths that a shorter line of a pair may have
+    lengths = F.sequence(F.greatest(n - word_edits(n, rules), F.lit(rules.words_per_edit)), n)
+    rows = lines.withColumn("mine", _band(n, rules)).withColumn(
+        "lo", F.explode(F.array_distinct(F.transform(lengths, lambda m: _band(m, rules)))))
+    return (rows.select("h", F.explode(keys(F.col("lo"), F.col("lo") == F.col("mine"))).alias("k"))
+            .select("h", "k.key", "k.own"))
+
+
+def _word_bag(words: Column) -> Column:
+    """Counts of words by sixteen classes, four bits each."""
+    total, classes = F.lit(0).cast("long"), F.transform(words, lambda w: w.bitwiseAND(F.lit(_BUCKETS - 1).cast("long")))
+    for k in range(_BUCKETS):
+        c = F.size(words) - F.size(F.array_remove(classes, F.lit(k).cast("long")))
+        total = total + F.shiftleft(F.pmod(c, F.lit(1 << _BITS)).cast("long"), k * _BITS)
+    return total
+
+
+def _bags_near(most: Column) -> Column:
+    """The bound of :func:`_letters_near` for ``bag_a`` and ``bag_b``."""
+    size, total = 1 << _BITS, F.lit(0)
+    for k in range(_BUCKETS):
+        a, b = (F.shiftright(F.col(c), k * _BITS).bitwiseAND(size - 1) for c in ("bag_a", "bag_b"))
+        total = total + F.abs(F.pmod(a - b + F.lit(size // 2), F.lit(size)) - size // 2)
+    return total <= 2 * most
+
+
+def _word_distance(a: Column, b: Column) -> Column:
+    """Edit distance of two arrays: each distinct word of the pair becomes one
+    character (four bytes of UTF-8) of two strings."""
+    def text(words, alphabet):
+        def char(w):
+            c = F.array_position(alphabet, w) + F.lit(0xFFFF)
+            part = lambda k: F.shiftleft(F.shiftright(c, 6 * k).bitwiseAND(F.lit(63).cast("long")), 8 * k)
+            return F.hex(F.lit(0xF0808080).cast("long") + part(0) + part(1) + part(2) + part(3))
+        return F.unhex(F.array_join(F.transform(words, char), "")).cast("string")
+    # binds the alphabet, evaluated once
+    return F.transform(F.array(F.array_distinct(F.concat(a, b))), lambda x: F.levenshtein(text(a, x), text(b, x)))[0]
+
+
+def near_by_words(classes: DataFrame, rules: LineRules, scratch: Scratch) -> DataFrame:
+    """(h) of the classes that an earlier one is near to by words. Every class
+    is held against the earliest of each of its keys first, so a large group of
+    near copies costs as many pairs as it has members; only classes that this
+    leaves open meet the others."""
+    def worded(rows):
+        words = F.transform(F.regexp_extract_all("line", F.lit(WORD), F.lit(0)), lambda w: F.xxhash64(w))
+        # the explode of one array keeps the words from being found anew at each use
+        rows = rows.select("h", "first", F.explode(F.array(words)).alias("words"))
+        return rows.withColumn("n", F.size("words")).filter(F.col("n") >= rules.words_per_edit)
+    key = Window.partitionBy("key")
+    met = (word_rows(worded(classes), rules).withColumn("lo", F.min("h").over(key)).withColumn("hi", F.max("h").over(key))
+           .filter("lo <> hi").select("key", "h", "own"))
+    met = scratch.put(met, "words-met")
+    lines = worded(classes.join(met.select("h").distinct(), "h"))
+    lines = scratch.put(lines.withColumn("bag", _word_bag(F.col("words"))), "words-lines")
+    rows = met.join(lines.select("h", "first", "n", "bag"), "h")
+    edits = word_edits(F.least("n_a", "n_b"), rules)
+    fit = (F.abs(F.col("n_a") - F.col("n_b")) <= edits) & _bags_near(edits)
+
+    def side(k, *more):
+        return [F.col(c).alias(f"{c}_{k}") for c in ("first", "n", "bag", *more)]
+
+    def verified(pairs):
+        both = (pairs.join(lines.select(F.col("h").alias("a"), F.col("words").alias("words_a"), F.col("n").alias("n_a")), "a")
+                .join(lines.select(F.col("h").alias("b"), F.col("words").alias("words_b"), F.col("n").alias("n_b")), "b"))
+        return both.filter(_word_distance(F.col("words_a"), F.col("words_b")) <= edits).select(F.col("b").alias("h")).distinct()
+
+    lead = rows.groupBy("key").agg(F.min(F.struct("first", "h", "n", "bag")).alias("lead"))
+    star = (rows.select("key", F.col("h").alias("b"), *side("b")).join(
+        lead.select("key", F.col("lead.h").alias("a"), *[F.col(f"lead.{c}").alias(f"{c}_a") for c in ("n", "bag")]), "key")
+        .filter((F.col("a") != F.col("b")) & fit).select("a", "b").distinct())
+    found = scratch.put(verified(star), "words-star")
+    later = rows.join(found, "h", "left_anti").select("key", F.col("h").alias("b"), *side("b", "own"))
+    rest = (later.join(rows.select("key", F.col("h").alias("a"), *side("a", "own")), "key")
+            .filter((F.col("first_a") < F.col("first_b")) & (F.col("own_a") | F.col("own_b")) & fit)
+            .select("a", "b").distinct())
+    out = scratch.put(found.union(verified(rest)), "words-near")
+    scratch.drop("words-met", "words-lines", "words-star")
+    return out
+
+
 def removals(docs: DataFrame, rules: LineRules, scratch: Scratch, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
     """(h, first, near): classes that lose occurrences; ``near`` when an
@@ -190,11 +329,12 @@ def removals(docs: DataFrame, rules: LineRules, scratch: Scratch, id_col: str =
     near = (pairs.join(side("a"), "a").join(side("b"), "b")
             .filter(within(F.col("chars_a"), F.col("chars_b"), rules.threshold))
             .select(F.when(F.col("first_a") < F.col("first_b"), F.col("b")).otherwise(F.col("a")).alias("h"))
+            .union(near_by_words(classes, rules, scratch))
             .distinct().withColumn("near", F.lit(True)))
     out = (classes.select("h", "first", "n").join(near, "h", "left")
            .withColumn("near", F.coalesce("near", F.lit(False))).filter(F.col("near") | (F.col("n") > 1)))
     out = scratch.put(out.select("h", "first", "near"), "removals")
-    scratch.drop("classes", "met", "lines")
+    scratch.drop("classes", "met", "lines", "words-near")
     return out
 
 

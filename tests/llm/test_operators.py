@@ -422,6 +422,40 @@ def test_line_dedup_tells_texts_of_one_id_apart(spark):
     assert sorted(r.text or "" for r in again) == sorted(t or "" for t in texts)
 
 
+def test_line_dedup_finds_replaced_words(spark):
+    """Words replaced, lost and put in, up to and beyond the threshold."""
+    rng, per = random.Random(4), 4
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(5, 9)))
+    base = [[word() for _ in range(n)] for n in (3, 5, 7, 8, 11, 19, 24, 31, 40, 90, 129, 140, 256)]
+    rows = []
+    for k in range(90):
+        w = list(base[k % len(base)])
+        for _ in range(rng.randrange(0, len(w) // per + 2)):
+            kind, p = rng.randrange(4), rng.randrange(len(w))
+            w[p:p + (kind != 1)] = [] if kind == 2 else [word()]
+        rows.append((k, " ".join(w)))
+    rows += [(200, "這是一個很長的句子沒有空格但是有很多字"), (201, "這是一個很長的句子沒有空間但是有很多字")]
+    rules = line_dedup.LineRules(2, 20, words_per_edit=per)
+
+    def tokens(t):
+        return list(t) if "這" in t else t.split(" ")
+
+    def limit(n):
+        k = n // per
+        return k if k < 32 else 32 * 2 ** ((n // (32 * per)).bit_length() - 1)
+
+    def near(s, t):
+        a, b = tokens(s), tokens(t)
+        return edits(a, b) <= limit(min(len(a), len(b))) or min(len(s), len(t)) >= 20 and abs(len(s) - len(t)) <= 2 and edits(s, t) <= 2
+    want = {i: not any(j < i and near(t, u) for j, u in rows) for i, t in rows}
+    got = {r.doc_id: r.text for r in line_dedup.line_dedup(docs(spark, rows), rules).collect()}
+    assert {i: got[i] != "" for i, _ in rows} == want and 15 < sum(want.values()) < 75
+    # one word of thirty, more than two characters, with the rules of production
+    line = "a line of thirty words " + " ".join(f"word{k}" for k in range(24))
+    two = [(1, line), (2, line.replace("word7", "another")), (3, line.replace("word7", "several").replace("word9 ", "different "))]
+    assert [r.doc_id for r in line_dedup.apply(docs(spark, two), line_dedup.LineRules(), length_col=None).collect()] == [1, 3]
+
+
 def test_line_dedup_keeps_columns_and_drops_emptied_documents(spark):
     line = "a line that is long enough to count"
     df = spark.createDataFrame([(1, line, "a", 35, 9), (2, line + ".", "b", 36, 9), (3, "other text\n" + line, "c", 46, 9), (4, None, "d", 0, 9),

@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curatio.llm import (arc_warc, bpe_automaton, fertility, jaccard_join, langid, learned_ann, licenses, line_dedup,
-                         link_trust, packing)
+from curatio.llm import (arc_warc, bpe_automaton, fertility, hard_negatives, jaccard_join, langid, lattice_lm,
+                         learned_ann, licenses, line_dedup, link_trust, oracle, packing, prefix_trie)
 from curatio.llm.scratch import drop, scratch_path
 from curatio.sources.tables import table
 
@@ -73,8 +73,25 @@ def op10_line_dedup(spark: SparkSession, d: str) -> DataFrame:
     return line_dedup.line_dedup(table(spark, d, "documents"), line_dedup.LineRules())
 
 
+def op11_hard_negatives(spark: SparkSession, d: str) -> DataFrame:
+    vectors = table(spark, d, "embeddings")
+    label = F.when(vectors["vec_id"] % 7 == 0, (vectors["label"] + 1) % 10).otherwise(vectors["label"])
+    return hard_negatives.hard_negatives(vectors, vectors["vec_id"] % 100 == 0, label=label)
+
+
+def op12_lattice_lm(spark: SparkSession, d: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    return lattice_lm.score_documents(table(spark, d, "documents"), held_out,
+                                      lattice_lm.LatticeRules(vocabulary("piece_bpe_32k.model")))
+
+
+def op13_prefix_trie(spark: SparkSession, d: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, d, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_url_trust, op3_jaccard_join, op4_arc_to_warc, op5_fertility, op6_learned_partitions,
-    op7_bpe_automaton, op8_license_scan, op9_language_id, op10_line_dedup)}
+    op7_bpe_automaton, op8_license_scan, op9_language_id, op10_line_dedup, op11_hard_negatives, op12_lattice_lm,
+    op13_prefix_trie)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op11_hard_negatives": oracle.HARD_NEGATIVES, "op13_prefix_trie": oracle.PREFIX_TRIE}

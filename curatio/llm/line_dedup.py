@@ -80,13 +80,14 @@ def _letters(half: int) -> Column:
     return total
 
 
-def _letters_near(most: int) -> Column:
-    """Could the counts of ``bags_a`` and ``bags_b`` stem from lines within so
-    many edits? One edit changes one count by one, or two counts by one each;
-    counts are known modulo 16, which can only make them look nearer."""
+def _bags_near(most: Column) -> Column:
+    """Could the counts of ``sig_a`` and ``sig_b`` (letters or classes of words,
+    four bits each) stem from lists within so many edits? One edit changes one
+    count by one, or two counts by one each; counts are known modulo 16, which
+    can only make them look nearer."""
     size, total = 1 << _BITS, F.lit(0)
     for half in range(2):
-        a, b = F.col("bags_a")[half], F.col("bags_b")[half]
+        a, b = F.col("sig_a")[half], F.col("sig_b")[half]
         for k in range(len(LETTERS[half])):
             d = F.pmod(F.shiftright(a, k * _BITS).bitwiseAND(size - 1)
                        - F.shiftright(b, k * _BITS).bitwiseAND(size - 1) + F.lit(size // 2), F.lit(size)) - size // 2
@@ -94,53 +95,57 @@ def _letters_near(most: int) -> Column:
     return total <= 2 * most
 
 
-def _places(tau: int) -> list[tuple[int, int, int]]:
-    """(characters fewer, segment, shift of its start) that a probe looks at;
-    the first ``tau + 1`` with none fewer and no shift are the index."""
-    out = [(less, i, shift) for less in range(tau + 1) for i in range(tau + 1)
-           for shift in range(max(-i, less - (tau - i)), min(i, less + tau - i) + 1)]
-    return sorted(out, key=lambda p: (p[0] != 0 or p[2] != 0, p))
-
-
-def segment_rows(classes: DataFrame, rules: LineRules) -> DataFrame:
-    """(h, key, own): a row for each place of each line; ``own`` marks the
-    line's own segments, which are the index."""
-    tau, parts = rules.threshold, rules.threshold + 1
-    places = F.array(*[F.struct(F.lit(a).alias("less"), F.lit(i).alias("i"), F.lit(s).alias("shift"))
-                       for a, i, s in _places(tau)])
-    rows = classes.filter(F.length("line") >= rules.min_chars)
-    rows = rows.select("h", F.length("line").alias("len"), "line", F.explode(places).alias("p"))
-    # a line of n characters has tau + 1 segments; the last ones are one
-    # longer where n is no multiple
-    rows = rows.select("h", "len", "line", "p", (F.col("len") - F.col("p.less")).alias("n"))
-    base = F.expr(f"n div {parts}").cast("int")
-    first_long = parts - F.pmod("n", F.lit(parts))
-    i = F.col("p.i")
-    rows = rows.select("h", "len", "line", "p", "n",
-                       (i * base + F.greatest(F.lit(0), i - first_long) + F.col("p.shift")).alias("at"),
-                       (base + (i >= first_long).cast("int")).alias("size"))
-    rows = rows.filter((F.col("n") >= rules.min_chars) & (F.col("at") >= 0) & (F.col("at") + F.col("size") <= F.col("len")))
-    return rows.select("h", F.xxhash64("n", i, F.substring(F.col("line"), F.col("at") + 1, F.col("size"))).alias("key"),
-                       ((F.col("p.less") == 0) & (F.col("p.shift") == 0)).alias("own"))
-
-
-def met_rows(classes: DataFrame, rules: LineRules) -> DataFrame:
-    """The segment rows whose key lines of different classes have: index and
-    probes meet in one shuffle of narrow rows."""
-    key = Window.partitionBy("key")
-    return (segment_rows(classes, rules)
-            .withColumn("lo", F.min("h").over(key)).withColumn("hi", F.max("h").over(key))
-            .filter("lo <> hi").select("key", "h", "own"))
-
-
-def candidates(met: DataFrame, bags: DataFrame, rules: LineRules) -> DataFrame:
-    """Pairs (a, b) of class keys that share a segment at a fitting place and
-    whose letter counts leave the distance open. ``bags``: (h, bags)."""
-    rows = met.join(bags, "h")
-    prb = rows.select("key", F.col("h").alias("a"), F.col("bags").alias("bags_a"))
-    idx = rows.filter("own").select("key", F.col("h").alias("b"), F.col("bags").alias("bags_b"))
-    return (prb.join(idx, "key").filter((F.col("a") != F.col("b")) & _letters_near(rules.threshold))
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+def char_rows(classes: DataFrame, rules: LineRules) -> DataFrame:
+    """(h, key, own): a row for each place of each line at which a segment of a
+    shorter line may stand; ``own`` marks the line's own segments, which are
+    the index. Lengths form bands of an eighth at most; ``tau + 1`` segments
+    make up the least length ``lo`` of a line's band, half of them counted from
+    the start of the line and half from its end.
+
+    The shorter line of a pair has a first segment up to which no more edits lie
+    than segments stand before it: it is unchanged, and moved by its number at
+    most; counted from the end, by the number of segments after it at most."""
+    tau, n = rules.threshold, F.col("n")
+    width = lambda m: F.call_function("shiftleft", F.lit(1), F.greatest(F.length(F.bin(m)) - 4, F.lit(0)))
+    band = lambda m: m - F.pmod(m, width(m))
+    places = [F.struct(F.lit(i).alias("i"), F.lit(d).alias("d"), F.lit(tau + 1 - i if 2 * i > tau else 0).alias("back"))
+              for i in range(tau + 1) for d in range(-min(i, tau - i), min(i, tau - i) + 1)]
+    rows = classes.select("h", "line", F.length("line").alias("n")).filter(n >= rules.min_chars)
+    lows = F.array_distinct(F.array(*[band(F.greatest(n - k, F.lit(rules.min_chars))) for k in range(tau + 1)]))
+    rows = rows.select("h", "line", "n", F.explode(lows).alias("lo"))
+    rows = rows.select("h", "line", "n", "lo", F.explode(F.array(*places)).alias("p"))
+    size, p = F.expr(f"lo div {tau + 1}").cast("int"), F.col("p")
+    rows = rows.select("h", "line", "n", "lo", "p", size.alias("size"), (
+        F.when(p["back"] > 0, n - p["back"] * size).otherwise(p["i"] * size) + p["d"]).alias("at"))
+    rows = rows.filter((F.col("at") >= 0) & (F.col("at") + F.col("size") <= n))
+    return rows.select("h", F.xxhash64("lo", "p.i", F.substring(F.col("line"), F.col("at") + 1, F.col("size"))).alias("key"),
+                       ((F.col("p.d") == 0) & (F.col("lo") == band(n))).alias("own"))
+
+
+#: Keys that more lines hold than this are dealt over tasks, found in one line
+#: of ``_SAMPLE``; so many keys at most are told to all tasks.
+_CROWD, _SAMPLE, _CROWDED_KEYS = 2048, 64, 100_000
+
+
+def met_rows(rows: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """The rows (key, h, own) whose key lines of different classes have: index
+    and probes meet in one shuffle of narrow rows. Rows of a crowded key are
+    split over tasks; they all stay, as others hold that key for certain."""
+    crowded = (rows.filter(F.pmod("h", F.lit(_SAMPLE)) == 0).groupBy("key").agg(F.count(F.lit(1)).alias("k"))
+               .filter(F.col("k") >= _CROWD // _SAMPLE).orderBy(F.desc("k"), "key").limit(_CROWDED_KEYS).select("key"))
+    crowded = scratch.put(crowded.withColumn("crowded", F.lit(True)), f"{name}-crowded")
+    if crowded.isEmpty():
+        rows = rows.withColumn("crowded", F.lit(False))
+    else:
+        rows = rows.join(F.broadcast(crowded), "key", "left")
+    rows = rows.withColumn("part", F.when(F.col("crowded"), F.pmod("h", F.lit(_SAMPLE))).otherwise(F.lit(0)))
+    key = Window.partitionBy("key", "part")
+    met = (rows.withColumn("lo", F.min("h").over(key)).withColumn("hi", F.max("h").over(key))
+           .filter(F.coalesce("crowded", F.lit(False)) | (F.col("lo") != F.col("hi"))))
+    # a line of repeated words has the same segment at many places
+    met = scratch.put(met.groupBy("key", "h").agg(F.max("own").alias("own")), name)
+    scratch.drop(f"{name}-crowded")
+    return met
 
 
 def within(ca: Column, cb: Column, tau: int) -> Column:
@@ -179,136 +184,163 @@ def within(ca: Column, cb: Column, tau: int) -> Column:
                .bitwiseAND(F.lit(1)) == 1))
 
 
-#: A word is a run of up to so many letters and digits; marks and the letters
-#: of scripts without spaces are words of their own.
-_NO_SPACES = "".join(rf"\p{{Is{k}}}" for k in ("Ideographic", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar"))
-WORD = rf"[\p{{L}}\p{{M}}\p{{N}}&&[^{_NO_SPACES}]]{{1,16}}|\S"
-#: From so many edits on, thresholds double and bands are matched at any place.
-_LONG = 32
-_BUCKETS = 16
+#: From so many edits on, bands double and segments are looked for anywhere.
+_LONG = 16
+
+
+def words_of(line: Column) -> Column:
+    """Runs of characters that aren't blank; characters, where these are of
+    three bytes in the main, as in scripts that put no blanks between words."""
+    wide = F.octet_length(line) >= 2 * F.length(line)
+    plain = ~F.greatest(*[F.contains(line, F.lit(c)) for c in "\t\x0b\x0c\r"])          # one character needs no regex to split at
+    return F.array_remove(F.when(wide, F.split(line, "")).when(plain, F.split(line, " "))
+                          .otherwise(F.split(line, "[ \\t\\x0B\\f\\r]+")), "")
 
 
 def word_edits(n: Column, rules: LineRules) -> Column:
-    """Words that may differ where the shorter line has ``n``: one for each
-    ``words_per_edit``; from 32 on, the powers of two of that."""
+    """Words that may differ where the shorter line has ``n``."""
+    return F.floor(n / F.lit(rules.words_per_edit)).cast("int")
+
+
+def _band(m: Column, rules: LineRules) -> Column:
+    """Least number of words of the band of ``m``: lengths of one threshold; long
+    lines between two powers of two."""
     per = rules.words_per_edit
-    doubled = F.length(F.bin(F.floor(n / F.lit(per * _LONG)))) - 1
-    return (F.when(n < per * _LONG, F.floor(n / F.lit(per)))
-            .otherwise(F.lit(_LONG).cast("long") * F.pow(F.lit(2), doubled).cast("long"))).cast("int")
-
-
-def _band(n: Column, rules: LineRules) -> Column:
-    """Fewest words of the band of ``n``; all lines of a band have the same
-    threshold. Short bands are wider than the threshold."""
-    per, tau = rules.words_per_edit, word_edits(n, rules)
-    step = F.least(F.floor((n - tau * per) / (tau + 1)), F.greatest(F.floor(F.lit(per) / (tau + 1)) - 1, F.lit(0)))
-    return F.when(tau < _LONG, tau * per + step * (tau + 1)).otherwise(tau * per).cast("int")
-
-
-def word_rows(lines: DataFrame, rules: LineRules) -> DataFrame:
-    """(h, key, own) of lines (h, words, n). The shorter line of a pair is cut,
-    from its start, into one segment more than its band's threshold. Take the
-    first segment up to which no more edits lie than segments before it: it is
-    unchanged and moved by its number at most, and no further back than the
-    edits left for the rest allow."""
-    words, n = F.col("words"), F.col("n")
-
-    def keys(lo, own_band):
-        tau = word_edits(lo, rules)
-        size = F.floor(lo / (tau + 1)).cast("int")
-        key = lambda i, at: F.xxhash64(lo, i, F.slice(words, at + 1, size))
-
-        def placed(i):
-            shifts = F.sequence(-F.least(i, tau - i), i)
-            return F.transform(F.filter(shifts, lambda d: (i * size + d >= 0) & (i * size + d + size <= n)),
-                               lambda d: F.struct(key(i, i * size + d).alias("key"), (own_band & (d == 0)).alias("own")))
-
-        def anywhere():
-            own = F.transform(F.sequence(F.lit(0), tau), lambda i: F.struct(
-                key(F.lit(-1), i * size).alias("key"), own_band.alias("own")))
-            at = F.sequence(F.lit(0), F.greatest(n - size, F.lit(0)))
-            return F.array_distinct(F.concat(F.when(own_band, own).otherwise(F.slice(own, 1, 0)), F.transform(
-                at, lambda p: F.struct(key(F.lit(-1), p).alias("key"), F.lit(False).alias("own")))))
-        return F.when(tau < _LONG, F.flatten(F.transform(F.sequence(F.lit(0), tau), placed))).otherwise(anywhere())
+    double = F.call_function("shiftleft", F.lit(_LONG * per), F.length(F.bin(F.floor(m / F.lit(_LONG * per)))) - 1)
+    return F.when(m < _LONG * per, m - F.pmod(m, F.lit(per))).otherwise(double).cast("int")
+
 
+def word_rows(classes: DataFrame, rules: LineRules) -> DataFrame:
+    """(h, key, own) as :func:`char_rows` has it, over words. A band's lines
+    have one segment more than its largest threshold. In long lines a segment
+    is looked for at every place, as most places are within the shift anyway."""
+    per, n, lo, i, d = rules.words_per_edit, F.col("n"), F.col("lo"), F.col("i"), F.col("d")
+    rows = classes.select("h", F.explode(F.array(words_of(F.col("line")))).alias("words"))    # found once
+    rows = rows.select("h", "words", F.size("words").alias("n")).filter(n >= per)
     # the bands of all lengths that a shorter line of a pair may have
-    lengths = F.sequence(F.greatest(n - word_edits(n, rules), F.lit(rules.words_per_edit)), n)
-    rows = lines.withColumn("mine", _band(n, rules)).withColumn(
-        "lo", F.explode(F.array_distinct(F.transform(lengths, lambda m: _band(m, rules)))))
-    return (rows.select("h", F.explode(keys(F.col("lo"), F.col("lo") == F.col("mine"))).alias("k"))
-            .select("h", "k.key", "k.own"))
+    rows = rows.select("h", "words", "n", F.explode(F.sequence(F.greatest(n - word_edits(n, rules), F.lit(per)), n)).alias("m"),
+                       F.greatest(n - word_edits(n, rules), F.lit(per)).alias("m0"))
+    rows = rows.filter((F.col("m") == F.col("m0")) | (F.col("m") == _band(F.col("m"), rules)))
+    rows = rows.select("h", "words", "n", _band(F.col("m"), rules).alias("lo"))
+    long = lo >= _LONG * per
+    tau = F.when(long, F.floor((2 * lo - 1) / F.lit(per))).otherwise(F.floor(lo / F.lit(per))).cast("int")
+    rows = rows.select("h", "words", "n", "lo", tau.alias("tau"), F.floor(lo / (tau + 1)).cast("int").alias("size"))
+    rows = rows.select("*", F.explode(F.when(long, F.sequence(F.lit(0), n - F.col("size")))
+                                      .otherwise(F.sequence(F.lit(0), F.col("tau")))).alias("i"))
+    most = F.least(i, F.col("tau") - i)
+    rows = rows.select("*", F.explode(F.when(long, F.array(F.lit(0))).otherwise(F.sequence(-most, most))).alias("d"))
+    rows = rows.withColumn("at", F.when(long, i).when(2 * i > F.col("tau"), n - (F.col("tau") + 1 - i) * F.col("size") + d)
+                           .otherwise(i * F.col("size") + d))
+    rows = rows.filter((F.col("at") >= 0) & (F.col("at") + F.col("size") <= n))
+    own = F.when(long, (F.pmod(i, F.col("size")) == 0) & (F.floor(i / F.col("size")) <= F.col("tau"))).otherwise(d == 0)
+    return rows.select("h", F.xxhash64("lo", F.when(long, F.lit(-1)).otherwise(i),
+                                       F.slice("words", F.col("at") + 1, F.col("size"))).alias("key"),
+                       (own & (lo == _band(n, rules))).alias("own"))
 
 
 def _word_bag(words: Column) -> Column:
-    """Counts of words by sixteen classes, four bits each."""
-    total, classes = F.lit(0).cast("long"), F.transform(words, lambda w: w.bitwiseAND(F.lit(_BUCKETS - 1).cast("long")))
-    for k in range(_BUCKETS):
-        c = F.size(words) - F.size(F.array_remove(classes, F.lit(k).cast("long")))
-        total = total + F.shiftleft(F.pmod(c, F.lit(1 << _BITS)).cast("long"), k * _BITS)
-    return total
+    """Counts of words by 26 classes of their hash, in two halves as of letters."""
+    cls = F.transform(words, lambda w: F.pmod(w, F.lit(2 * len(LETTERS[0]))))
+    total = [F.lit(0).cast("long")] * 2
+    for k in range(2 * len(LETTERS[0])):
+        half, place = divmod(k, len(LETTERS[0]))
+        c = F.size(words) - F.size(F.array_remove(cls, F.lit(k).cast("long")))
+        total[half] = total[half] + F.shiftleft(F.pmod(c, F.lit(1 << _BITS)).cast("long"), place * _BITS)
+    return F.array(*total)
 
 
-def _bags_near(most: Column) -> Column:
-    """The bound of :func:`_letters_near` for ``bag_a`` and ``bag_b``."""
-    size, total = 1 << _BITS, F.lit(0)
-    for k in range(_BUCKETS):
-        a, b = (F.shiftright(F.col(c), k * _BITS).bitwiseAND(size - 1) for c in ("bag_a", "bag_b"))
-        total = total + F.abs(F.pmod(a - b + F.lit(size // 2), F.lit(size)) - size // 2)
-    return total <= 2 * most
+def _utf8(c: Column) -> Column:
+    """Hexadecimal UTF-8 of a code point of four bytes."""
+    part = lambda k: F.shiftleft(F.shiftright(c, 6 * k).bitwiseAND(F.lit(63).cast("long")), 8 * k)
+    return F.hex(F.lit(0xF0808080).cast("long") + part(0) + part(1) + part(2) + part(3))
 
 
-def _word_distance(a: Column, b: Column) -> Column:
-    """Edit distance of two arrays: each distinct word of the pair becomes one
-    character (four bytes of UTF-8) of two strings."""
-    def text(words, alphabet):
-        def char(w):
-            c = F.array_position(alphabet, w) + F.lit(0xFFFF)
-            part = lambda k: F.shiftleft(F.shiftright(c, 6 * k).bitwiseAND(F.lit(63).cast("long")), 8 * k)
-            return F.hex(F.lit(0xF0808080).cast("long") + part(0) + part(1) + part(2) + part(3))
-        return F.unhex(F.array_join(F.transform(words, char), "")).cast("string")
-    # binds the alphabet, evaluated once
-    return F.transform(F.array(F.array_distinct(F.concat(a, b))), lambda x: F.levenshtein(text(a, x), text(b, x)))[0]
+#: Words as single characters: so many code points from U+10000 on.
+_CODES = 0x100000
 
 
-def near_by_words(classes: DataFrame, rules: LineRules, scratch: Scratch) -> DataFrame:
-    """(h) of the classes that an earlier one is near to by words. Every class
-    is held against the earliest of each of its keys first, so a large group of
-    near copies costs as many pairs as it has members; only classes that this
-    leaves open meet the others."""
-    def worded(rows):
-        words = F.transform(F.regexp_extract_all("line", F.lit(WORD), F.lit(0)), lambda w: F.xxhash64(w))
-        # the explode of one array keeps the words from being found anew at each use
-        rows = rows.select("h", "first", F.explode(F.array(words)).alias("words"))
-        return rows.withColumn("n", F.size("words")).filter(F.col("n") >= rules.words_per_edit)
-    key = Window.partitionBy("key")
-    met = (word_rows(worded(classes), rules).withColumn("lo", F.min("h").over(key)).withColumn("hi", F.max("h").over(key))
-           .filter("lo <> hi").select("key", "h", "own"))
-    met = scratch.put(met, "words-met")
-    lines = worded(classes.join(met.select("h").distinct(), "h"))
-    lines = scratch.put(lines.withColumn("bag", _word_bag(F.col("words"))), "words-lines")
-    rows = met.join(lines.select("h", "first", "n", "bag"), "h")
-    edits = word_edits(F.least("n_a", "n_b"), rules)
+def _text(points: Column) -> Column:
+    return F.unhex(F.array_join(F.transform(points, lambda c: _utf8(c + F.lit(0x10000).cast("long"))), "")).cast("string")
+
+
+def _code_text(words: Column) -> Column:
+    """A string with one character a word, told by 20 bits of its hash."""
+    return _text(F.transform(words, lambda w: F.pmod(w, F.lit(_CODES).cast("long"))))
+
+
+def words_within(a: str, b: str, most: Column) -> Column:
+    """Edit distance of the word arrays ``words_<a>`` and ``words_<b>`` at most
+    ``most``, by a bounded band. Characters by 20 bits of a hash (``code_``) give
+    a bound from below, which is exact if the pair's words have as many
+    characters; else each distinct word of the pair gets a character."""
+    wa, wb, ca, cb = F.col(f"words_{a}"), F.col(f"words_{b}"), F.col(f"code_{a}"), F.col(f"code_{b}")
+    bounded = lambda x, y: F.coalesce(F.call_function("levenshtein", x, y, most), F.lit(-1)) >= 0
+    both = F.array_union(wa, wb)
+    told = F.size(both) == F.size(F.array_distinct(F.transform(both, lambda w: F.pmod(w, F.lit(_CODES).cast("long")))))
+    own = lambda words, al: _text(F.transform(words, lambda w: F.array_position(al, w)))
+    exact = F.transform(F.array(both), lambda al: bounded(own(wa, al), own(wb, al)))[0]      # binds the alphabet once
+    return F.when(~bounded(ca, cb), F.lit(False)).when(told, F.lit(True)).otherwise(exact)
+
+
+def _near(met: DataFrame, lines: DataFrame, edits: Column, check, scratch: Scratch, name: str) -> DataFrame:
+    """(h) of the classes that an earlier one is near to. Every class is held
+    against the earliest of each of its keys first, so a large group of near
+    copies costs as many pairs as it has members; only classes that this leaves
+    open meet the others. ``lines``: (h, first, n, sig, and what ``check`` needs)."""
+    rows = met.join(lines.select("h", "first", "n", "sig"), "h")
     fit = (F.abs(F.col("n_a") - F.col("n_b")) <= edits) & _bags_near(edits)
+    more = [c for c in lines.columns if c not in ("h", "first", "sig")]
 
-    def side(k, *more):
-        return [F.col(c).alias(f"{c}_{k}") for c in ("first", "n", "bag", *more)]
+    def side(k, *cols):
+        return [F.col(c).alias(f"{c}_{k}") for c in ("first", "n", "sig", *cols)]
 
     def verified(pairs):
-        both = (pairs.join(lines.select(F.col("h").alias("a"), F.col("words").alias("words_a"), F.col("n").alias("n_a")), "a")
-                .join(lines.select(F.col("h").alias("b"), F.col("words").alias("words_b"), F.col("n").alias("n_b")), "b"))
-        return both.filter(_word_distance(F.col("words_a"), F.col("words_b")) <= edits).select(F.col("b").alias("h")).distinct()
+        for k in "ab":
+            pairs = pairs.join(lines.select(F.col("h").alias(k), *[F.col(c).alias(f"{c}_{k}") for c in more]), k)
+        return pairs.filter(check).select(F.col("b").alias("h")).distinct()
 
-    lead = rows.groupBy("key").agg(F.min(F.struct("first", "h", "n", "bag")).alias("lead"))
+    lead = rows.groupBy("key").agg(F.min(F.struct("first", "h", "n", "sig")).alias("lead"))
     star = (rows.select("key", F.col("h").alias("b"), *side("b")).join(
-        lead.select("key", F.col("lead.h").alias("a"), *[F.col(f"lead.{c}").alias(f"{c}_a") for c in ("n", "bag")]), "key")
+        lead.select("key", F.col("lead.h").alias("a"), *[F.col(f"lead.{c}").alias(f"{c}_a") for c in ("n", "sig")]), "key")
         .filter((F.col("a") != F.col("b")) & fit).select("a", "b").distinct())
-    found = scratch.put(verified(star), "words-star")
+    found = scratch.put(verified(star), f"{name}-star")
     later = rows.join(found, "h", "left_anti").select("key", F.col("h").alias("b"), *side("b", "own"))
     rest = (later.join(rows.select("key", F.col("h").alias("a"), *side("a", "own")), "key")
             .filter((F.col("first_a") < F.col("first_b")) & (F.col("own_a") | F.col("own_b")) & fit)
             .select("a", "b").distinct())
-    out = scratch.put(found.union(verified(rest)), "words-near")
-    scratch.drop("words-met", "words-lines", "words-star")
+    out = scratch.put(found.union(verified(rest)), f"{name}-near")
+    scratch.drop(f"{name}-star")
+    return out
+
+
+def _lines_met(classes: DataFrame, met: DataFrame) -> DataFrame:
+    """The classes with keys that others have, too."""
+    keys = met.select("h").distinct()
+    few = keys.count() <= BROADCAST_KEYS
+    return classes.join(F.broadcast(keys) if few else keys, "h", "left_semi")
+
+
+def near_by_chars(classes: DataFrame, rules: LineRules, scratch: Scratch) -> DataFrame:
+    """(h) of the classes within ``threshold`` characters of an earlier one."""
+    met = met_rows(char_rows(classes, rules), scratch, "chars-met")
+    lines = scratch.put(_lines_met(classes, met).select(
+        "h", "first", F.length("line").alias("n"), F.array(_letters(0), _letters(1)).alias("sig"),
+        F.split("line", "").alias("chars")), "chars-lines")
+    out = _near(met, lines, F.lit(rules.threshold), within(F.col("chars_a"), F.col("chars_b"), rules.threshold), scratch, "chars")
+    scratch.drop("chars-met", "chars-lines")
+    return out
+
+
+def near_by_words(classes: DataFrame, rules: LineRules, scratch: Scratch) -> DataFrame:
+    """(h) of the classes within :func:`word_edits` words of an earlier one."""
+    met = met_rows(word_rows(classes, rules), scratch, "words-met")
+    hashed = F.transform(words_of(F.col("line")), lambda w: F.xxhash64(w))
+    lines = _lines_met(classes, met).select("h", "first", F.explode(F.array(hashed)).alias("words"))
+    lines = scratch.put(lines.select("h", "first", F.size("words").alias("n"), _word_bag(F.col("words")).alias("sig"), "words",
+                                     _code_text(F.col("words")).alias("code")), "words-lines")
+    edits = word_edits(F.least("n_a", "n_b"), rules)
+    out = _near(met, lines, edits, words_within("a", "b", edits), scratch, "words")
+    scratch.drop("words-met", "words-lines")
     return out
 
 
@@ -317,24 +349,12 @@ def removals(docs: DataFrame, rules: LineRules, scratch: Scratch, id_col: str =
     """(h, first, near): classes that lose occurrences; ``near`` when an
     earlier class lies within the threshold, so that all occurrences go."""
     classes = scratch.put(classes_of(lines_of(docs, id_col, text_col)), "classes")
-    met = scratch.put(met_rows(classes, rules), "met")
-    keys = met.select("h").distinct()
-    few = keys.count() <= BROADCAST_KEYS
-    lines = classes.join(F.broadcast(keys) if few else keys, "h")
-    lines = scratch.put(lines.select("h", "first", F.array(_letters(0), _letters(1)).alias("bags"),
-                                     F.split("line", "").alias("chars")), "lines")
-    pairs = candidates(met, lines.select("h", "bags"), rules)
-    side = lambda k: lines.select(F.col("h").alias(k), F.col("first").alias(f"first_{k}"),
-                                  F.col("chars").alias(f"chars_{k}"))
-    near = (pairs.join(side("a"), "a").join(side("b"), "b")
-            .filter(within(F.col("chars_a"), F.col("chars_b"), rules.threshold))
-            .select(F.when(F.col("first_a") < F.col("first_b"), F.col("b")).otherwise(F.col("a")).alias("h"))
-            .union(near_by_words(classes, rules, scratch))
+    near = (near_by_chars(classes, rules, scratch).union(near_by_words(classes, rules, scratch))
             .distinct().withColumn("near", F.lit(True)))
     out = (classes.select("h", "first", "n").join(near, "h", "left")
            .withColumn("near", F.coalesce("near", F.lit(False))).filter(F.col("near") | (F.col("n") > 1)))
     out = scratch.put(out.select("h", "first", "near"), "removals")
-    scratch.drop("classes", "met", "lines", "words-near")
+    scratch.drop("classes", "chars-near", "words-near")
     return out
 
 

@@ -58,10 +58,10 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
     file (a path ending in ``.json``; any file system); the schema gate
     raises when a row lacks question or answer."""
     if path.endswith(".json"):
-        df = RD.read_json_array(spark, path)
+        df = RD.read_json_array(spark, path, position="pos")
     else:
         df = spark.read.schema(RD.QA_DDL).json(path)
-    df = df.select("*", F.struct(*RD.input_position()).alias("pos"))
+        df = df.select("*", F.struct(*RD.input_position()).alias("pos"))
     return RD.schema_gate(df)
 
 

@@ -219,7 +219,7 @@ b AS (SELECT url, min(try_no) AS try_no FROM c WHERE try_no <= 3 AND status = 20
 SELECT c.url, c.event_id, CAST(c.try_no - 1 AS BIGINT) AS attempt FROM c JOIN b USING (url, try_no)"""
     q["bad_rows_split"] = """
 WITH l AS (
-  SELECT event_id, CASE event_type WHEN 'click' THEN props || ' trailing' WHEN 'error' THEN '[' || props || ']'
+  SELECT event_id, CASE event_type WHEN 'click' THEN props || [' trailing', ']', '] junk', ']]', '],[1'][event_id % 5 + 1] WHEN 'error' THEN '[' || props || ']'
     WHEN 'purchase' THEN substr(props, 1, length(props) - 1)
     WHEN 'signup' THEN replace(props, '"k"', '"j"') ELSE props END AS line
   FROM events),
@@ -228,9 +228,9 @@ b AS (SELECT event_id, line, coalesce(CASE WHEN json_valid(line) THEN json_type(
 SELECT event_id, CASE WHEN bad THEN NULL ELSE TRY_CAST(json_extract(line, '$.k') AS BIGINT) END AS k, bad AS is_bad
 FROM b"""
     q["unseen_questions"] = """
-SELECT conv_id, turn FROM conversations u WHERE role = 'user' AND NOT EXISTS (
-  SELECT 1 FROM (SELECT text FROM documents UNION ALL SELECT text FROM conversations WHERE role = 'assistant') s
-  WHERE s.text IS NOT DISTINCT FROM u.text)"""
+WITH m AS (SELECT max(doc_id) // 2 AS half FROM documents)
+SELECT doc_id, lang FROM documents l, m WHERE doc_id > half AND NOT EXISTS (
+  SELECT 1 FROM documents e WHERE e.doc_id <= half AND e.text IS NOT DISTINCT FROM l.text)"""
     q["quarantine"] = """
 SELECT u.conv_id, u.turn, u.text IS NULL OR a.text IS NULL AS is_bad
 FROM conversations u LEFT JOIN conversations a

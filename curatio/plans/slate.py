@@ -118,9 +118,11 @@ def q_latest_capture(spark: SparkSession, d: str) -> DataFrame:
 
 def q_bad_rows_split(spark: SparkSession, d: str) -> DataFrame:
     # the stored objects, and by the kind of event each way of being bad:
-    # text after the object, not an object, cut short, key missing
+    # text or closing brackets after the object, not an object, cut short, key missing
     kind, p = F.col("event_type"), F.col("props")
-    line = (F.when(kind == "click", F.concat(p, F.lit(" trailing")))
+    tail = F.element_at(F.array(*[F.lit(x) for x in (" trailing", "]", "] junk", "]]", "],[1")]),
+                        (F.col("event_id") % 5 + 1).cast("int"))
+    line = (F.when(kind == "click", F.concat(p, tail))
             .when(kind == "error", F.concat(F.lit("["), p, F.lit("]")))
             .when(kind == "purchase", F.substr(p, F.lit(1), F.length(p) - 1))
             .when(kind == "signup", F.replace(p, F.lit('"k"'), F.lit('"j"'))).otherwise(p))
@@ -135,12 +137,13 @@ def q_dedup_first_seen(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_unseen_questions(spark: SparkSession, d: str) -> DataFrame:
-    """User turns whose text no document of the corpus holds as a whole,
-    nor an assistant said."""
-    conv = table(spark, d, "conversations")
-    said = conv.filter(F.col("role") == "assistant").select("text").unionByName(
-        table(spark, d, "documents").select("text"))
-    return K.drop_seen(conv.filter(F.col("role") == "user"), said, ["text"]).select("conv_id", "turn")
+    """Documents of the later half of the crawl whose text the earlier half
+    does not hold."""
+    docs = table(spark, d, "documents")
+    half = docs.agg(F.expr("max(doc_id) div 2").alias("half"))
+    run = docs.select("doc_id", "lang", "text").join(F.broadcast(half))         # one row
+    earlier, later = run.filter("doc_id <= half"), run.filter("doc_id > half")
+    return K.drop_seen(later, earlier, ["text"]).select("doc_id", "lang")
 
 
 def q_quarantine(spark: SparkSession, d: str) -> DataFrame:

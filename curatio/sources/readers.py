@@ -1,12 +1,14 @@
 """File sources.
 
-All readers return DataFrames; nothing is loaded on the driver. Formats of
-the original (JSON arrays, a map of arrays) are read for compatibility; the
-canonical storage of this library is JSON lines / Parquet, which split.
+All readers return DataFrames; nothing is loaded on the driver. The original's
+JSON arrays and maps of arrays are read in byte ranges
+(:mod:`curatio.sources.json_arrays`); the canonical storage of this library is
+JSON lines / Parquet.
 """
 
 from __future__ import annotations
 
+import re
 from typing import Sequence
 
 from pyspark.errors import AnalysisException
@@ -15,6 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from curatio import defaults as D
+from curatio.operators.util import checked_broadcast
+from curatio.sources import json_arrays
 
 QA_DDL = "question STRING, answer STRING, url STRING"
 
@@ -29,11 +33,9 @@ def list_page_urls(spark: SparkSession, start_page: int, end_page: int,
 
 
 def read_link_list(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON array of strings -> ``pos, url`` (order kept)."""
-    raw = spark.read.text(path, wholetext=True)
-    arr = F.from_json("value", "array<string>")
-    return raw.select(F.posexplode(arr).alias("pos", "url")).select(
-        F.col("pos").cast("int"), "url")
+    """A JSON array of strings -> ``pos, url`` (order kept), read in byte
+    ranges."""
+    return json_arrays.read_strings(spark, path).select("pos", F.col("value").alias("url"))
 
 
 def classify_json_lines(df: DataFrame, line_col: str, schema: str | T.StructType,
@@ -43,10 +45,12 @@ def classify_json_lines(df: DataFrame, line_col: str, schema: str | T.StructType
     object, or lacks a required key (a key present with a null value is
     fine). Adds the parsed fields and ``is_bad``."""
     keys = F.json_object_keys(F.col(line_col))
-    # the line as the only element of an array: the parser must reach its end
-    whole = F.from_json(F.concat(F.lit("["), F.col(line_col), F.lit("]")), "array<string>",
+    # the line as the first of two elements of an array: the parser must get past
+    # its end, to a mark that no line holds of itself
+    mark = F.xxhash64(line_col).cast("string")
+    whole = F.from_json(F.concat(F.lit("["), F.col(line_col), F.lit(',"'), mark, F.lit('"]')), "array<string>",
                         {"allowSingleQuotes": "false"})
-    bad = keys.isNull() | F.coalesce(F.size(whole) != 1, F.lit(True))
+    bad = keys.isNull() | F.coalesce((F.size(whole) != 2) | (F.get(whole, F.lit(1)) != mark), F.lit(True))
     for k in required:
         bad = bad | ~F.array_contains(keys, k)
     parsed = F.from_json(F.col(line_col), schema)
@@ -72,13 +76,24 @@ def read_json_parts(spark: SparkSession, paths: Sequence[str] | str,
     raw = raw.select("value", F.col("_metadata.file_path").alias("part"),
                      F.col("_metadata.file_block_start").alias("block"),
                      F.monotonically_increasing_id().alias("line_id"))
-    no = F.lit(len(given))
-    for k, p in reversed(list(enumerate(given))):
-        no = F.when(F.col("part").endswith("/" + p.rstrip("/").split("://")[-1].lstrip("/")), F.lit(k)).otherwise(no)
+    place: dict = {}
+    for k, p in enumerate(given):               # file names only: the scan lists them anyway
+        for file in spark.read.text(p).inputFiles():
+            place.setdefault(_one_slash(file), k)
+    no = F.lit(0)
+    if given:
+        names = spark.createDataFrame(list(place.items()) or [("", 0)], "__file string, part_no int")
+        names = checked_broadcast(names, known_rows=len(place), required=False)
+        raw = raw.join(names, F.regexp_replace("part", "^file:/+", "file:/") == F.col("__file"), "left").drop("__file")
+        no = F.coalesce("part_no", F.lit(len(given)))
     raw = raw.withColumn("part_no", no).withColumn("part_key", number_order("part"))
     return classify_json_lines(raw, "value", schema, required)
 
 
+def _one_slash(uri: str) -> str:
+    return re.sub("^file:/+", "file:/", uri)
+
+
 def number_order(path):
     """A path with its numbers padded, so that part_2 comes before part_10."""
     return F.regexp_replace(F.regexp_replace(path, r"(\d+)", "0" * 19 + "$1"), r"\d*(\d{19})", "$1")
@@ -98,10 +113,13 @@ def merge_parts(parts: DataFrame, key: str = "url") -> DataFrame:
     return dedup_first_seen(good, [key], ["part_no", "part_key", "block", "line_id"])
 
 
-def read_json_array(spark: SparkSession, path: str, schema: str = QA_DDL) -> DataFrame:
-    """A pretty-printed JSON array of objects (one task per file; store
-    large inputs as JSON lines or Parquet instead)."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+def read_json_array(spark: SparkSession, path: str, schema: str = QA_DDL, position: str | None = None) -> DataFrame:
+    """A JSON array of objects, pretty-printed or not, read in byte ranges;
+    with ``position`` also a column of that name which gives their (file,
+    element) order."""
+    rows = json_arrays.read_objects(spark, path, schema)
+    at = [F.struct(number_order(F.col("file")).alias("part"), "no").alias(position)] if position else []
+    return rows.select("r.*", *at)
 
 
 def schema_gate(df: DataFrame, required: Sequence[str] = ("question", "answer"),
@@ -141,23 +159,13 @@ def newest_file(spark: SparkSession, folder: str, prefix: str = D.RAW_PREFIX,
 def read_classified(spark: SparkSession, path: str, schema: str = QA_DDL) -> DataFrame:
     """S7 + G2: a JSON object ``{category: [row, ...]}`` -> flat rows
     ``dept, dept_pos, pos, question, answer, url`` (category order and row
-    order kept; an empty category gives no rows). A missing file raises
-    FileNotFoundError, a malformed one ValueError."""
-    raw = spark.read.text(path, wholetext=True)
-    m = F.from_json("value", f"map<string,array<struct<{schema.replace(' STRING', ':STRING')}>>>")
-    ent = raw.select(m.alias("m"))
-    if ent.filter(F.col("m").isNull()).limit(1).count():
-        raise ValueError(f"malformed classified file: {path}")
-    e = ent.select(F.posexplode(F.map_entries("m")).alias("dept_pos", "e"))
-    rows = e.select(F.col("e.key").alias("dept"), "dept_pos",
-                    F.posexplode("e.value").alias("pos", "r"))
-    return rows.select("dept", "dept_pos", "pos", "r.*")
+    order kept; an empty category gives no rows), read in byte ranges. A missing
+    file raises FileNotFoundError, a malformed one ValueError."""
+    return json_arrays.read_map(spark, path, schema)
 
 
 def category_sizes(spark: SparkSession, path: str) -> DataFrame:
-    """G1: sizes of the categories of a classified file, without exploding rows."""
-    raw = spark.read.text(path, wholetext=True)
-    m = F.from_json("value", "map<string,array<string>>")
-    e = raw.select(F.posexplode(F.map_entries(m)).alias("dept_pos", "e"))
-    return e.select(F.col("e.key").alias("dept"), "dept_pos",
-                    F.size("e.value").cast("long").alias("count"))
+    """G1: sizes of the categories of a classified file, without parsing rows."""
+    cats, _ = json_arrays.map_rows(spark, path)
+    return cats.select("dept", F.col("dept_pos").cast("int").alias("dept_pos"),
+                       (F.col("next") - F.col("first")).cast("long").alias("count"))

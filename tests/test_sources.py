@@ -119,10 +119,11 @@ def test_first_seen_order_across_splits_of_one_file(spark, tmpdir_path):
 def test_malformed_lines_of_every_kind_are_bad(spark):
     from curatio.sources.readers import classify_json_lines
     lines = ['{"url":"u"}', '  {"url":null}  ', '{"url":"u"} trailing', '{"url":"u"}{"url":"v"}', '{"url":"u"},{"url":"v"}',
-             "{'url':'u'}", '["url"]', '"url"', "", None, '{"url":"u"', '{"other":1}']
+             "{'url':'u'}", '["url"]', '"url"', "", None, '{"url":"u"', '{"other":1}', '{"url":"u"}]', '{"url":"u"}] junk',
+             '{"url":"u"}]]', '{"url":"u"}],[1', '{"url":"u"}, "s"], [']
     df = spark.createDataFrame([(k, x) for k, x in enumerate(lines)], "k int, line string")
     got = {r.k: r.is_bad for r in classify_json_lines(df, "line", "url STRING").collect()}
-    assert [got[k] for k in range(len(lines))] == [False, False] + [True] * 10
+    assert [got[k] for k in range(len(lines))] == [False, False] + [True] * 15
 
 
 def test_merge_takes_parts_by_number_and_by_given_order(spark, tmpdir_path):
@@ -138,3 +139,20 @@ def test_merge_takes_parts_by_number_and_by_given_order(spark, tmpdir_path):
     assert first(os.path.join(tmpdir_path, "part_1*.jsonl")) == ["q1"]
     assert first([paths[2], paths[10]]) == ["q2"]
     assert first([paths[10], paths[2]]) == ["q10"]
+
+
+@pytest.mark.parametrize("folder", ["plain", "with space", "per%cent é"])
+def test_given_order_of_any_path_holds(spark, tmpdir_path, folder, monkeypatch):
+    at = os.path.join(tmpdir_path, folder)
+    for name in ("z", "y", "deep/x"):
+        path = os.path.join(at, f"{name}.jsonl")
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(path, "w") as f:
+            f.write(json.dumps({"question": name, "answer": "a", "url": "same"}) + "\n")
+
+    def kept(parts):
+        return [r.question for r in RD.merge_parts(RD.read_json_parts(spark, parts)).collect()]
+    z, y, deep = (os.path.join(at, n) for n in ("z.jsonl", "y.jsonl", "deep"))
+    assert kept([z, y]) == ["z"] and kept([y, z]) == ["y"]
+    assert kept([deep, y, z]) == ["deep/x"] and kept([y, deep]) == ["y"]
+    assert kept([z, deep + "/*.jsonl", y]) == ["z"] and kept(["file://" + z, y]) == ["z"]

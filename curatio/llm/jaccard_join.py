@@ -33,7 +33,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from curatio.llm import textnum as tn
@@ -49,6 +49,8 @@ class JoinRules:
     frequent: int = 262_144       # most frequent shingles that the order puts last (2 MB broadcast)
     block: int = 512              # members of a block of a tile
     max_bits: int = 65_536
+    tile_bits: int = 1024         # of the signatures in tiles
+    crowd: int = 2048             # a shingle of so many sets has its ends found apart (told from one set of 64)
     fine_bits: int = 1 << 20      # of the wider signatures that pairs are held against before the sets
     broadcast: int = 200_000      # (id, key) rows that may be broadcast to fetch texts (3 MB)
 
@@ -140,8 +142,9 @@ def frequent_shingles(docs: DataFrame, rules: JoinRules) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, rules: JoinRules, frequent: np.ndarray) -> DataFrame:
-    """(id, n, h, prefix, bits) of each row; prefix and bits stand once for
-    equal sets of a chunk."""
+    """(id, t, n, h, prefix, bits, tile_bits) of each row (id, t, text); prefix and
+    bits stand once for equal sets of a chunk. ``tile_bits`` are the bits folded
+    to a bounded width, as they stand once for each shingle of a prefix."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
     id_type = docs.schema["id"].dataType.simpleString()
 
@@ -156,11 +159,12 @@ def sketches(docs: DataFrame, rules: JoinRules, frequent: np.ndarray) -> DataFra
                 if len(common) and len(h):
                     at = np.minimum(np.searchsorted(common, h), len(common) - 1)
                     late = common[at] == h
-                prefixes, maps, seen = [], [], set()
+                prefixes, maps, narrow, seen = [], [], [], set()
                 for i in range(part.num_rows):
                     if size[i] == 0 or keys[i] in seen:
                         prefixes.append(None)
                         maps.append(None)
+                        narrow.append(None)
                         continue
                     seen.add(keys[i])
                     a, b = begin[i], begin[i + 1]
@@ -169,12 +173,13 @@ def sketches(docs: DataFrame, rules: JoinRules, frequent: np.ndarray) -> DataFra
                     first = np.concatenate([own[~rank][:take], own[rank][:max(0, take - int((~rank).sum()))]])
                     prefixes.append(first.view(I))
                     maps.append(_bitmap(own, 1.5, rules.max_bits))
+                    narrow.append(_fold(np.frombuffer(maps[-1], U), rules.tile_bits // 64).tobytes())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), pa.array(size.astype(I)), pa.array(keys, mask=size == 0),
-                     pa.array(prefixes, pa.list_(pa.int64())), pa.array(maps, pa.binary())],
-                    ["id", "n", "h", "prefix", "bits"])
+                    [part.column("id"), part.column("t"), pa.array(size.astype(I)), pa.array(keys, mask=size == 0),
+                     pa.array(prefixes, pa.list_(pa.int64())), pa.array(maps, pa.binary()), pa.array(narrow, pa.binary())],
+                    ["id", "t", "n", "h", "prefix", "bits", "tile_bits"])
 
-    return docs.mapInArrow(run, f"id {id_type}, n long, h long, prefix array<long>, bits binary")
+    return docs.mapInArrow(run, f"id {id_type}, t long, n long, h long, prefix array<long>, bits binary, tile_bits binary")
 
 
 def _fold(bits: np.ndarray, width: int) -> np.ndarray:
@@ -216,21 +221,24 @@ def _with_sketches(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, rules: JoinRules, scratch: Scratch,
              name: str) -> DataFrame:
     """The pairs (a, b) that link, by exact intersection. The sets of the
-    classes that occur in pairs are made anew from one document of each."""
+    classes that occur in pairs are made anew from one document of each, known
+    by its id, which may be null, and the hash of its text."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct().join(reps, "h")
-    wanted = scratch.put(wanted.select("h", F.col("rep").alias("id")), f"{name}-wanted")
+    wanted = scratch.put(wanted.select("h", F.col("doc.id").alias("want_id"), F.col("doc.t").alias("want_t")), f"{name}-wanted")
     few = wanted.count() <= rules.broadcast
-    texts = docs.join(F.broadcast(wanted) if few else wanted, "id")
+    texts = docs.join(F.broadcast(wanted) if few else wanted,
+                      (docs["t"] == F.col("want_t")) & docs["id"].eqNullSafe(F.col("want_id")))
 
     def sets(batches):
-        hasher = tn.Hasher()
+        hasher, seen = tn.Hasher(), set()
         for batch in batches:
             for part in tn.chunks(batch, "text"):
                 h, rows = shingle_sets(part.column("text"), hasher, rules.words)
                 begin = np.searchsorted(rows, np.arange(part.num_rows + 1))
                 keys = _set_keys(h, begin)
-                # repeated rows of an id: those with this set
-                right = np.flatnonzero(keys == part.column("h").to_numpy(zero_copy_only=False))
+                # of repeated rows, the first that this task sees
+                fits = np.flatnonzero(keys == part.column("h").to_numpy(zero_copy_only=False))
+                right = np.array([i for i in fits if keys[i] not in seen and not seen.add(keys[i])], np.int64)
                 lists = [h[begin[i]:begin[i + 1]] for i in right]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys[right]), pa.array([len(x) for x in lists], pa.int64()),
@@ -360,26 +368,40 @@ def _tiles(members: DataFrame, rules: JoinRules) -> DataFrame:
     return small.unionByName(split)
 
 
-def jaccard_components(docs: DataFrame, rules: JoinRules | None = None, id_col: str = "doc_id",
-                       text_col: str = "text") -> DataFrame:
-    """Per row: id, n_shingles, component_id, and the size of its class of
-    equal sets."""
-    rules = rules or JoinRules()
+def _with_ends(members: DataFrame, rules: JoinRules, scratch: Scratch) -> DataFrame:
+    """(tok, h, lo, hi) of the shingles that several sets hold, with the smallest
+    and the largest of them: in one shuffle, but for crowded shingles, whose
+    ends are summed up before they are shuffled and told to all tasks."""
+    one_of = 64
+    crowded = (members.filter(F.pmod("h", F.lit(one_of)) == 0).groupBy("tok").agg(F.count(F.lit(1)).alias("k"))
+               .filter(F.col("k") >= rules.crowd // one_of).orderBy(F.desc("k"), "tok").limit(rules.broadcast).select("tok"))
+    crowded = F.broadcast(scratch.put(crowded, "crowded"))
+    by_tok = Window.partitionBy("tok")
+    lone = (members.join(crowded, "tok", "left_anti").withColumn("lo", F.min("h").over(by_tok))
+            .withColumn("hi", F.max("h").over(by_tok)).filter("lo <> hi"))
+    many = members.join(crowded, "tok", "left_semi")
+    ends = many.groupBy("tok").agg(F.min("h").alias("lo"), F.max("h").alias("hi"))
+    return lone.unionByName(many.join(F.broadcast(ends), "tok").filter("lo <> hi"))
+
+
+def _classified(docs: DataFrame, rules: JoinRules, id_col: str, text_col: str) -> DataFrame:
+    """Per row: id, t (hash of the text), n, h (key of its set; null if empty),
+    root (that of its component), name (smallest id of the component)."""
     ship_by_value(__name__, "curatio.llm.textnum")
     spark = docs.sparkSession
     scratch = Scratch(spark, "jaccard")
-    src = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
+    src = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"), F.xxhash64(docs[text_col]).alias("t"))
     frequent = frequent_shingles(src.select("text"), rules)
     sk = scratch.put(sketches(src, rules, frequent), "sketches")
     classes = scratch.put(sk.filter("prefix IS NOT NULL").groupBy("h").agg(
-        F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits")), "classes")
-    ids = scratch.put(sk.select("id", "n", "h"), "ids")
-    small = scratch.put(classes.select("h", "n", "bits"), "signatures")
-    reps = scratch.put(ids.filter("h IS NOT NULL").groupBy("h").agg(F.min("id").alias("rep")), "reps")
+        F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"),
+        F.first("tile_bits").alias("tile_bits")), "classes")
+    ids = scratch.put(sk.select("id", "t", "n", "h"), "ids")
+    small = scratch.put(classes.select("h", "n", "bits", "tile_bits"), "signatures")
+    reps = scratch.put(ids.filter("h IS NOT NULL").groupBy("h").agg(
+        F.min("id").alias("rep"), F.min(F.struct(F.col("id").isNull().alias("none"), "id", "t")).alias("doc")), "reps")
     scratch.drop("sketches")
-    members = classes.select("h", F.explode("prefix").alias("tok"))
-    ends = (members.groupBy("tok").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).filter("lo <> hi"))
-    shared = scratch.put(members.join(ends, "tok"), "shared")
+    shared = scratch.put(_with_ends(classes.select("h", F.explode("prefix").alias("tok")), rules, scratch), "shared")
     scratch.drop("classes")
     # every member against the two ends of its tile
     ab = shared.select("h", F.explode(F.array("lo", "hi")).alias("o")).filter("h <> o")
@@ -400,7 +422,7 @@ def jaccard_components(docs: DataFrame, rules: JoinRules | None = None, id_col:
             .filter("r0 <> r1").groupBy("k", "x", "y").agg(F.min("tok").alias("tok")))
         left = scratch.put(tagged.join(mixed.select("tok"), "tok").join(small.select("h", "n"), "h"), "left")
         scratch.drop("tagged")
-        tiles = _tiles(left, rules).join(small.select("h", "bits"), "h")
+        tiles = _tiles(left, rules).join(small.select("h", F.col("tile_bits").alias("bits")), "h")
         rest = scratch.put(_tile_pairs(tiles, rules, forest), "rest")
         links = links.union(verified(rest, src, reps, rules, scratch, f"rest-{forest}"))
         scratch.drop("left", "rest")
@@ -408,19 +430,28 @@ def jaccard_components(docs: DataFrame, rules: JoinRules | None = None, id_col:
     named = (reps.join(roots.withColumnRenamed("node", "h"), "h", "left")
              .withColumn("root", F.coalesce("root", "h")))
     names = named.groupBy("root").agg(F.min("rep").alias("name"))
-    by_class = scratch.put(named.join(names, "root").select("h", "name"), "names")
-    scratch.drop("ends", "shared", "signatures", "reps")
-    return (ids.join(by_class, "h", "left")
-            .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-                    F.when(F.col("h").isNull(), F.col("id")).otherwise(F.col("name")).alias("component_id")))
+    by_class = scratch.put(named.join(names, "root").select("h", "root", "name"), "names")
+    scratch.drop("ends", "shared", "signatures", "reps", "crowded")
+    return ids.join(by_class, "h", "left")
+
+
+def jaccard_components(docs: DataFrame, rules: JoinRules | None = None, id_col: str = "doc_id",
+                       text_col: str = "text") -> DataFrame:
+    """Per row: id, n_shingles, component_id."""
+    found = _classified(docs, rules or JoinRules(), id_col, text_col)
+    return found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
+                        F.when(F.col("h").isNull(), F.col("id")).otherwise(F.col("name")).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, rules: JoinRules | None = None, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
-    """The input rows, all columns, of the document that names its component;
-    of rows that repeat an id and a text one stays. Rows with a null id stay."""
-    found = jaccard_components(docs, rules, id_col, text_col)
-    stay = found.filter(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("__stay")).distinct()
-    kept = docs.join(stay, docs[id_col] == F.col("__stay"), "left").filter(
-        F.col("__stay").isNotNull() | docs[id_col].isNull())
+    """The input rows, all columns, of one document of each component: that of
+    the smallest id (null ids last; then by a hash of the text). Texts without
+    words stay; of rows that repeat an id and a text one stays."""
+    found = _classified(docs, rules or JoinRules(), id_col, text_col).filter("h IS NOT NULL")
+    stay = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "t")).alias("doc"))
+    stay = stay.select(F.col("doc.id").alias("__id"), F.col("doc.t").alias("__t")).distinct().withColumn("__stay", F.lit(True))
+    text = docs[text_col]
+    kept = docs.join(stay, docs[id_col].eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__t")), "left").filter(
+        F.coalesce(F.col("__stay"), F.lit(False)) | text.isNull() | ~text.rlike(r"[^\x20\x09-\x0D]"))
     return kept.select(*[docs[c] for c in docs.columns]).dropDuplicates([id_col, text_col])

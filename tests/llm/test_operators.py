@@ -479,3 +479,22 @@ def test_pipeline_stages(spark):
 
 def test_registered_queries():
     assert [n.split("_")[0] for n in registry.QUERIES] == [f"op{k}" for k in range(1, 14)]
+
+
+# ------------------------------------------------ null ids in the Jaccard join
+
+def test_links_through_documents_without_ids(spark):
+    words = [f"w{k}" for k in range(74)]
+    near = words[:42] + ["other"] + words[43:]                  # 65 of 75 shingles
+    far = near[:20] + ["third"] + near[21:]                     # near to the second, not to the first
+    def jac(a, b):
+        x, y = ({tuple(t[k:k + 5]) for k in range(len(t) - 4)} for t in (a, b))
+        return len(x & y) / len(x | y)
+    assert min(jac(words, near), jac(near, far)) >= 0.8 > jac(words, far)
+    middle = (None, " ".join(near))
+    rows = [(1, " ".join(words)), middle, middle, (3, " ".join(far)), (None, "alone without an id and unlike the rest"), (None, ""), (4, " \t")]
+    got = jaccard_join.jaccard_components(docs(spark, rows)).collect()
+    assert sorted((str(r.doc_id), r.n_shingles > 5, r.component_id) for r in got if r.n_shingles > 5) == [
+        ("1", True, 1), ("3", True, 1), ("None", True, 1), ("None", True, 1)]
+    kept = jaccard_join.one_of_each(docs(spark, rows + [(7, " ".join(far)), (None, rows[4][1])]))
+    assert sorted((str(r.doc_id), len(r.text.split())) for r in kept.collect()) == [("1", 74), ("4", 0), ("None", 0), ("None", 8)]

@@ -65,3 +65,18 @@ SELECT pos.a AS anchor_id, pos.b AS positive_id,
 FROM pos JOIN s ON s.a = pos.a AND NOT s.same AND 100 * s.s BETWEEN 30 * pos.s AND 90 * pos.s
 QUALIFY rank <= 10
 """
+
+JACCARD = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT r, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ') ELSE array_to_string(list_slice(w, i, i + 4), ' ') END AS s
+  FROM w, unnest(range(1, greatest(len(w) - 3, 2))) AS u(i) WHERE len(w) > 0),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+p AS (SELECT a.r AS a, b.r AS b, count(*) AS k FROM s a JOIN s b ON a.s = b.s AND a.r <> b.r GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN n x ON x.r = a JOIN n y ON y.r = b WHERE 100 * k >= 80 * (x.n + y.n - k)),
+c AS (SELECT r AS a, r AS b FROM w UNION SELECT c.a, e.b FROM c JOIN e ON e.a = c.b)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, min(o.doc_id) AS component_id
+FROM w LEFT JOIN n ON n.r = w.r JOIN c ON c.a = w.r JOIN w o ON o.r = c.b GROUP BY w.r, w.doc_id, n.n
+"""

@@ -94,4 +94,5 @@ QUERIES = {f.__name__: f for f in (
     op7_bpe_automaton, op8_license_scan, op9_language_id, op10_line_dedup, op11_hard_negatives, op12_lattice_lm,
     op13_prefix_trie)}
 
-ORACLE_SQL: dict[str, str] = {"op11_hard_negatives": oracle.HARD_NEGATIVES, "op13_prefix_trie": oracle.PREFIX_TRIE}
+ORACLE_SQL: dict[str, str] = {
+    "op3_jaccard_join": oracle.JACCARD, "op11_hard_negatives": oracle.HARD_NEGATIVES, "op13_prefix_trie": oracle.PREFIX_TRIE}

@@ -64,6 +64,7 @@ RAW_SUFFIX = ".json"
 CLASSIFIED_PREFIX = "classified_qa_"
 CLASSIFIED_SUFFIX = ".json"
 STATS_LINE_FORMAT = "%s: %d条"
+STATS_HEADER = "分类统计信息:"
 CONVERSATION_ROLES = ("user", "assistant")
 TOP_SLICES = 5
 PAGE_CHARSET = "gb18030"

@@ -37,5 +37,22 @@ def distribution(df: DataFrame, group_col: str, tie_col: str | None = None,
 
 def stats_lines(df: DataFrame, group_col: str, fmt: str = D.STATS_LINE_FORMAT) -> DataFrame:
     """W5 text: one ``"{category}: {count}条"`` line per category."""
-    c = category_counts(df, group_col)
-    return c.select(F.format_string(fmt, F.col(group_col), F.col("count")).alias("value"))
+    return category_counts(df, group_col).select(_stats_line(group_col, fmt))
+
+
+def _stats_line(group_col: str, fmt: str):
+    return F.format_string(fmt, F.col(group_col), F.col("count")).alias("value")
+
+
+def stats_text(df: DataFrame, group_col: str, order_col, fmt: str = D.STATS_LINE_FORMAT,
+               header: str = D.STATS_HEADER) -> DataFrame:
+    """The whole statistics text as rows in one sorted partition: the header,
+    then the categories in the order of their first rows by ``order_col`` (a
+    name or an expression). One row a category is sorted, after a map-side
+    combined aggregate."""
+    order = F.col(order_col) if isinstance(order_col, str) else order_col
+    lines = (df.groupBy(group_col).agg(F.count(F.lit(1)).alias("count"), F.min(order).alias("_first"))
+             .select(_stats_line(group_col, fmt), F.lit(1).alias("_part"), "_first"))
+    top = df.sparkSession.range(1).select(F.lit(header).alias("value"), F.lit(0).alias("_part"))
+    return (top.unionByName(lines, allowMissingColumns=True).coalesce(1)
+            .sortWithinPartitions("_part", "_first", "value").select("value"))

@@ -92,7 +92,7 @@ def classify_corpus(spark: SparkSession, raw: DataFrame, lex: Lexicon, out_dir:
     labelled = labelled.select("pos", "question", "answer", "url", "label")
     SK.write_classified(labelled, os.path.join(out_dir, "classified"))
     written = spark.read.parquet(os.path.join(out_dir, "classified"))
-    SK.write_stats(written, os.path.join(out_dir, "classification_stats"))
+    SK.write_stats(written, os.path.join(out_dir, "classification_stats"), order_col="pos")
     return written
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curatio import defaults as D
-from curatio.operators.report import stats_lines
+from curatio.operators.report import stats_text
 
 
 def run_stamp(fmt: str = "%Y%m%d_%H%M%S") -> str:
@@ -49,9 +49,11 @@ def write_classified(df: DataFrame, path: str, group_col: str = "label",
 
 
 def write_stats(df: DataFrame, path: str, group_col: str = "label",
-                fmt: str = D.STATS_LINE_FORMAT) -> None:
-    """One ``category: N条`` line per category (a tiny aggregate)."""
-    stats_lines(df, group_col, fmt).coalesce(1).write.mode("overwrite").text(path)
+                fmt: str = D.STATS_LINE_FORMAT, order_col=None) -> None:
+    """The header, then one ``category: N条`` line per category, in one file:
+    by first appearance in ``order_col``, by name without it."""
+    order = group_col if order_col is None else order_col
+    stats_text(df, group_col, order, fmt).write.mode("overwrite").text(path)
 
 
 def write_conversations(records: DataFrame, path: str) -> None:

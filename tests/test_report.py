@@ -26,3 +26,14 @@ def test_fewer_than_five_and_empty(spark):
 def test_stats_lines(spark):
     df = spark.createDataFrame([("内科",), ("内科",), ("外科",)], "g string")
     assert sorted(r.value for r in stats_lines(df, "g").collect()) == ["内科: 2条", "外科: 1条"]
+
+
+def test_stats_file_has_a_header_and_first_appearance_order(spark, tmpdir_path):
+    from curatio.sources.sinks import write_stats
+    rows = [(k, g) for k, g in enumerate("cabbcacd")]
+    df = spark.createDataFrame(rows, "k long, g string").repartition(5)
+    write_stats(df, f"{tmpdir_path}/s", "g", order_col="k")
+    lines = [r.value for r in spark.read.text(f"{tmpdir_path}/s").coalesce(1).collect()]
+    assert lines == ["分类统计信息:", "c: 3条", "a: 2条", "b: 2条", "d: 1条"]
+    write_stats(df.limit(0), f"{tmpdir_path}/e", "g")
+    assert [r.value for r in spark.read.text(f"{tmpdir_path}/e").collect()] == ["分类统计信息:"]

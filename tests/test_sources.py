@@ -91,7 +91,7 @@ def test_sinks_round_trip(spark, tmpdir_path):
     assert back[0].label == "内科"
     SK.write_stats(df, os.path.join(tmpdir_path, "stats"))
     lines = [r.value for r in spark.read.text(os.path.join(tmpdir_path, "stats")).collect()]
-    assert lines == ["内科: 1条"]
+    assert lines == ["分类统计信息:", "内科: 1条"]
     empty = spark.createDataFrame([], "pos int, link string")
     assert SK.write_links(empty, os.path.join(tmpdir_path, "links")) is False
     assert not os.path.exists(os.path.join(tmpdir_path, "links"))

@@ -162,7 +162,7 @@ def _scored(docs: DataFrame, words: DataFrame, rules: LatticeRules) -> DataFrame
                 n = part.num_rows
                 at = np.minimum(np.searchsorted(keys, h), max(len(keys) - 1, 0))
                 hit = keys[at] == h if len(keys) else np.zeros(len(h), bool)
-                total = lambda x: np.bincount(row[hit], x[at[hit]], minlength=n)
+                total = lambda x: np.bincount(row[hit], x[at[hit]], minlength=n).astype(float)
                 rest = np.flatnonzero(~hit)
                 order = rest[np.lexsort((h[rest], row[rest]))]
                 new = np.ones(len(order), bool)

@@ -9,8 +9,12 @@ blocked.
 
 Scale: urls and links collapse to hosts and host pairs in map-side aggregates,
 so a host with a third of all pages is one row per task; the iterations move
-host rows only and are written every few rounds. A host with very many links
-meets in a sum, and adaptive execution splits its join.
+host rows only, and each round is written, so that plans stay of one size. A host
+with very many links meets in a sum, and adaptive execution splits its join.
+Rounds go on until all rank still under way is below the tolerance, however long the
+ways between hosts are: it shrinks by ``damping`` a round, so 1e-6 takes 96 rounds
+at most, and as many as the longest way where links make no circles. The written
+rounds, narrow rows of the hosts reached, are summed up once at the end.
 
 Defined results: a null url, or one without ``://``, has empty host and path
 and no rule; it gets the default verdict, as do hosts without evidence. Null
@@ -25,7 +29,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curatio.llm.scratch import Scratch
+from curatio.llm.scratch import Scratch, cleaned_shuffles, drop, scratch_path
 
 #: (host, path, verdict) of the registered query (fixed values).
 RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
@@ -38,10 +42,13 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 class TrustRules:
     rules: tuple = RULES
     damping: float = 0.85
-    rounds: int = 10
+    tolerance: float = 1e-6         # all ranks (sum 1) together are off by less
     margin: float = 1.0
     default: str = "allow"
-    written_every: int = 5
+
+    def __post_init__(self):
+        if not 1e-13 <= self.tolerance < 1 or not 0 <= self.damping < 1:
+            raise ValueError("tolerance is from 1e-13 up to 1, damping from 0 up to 1 (both below 1)")
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -76,27 +83,35 @@ def host_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
 
 
 def personalised_rank(edges: DataFrame, seeds: DataFrame, cfg: TrustRules, scratch: Scratch, name: str) -> DataFrame:
-    """(host, rank) with sum 1 over all hosts (0 without seeds): each round a
-    host hands ``damping`` of its rank on in equal parts; the rest, and what
-    hosts without links hold, returns to the seeds by their weight.
+    """(host, rank) with sum 1 over all hosts (0 without seeds), to
+    ``cfg.tolerance``: a walk starts at the seeds by their weight, goes on from a
+    host with ``damping`` by one of its links, and else starts anew, as it does
+    at hosts without links. The rank is the sum over the lengths of ways, scaled
+    to 1: rounds hand on what the one before received, until too little is left.
     ``seeds``: (host, weight) of every host."""
-    total = seeds.agg(F.sum("weight").alias("total"))            # one row
-    hosts = (seeds.crossJoin(F.broadcast(total))
-             .select("host", F.when(F.col("total") > 0, F.col("weight") / F.col("total")).otherwise(0.0).alias("home")))
-    out = edges.groupBy(F.col("src").alias("host")).agg(F.count(F.lit(1)).alias("out"))
-    hosts = scratch.put(hosts.join(out, "host", "left"), f"{name}-hosts")
-    rank = hosts.select("host", "home", "out", F.col("home").alias("rank"))
-    for k in range(1, cfg.rounds + 1):
-        got = (edges.join(rank.filter("out IS NOT NULL").select(F.col("host").alias("src"), (F.col("rank") / F.col("out")).alias("part")), "src")
-               .groupBy(F.col("dst").alias("host")).agg(F.sum("part").alias("got")))
-        idle = rank.agg(F.coalesce(F.sum(F.when(F.col("out").isNull(), F.col("rank"))), F.lit(0.0)).alias("idle"))  # one row
-        rank = (hosts.join(got, "host", "left").crossJoin(F.broadcast(idle))
-                .select("host", "home", "out",
-                        (cfg.damping * (F.coalesce("got", F.lit(0.0)) + F.col("idle") * F.col("home"))
-                         + (1 - cfg.damping) * F.col("home")).alias("rank")))
-        if k % cfg.written_every == 0 and k < cfg.rounds:
-            rank = scratch.put(rank, f"{name}-{k}")
-    return rank.select("host", "rank")
+    spark = scratch.spark
+    total = seeds.agg(F.sum("weight")).first()[0] or 1.0          # one row
+    out = edges.groupBy("src").agg(F.count(F.lit(1)).alias("out"))
+    shares = scratch.put(edges.join(out, "src").select("src", "dst", (F.lit(cfg.damping) / F.col("out")).alias("share")),
+                         f"{name}-shares")
+    base = scratch_path(spark, f"{scratch.what}-{name}-rounds")
+    held = seeds.filter("weight > 0").select("host", (F.col("weight") / F.lit(total)).alias("part"))
+    k, left = 0, 1.0
+    while left * cfg.damping / (1 - cfg.damping) >= cfg.tolerance:     # what all later rounds could add
+        path = f"{base}/round={k}"
+        with cleaned_shuffles(spark):
+            held.write.parquet(path)
+        now = spark.read.schema("host string, part double").parquet(path)
+        left = now.agg(F.sum("part")).first()[0] or 0.0           # one row
+        held = (shares.join(now, F.col("src") == F.col("host")).groupBy(F.col("dst").alias("host"))
+                .agg(F.sum(F.col("part") * F.col("share")).alias("part")))
+        k += 1
+    ways = spark.read.schema("host string, part double, round int").parquet(base).groupBy("host").agg(F.sum("part").alias("part"))
+    ways = scratch.put(ways, f"{name}-sums")
+    scale = ways.agg(F.sum("part")).first()[0] or 1.0             # one row
+    drop(spark, base)
+    scratch.drop(f"{name}-shares")
+    return seeds.join(ways, "host", "left").select("host", (F.coalesce("part", F.lit(0.0)) / F.lit(scale)).alias("rank"))
 
 
 def host_scores(pages: DataFrame, cfg: TrustRules, scratch: Scratch, url_col: str = "url",

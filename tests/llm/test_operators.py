@@ -5,6 +5,7 @@ import itertools
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -97,26 +98,53 @@ def test_hosts_paths_and_rules(spark):
     assert link_trust.judge_urls(df.limit(0)).count() == 0
 
 
-def test_rank_equals_power_iteration(spark):
+def solved_rank(edges, seeds, damping):
+    """The settled ranks, from the linear system that they solve."""
+    hosts = sorted(seeds)
+    at = {h: k for k, h in enumerate(hosts)}
+    home = np.array([seeds[h] for h in hosts])
+    home = home / home.sum()
+    step = np.zeros((len(hosts), len(hosts)))
+    for h in hosts:
+        to = [b for a, b in edges if a == h]
+        for b in to:
+            step[at[b], at[h]] += 1 / len(to)
+        if not to:
+            step[:, at[h]] = home
+    return dict(zip(hosts, np.linalg.solve(np.eye(len(hosts)) - damping * step, (1 - damping) * home)))
+
+
+def graphs():
     rng = random.Random(3)
     hosts = [f"h{k}" for k in range(12)]
-    edges = {(rng.choice(hosts), rng.choice(hosts)) for _ in range(25)}
-    edges = sorted((a, b) for a, b in edges if a != b)
-    seeds = {h: float(k % 3 == 0) for k, h in enumerate(hosts)}
-    cfg = link_trust.TrustRules()
-    total = sum(seeds.values())
-    home = {h: w / total for h, w in seeds.items()}
-    rank = dict(home)
-    out = {h: [b for a, b in edges if a == h] for h in hosts}
-    for _ in range(cfg.rounds):
-        idle = sum(rank[h] for h in hosts if not out[h])
-        rank = {h: cfg.damping * (sum(rank[a] / len(out[a]) for a, b in edges if b == h) + idle * home[h])
-                + (1 - cfg.damping) * home[h] for h in hosts}
+    some = sorted({(a, b) for a, b in ((rng.choice(hosts), rng.choice(hosts)) for _ in range(25)) if a != b})
+    yield some, {h: float(k % 3 == 0) for k, h in enumerate(hosts)}
+    chain = [f"h{k:02}" for k in range(15)]                       # the last host is 14 links from the seed
+    yield list(zip(chain, chain[1:])), {h: float(h == "h00") for h in chain}
+    spokes = [f"s{k}" for k in range(30)]                         # all link to a hub, the hub links to a few
+    yield [(s, "hub") for s in spokes] + [("hub", s) for s in spokes[:3]], {"hub": 0.0} | {s: float(k % 2) for k, s in enumerate(spokes)}
+
+
+@pytest.mark.parametrize("graph", range(3))
+def test_rank_settles_at_the_solved_system(spark, graph):
+    edges, seeds = list(graphs())[graph]
+    cfg = link_trust.TrustRules(tolerance=1e-6)
+    want = solved_rank(edges, seeds, cfg.damping)
     got = link_trust.personalised_rank(spark.createDataFrame(edges, "src string, dst string"),
                                        spark.createDataFrame(list(seeds.items()), "host string, weight double"),
                                        cfg, Scratch(spark, "t"), "t")
-    for r in got.collect():
-        assert r["rank"] == pytest.approx(rank[r.host], abs=1e-9)
+    rows = got.collect()
+    assert len(rows) == len(seeds)
+    for r in rows:
+        assert r["rank"] == pytest.approx(want[r.host], abs=1e-5)
+        assert r["rank"] > 0 or want[r.host] == 0
+
+
+def test_trust_rules_refuse_what_never_settles():
+    with pytest.raises(ValueError):
+        link_trust.TrustRules(tolerance=0.0)
+    with pytest.raises(ValueError):
+        link_trust.TrustRules(damping=1.0)
 
 
 def test_distrust_reaches_who_links_to_blocked_hosts(spark):

@@ -25,8 +25,13 @@ from pyspark.sql import types as T
 
 from curatio import defaults as D
 from curatio.functions.text import count_occurrences, slice0
+from curatio.operators.sweep import sweep_hits
 from curatio.operators.util import checked_broadcast
 
+#: Keywords from which on texts are read once by an automaton (``method="auto"``)
+#: instead of once a keyword; results are the same.
+SWEEP_FROM = 1_000
+
 
 @dataclass
 class Lexicon:
@@ -116,14 +121,25 @@ def _bcast_categories(lex: Lexicon) -> DataFrame:
     return checked_broadcast(lex.categories, known_rows=lex.n_categories, what="categories")
 
 
+def _by_sweep(lex: Lexicon, method: str) -> bool:
+    if method not in ("auto", "join", "sweep"):
+        raise ValueError("method is auto, join or sweep")
+    if method != "auto":
+        return method == "sweep"
+    n = lex.n_keywords if lex.n_keywords is not None else lex.keywords.limit(SWEEP_FROM + 1).count()
+    return n > SWEEP_FROM
+
+
 def hit_columns(text: Column, keyword: Column, weight: Column,
                 context_radius: int = D.CONTEXT_RADIUS,
                 early_factor: float = D.EARLY_FACTOR,
-                question_mark: str = D.QUESTION_MARK) -> dict[str, Column]:
+                question_mark: str = D.QUESTION_MARK,
+                cnt: Column | None = None, pos: Column | None = None) -> dict[str, Column]:
     """Per (text, keyword) hit: count, first position, question end, early
-    flag, context window and the score before the related-keyword boost."""
-    cnt = count_occurrences(text, keyword)
-    pos = F.position(keyword, text) - 1
+    flag, context window and the score before the related-keyword boost.
+    ``cnt`` and ``pos`` are taken as given if a pass has found them."""
+    cnt = count_occurrences(text, keyword) if cnt is None else cnt
+    pos = F.position(keyword, text) - 1 if pos is None else pos
     qm = F.position(F.lit(question_mark), text) - 1
     qend = F.when(qm >= 0, qm).otherwise(F.floor(F.length(text) / 2).cast("int"))
     early = pos < qend
@@ -135,11 +151,15 @@ def hit_columns(text: Column, keyword: Column, weight: Column,
 
 
 def keyword_hits(texts: DataFrame, keys: Sequence[str], text_col: str, lex: Lexicon,
-                 **hit_kw) -> DataFrame:
+                 method: str = "auto", **hit_kw) -> DataFrame:
     """J1 + K2/K3: one row per (text, keyword) where the keyword occurs.
 
-    Broadcast nested-loop join of the streamed texts against the lexicon
-    with a ``contains`` condition; a keyword in two categories gives two rows."""
+    ``join``: broadcast nested-loop join of the streamed texts against the lexicon
+    with a ``contains`` condition; ``sweep``: one pass of an automaton over each
+    text, for lexicons of any size; ``auto`` takes the join up to ``SWEEP_FROM``
+    keywords. A keyword in two categories gives two rows."""
+    if _by_sweep(lex, method):
+        return _swept(texts, keys, text_col, lex, **hit_kw).drop("n_related")
     t = texts.select(*keys, F.col(text_col).alias("_t"))
     lx = _bcast_keywords(lex)
     j = t.join(lx, F.col("_t").contains(F.col("keyword")), "inner")
@@ -148,6 +168,24 @@ def keyword_hits(texts: DataFrame, keys: Sequence[str], text_col: str, lex: Lexi
                     *[c.alias(n) for n, c in cols.items()])
 
 
+def _swept(texts: DataFrame, keys: Sequence[str], text_col: str, lex: Lexicon, **hit_kw) -> DataFrame:
+    """The columns of :func:`keyword_hits` and ``n_related``."""
+    h = sweep_hits(texts, keys, text_col, lex.keywords, hit_kw.get("context_radius", D.CONTEXT_RADIUS))
+    cols = hit_columns(F.col("_t"), F.col("keyword"), F.col("weight"), **hit_kw, cnt=F.col("cnt"), pos=F.col("pos"))
+    return h.select(*keys, "dept", "dept_ord", "kw_ord", "keyword", "weight",
+                    *[c.alias(n) for n, c in cols.items()], "n_related")
+
+
+def related_hits(texts: DataFrame, keys: Sequence[str], text_col: str, lex: Lexicon,
+                 related_factor: float = D.RELATED_FACTOR, method: str = "auto", **hit_kw) -> DataFrame:
+    """J1 + J2: hits with their related keywords counted and boosted, by
+    :func:`with_related`, or in the pass that finds the hits (``sweep``)."""
+    if not _by_sweep(lex, method):
+        return with_related(keyword_hits(texts, keys, text_col, lex, "join", **hit_kw), keys, lex, related_factor)
+    return _swept(texts, keys, text_col, lex, **hit_kw).withColumn(
+        "base", F.col("base0") * F.pow(F.lit(related_factor), F.col("n_related")))
+
+
 def with_related(hits: DataFrame, keys: Sequence[str], lex: Lexicon,
                  related_factor: float = D.RELATED_FACTOR) -> DataFrame:
     """J2 + K4: count the other keywords of the same category inside each
@@ -170,11 +208,19 @@ def with_related(hits: DataFrame, keys: Sequence[str], lex: Lexicon,
 
 
 def keyword_scores(texts: DataFrame, keys: Sequence[str], text_col: str, lex: Lexicon,
-                   related_factor: float = D.RELATED_FACTOR, **hit_kw) -> DataFrame:
+                   related_factor: float = D.RELATED_FACTOR, method: str = "auto", **hit_kw) -> DataFrame:
     """A1/K5: score of every (text, category), 0 for categories without a hit.
 
-    texts x categories (broadcast, one row per category) -> left join with
-    the category's keywords on containment -> related boost -> sum."""
+    ``join``: texts x categories (broadcast, one row per category) -> left join
+    with the category's keywords on containment -> related boost -> sum.
+    ``sweep``: hits of one pass, and a zero row per key and category, are summed
+    together; only keys, category and number are shuffled, never a text."""
+    if _by_sweep(lex, method):
+        hits = related_hits(texts, keys, text_col, lex, related_factor, "sweep", **hit_kw)
+        zero = texts.select(*keys).crossJoin(_bcast_categories(lex)).withColumn("base", F.lit(0.0))
+        group = [*keys, "dept", "dept_ord"]
+        return (hits.select(*group, "base").unionByName(zero.select(*group, "base"))
+                .groupBy(*group).agg(F.sum("base").alias("kw_score")))
     return _category_scores(
         texts.select(*keys, F.col(text_col).alias("_t")).crossJoin(_bcast_categories(lex)),
         keys, lex, related_factor, **hit_kw)

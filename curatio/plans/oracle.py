@@ -256,6 +256,11 @@ SELECT conv_id, turn, dept, keyword, CAST(n_related AS BIGINT) AS n_related,
   round(base, 6) AS base FROM rel2"""
     q["keyword_scores"] = base_ctes(vectors=False) + """
 SELECT conv_id, turn, dept, round(kw_score, 6) AS kw_score FROM kw"""
+    q["keyword_sweep"] = base_ctes(vectors=False) + """
+SELECT h.conv_id, h.turn, h.dept, h.keyword, CAST(h.cnt AS BIGINT) AS cnt, CAST(h.pos AS BIGINT) AS pos, h.early,
+  CAST(r.n_related AS BIGINT) AS n_related, round(r.base, 6) AS base
+FROM hits h JOIN rel2 r USING (conv_id, turn, dept, keyword)"""
+    q["keyword_sweep_scores"] = q["keyword_scores"]
     q["cosine_pairs"] = """
 SELECT a.vec_id AS a_id, b.vec_id AS b_id,
   round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS similarity

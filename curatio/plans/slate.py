@@ -199,6 +199,17 @@ def q_keyword_context(spark: SparkSession, d: str) -> DataFrame:
                     _r6("base").alias("base"))
 
 
+def q_keyword_sweep(spark: SparkSession, d: str) -> DataFrame:
+    h = L.related_hits(_texts(spark, d), KEYS, "ctext", _lex(spark), method="sweep")
+    return h.select(*KEYS, "dept", "keyword", F.col("cnt").cast("long").alias("cnt"), F.col("pos").cast("long").alias("pos"),
+                    "early", F.col("n_related").cast("long").alias("n_related"), _r6("base").alias("base"))
+
+
+def q_keyword_sweep_scores(spark: SparkSession, d: str) -> DataFrame:
+    s = L.keyword_scores(_texts(spark, d), KEYS, "ctext", _lex(spark), method="sweep")
+    return s.select(*KEYS, "dept", _r6("kw_score").alias("kw_score"))
+
+
 def q_keyword_scores(spark: SparkSession, d: str) -> DataFrame:
     s = L.keyword_scores(_texts(spark, d), KEYS, "ctext", _lex(spark))
     return s.select(*KEYS, "dept", _r6("kw_score").alias("kw_score"))
@@ -354,6 +365,8 @@ QUERIES = {
     "keyword_hits": q_keyword_hits,
     "keyword_context": q_keyword_context,
     "keyword_scores": q_keyword_scores,
+    "keyword_sweep": q_keyword_sweep,
+    "keyword_sweep_scores": q_keyword_sweep_scores,
     "cosine_pairs": q_cosine_pairs,
     "prototype_scores": q_prototype_scores,
     "keyword_prototype_scores": q_keyword_prototype_scores,

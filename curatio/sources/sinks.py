@@ -1,12 +1,18 @@
 """Sinks (W1-W7). Spark's commit protocol replaces write-then-rename and
 part-file cleanup; every writer is distributed (one file per task), so the
-array-shaped files of the original become folders of JSON lines."""
+array-shaped files of the original become folders of JSON lines.
+
+Gates (S8, the no-output rule of W1 and W2) are judged in the writing pass:
+rows are counted by the tasks that write them, into a folder beside the target,
+which takes the target's place only if the counts pass."""
 
 from __future__ import annotations
 
 import time
+import uuid
+from typing import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from curatio import defaults as D
@@ -18,34 +24,85 @@ def run_stamp(fmt: str = "%Y%m%d_%H%M%S") -> str:
     return time.strftime(fmt)
 
 
-def write_links(links: DataFrame, path: str, mode: str = "overwrite") -> bool:
-    """Link rows as JSON lines; no output at all when there are none."""
-    links.select("pos", F.col("link").alias("url")).write.mode(mode).json(path)
-    return _kept(links.sparkSession, path)
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def write_gated(df: DataFrame, path: str, save: Callable[[DataFrameWriter, str], None],
+                gate: Callable[[dict], bool | None], required: Sequence[str] = ()) -> bool:
+    """Write ``df`` beside ``path`` by ``save(writer, folder)`` and count on the way:
+    ``rows``, and ``lacking`` (rows with a null in a ``required`` column). If
+    ``gate`` refuses the counts (False, or an error, which is raised), the new folder
+    goes and what stood at ``path`` stays readable; else it takes that place.
+
+    The input is computed once. Counts are of the tasks that committed their files,
+    so retried and speculative tasks count once. Between the two renames of an
+    overwrite ``path`` is absent for a moment; if the second one fails, the earlier
+    output is put back. Returns whether ``path`` was written."""
+    spark = df.sparkSession
+    lacking = F.lit(False)
+    for c in required:
+        lacking = lacking | F.col(c).isNull()
+    seen = Observation()
+    watched = df.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(lacking).alias("lacking"))
+    target = path.rstrip("/")
+    tag = uuid.uuid4().hex
+    staged, aside = f"{target}.staged-{tag}", f"{target}.old-{tag}"
+    fs, new = _fs(spark, staged)
+    try:
+        save(watched.write, staged)
+        if gate(seen.get) is False:
+            return False
+        (_, at), (_, old) = _fs(spark, target), _fs(spark, aside)
+        there = fs.exists(at)
+        if there and not fs.rename(at, old):
+            raise OSError(f"{path} can't be replaced")
+        if not fs.rename(new, at):
+            if there:
+                fs.rename(old, at)
+            raise OSError(f"{staged} can't be moved to {path}")
+        if there:
+            fs.delete(old, True)
+        return True
+    finally:
+        if fs.exists(new):
+            fs.delete(new, True)
 
 
-def _kept(spark, path: str) -> bool:
-    """Whether the folder just written holds a row; it goes if not. The
-    output is looked at, so that the input is computed once."""
-    if not spark.read.text(path).isEmpty():
-        return True
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-    return False
+def _any_rows(counts: dict) -> bool:
+    return counts["rows"] > 0
+
+
+def complete_rows(counts: dict) -> None:
+    """S8 as a gate: an error when any row lacks a required field."""
+    if counts["lacking"]:
+        raise ValueError(f"Invalid data format: {counts['lacking']} rows lack a required field")
+
+
+def write_links(links: DataFrame, path: str, mode: str = "overwrite") -> bool:
+    """Link rows as JSON lines; no output at all when there are none (an
+    earlier one stays). Modes other than overwrite are Spark's own."""
+    rows = links.select("pos", F.col("link").alias("url"))
+    if mode == "overwrite":
+        return write_gated(rows, path, lambda w, p: w.json(p), _any_rows)
+    seen = Observation()
+    rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode).json(path)
+    return seen.get["rows"] > 0
 
 
 def write_parts(rows: DataFrame, path: str) -> bool:
-    """QA rows as JSON lines (only when there are results); the
-    folder is replaced atomically per the commit protocol."""
-    rows.select("question", "answer", "url").write.mode("overwrite").json(path)
-    return _kept(rows.sparkSession, path)
+    """QA rows as JSON lines, only when there are results (an earlier
+    output stays if not)."""
+    return write_gated(rows.select("question", "answer", "url"), path, lambda w, p: w.json(p), _any_rows)
 
 
 def write_classified(df: DataFrame, path: str, group_col: str = "label",
-                     fmt: str = "parquet") -> None:
+                     fmt: str = "parquet", required: Sequence[str] = ()) -> None:
     """The classified corpus, partitioned by category (flat rows; the
-    nested one-object form would put a whole category in one record)."""
-    df.write.mode("overwrite").partitionBy(group_col).format(fmt).save(path)
+    nested one-object form would put a whole category in one record). S8: a row
+    with a null in a ``required`` column is an error, and the earlier corpus stays."""
+    write_gated(df, path, lambda w, p: w.partitionBy(group_col).format(fmt).save(p), complete_rows, required)
 
 
 def write_stats(df: DataFrame, path: str, group_col: str = "label",
@@ -58,7 +115,7 @@ def write_stats(df: DataFrame, path: str, group_col: str = "label",
 
 def write_conversations(records: DataFrame, path: str) -> None:
     """``{id, conversations:[{from, value}, ...]}`` as JSON lines."""
-    records.select("id", "conversations").write.mode("overwrite").json(path)
+    write_gated(records.select("id", "conversations"), path, lambda w, p: w.json(p), lambda counts: None)
 
 
 def output_name(input_name, prefix: str = D.CLASSIFIED_PREFIX,

@@ -231,6 +231,7 @@ FROM b"""
 WITH m AS (SELECT max(doc_id) // 2 AS half FROM documents)
 SELECT doc_id, lang FROM documents l, m WHERE doc_id > half AND NOT EXISTS (
   SELECT 1 FROM documents e WHERE e.doc_id <= half AND e.text IS NOT DISTINCT FROM l.text)"""
+    q["unseen_by_index"] = q["unseen_questions"]
     q["quarantine"] = """
 SELECT u.conv_id, u.turn, u.text IS NULL OR a.text IS NULL AS is_bad
 FROM conversations u LEFT JOIN conversations a

@@ -3,6 +3,8 @@ over the whole driver tables. Column names match :mod:`curatio.plans.oracle`."""
 
 from __future__ import annotations
 
+import uuid
+
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,11 +17,12 @@ from curatio.operators import lexicon as L
 from curatio.operators import pages as P
 from curatio.operators import report as R
 from curatio.operators import similarity as V
+from curatio.operators.seen import SeenKeys
 from curatio.plans import scenario as S
 from curatio.sources.tables import qa_from_conversations, qa_from_documents, table
 from curatio.sources.readers import classify_json_lines, schema_gate
 from curatio.operators.util import checked_broadcast, ship_by_value, spread
-from curatio.session import cut_lineage
+from curatio.session import checkpoint_dir, cut_lineage
 
 KEYS = S.QA_KEYS
 
@@ -146,6 +149,17 @@ def q_unseen_questions(spark: SparkSession, d: str) -> DataFrame:
     return K.drop_seen(later, earlier, ["text"]).select("doc_id", "lang")
 
 
+def q_unseen_by_index(spark: SparkSession, d: str) -> DataFrame:
+    """J6 by an index of keys: the earlier half's text digests are added to a new
+    index in the shared folder, the later half is looked up there."""
+    docs = table(spark, d, "documents")
+    half = docs.agg(F.expr("max(doc_id) div 2").alias("half"))
+    run = docs.select("doc_id", "lang", F.sha2("text", 256).alias("digest")).join(F.broadcast(half))     # one row
+    index = SeenKeys(spark, f"{checkpoint_dir(spark).rstrip('/')}/seen-{uuid.uuid4().hex}", "digest STRING", buckets=64)
+    index.add(run.filter("doc_id <= half"))
+    return index.unseen(run.filter("doc_id > half")).select("doc_id", "lang")
+
+
 def q_quarantine(spark: SparkSession, d: str) -> DataFrame:
     """User turns with the answer that follows; those without one are
     quarantined."""
@@ -357,6 +371,7 @@ QUERIES = {
     "latest_capture": q_latest_capture,
     "bad_rows_split": q_bad_rows_split,
     "unseen_questions": q_unseen_questions,
+    "unseen_by_index": q_unseen_by_index,
     "quarantine": q_quarantine,
     "decoded_pages": q_decoded_pages,
     "dedup_first_seen": q_dedup_first_seen,

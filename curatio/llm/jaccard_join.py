@@ -409,29 +409,37 @@ def _classified(docs: DataFrame, rules: JoinRules, id_col: str, text_col: str) -
     ab = scratch.put(_passing(_with_sketches(ab, small), rules), "ends")
     links = verified(ab, src, reps, rules, scratch, "ends")
     # the rest: tiles that still hold more than one component; first a forest
-    # of their closest pairs, then all pairs that are still apart
+    # of their closest pairs, then, in the tiles of these that are still mixed
+    # (links only join more), all pairs that are still apart
+    part = shared.select("tok", "h")
     for forest in (True, False):
         roots = components(links, scratch, f"roots-{forest}")
-        tagged = (shared.select("tok", "h").join(roots.withColumnRenamed("node", "h"), "h", "left")
+        tagged = (part.join(roots.withColumnRenamed("node", "h"), "h", "left")
                   .withColumn("root", F.coalesce("root", "h")))
-        tagged = scratch.put(tagged, "tagged")
+        tagged = scratch.put(tagged, f"tagged-{forest}")
+        mixed = (tagged.groupBy("tok").agg(F.min("root").alias("r0"), F.max("root").alias("r1"))
+                 .filter("r0 <> r1").select("tok"))
+        mixed = scratch.put(mixed, f"mixed-{forest}")
+        few = mixed.count() <= rules.broadcast
+        kept = scratch.put(tagged.join(F.broadcast(mixed) if few else mixed, "tok"), f"kept-{forest}")
         # shingles with the same members make one tile
-        mixed = (tagged.groupBy("tok").agg(
-            F.min("root").alias("r0"), F.max("root").alias("r1"), F.count(F.lit(1)).alias("k"),
-            F.bit_xor(F.xxhash64("h")).alias("x"), F.bit_xor(F.xxhash64("h", F.lit(1))).alias("y"))
-            .filter("r0 <> r1").groupBy("k", "x", "y").agg(F.min("tok").alias("tok")))
-        left = scratch.put(tagged.join(mixed.select("tok"), "tok").join(small.select("h", "n"), "h"), "left")
-        scratch.drop("tagged")
+        one = (kept.groupBy("tok").agg(
+            F.count(F.lit(1)).alias("k"), F.bit_xor(F.xxhash64("h")).alias("x"),
+            F.bit_xor(F.xxhash64("h", F.lit(1))).alias("y")).groupBy("k", "x", "y").agg(F.min("tok").alias("tok")))
+        left = scratch.put(kept.join(one.select("tok"), "tok").join(small.select("h", "n"), "h"), f"left-{forest}")
+        scratch.drop(f"tagged-{forest}", f"mixed-{forest}", f"kept-{forest}", "shared" if forest else "left-True")
         tiles = _tiles(left, rules).join(small.select("h", F.col("tile_bits").alias("bits")), "h")
-        rest = scratch.put(_tile_pairs(tiles, rules, forest), "rest")
+        rest = scratch.put(_tile_pairs(tiles, rules, forest), f"rest-{forest}")
         links = links.union(verified(rest, src, reps, rules, scratch, f"rest-{forest}"))
-        scratch.drop("left", "rest")
+        scratch.drop(f"rest-{forest}")
+        part = left.select("tok", "h")
+    scratch.drop("left-False")
     roots = components(links, scratch, "all")
     named = (reps.join(roots.withColumnRenamed("node", "h"), "h", "left")
              .withColumn("root", F.coalesce("root", "h")))
     names = named.groupBy("root").agg(F.min("rep").alias("name"))
     by_class = scratch.put(named.join(names, "root").select("h", "root", "name"), "names")
-    scratch.drop("ends", "shared", "signatures", "reps", "crowded")
+    scratch.drop("ends", "signatures", "reps", "crowded")
     return ids.join(by_class, "h", "left")
 
 

@@ -292,10 +292,10 @@ def _spanning(found):
 def _tile_pairs(tiles: DataFrame, rules: JoinRules, forest: bool) -> DataFrame:
     """Pairs (a, b) of a tile's members, of different components and sides,
     whose signatures leave a link open: all, or a forest of the closest that
-    joins the same components. The rows of a tile come together; a tile holds
-    two blocks at most."""
+    joins the same components, and (tile, null) of the tiles that have pairs
+    besides. The rows of a tile come together; a tile holds two blocks at most."""
     def run(batches):
-        def flush(rows):
+        def flush(tile, rows):
             h = np.array([r[0] for r in rows])
             n = np.array([r[1] for r in rows])
             root = np.array([r[2] for r in rows])
@@ -312,7 +312,10 @@ def _tile_pairs(tiles: DataFrame, rules: JoinRules, forest: bool) -> DataFrame:
                     ok = _may_link(n[i], n[js], differ, rules.percent)
                     found += [(d, min(h[i], h[j]), max(h[i], h[j]), root[i], root[j])
                               for d, j in zip(differ[ok].tolist(), js[ok])]
-            return _spanning(found) if forest else [f[1:3] for f in found]
+            if not forest:
+                return [f[1:3] for f in found]
+            tree = _spanning(found)
+            return tree + [(tile, None)] * (len(tree) < len(found))
 
         key, rows, out = None, [], []
         for batch in batches:
@@ -320,14 +323,14 @@ def _tile_pairs(tiles: DataFrame, rules: JoinRules, forest: bool) -> DataFrame:
             for tile, *row in zip(*cols):
                 if tile != key:
                     if len(rows) > 1:
-                        out += flush(rows)
+                        out += flush(key, rows)
                     key, rows = tile, []
                 rows.append(row)
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], ["a", "b"])
                 out = []
         if len(rows) > 1:
-            out = flush(rows)
+            out = flush(key, rows)
             yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], ["a", "b"])
 
     dealt = tiles.repartition("tile").sortWithinPartitions("tile")
@@ -409,31 +412,39 @@ def _classified(docs: DataFrame, rules: JoinRules, id_col: str, text_col: str) -
     ab = scratch.put(_passing(_with_sketches(ab, small), rules), "ends")
     links = verified(ab, src, reps, rules, scratch, "ends")
     # the rest: tiles that still hold more than one component; first a forest
-    # of their closest pairs, then, in the tiles of these that are still mixed
-    # (links only join more), all pairs that are still apart
-    part = shared.select("tok", "h")
-    for forest in (True, False):
-        roots = components(links, scratch, f"roots-{forest}")
-        tagged = (part.join(roots.withColumnRenamed("node", "h"), "h", "left")
-                  .withColumn("root", F.coalesce("root", "h")))
-        tagged = scratch.put(tagged, f"tagged-{forest}")
-        mixed = (tagged.groupBy("tok").agg(F.min("root").alias("r0"), F.max("root").alias("r1"))
-                 .filter("r0 <> r1").select("tok"))
-        mixed = scratch.put(mixed, f"mixed-{forest}")
-        few = mixed.count() <= rules.broadcast
-        kept = scratch.put(tagged.join(F.broadcast(mixed) if few else mixed, "tok"), f"kept-{forest}")
-        # shingles with the same members make one tile
-        one = (kept.groupBy("tok").agg(
-            F.count(F.lit(1)).alias("k"), F.bit_xor(F.xxhash64("h")).alias("x"),
-            F.bit_xor(F.xxhash64("h", F.lit(1))).alias("y")).groupBy("k", "x", "y").agg(F.min("tok").alias("tok")))
-        left = scratch.put(kept.join(one.select("tok"), "tok").join(small.select("h", "n"), "h"), f"left-{forest}")
-        scratch.drop(f"tagged-{forest}", f"mixed-{forest}", f"kept-{forest}", "shared" if forest else "left-True")
-        tiles = _tiles(left, rules).join(small.select("h", F.col("tile_bits").alias("bits")), "h")
-        rest = scratch.put(_tile_pairs(tiles, rules, forest), f"rest-{forest}")
-        links = links.union(verified(rest, src, reps, rules, scratch, f"rest-{forest}"))
-        scratch.drop(f"rest-{forest}")
-        part = left.select("tok", "h")
-    scratch.drop("left-False")
+    # of their closest pairs, then, of the tiles with pairs besides, all that
+    # are still apart (links only join more)
+    def tagged(rows, name):
+        roots = components(links, scratch, name)
+        return (rows.join(roots.withColumnRenamed("node", "h"), "h", "left")
+                .withColumn("root", F.coalesce("root", "h")))
+
+    def close(tiles, forest, name):
+        tiles = tiles.join(small.select("h", F.col("tile_bits").alias("bits")), "h")
+        return scratch.put(_tile_pairs(tiles, rules, forest), name)
+
+    rows = scratch.put(tagged(shared.select("tok", "h"), "roots-ends"), "tagged")
+    scratch.drop("shared")
+    mixed = scratch.put(rows.groupBy("tok").agg(F.min("root").alias("r0"), F.max("root").alias("r1"))
+                        .filter("r0 <> r1").select("tok"), "mixed")
+    few = mixed.count() <= rules.broadcast
+    kept = scratch.put(rows.join(F.broadcast(mixed) if few else mixed, "tok"), "kept")
+    # shingles with the same members make one tile
+    one = (kept.groupBy("tok").agg(
+        F.count(F.lit(1)).alias("k"), F.bit_xor(F.xxhash64("h")).alias("x"),
+        F.bit_xor(F.xxhash64("h", F.lit(1))).alias("y")).groupBy("k", "x", "y").agg(F.min("tok").alias("tok")))
+    left = scratch.put(kept.join(one.select("tok"), "tok").join(small.select("h", "n"), "h"), "left")
+    scratch.drop("tagged", "mixed", "kept")
+    found = close(_tiles(left, rules), True, "forest")
+    links = links.union(verified(found.filter("b IS NOT NULL"), src, reps, rules, scratch, "forest"))
+    unsettled = scratch.put(found.filter("b IS NULL").select(F.col("a").alias("tile")), "unsettled")
+    few = unsettled.count() <= rules.broadcast
+    tiles = _tiles(tagged(left.drop("root"), "roots-forest"), rules).join(
+        F.broadcast(unsettled) if few else unsettled, "tile", "left_semi")
+    # without the pairs that the forest had and that did not link
+    rest = close(tiles, False, "rest").join(found.filter("b IS NOT NULL"), ["a", "b"], "left_anti")
+    links = links.union(verified(rest, src, reps, rules, scratch, "rest"))
+    scratch.drop("left", "unsettled", "forest", "rest")
     roots = components(links, scratch, "all")
     named = (reps.join(roots.withColumnRenamed("node", "h"), "h", "left")
              .withColumn("root", F.coalesce("root", "h")))

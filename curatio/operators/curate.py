@@ -155,10 +155,42 @@ def first_appearance_rank(df: DataFrame, group_col: str, order_cols: Sequence[st
 def running_ids(df: DataFrame, group_col: str, order_cols: Sequence[str],
                 id_col: str = "id") -> DataFrame:
     """``"{group}_{n}"`` where ``n`` counts from 0 across all groups in
-    output order: groups by first appearance, rows in input order."""
-    ranked = first_appearance_rank(df, group_col, order_cols, "group_rank")
-    idx = running_index(ranked, ["group_rank", *order_cols], "n")
-    return idx.withColumn(id_col, F.concat(F.col(group_col), F.lit("_"), F.col("n").cast("string")))
+    output order: groups by first appearance, rows in input order.
+
+    Only the group and the order columns are sorted and written; the rows
+    take their numbers by a join on them, which moves no row as long as the
+    numbers are few enough to broadcast (a cap per category bounds them), and
+    shuffles the rows once beyond that. Rows that repeat a key are told apart by
+    a hash of all their columns; nothing but these meets in a window. ``df`` is
+    read twice: pass a written table when it is expensive to recompute."""
+    keys = [group_col, *(c for c in order_cols if c != group_col)]
+    narrow = cut_lineage(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies")))
+    ranked = first_appearance_rank(narrow, group_col, order_cols, "group_rank")
+    each = ranked.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1)))
+    idx = running_index(each, ["group_rank", *order_cols, "_copy"], "n")
+    names = [f"_key{i}" for i in range(len(keys))]
+
+    def on_keys(left, right):
+        cond = F.lit(True)
+        for k, name in zip(keys, names):
+            cond = cond & left[k].eqNullSafe(right[name])
+        return cond
+
+    def renamed(table, *more):
+        return table.select(*[F.col(k).alias(name) for k, name in zip(keys, names)], *more)
+
+    repeated = measured_broadcast(renamed(narrow.filter("_copies > 1"), F.lit(True).alias("_again")))
+    rows = df.withColumn("_copy", F.lit(0).cast("long"))
+    if not repeated.isEmpty():
+        told = df.join(repeated, on_keys(df, repeated), "left").drop(*names)
+        content = [c for c, t in df.dtypes if "map<" not in t and t != "variant"]
+        window = Window.partitionBy(*keys).orderBy(F.xxhash64(*content))
+        again = told.filter("_again").withColumn("_copy", F.row_number().over(window).cast("long") - 1)
+        once = told.filter("_again IS NULL").withColumn("_copy", F.lit(0).cast("long"))
+        rows = once.unionByName(again).drop("_again")
+    numbers = measured_broadcast(renamed(idx, F.col("_copy").alias("_nth"), "group_rank", "n"))
+    out = rows.join(numbers, on_keys(rows, numbers) & (rows["_copy"] == numbers["_nth"])).drop(*names, "_nth", "_copy")
+    return out.withColumn(id_col, F.concat(F.col(group_col), F.lit("_"), F.col("n").cast("string")))
 
 
 # -------------------------------------------------------- records and stats

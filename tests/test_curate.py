@@ -97,6 +97,27 @@ def test_running_ids_dense(spark):
                if order[i].g == order[i + 1].g)
 
 
+def test_running_ids_with_repeated_and_null_keys(spark):
+    rows = [(i % 11 if i % 5 else None, "ab"[i % 2] if i % 9 else None, f"text {i % 40}") for i in range(200)]
+    out = K.running_ids(spark.createDataFrame(rows, "pos long, g string, text string").repartition(5), "g", ["pos"]).collect()
+    none_first = lambda v: (v is not None, v)
+    first = {}
+    for pos, g, _ in rows:
+        first[g] = min(first.get(g, (True, 10 ** 9)), none_first(pos))
+    # all groups hold a null position: ties between groups are free, places within are not
+    assert sorted(r.n for r in out) == list(range(200))
+    assert sorted((r.pos, r.g, r.text) for r in out if r.pos is not None and r.g) == sorted(
+        x for x in rows if x[0] is not None and x[1])
+    order = sorted(out, key=lambda r: r.n)
+    assert len([1 for x, y in zip(order, order[1:]) if x.g != y.g]) == len(first) - 1
+    assert all(none_first(x.pos) <= none_first(y.pos) for x, y in zip(order, order[1:]) if x.g == y.g)
+    assert all(r.id == (None if r.g is None else f"{r.g}_{r.n}") for r in out)
+
+
+def test_running_ids_of_no_rows(spark):
+    assert K.running_ids(spark.createDataFrame([], "pos long, g string, text string"), "g", ["pos"]).collect() == []
+
+
 def test_conversation_records(spark):
     df = spark.createDataFrame([("x_0", "q", "a", "x"), ("y_1", "q2", "a2", "y")],
                                "id string, question string, answer string, g string")

@@ -78,3 +78,12 @@ def test_rows_do_not_move_to_their_group(spark):
         assert K.first_appearance_rank(df, "g", ["id"]).count() == 2000
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_running_ids_move_no_text(spark):
+    from curatio.operators import curate as K
+    df = spark.range(3000).selectExpr("id AS pos", "CAST(id % 3 AS string) AS g", "repeat('x', 50) AS text")
+    out = K.running_ids(df, "g", ["pos"])
+    plan = _plan(out)
+    assert "hashpartitioning" not in plan and "rangepartitioning" not in plan and "BroadcastHashJoin" in plan
+    assert out.count() == 3000

@@ -8,7 +8,9 @@ declared lengths and synthesises for each document a WARC record: identifier
 (a name-based UUID of the record's content and key), timestamp, type, payload
 and block digests (SHA-1). Of documents with equal payloads of at least
 ``min_bytes``, that with the largest key is a response; the others become
-revisits that refer to it and hold the HTTP header only.
+revisits that refer to its record and hold the HTTP header only. Documents that
+are no HTTP message (of ``dns:`` or ``ftp:`` urls) become resource records of the
+ARC line's type. The line's IP is kept, and each file begins with a warcinfo record.
 
 Spark writes and reads the archives: its text writer ends each ARC document
 with a line feed and each WARC record with two line ends, as the formats want;
@@ -19,13 +21,15 @@ too many to broadcast.
 
 Defined results: null payloads are empty; a null url is written as ``-``;
 null keys are written without a key and never name a response; rows that
-repeat a key and a payload are all responses or all revisits; an empty table
+repeat a key and a payload are all responses or all revisits; an IP that is
+none, or ``0.0.0.0``, is left out; an empty table
 gives empty archives; extra columns are ignored."""
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import ipaddress
 import re
 import uuid
 import zlib
@@ -50,7 +54,7 @@ SPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:arc-to-warc")
 #: Header fields that carry a record's key through both formats.
 KEY = "X-Archive-Key"
 REFERS_KEY = "X-Refers-To-Key"
-#: Duplicated digests up to this many are broadcast (about 40 bytes each).
+#: Duplicated digests up to this many are broadcast (with a url each).
 BROADCAST_DIGESTS = 100_000
 
 
@@ -162,8 +166,9 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_arc(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
-    """Parsed ARC documents: key, url, date, mime, http (header), payload
-    (null if not wanted), bytes, digest (SHA-1 hex of the payload)."""
+    """Parsed ARC documents: key, url, date, mime, ip, message (is it HTTP),
+    http (header), payload (null if not wanted), bytes, digest (SHA-1 hex of
+    the payload)."""
     ship_by_value(__name__)
 
     def run(batches):
@@ -172,7 +177,7 @@ def read_arc(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame
                 rows, held = [], 0
                 for f, block in arc_records(_inflate(content.as_py())):
                     fields, http, payload = _http(block)
-                    rows.append((fields.get(KEY), f["url"], f["date"], f["mime"], http if payloads else None,
+                    rows.append((fields.get(KEY), f["url"], f["date"], f["mime"], f["ip"], http != b"", http if payloads else None,
                                  payload if payloads else None, len(payload), hashlib.sha1(payload).hexdigest()))
                     held += len(block) * payloads + 100
                     if held > 8 << 20:
@@ -180,15 +185,16 @@ def read_arc(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame
                         rows, held = [], 0
                 yield _batch(rows)
 
-    kinds = [pa.string()] * 4 + [pa.binary()] * 2 + [pa.int64(), pa.string()]
-    names = ["key", "url", "date", "mime", "http", "payload", "bytes", "digest"]
+    kinds = [pa.string()] * 5 + [pa.bool_()] + [pa.binary()] * 2 + [pa.int64(), pa.string()]
+    names = ["key", "url", "date", "mime", "ip", "message", "http", "payload", "bytes", "digest"]
 
     def _batch(rows):
         cols = list(zip(*rows)) if rows else [()] * len(names)
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names)
 
     return _files(spark, path).mapInArrow(
-        run, "key string, url string, date string, mime string, http binary, payload binary, bytes long, digest string")
+        run, "key string, url string, date string, mime string, ip string, message boolean, http binary, "
+             "payload binary, bytes long, digest string")
 
 
 def record_id(key, url: str, date: str, digest: str) -> str:
@@ -204,37 +210,73 @@ def _sha32(data: bytes) -> str:
     return "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
-def warc_record(key, url, date, http: bytes, payload: bytes, digest: str, response_key) -> bytes:
-    """A response, or a revisit of the response with that key."""
-    block = http if response_key is not None else http + payload
-    head = ["WARC/1.0", f"WARC-Type: {'revisit' if response_key is not None else 'response'}",
+def _address(ip: str | None) -> str | None:
+    try:
+        found = ipaddress.ip_address(ip or "")
+    except ValueError:
+        return None
+    return None if found.is_unspecified else str(found)
+
+
+def warc_record(key, url, date, http: bytes, payload: bytes, digest: str, response=None, ip: str | None = None,
+                mime: str | None = None) -> bytes:
+    """A response; a revisit of the ``response`` (key, url, date), if given;
+    a resource, if there is no HTTP header."""
+    kind = "resource" if not http else "response" if response is None else "revisit"
+    block = http if kind == "revisit" else http + payload
+    head = ["WARC/1.0", f"WARC-Type: {kind}",
             f"WARC-Record-ID: {record_id(key, url, date, digest)}", f"WARC-Date: {_stamp(date)}",
             f"WARC-Target-URI: {url}", f"WARC-Payload-Digest: sha1:{base64.b32encode(bytes.fromhex(digest)).decode()}",
             f"WARC-Block-Digest: {_sha32(block)}"]
-    if response_key is not None:
+    if _address(ip):
+        head.append(f"WARC-IP-Address: {_address(ip)}")
+    if kind == "revisit":
         head += ["WARC-Profile: http://netpreserve.org/warc/1.0/revisit/identical-payload-digest",
-                 f"{REFERS_KEY}: {response_key}"]
+                 f"WARC-Refers-To: {record_id(*response, digest)}", f"WARC-Refers-To-Target-URI: {response[1]}",
+                 f"WARC-Refers-To-Date: {_stamp(response[2])}", f"{REFERS_KEY}: {response[0]}"]
     if key is not None:
         head.append(f"{KEY}: {key}")
-    head += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
+    if kind == "resource":
+        content = mime if mime and "/" in mime else "application/octet-stream"
+    else:
+        content = "application/http; msgtype=response"
+    head += [f"Content-Type: {content}", f"Content-Length: {len(block)}"]
+    return "\r\n".join(head).encode("utf-8") + b"\r\n\r\n" + block
+
+
+def info_record(first: str, date: str) -> bytes:
+    """The warcinfo record of a file, named after the file's first record."""
+    block = b"software: curatio\r\nformat: WARC File Format 1.0\r\ndescription: converted from ARC\r\n"
+    head = ["WARC/1.0", "WARC-Type: warcinfo", f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(SPACE, 'warcinfo ' + first)}>",
+            f"WARC-Date: {_stamp(date)}", f"WARC-Block-Digest: {_sha32(block)}",
+            "Content-Type: application/warc-fields", f"Content-Length: {len(block)}"]
     return "\r\n".join(head).encode("utf-8") + b"\r\n\r\n" + block
 
 
 def convert(spark: SparkSession, arc_path: str, warc_path: str, rules: ArcRules) -> None:
     """ARC files to WARC files, file by task; equal payloads become revisits."""
     ship_by_value(__name__)
-    narrow = read_arc(spark, arc_path, payloads=False).filter(F.col("bytes") >= rules.min_bytes)
-    keeper = (narrow.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.max(F.col("key").cast("long")).alias("response"))
-              .filter("n > 1 AND response IS NOT NULL").select("digest", "response"))
+    narrow = read_arc(spark, arc_path, payloads=False).filter(F.col("message") & (F.col("bytes") >= rules.min_bytes))
+    named = F.when(F.col("key").isNotNull(), F.struct(F.col("key").cast("long").alias("key"), "url", "date"))
+    keeper = (narrow.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.max(named).alias("response"))
+              .filter("n > 1 AND response.key IS NOT NULL").select("digest", "response"))
     few = keeper.limit(BROADCAST_DIGESTS + 1).count() <= BROADCAST_DIGESTS
     rows = read_arc(spark, arc_path).join(F.broadcast(keeper) if few else keeper, "digest", "left")
-    own = F.col("response").isNull() | F.col("response").eqNullSafe(F.col("key").cast("long"))
+    own = ~F.col("message") | F.col("response").isNull() | F.col("response.key").eqNullSafe(F.col("key").cast("long"))
     rows = rows.select("key", "url", "date", "http", "payload", "digest",
-                       F.when(~own, F.col("response")).alias("response"))
+                       F.when(~own, F.col("response")).alias("response"), "ip", "mime")
 
     def run(batches):
+        fresh = True
         for batch in batches:
-            out = [warc_record(*row) for row in zip(*(batch.column(i).to_pylist() for i in range(7)))]
+            out = []
+            for key, url, date, http, payload, digest, response, ip, mime in zip(
+                    *(batch.column(i).to_pylist() for i in range(9))):
+                if fresh:
+                    out.append(info_record(record_id(key, url, date, digest), date))
+                    fresh = False
+                of = (response["key"], response["url"], response["date"]) if response else None
+                out.append(warc_record(key, url, date, http, payload, digest, of, ip, mime))
             yield pa.RecordBatch.from_arrays([pa.array([r.decode("utf-8", "surrogateescape") for r in out], pa.string())],
                                              ["value"])
 
@@ -272,10 +314,12 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                 for f, block in warc_records(_inflate(content.as_py())):
                     if f["WARC-Block-Digest"] != _sha32(block):
                         raise ValueError(f"block digest of {f['WARC-Record-ID']}")
+                    if f["WARC-Type"] == "warcinfo":
+                        continue
                     http, _, payload = _http(block)
                     digest = base64.b32decode(f["WARC-Payload-Digest"].removeprefix("sha1:")).hex()
                     size = int(http["Content-Length"]) if "Content-Length" in http else len(payload)
-                    if f["WARC-Type"] == "response":
+                    if f["WARC-Type"] != "revisit":
                         size = len(payload)
                         if hashlib.sha1(payload).hexdigest() != digest:
                             raise ValueError(f"payload digest of {f['WARC-Record-ID']}")

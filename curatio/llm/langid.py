@@ -21,11 +21,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curatio.llm import textnum as tn
-from curatio.operators.util import ship_by_value
+from curatio.operators.curate import cap_per_group
+from curatio.operators.util import measured_broadcast, ship_by_value
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -55,12 +56,10 @@ def training_windows(docs: DataFrame, cfg: Training, id_col="doc_id", text_col="
     ship_by_value(__name__, "curatio.llm.textnum")
     src = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"), docs[lang_col].alias("lang"))
     src = src.filter("lang IS NOT NULL AND text IS NOT NULL AND id IS NOT NULL").filter(fold(F.col("id")) != 2)
-    # ids first (narrow; the window's limit cuts each task's rows before the
-    # shuffle), then their texts: docs_per_lang ids a language, so broadcast
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = (src.select("lang", "id").withColumn("k", F.row_number().over(order))
-              .filter(F.col("k") <= cfg.docs_per_lang).select("id").distinct())
-    chosen = src.join(F.broadcast(chosen), "id")
+    # ids first: a histogram of their hashes cuts each language, so no language
+    # meets in one task; then their texts
+    chosen = cap_per_group(src.select("lang", "id"), "lang", "id", cfg.docs_per_lang, cfg.seed).select("id").distinct()
+    chosen = src.join(measured_broadcast(chosen), "id")
 
     def cut(batches):
         for batch in batches:

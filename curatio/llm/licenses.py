@@ -154,10 +154,21 @@ def resolve(found: list[tuple[int, int, int, int, str, float]]) -> list[tuple[in
     """(start, end, priority, rule, label, weight) detections that survive:
     one contained in another of higher priority, or in a longer one of equal
     priority, or equal to an earlier rule's, is suppressed."""
-    kept: list[tuple[int, int, int, int, str, float]] = []
+    place = {s: k + 1 for k, s in enumerate(sorted({d[0] for d in found}))}
+    reach = [0] * (len(place) + 1)      # a prefix maximum by start of the kept ends, in a binary indexed tree
+    kept = []
     for d in sorted(found, key=lambda d: (-d[2], d[0] - d[1], d[0], d[3])):
-        if not any(k[0] <= d[0] and d[1] <= k[1] for k in kept):
-            kept.append(d)
+        k, most = place[d[0]], 0
+        while k:
+            most = max(most, reach[k])
+            k -= k & -k
+        if most >= d[1]:
+            continue
+        kept.append(d)
+        k = place[d[0]]
+        while k < len(reach):
+            reach[k] = max(reach[k], d[1])
+            k += k & -k
     return sorted(kept)
 
 

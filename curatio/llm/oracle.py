@@ -80,3 +80,12 @@ c AS (SELECT r AS a, r AS b FROM w UNION SELECT c.a, e.b FROM c JOIN e ON e.a =
 SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, min(o.doc_id) AS component_id
 FROM w LEFT JOIN n ON n.r = w.r JOIN c ON c.a = w.r JOIN w o ON o.r = c.b GROUP BY w.r, w.doc_id, n.n
 """
+
+ARC_TO_WARC = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS n, sha1(coalesce(html, '')) AS d FROM pages),
+k AS (SELECT d, max(page_id) AS r FROM p WHERE n >= 1000 GROUP BY d)
+SELECT page_id, n AS payload_bytes, p.d AS payload_digest,
+       CASE WHEN r IS NULL OR r = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN r <> page_id THEN r END AS refers_to
+FROM p LEFT JOIN k ON k.d = p.d AND n >= 1000
+"""

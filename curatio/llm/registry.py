@@ -39,7 +39,7 @@ def op4_arc_to_warc(spark: SparkSession, d: str) -> DataFrame:
     drop(spark, arc)
     return arc_warc.read_warc(spark, warc).select(
         F.col("key").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
-        F.col("refers_to").cast("long").alias("refers_to"), "record_id")
+        F.col("refers_to").cast("long").alias("refers_to"))
 
 
 def fertility_rules() -> fertility.FertilityRules:
@@ -95,4 +95,5 @@ QUERIES = {f.__name__: f for f in (
     op13_prefix_trie)}
 
 ORACLE_SQL: dict[str, str] = {
-    "op3_jaccard_join": oracle.JACCARD, "op11_hard_negatives": oracle.HARD_NEGATIVES, "op13_prefix_trie": oracle.PREFIX_TRIE}
+    "op3_jaccard_join": oracle.JACCARD, "op4_arc_to_warc": oracle.ARC_TO_WARC,
+    "op11_hard_negatives": oracle.HARD_NEGATIVES, "op13_prefix_trie": oracle.PREFIX_TRIE}

@@ -233,6 +233,35 @@ def test_archives_round_trip(spark):
     assert got["1"].refers_to == got[None].refers_to == "2" and got["2"].refers_to is None
 
 
+def test_archive_types_addresses_and_references(spark, tmp_path):
+    import gzip
+    import hashlib
+    http = "HTTP/1.1 200 OK\r\nX-Archive-Key: {}\r\n\r\n"
+    big = "z" * 1500
+    docs = [("dns:a.example", "text/dns", "8.8.8.8", big), ("http://a.example/", "text/html", "10.0.0.1", http.format(1) + big),
+            ("http://b.example/", "text/html", "0.0.0.0", http.format(2) + big), ("ftp://c.example/f", "no-type", "::1", "plain"),
+            ("dns:b.example", "text/dns", "none", big)]
+    info = "1 0 x\nURL IP-address Archive-date Content-type Archive-length\n"
+    text = f"filedesc://x 0.0.0.0 20200101000000 text/plain {len(info)}\n{info}\n" + "".join(
+        f"{u} {ip} 20200102030405 {mime} {len(b)}\n{b}\n" for u, mime, ip, b in docs)
+    arc, warc = tmp_path / "arc", str(tmp_path / "warc")
+    arc.mkdir()
+    (arc / "part-0.arc.gz").write_bytes(gzip.compress(text.encode()))
+    arc_warc.convert(spark, str(arc), warc, arc_warc.ArcRules())
+    records = [(f, b) for p in (tmp_path / "warc").glob("part-*")
+               for f, b in arc_warc.warc_records(gzip.decompress(p.read_bytes()))]
+    assert [f["WARC-Type"] for f, _ in records] == ["warcinfo", "resource", "revisit", "response", "resource", "resource"]
+    by = {f["WARC-Target-URI"]: f for f, _ in records[1:]}
+    assert [by[u].get("WARC-IP-Address") for u, *_ in docs] == ["8.8.8.8", "10.0.0.1", None, "::1", None]
+    assert by["dns:a.example"]["Content-Type"] == "text/dns"
+    assert by["ftp://c.example/f"]["Content-Type"] == "application/octet-stream"
+    first, keeper = by["http://a.example/"], by["http://b.example/"]
+    assert first["WARC-Refers-To"] == keeper["WARC-Record-ID"]
+    assert first["WARC-Refers-To-Target-URI"] == "http://b.example/" and first["WARC-Refers-To-Date"] == "2020-01-02T03:04:05Z"
+    read = {r.target: r for r in arc_warc.read_warc(spark, warc).collect()}
+    assert len(read) == 5 and read["dns:b.example"].payload_digest == hashlib.sha1(big.encode()).hexdigest()
+
+
 def test_arc_versions_and_errors():
     for v in "12":
         head = arc_warc.arc_header(v, url="filedesc://x", ip="0.0.0.0", date="20200101000000", mime="text/plain", status=200,
@@ -348,6 +377,25 @@ def test_gadgets_accept_exactly_correct_tokenizations():
 
 # --------------------------------------------------------------- licenses
 
+def test_license_suppression_equals_brute_force():
+    import random
+    import time
+    rnd = random.Random(3)
+    for _ in range(200):
+        found = []
+        for k in range(rnd.randrange(40)):
+            start = rnd.randrange(30)
+            found.append((start, start + rnd.randrange(1, 12), rnd.randrange(4), k, "l", 1.0))
+        kept = []
+        for d in sorted(found, key=lambda d: (-d[2], d[0] - d[1], d[0], d[3])):
+            if not any(k[0] <= d[0] and d[1] <= k[1] for k in kept):
+                kept.append(d)
+        assert licenses.resolve(found) == sorted(kept)
+    many = [(5 * k, 5 * k + 7, k % 5, k, "l", 1.0) for k in range(100_000)]
+    start = time.monotonic()
+    assert len(licenses.resolve(many)) == 100_000 and time.monotonic() - start < 20
+
+
 def test_license_base_places_equal_brute_force(spark):
     rng = random.Random(9)
     pool = ["under", "the", "MIT", "License", "apache", "version", "2", "cc", "by", "nc", "x", "é"]

@@ -218,6 +218,17 @@ def _with_sketches(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return pairs
 
 
+def _still_open(pairs: DataFrame, classes: DataFrame, rules: JoinRules, scratch: Scratch, name: str) -> DataFrame:
+    """The pairs that signatures of the sets' own widths leave open: those in
+    tiles are too narrow to tell long sets apart."""
+    needed = scratch.put(pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct(), f"{name}-asked")
+    few = needed.count() <= rules.broadcast
+    own = classes.join(F.broadcast(needed) if few else needed, "h", "left_semi")
+    out = scratch.put(_passing(_with_sketches(pairs, own), rules), f"{name}-open")
+    scratch.drop(f"{name}-asked")
+    return out
+
+
 def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, rules: JoinRules, scratch: Scratch,
              name: str) -> DataFrame:
     """The pairs (a, b) that link, by exact intersection. The sets of the
@@ -436,15 +447,16 @@ def _classified(docs: DataFrame, rules: JoinRules, id_col: str, text_col: str) -
     left = scratch.put(kept.join(one.select("tok"), "tok").join(small.select("h", "n"), "h"), "left")
     scratch.drop("tagged", "mixed", "kept")
     found = close(_tiles(left, rules), True, "forest")
-    links = links.union(verified(found.filter("b IS NOT NULL"), src, reps, rules, scratch, "forest"))
+    pairs = _still_open(found.filter("b IS NOT NULL"), small, rules, scratch, "forest")
+    links = links.union(verified(pairs, src, reps, rules, scratch, "forest"))
     unsettled = scratch.put(found.filter("b IS NULL").select(F.col("a").alias("tile")), "unsettled")
     few = unsettled.count() <= rules.broadcast
     tiles = _tiles(tagged(left.drop("root"), "roots-forest"), rules).join(
         F.broadcast(unsettled) if few else unsettled, "tile", "left_semi")
     # without the pairs that the forest had and that did not link
     rest = close(tiles, False, "rest").join(found.filter("b IS NOT NULL"), ["a", "b"], "left_anti")
-    links = links.union(verified(rest, src, reps, rules, scratch, "rest"))
-    scratch.drop("left", "unsettled", "forest", "rest")
+    links = links.union(verified(_still_open(rest, small, rules, scratch, "rest"), src, reps, rules, scratch, "rest"))
+    scratch.drop("left", "unsettled", "forest", "rest", "forest-open", "rest-open")
     roots = components(links, scratch, "all")
     named = (reps.join(roots.withColumnRenamed("node", "h"), "h", "left")
              .withColumn("root", F.coalesce("root", "h")))

@@ -17,6 +17,7 @@ when their names clash, as rows are only filtered there."""
 
 from __future__ import annotations
 
+from array import array
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -77,8 +78,9 @@ BANDS = {
     "other": Band((0.2, 8.0), 1e9, 0.95, 0.30),
 }
 
-#: Words that one worker process keeps segmented.
-CACHE_WORDS = 200_000
+#: Words that one worker process keeps segmented, and bytes of text that it
+#: measures at a time; both bound its memory.
+CACHE_WORDS, CHUNK_BYTES = 200_000, 1 << 18
 
 COLUMNS = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
            "base_failed boolean, kept boolean, script string, n_tokens long, "
@@ -87,7 +89,8 @@ COLUMNS = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_r
 
 
 class _Segmenter:
-    """Words to token ids with a bounded cache; all words of a chunk at once."""
+    """Words to token ids with a bounded cache; all words of a chunk at once.
+    The cache holds packed ids, which take a third of the memory of lists."""
 
     def __init__(self, model: bytes):
         import sentencepiece
@@ -95,7 +98,7 @@ class _Segmenter:
         n = self.sp.get_piece_size()
         self.is_byte = np.fromiter((self.sp.is_byte(i) for i in range(n)), bool, n)
         self.size = n
-        self.cache: dict[int, list[int]] = {}
+        self.cache: dict[int, bytes] = {}
 
     def ragged(self, buf, start, end, hashes):
         """For each distinct hash: (token ids joined, their counts)."""
@@ -110,12 +113,12 @@ class _Segmenter:
                 self.cache.clear()
             room = CACHE_WORDS - len(self.cache)
             for i, ids in zip(missing, found):
-                got[i] = ids
+                got[i] = array("i", ids).tobytes()
                 if room > 0 and len(ids) <= 64:
-                    self.cache[keys[i]] = ids
+                    self.cache[keys[i]] = got[i]
                     room -= 1
-        counts = np.fromiter(map(len, got), np.int64, len(got))
-        return np.fromiter((t for g in got for t in g), np.int64, int(counts.sum())), counts
+        counts = np.fromiter(map(len, got), np.int64, len(got)) // array("i").itemsize
+        return np.frombuffer(b"".join(got), np.intc).astype(np.int64), counts
 
 
 def _script(buf, offsets, n):
@@ -210,6 +213,14 @@ def measure(col: pa.Array, rules: FertilityRules, hasher: tn.Hasher, seg: _Segme
             "relative_entropy": relative}
 
 
+def _measured(batches, text_col: str, rules: FertilityRules, vocabulary: bytes):
+    """(part, its measures) of the batches, in parts of bounded size."""
+    hasher, seg = tn.Hasher(), _Segmenter(vocabulary)
+    for batch in batches:
+        for part in tn.chunks(batch, text_col, CHUNK_BYTES):
+            yield part, measure(part.column(text_col), rules, hasher, seg)
+
+
 def _arrow(out: dict) -> list[pa.Array]:
     return [pa.array(v) if isinstance(v, list) else pa.array(np.ascontiguousarray(v)) for v in out.values()]
 
@@ -229,11 +240,8 @@ def quality_columns(docs: DataFrame, rules: FertilityRules, id_col: str = "doc_i
     id_type = src.schema["id"].dataType.simpleString()
 
     def run(batches):
-        hasher, seg = tn.Hasher(), _Segmenter(cached.value["rules"])
-        for batch in batches:
-            for part in tn.chunks(batch, "text"):
-                out = measure(part.column("text"), rest, hasher, seg)
-                yield pa.RecordBatch.from_arrays([part.column("id"), *_arrow(out)], [id_col, *out])
+        for part, out in _measured(batches, "text", rest, cached.value["rules"]):
+            yield pa.RecordBatch.from_arrays([part.column("id"), *_arrow(out)], [id_col, *out])
 
     return src.mapInArrow(run, f"`{id_col}` {id_type}, {COLUMNS}")
 
@@ -245,9 +253,7 @@ def keep(docs: DataFrame, rules: FertilityRules, text_col: str = "text") -> Data
     rest = FertilityRules(b"", rules.min_words, rules.max_repeat_percent, rules.symbols, rules.bands)
 
     def run(batches):
-        hasher, seg = tn.Hasher(), _Segmenter(cached.value["rules"])
-        for batch in batches:
-            for part in tn.chunks(batch, text_col):
-                yield part.filter(pa.array(measure(part.column(text_col), rest, hasher, seg)["kept"]))
+        for part, out in _measured(batches, text_col, rest, cached.value["rules"]):
+            yield part.filter(pa.array(out["kept"]))
 
     return docs.mapInArrow(run, docs.schema)

@@ -113,13 +113,19 @@ def frequent_shingles(docs: DataFrame, rules: JoinRules) -> np.ndarray:
     def count(batches):
         hasher = tn.Hasher()
         for batch in batches:
-            for part in tn.chunks(batch, "text", 4 * tn.CHUNK_BYTES):
-                h, rows = shingle_sets(part.column("text"), hasher, rules.words)
-                begin = np.searchsorted(rows, np.arange(part.num_rows + 1))
-                _, one = np.unique(_set_keys(h, begin), return_index=True)
-                only = np.zeros(part.num_rows, bool)
+            for whole in tn.chunks(batch, "text", 4 * tn.CHUNK_BYTES):
+                # hashed in smaller parts, which bounds the memory
+                sets, keys, sizes = [], [], []
+                for part in tn.chunks(whole, "text"):
+                    h, rows = shingle_sets(part.column("text"), hasher, rules.words)
+                    begin = np.searchsorted(rows, np.arange(part.num_rows + 1))
+                    sets.append(h)
+                    keys.append(_set_keys(h, begin))
+                    sizes.append(np.diff(begin))
+                _, one = np.unique(np.concatenate(keys), return_index=True)
+                only = np.zeros(whole.num_rows, bool)
                 only[one] = True
-                value, n = np.unique(h[only[rows]], return_counts=True)
+                value, n = np.unique(np.concatenate(sets)[np.repeat(only, np.concatenate(sizes))], return_counts=True)
                 often = n >= 3
                 yield pa.RecordBatch.from_arrays([pa.array(value[often].view(I)), pa.array(n[often].astype(I))],
                                                  ["shingle", "n"])

@@ -24,6 +24,21 @@ def cleaned_shuffles(spark: SparkSession):
         spark.conf.set(_CLEAN, old)
 
 
+#: Bytes of rows that a Python worker gets at a time: two workers of an executor
+#: and the buffers that feed them hold several such batches.
+_BATCH, _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "8m"
+
+
+@contextlib.contextmanager
+def small_batches(spark: SparkSession):
+    old = spark.conf.get(_BATCH, None)
+    spark.conf.set(_BATCH, _BATCH_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.unset(_BATCH) if old is None else spark.conf.set(_BATCH, old)
+
+
 def scratch_path(spark: SparkSession, what: str) -> str:
     """A fresh path in the shared folder; deleted when the application ends."""
     path = f"{checkpoint_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
@@ -51,7 +66,7 @@ class Scratch:
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
         path = scratch_path(self.spark, f"{self.what}-{name}")
-        with cleaned_shuffles(self.spark):
+        with cleaned_shuffles(self.spark), small_batches(self.spark):
             df.write.parquet(path)
         self.paths[name] = path
         return self.spark.read.schema(df.schema).parquet(path)

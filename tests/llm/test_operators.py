@@ -574,3 +574,41 @@ def test_links_through_documents_without_ids(spark):
         ("1", True, 1), ("3", True, 1), ("None", True, 1), ("None", True, 1)]
     kept = jaccard_join.one_of_each(docs(spark, rows + [(7, " ".join(far)), (None, rows[4][1])]))
     assert sorted((str(r.doc_id), len(r.text.split())) for r in kept.collect()) == [("1", 74), ("4", 0), ("None", 0), ("None", 8)]
+
+
+# ------------------------------------------------- memory of Python workers
+
+def test_quality_rules_keep_a_worker_small():
+    """Texts of many different words: cache and parts stay within some MB."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(9))
+    texts = [" ".join(word() for _ in range(200)) for _ in range(1000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    rules = registry.fertility_rules()
+    rest = fertility.FertilityRules(b"")
+    tracemalloc.start()
+    parts = [(part.num_rows, out["n_words"].tolist()) for part, out in
+             fertility._measured([batch], "text", rest, rules.vocabulary)]
+    peak = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    assert sum(n for n, _ in parts) == len(texts) and {w for _, ws in parts for w in ws} == {200}
+    assert peak < 90, peak
+
+
+def test_written_steps_get_small_batches(spark):
+    import pyarrow as pa
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["n", "bytes"])
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    rows = spark.range(0, 12000, 1, 1).selectExpr("id", "repeat('abcdefgh', 256) AS text")
+    got = Scratch(spark, "batches").put(rows.mapInArrow(sizes, "n long, bytes long"), "sizes").collect()
+    assert sum(r.n for r in got) == 12000 and max(r.bytes for r in got) < 9e6
+    assert spark.conf.get(key, None) == before

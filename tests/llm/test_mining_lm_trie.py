@@ -234,6 +234,21 @@ def test_expected_uses_equal_the_gradient(pieces):
         assert uses[i] == pytest.approx(((moved - got) / e) @ np.arange(1.0, len(words) + 1), rel=1e-3)
 
 
+def test_starts_are_followed_only_as_far_as_pieces_go_on(pieces, monkeypatch):
+    """Look-ups grow with the pieces that words hold, not with all their parts."""
+    rng = random.Random(2)
+    words = ["".join(rng.choice("etaoinshrdlu") for _ in range(30)) for _ in range(500)] + WORDS
+    seen, find = [], lattice.Pieces.find
+    monkeypatch.setattr(lattice.Pieces, "find", lambda self, h: (seen.append(h.size), find(self, h))[1])
+    grid, w = lattice.Lattice(pieces, pieces.first_weights()), pieces.first_weights()
+    got, uses = grid.run(words, np.ones(len(words)))
+    assert sum(seen) < 5 * sum(len(x) + 1 for x in words)
+    assert got[::25] == pytest.approx([marginal(pieces, w, x) for x in words[::25]], rel=1e-9)
+    assert grid.run(words)[0] == pytest.approx(got, rel=1e-12)
+    alone = [grid.run([x], np.ones(1))[1] for x in words]
+    assert uses == pytest.approx(sum(alone), rel=1e-9, abs=1e-12)         # whatever words are computed together
+
+
 DOCS = "doc_id long, text string, word string, n long, lp string, key long"
 
 

@@ -12,7 +12,11 @@ lies within a range.
   relative to the row's length. The score needed bounds the angle between query
   and row, and so the value that the row has at each of the query's largest
   coordinates (its focus). The rows in the shortest of the ranges are kept if
-  they lie in all others, and only these are scored.
+  they lie in all others, and only these are scored. Where the ranges leave most
+  of a block, as they do in many dimensions, it is scored whole, in one matrix
+  product for many queries.
+* Bands. The queries of one anchor differ in their ranges of scores alone: they
+  stand in one block, and its rows are scored once for all of them.
 * Rounds. Every query first meets the longest block; its k-th score there is
   what the other blocks must reach. Blocks give k rows a query at most.
 
@@ -43,6 +47,8 @@ from curatio.operators.util import ship_by_value
 _SHRINK = 0.9
 _ZERO = -(1 << 20)               # bucket of vectors without length
 _MOST = 1 << 62
+#: Vectors that meet a whole block in one matrix product.
+_TOGETHER = 128
 
 
 @dataclass(frozen=True)
@@ -151,10 +157,29 @@ class Block:
         self.v = np.pad(v, ((0, 0), (0, width - v.shape[1])))
         self.top = float(np.abs(self.v).max(initial=0))
         unit = np.where(lengths > 0, lengths, 1.0)
-        self.unit = self.v / unit[:, None]
+        self.unit = np.asfortranarray(self.v / unit[:, None])
         self.lists: dict[int, tuple] = {}
+        self.rows_of: dict[tuple, np.ndarray] = {}
         # the scores of rows without length are zero, whatever the angle
         self.least, self.most = (float(f(lengths)) for f in (np.min, np.max))
+        self.plain: dict[type, np.ndarray] = {}
+
+    def scored(self, q) -> np.ndarray | None:
+        """Scores of all rows for each vector of ``q``; None where neither kind
+        of float holds every partial sum exactly."""
+        bound = self.top * float(np.abs(q).max(initial=0)) * max(1, q.shape[1])
+        kind = np.float32 if bound < 2.0 ** 23 else np.float64 if bound < 2.0 ** 52 else None
+        if kind is None:
+            return None
+        if kind not in self.plain:
+            self.plain[kind] = np.ascontiguousarray(self.v.T.astype(kind))
+        return q.astype(kind) @ self.plain[kind]
+
+    def labelled(self, label, same):
+        """Rows of a label, or of all others."""
+        if (label, same) not in self.rows_of:
+            self.rows_of[label, same] = np.flatnonzero((self.labels == label) == same)
+        return self.rows_of[label, same]
 
     def sorted_by(self, f):
         if f not in self.lists:
@@ -186,25 +211,50 @@ class Block:
             order, values = self.sorted_by(int(f))
             spans.append((int(np.searchsorted(values, lo)), int(np.searchsorted(values, up, "right")), order))
         a, b, order = min(spans, key=lambda s: s[1] - s[0])
+        if b - a > 0.75 * len(order):                 # not worth the others
+            return everything
         rows = order[a:b]
         for f, lo, up in zip(focus, lower, upper):
             x = self.unit[rows, f]
             rows = rows[(x >= lo) & (x <= up)]
         return rows
 
-    def best(self, q, length, label, same, own, low, high, k):
-        """The k best (score, id) of the rows that fit."""
-        rows = self.feasible(q, length, low, high)
-        rows = rows[((self.labels[rows] == label) == same) & (self.ids[rows] != own)]
-        if not len(rows):
-            return []
-        s = _score(self.v[rows], q, self.top * float(np.abs(q).max(initial=0)))
-        ok = np.ones(len(s), bool)
-        if low is not None:
-            ok &= s >= low
-        if high is not None:
-            ok &= s <= high
-        s, ids = s[ok], self.ids[rows][ok]
+    def best(self, q, lengths, keys, same, bands, k):
+        """For each vector, with its (label, own) and bands (low, high), the k
+        best (score, id) of the rows that fit each band."""
+        out = []
+        for a in range(0, len(q), _TOGETHER):
+            left = [self._left(q[i], lengths[i], keys[i][0], same, bands[i]) for i in range(a, min(a + _TOGETHER, len(q)))]
+            most = [j for j, rows in enumerate(left) if 4 * len(rows) > len(self.ids)]
+            whole = self.scored(q[[a + j for j in most]]) if most else None
+            whole = {} if whole is None else dict(zip(most, whole))
+            for j, rows in enumerate(left):
+                i = a + j
+                s = whole[j][rows] if j in whole else _score(self.v[rows], q[i], self.top * float(np.abs(q[i]).max(initial=0)))
+                low = min((b[0] for b in bands[i]), default=None) if all(b[0] is not None for b in bands[i]) else None
+                ok = self.ids[rows] != keys[i][1]
+                if low is not None:
+                    ok &= s >= low
+                s, ids = s[ok].astype(np.int64), self.ids[rows[ok]]
+                out.append([self._first(s, ids, *band, k) for band in bands[i]])
+        return out
+
+    def _left(self, q, length, label, same, bands):
+        lows, highs = zip(*bands)
+        rows = self.feasible(q, length, None if None in lows else min(lows), None if None in highs else max(highs))
+        if len(rows) == len(self.ids):
+            return self.labelled(label, same)
+        return rows[(self.labels[rows] == label) == same]
+
+    @staticmethod
+    def _first(s, ids, low, high, k):
+        if low is not None or high is not None:
+            ok = np.ones(len(s), bool)
+            if low is not None:
+                ok &= s >= low
+            if high is not None:
+                ok &= s <= high
+            s, ids = s[ok], ids[ok]
         if len(s) > k:                      # with all ties of the last place
             cut = np.partition(s, len(s) - k)[len(s) - k]
             s, ids = s[s >= cut], ids[s >= cut]
@@ -222,7 +272,7 @@ def search(rows: DataFrame, plan: Plan, queries: DataFrame, same: bool, k: int,
     """(q, id, score): the k best rows of each query (q, own, label, v, length,
     low, high), of its label or (``same`` false) of another."""
     parts = max(1, -(-queries.count() // rules.queries))
-    queries = queries.withColumn("part", F.pmod(F.xxhash64("q"), F.lit(parts)))
+    queries = queries.withColumn("part", F.pmod(F.xxhash64("own", "label", "v"), F.lit(parts)))
 
     def probe(left, right):
         if not left.num_rows or not right.num_rows:
@@ -232,10 +282,14 @@ def search(rows: DataFrame, plan: Plan, queries: DataFrame, same: bool, k: int,
         block = Block(*(left.column(c).to_numpy() for c in ("id", "label")), v, left.column("length").to_numpy(),
                       width, rules.focus)
         q = np.pad(q, ((0, 0), (0, width - q.shape[1])))
-        found = []
-        cols = [right.column(c).to_pylist() for c in ("q", "own", "label", "length", "low", "high")]
-        for i, (key, own, label, length, low, high) in enumerate(zip(*cols)):
-            found += [(key, r, s) for s, r in block.best(q[i], length, label, same, own, low, high, k)]
+        cols = [right.column(c).to_pylist() for c in ("q", "own", "label", "v", "low", "high")]
+        asked = {}                                       # the bands of each anchor
+        for i, (key, own, label, vector, low, high) in enumerate(zip(*cols)):
+            asked.setdefault((label, own, vector), []).append((i, key, (low, high)))
+        first = [rows[0][0] for rows in asked.values()]
+        best = block.best(q[first], right.column("length").to_numpy()[first], [a[:2] for a in asked], same,
+                          [[band for *_, band in rows] for rows in asked.values()], k)
+        found = [(key, r, s) for rows, each in zip(asked.values(), best) for (_, key, _), b in zip(rows, each) for s, r in b]
         return out(found)
 
     def out(found):

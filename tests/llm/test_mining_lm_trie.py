@@ -178,6 +178,34 @@ def test_feasible_ranges_never_lose_a_row_and_do_prune():
     assert kept < 0.7 * 80 * 800
 
 
+@pytest.mark.parametrize("top", [30, 1 << 12, 1 << 30])
+def test_bands_of_an_anchor_are_scored_once(top, monkeypatch):
+    """Whole blocks where ranges prune nothing, in one product for many anchors,
+    whatever their bands; exact at any size of the components."""
+    rng = np.random.default_rng(9)
+    v = rng.integers(-top, top, (900, 16))
+    labels, ids = rng.integers(0, 3, 900), rng.permutation(450).repeat(2)
+    block = hard_negatives.Block(ids, labels, v, np.sqrt((v.astype(float) ** 2).sum(1)), 16, 4)
+    calls = collections.Counter()
+    for name in ("feasible", "scored"):
+        plain = getattr(hard_negatives.Block, name)
+        monkeypatch.setattr(hard_negatives.Block, name,
+                            lambda self, *a, name=name, plain=plain: (calls.update([name]), plain(self, *a))[1])
+    exact = v.astype(object) @ v[:200].T.astype(object)
+    cut = [int(np.quantile(exact[:, i].astype(float), 0.6)) for i in range(200)]
+    bands = [[(None, None), (c, None), (c // 2, 2 * c), (None, c)] for c in cut]
+    for same in (True, False):
+        calls.clear()
+        got = block.best(v[:200], block.lengths[:200], list(zip(labels[:200].tolist(), ids[:200].tolist())), same, bands, 5)
+        for i in range(200):
+            rows = [j for j in range(900) if (labels[j] == labels[i]) == same and ids[j] != ids[i]]
+            for (low, high), found in zip(bands[i], got[i]):
+                fit = sorted((-exact[j, i], ids[j]) for j in rows
+                             if (low is None or exact[j, i] >= low) and (high is None or exact[j, i] <= high))
+                assert found == [(-a, b) for a, b in fit[:5]]
+        assert calls["feasible"] == 200 and calls["scored"] <= 2
+
+
 def test_scores_of_any_size_are_exact():
     for top in (10, 1 << 30, 1 << 62):
         v = np.array([[top, -top, 3], [top, top, -1]], np.int64)

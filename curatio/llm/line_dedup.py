@@ -71,11 +71,12 @@ def classes_of(lines: DataFrame) -> DataFrame:
                  F.first("line").alias("line")))
 
 
-def _letters(half: int) -> Column:
+def _letters(half: int, text: str = "line") -> Column:
     """Counts of thirteen letters, four bits each."""
     total = F.lit(0).cast("long")
     for k, c in enumerate(LETTERS[half]):
-        n = F.length("line") - F.length(F.replace(F.col("line"), F.lit(c), F.lit("")))
+        # a letter is one byte, whatever stands beside it
+        n = F.octet_length(F.col(text)) - F.octet_length(F.replace(F.col(text), F.lit(c), F.lit("")))
         total = total + F.shiftleft(F.pmod(n, F.lit(1 << _BITS)).cast("long"), k * _BITS)
     return total
 
@@ -134,14 +135,18 @@ def met_rows(rows: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     crowded = (rows.filter(F.pmod("h", F.lit(_SAMPLE)) == 0).groupBy("key").agg(F.count(F.lit(1)).alias("k"))
                .filter(F.col("k") >= _CROWD // _SAMPLE).orderBy(F.desc("k"), "key").limit(_CROWDED_KEYS).select("key"))
     crowded = scratch.put(crowded.withColumn("crowded", F.lit(True)), f"{name}-crowded")
+    # one long to sort by; keys that share a place by chance are told apart below
     if crowded.isEmpty():
-        rows = rows.withColumn("crowded", F.lit(False))
+        rows = rows.select(F.col("key").alias("place"), "h", "own", F.lit(None).cast("long").alias("crowd"))
     else:
-        rows = rows.join(F.broadcast(crowded), "key", "left")
-    rows = rows.withColumn("part", F.when(F.col("crowded"), F.pmod("h", F.lit(_SAMPLE))).otherwise(F.lit(0)))
-    key = Window.partitionBy("key", "part")
-    met = (rows.withColumn("lo", F.min("h").over(key)).withColumn("hi", F.max("h").over(key))
-           .filter(F.coalesce("crowded", F.lit(False)) | (F.col("lo") != F.col("hi"))))
+        crowd = F.when(F.col("crowded"), F.col("key"))
+        rows = rows.join(F.broadcast(crowded), "key", "left").select(
+            F.when(F.col("crowded"), F.xxhash64("key", F.pmod("h", F.lit(_SAMPLE)))).otherwise(F.col("key")).alias("place"),
+            "h", "own", crowd.alias("crowd"))
+    place = Window.partitionBy("place")
+    met = (rows.withColumn("lo", F.min("h").over(place)).withColumn("hi", F.max("h").over(place))
+           .filter(F.col("crowd").isNotNull() | (F.col("lo") != F.col("hi")))
+           .withColumn("key", F.coalesce("crowd", "place")))
     # a line of repeated words has the same segment at many places
     met = scratch.put(met.groupBy("key", "h").agg(F.max("own").alias("own")), name)
     scratch.drop(f"{name}-crowded")
@@ -239,20 +244,9 @@ def word_rows(classes: DataFrame, rules: LineRules) -> DataFrame:
 
 
 def _word_bag(words: Column) -> Column:
-    """Counts of words by 26 classes of their hash, in two halves as of letters."""
-    cls = F.transform(words, lambda w: F.pmod(w, F.lit(2 * len(LETTERS[0]))))
-    total = [F.lit(0).cast("long")] * 2
-    for k in range(2 * len(LETTERS[0])):
-        half, place = divmod(k, len(LETTERS[0]))
-        c = F.size(words) - F.size(F.array_remove(cls, F.lit(k).cast("long")))
-        total[half] = total[half] + F.shiftleft(F.pmod(c, F.lit(1 << _BITS)).cast("long"), place * _BITS)
-    return F.array(*total)
-
-
-def _utf8(c: Column) -> Column:
-    """Hexadecimal UTF-8 of a code point of four bytes."""
-    part = lambda k: F.shiftleft(F.shiftright(c, 6 * k).bitwiseAND(F.lit(63).cast("long")), 8 * k)
-    return F.hex(F.lit(0xF0808080).cast("long") + part(0) + part(1) + part(2) + part(3))
+    """A letter for each word, by 26 classes of its hash; :func:`_letters` counts them."""
+    first, size = F.lit(ord(LETTERS[0][0])).cast("long"), F.lit(2 * len(LETTERS[0]))
+    return F.array_join(F.transform(words, lambda w: F.char(first + F.pmod(w, size))), "")
 
 
 #: Words as single characters: so many code points from U+10000 on.
@@ -260,7 +254,8 @@ _CODES = 0x100000
 
 
 def _text(points: Column) -> Column:
-    return F.unhex(F.array_join(F.transform(points, lambda c: _utf8(c + F.lit(0x10000).cast("long"))), "")).cast("string")
+    units = F.transform(points, lambda c: F.lpad(F.hex(c + F.lit(0x10000).cast("long")), 8, "0"))
+    return F.decode(F.unhex(F.array_join(units, "")), "UTF-32")
 
 
 def _code_text(words: Column) -> Column:
@@ -336,8 +331,9 @@ def near_by_words(classes: DataFrame, rules: LineRules, scratch: Scratch) -> Dat
     met = met_rows(word_rows(classes, rules), scratch, "words-met")
     hashed = F.transform(words_of(F.col("line")), lambda w: F.xxhash64(w))
     lines = _lines_met(classes, met).select("h", "first", F.explode(F.array(hashed)).alias("words"))
-    lines = scratch.put(lines.select("h", "first", F.size("words").alias("n"), _word_bag(F.col("words")).alias("sig"), "words",
-                                     _code_text(F.col("words")).alias("code")), "words-lines")
+    lines = lines.select("h", "first", "words", F.explode(F.array(_word_bag(F.col("words")))).alias("bag"))
+    lines = scratch.put(lines.select("h", "first", F.size("words").alias("n"), F.array(_letters(0, "bag"), _letters(1, "bag")).alias("sig"),
+                                     "words", _code_text(F.col("words")).alias("code")), "words-lines")
     edits = word_edits(F.least("n_a", "n_b"), rules)
     out = _near(met, lines, edits, words_within("a", "b", edits), scratch, "words")
     scratch.drop("words-met", "words-lines")

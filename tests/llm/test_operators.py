@@ -531,6 +531,30 @@ def test_line_dedup_finds_replaced_words(spark):
     assert [r.doc_id for r in line_dedup.apply(docs(spark, two), line_dedup.LineRules(), length_col=None).collect()] == [1, 3]
 
 
+@pytest.mark.parametrize("crowd", [128, 1 << 20])
+def test_met_rows_are_those_of_shared_and_of_crowded_keys(spark, crowd, monkeypatch):
+    monkeypatch.setattr(line_dedup, "_CROWD", crowd)
+    rows = [(h, 7, h % 2 == 0) for h in range(640)] + [(h, 100 + h // 2, False) for h in range(50)] + [(3, 900, True)] * 3
+    rows += [(5, 100 + 5 // 2, True), (5, 2 ** 63 - 1, True)]
+    df = spark.createDataFrame(rows, "h long, key long, own boolean")
+    got = {tuple(r) for r in line_dedup.met_rows(df, Scratch(spark, "t"), "met").select("key", "h", "own").collect()}
+    held = {}
+    for h, key, own in rows:
+        held.setdefault(key, {}).setdefault(h, []).append(own)
+    assert got == {(key, h, max(own)) for key, by in held.items() if len(by) > 1 for h, own in by.items()}
+
+
+def test_words_as_characters_and_letters(spark):
+    codes = [0, 1, 0xFFFF, 0xFFFFF, 70_000]
+    words = [3, -5, 26, 26, 3]
+    r = spark.range(1).select(
+        line_dedup._text(F.array(*[F.lit(c).cast("long") for c in codes])).alias("text"),
+        line_dedup._word_bag(F.array(*[F.lit(w).cast("long") for w in words])).alias("bag"))
+    r = r.select("*", F.array(line_dedup._letters(0, "bag"), line_dedup._letters(1, "bag")).alias("sig")).first()
+    assert r.text == "".join(chr(0x10000 + c) for c in codes)
+    assert r.bag == "dvaad" and r.sig == [2 + (2 << 12), 1 << 32]
+
+
 def test_line_dedup_keeps_columns_and_drops_emptied_documents(spark):
     line = "a line that is long enough to count"
     df = spark.createDataFrame([(1, line, "a", 35, 9), (2, line + ".", "b", 36, 9), (3, "other text\n" + line, "c", 46, 9), (4, None, "d", 0, 9),

@@ -41,6 +41,9 @@ from curatio.llm.scratch import Scratch
 #: Letters whose counts bound the distance from below, in two halves.
 LETTERS = ("abcdefghijklm", "nopqrstuvwxyz")
 _BITS = 4
+#: Nearly all values of the written tables differ, so dictionaries would not pay;
+#: with small pages a range of hashes is read without the pages beside it.
+_TABLES = {"parquet.enable.dictionary": "false", "parquet.page.row.count.limit": "2000"}
 #: Verified pairs are looked up by a broadcast of their keys up to this many.
 BROADCAST_KEYS = 200_000
 
@@ -57,7 +60,12 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     hash of the whole text, which tells documents of one id apart."""
     src = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"), F.xxhash64(docs[text_col]).alias("t"))
     return (src.select("id", "t", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-            .filter(F.col("line").rlike("\\S")))
+            .filter(_has_ink(F.col("line"))))
+
+
+def _has_ink(line: Column) -> Column:
+    """Is a line more than blanks? The first byte tells for most lines."""
+    return (line >= "!") | line.rlike("\\S")
 
 
 def _keyed(lines: DataFrame) -> DataFrame:
@@ -81,19 +89,29 @@ def _letters(half: int, text: str = "line") -> Column:
     return total
 
 
+#: The highest bit of each count, and every other count.
+_TOPS = sum(8 << k * _BITS for k in range(len(LETTERS[0])))
+_EVEN = sum(15 << k * _BITS for k in range(0, len(LETTERS[0]), 2))
+
+
+def _differences(a: Column, b: Column) -> Column:
+    """Sum of the differences of thirteen counts modulo 16, the shorter way
+    round, all counts at once: one by one they made more code than the JVM compiles."""
+    tops = F.lit(_TOPS)
+    less = (a.bitwiseOR(tops) - b.bitwiseAND(F.lit(~_TOPS))).bitwiseXOR(a.bitwiseXOR(F.bitwise_not(b)).bitwiseAND(tops))   # a - b in each
+    back = less.bitwiseAND(tops)                                                                  # 8 to 15 are 8 to 1 the other way
+    ones = F.shiftright(back, _BITS - 1)
+    way = less.bitwiseXOR(F.shiftleft(back, 1) - ones) + ones
+    pairs = way.bitwiseAND(F.lit(_EVEN)) + F.shiftright(way, _BITS).bitwiseAND(F.lit(_EVEN))
+    return F.pmod(pairs, F.lit(255))                                                              # sum of its bytes
+
+
 def _bags_near(most: Column) -> Column:
-    """Could the counts of ``sig_a`` and ``sig_b`` (letters or classes of words,
+    """Could the counts of ``sig0_a``, ``sig1_a`` and of ``sig0_b``, ``sig1_b`` (letters or classes of words,
     four bits each) stem from lists within so many edits? One edit changes one
     count by one, or two counts by one each; counts are known modulo 16, which
     can only make them look nearer."""
-    size, total = 1 << _BITS, F.lit(0)
-    for half in range(2):
-        a, b = F.col("sig_a")[half], F.col("sig_b")[half]
-        for k in range(len(LETTERS[half])):
-            d = F.pmod(F.shiftright(a, k * _BITS).bitwiseAND(size - 1)
-                       - F.shiftright(b, k * _BITS).bitwiseAND(size - 1) + F.lit(size // 2), F.lit(size)) - size // 2
-            total = total + F.abs(d)
-    return total <= 2 * most
+    return _differences(F.col("sig0_a"), F.col("sig0_b")) + _differences(F.col("sig1_a"), F.col("sig1_b")) <= 2 * most
 
 
 def char_rows(classes: DataFrame, rules: LineRules) -> DataFrame:
@@ -114,13 +132,13 @@ def char_rows(classes: DataFrame, rules: LineRules) -> DataFrame:
     rows = classes.select("h", "line", F.length("line").alias("n")).filter(n >= rules.min_chars)
     lows = F.array_distinct(F.array(*[band(F.greatest(n - k, F.lit(rules.min_chars))) for k in range(tau + 1)]))
     rows = rows.select("h", "line", "n", F.explode(lows).alias("lo"))
-    rows = rows.select("h", "line", "n", "lo", F.explode(F.array(*places)).alias("p"))
+    rows = rows.select("h", "line", "n", "lo", (F.col("lo") == band(n)).alias("low"), F.explode(F.array(*places)).alias("p"))
     size, p = F.expr(f"lo div {tau + 1}").cast("int"), F.col("p")
-    rows = rows.select("h", "line", "n", "lo", "p", size.alias("size"), (
+    rows = rows.select("h", "line", "n", "lo", "low", "p", size.alias("size"), (
         F.when(p["back"] > 0, n - p["back"] * size).otherwise(p["i"] * size) + p["d"]).alias("at"))
     rows = rows.filter((F.col("at") >= 0) & (F.col("at") + F.col("size") <= n))
     return rows.select("h", F.xxhash64("lo", "p.i", F.substring(F.col("line"), F.col("at") + 1, F.col("size"))).alias("key"),
-                       ((F.col("p.d") == 0) & (F.col("lo") == band(n))).alias("own"))
+                       ((F.col("p.d") == 0) & F.col("low")).alias("own"))
 
 
 #: Keys that more lines hold than this are dealt over tasks, found in one line
@@ -128,11 +146,14 @@ def char_rows(classes: DataFrame, rules: LineRules) -> DataFrame:
 _CROWD, _SAMPLE, _CROWDED_KEYS = 2048, 64, 100_000
 
 
-def met_rows(rows: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+def met_rows(rows: DataFrame, scratch: Scratch, name: str, indexed: bool = False) -> DataFrame:
     """The rows (key, h, own) whose key lines of different classes have: index
     and probes meet in one shuffle of narrow rows. Rows of a crowded key are
-    split over tasks; they all stay, as others hold that key for certain."""
-    crowded = (rows.filter(F.pmod("h", F.lit(_SAMPLE)) == 0).groupBy("key").agg(F.count(F.lit(1)).alias("k"))
+    split over tasks; they all stay, as others hold that key for certain. With
+    ``indexed`` keys go that only probes have: each pair within the threshold
+    has a key that is the shorter line's own."""
+    # hashes below a bound are as good a sample as any, and written tables of classes are sorted by them
+    crowded = (rows.filter(F.col("h") < -2 ** 63 + 2 ** 64 // _SAMPLE).groupBy("key").agg(F.count(F.lit(1)).alias("k"))
                .filter(F.col("k") >= _CROWD // _SAMPLE).orderBy(F.desc("k"), "key").limit(_CROWDED_KEYS).select("key"))
     crowded = scratch.put(crowded.withColumn("crowded", F.lit(True)), f"{name}-crowded")
     # one long to sort by; keys that share a place by chance are told apart below
@@ -144,8 +165,10 @@ def met_rows(rows: DataFrame, scratch: Scratch, name: str) -> DataFrame:
             F.when(F.col("crowded"), F.xxhash64("key", F.pmod("h", F.lit(_SAMPLE)))).otherwise(F.col("key")).alias("place"),
             "h", "own", crowd.alias("crowd"))
     place = Window.partitionBy("place")
-    met = (rows.withColumn("lo", F.min("h").over(place)).withColumn("hi", F.max("h").over(place))
-           .filter(F.col("crowd").isNotNull() | (F.col("lo") != F.col("hi")))
+    shared = F.min("h").over(place) != F.max("h").over(place)
+    if indexed:
+        shared = shared & F.max("own").over(place)
+    met = (rows.withColumn("shared", shared).filter(F.col("crowd").isNotNull() | F.col("shared"))
            .withColumn("key", F.coalesce("crowd", "place")))
     # a line of repeated words has the same segment at many places
     met = scratch.put(met.groupBy("key", "h").agg(F.max("own").alias("own")), name)
@@ -229,7 +252,8 @@ def word_rows(classes: DataFrame, rules: LineRules) -> DataFrame:
     rows = rows.select("h", "words", "n", _band(F.col("m"), rules).alias("lo"))
     long = lo >= _LONG * per
     tau = F.when(long, F.floor((2 * lo - 1) / F.lit(per))).otherwise(F.floor(lo / F.lit(per))).cast("int")
-    rows = rows.select("h", "words", "n", "lo", tau.alias("tau"), F.floor(lo / (tau + 1)).cast("int").alias("size"))
+    rows = rows.select("h", "words", "n", "lo", tau.alias("tau"), F.floor(lo / (tau + 1)).cast("int").alias("size"),
+                       (lo == _band(n, rules)).alias("low"))
     rows = rows.select("*", F.explode(F.when(long, F.sequence(F.lit(0), n - F.col("size")))
                                       .otherwise(F.sequence(F.lit(0), F.col("tau")))).alias("i"))
     most = F.least(i, F.col("tau") - i)
@@ -240,7 +264,7 @@ def word_rows(classes: DataFrame, rules: LineRules) -> DataFrame:
     own = F.when(long, (F.pmod(i, F.col("size")) == 0) & (F.floor(i / F.col("size")) <= F.col("tau"))).otherwise(d == 0)
     return rows.select("h", F.xxhash64("lo", F.when(long, F.lit(-1)).otherwise(i),
                                        F.slice("words", F.col("at") + 1, F.col("size"))).alias("key"),
-                       (own & (lo == _band(n, rules))).alias("own"))
+                       (own & F.col("low")).alias("own"))
 
 
 def _word_bag(words: Column) -> Column:
@@ -277,26 +301,31 @@ def words_within(a: str, b: str, most: Column) -> Column:
     return F.when(~bounded(ca, cb), F.lit(False)).when(told, F.lit(True)).otherwise(exact)
 
 
-def _near(met: DataFrame, lines: DataFrame, edits: Column, check, scratch: Scratch, name: str) -> DataFrame:
+def _near(met: DataFrame, lines: DataFrame, edits: Column, check, scratch: Scratch, name: str,
+          bound: dict[str, Column] | None = None) -> DataFrame:
     """(h) of the classes that an earlier one is near to. Every class is held
     against the earliest of each of its keys first, so a large group of near
     copies costs as many pairs as it has members; only classes that this leaves
-    open meet the others. ``lines``: (h, first, n, sig, and what ``check`` needs)."""
-    rows = met.join(lines.select("h", "first", "n", "sig"), "h")
+    open meet the others. ``lines``: (h, first, n, sig, and what ``check`` needs);
+    ``bound``: columns that ``check`` needs and that are made once for each pair."""
+    sigs = ("sig0", "sig1")
+    rows = met.join(lines.select("h", "first", "n", *[F.get("sig", F.lit(k)).alias(c) for k, c in enumerate(sigs)]), "h")
     fit = (F.abs(F.col("n_a") - F.col("n_b")) <= edits) & _bags_near(edits)
     more = [c for c in lines.columns if c not in ("h", "first", "sig")]
 
     def side(k, *cols):
-        return [F.col(c).alias(f"{c}_{k}") for c in ("first", "n", "sig", *cols)]
+        return [F.col(c).alias(f"{c}_{k}") for c in ("first", "n", *sigs, *cols)]
 
     def verified(pairs):
         for k in "ab":
             pairs = pairs.join(lines.select(F.col("h").alias(k), *[F.col(c).alias(f"{c}_{k}") for c in more]), k)
+        for c, made in (bound or {}).items():
+            pairs = pairs.select("*", F.explode(F.array(made)).alias(c))
         return pairs.filter(check).select(F.col("b").alias("h")).distinct()
 
-    lead = rows.groupBy("key").agg(F.min(F.struct("first", "h", "n", "sig")).alias("lead"))
+    lead = rows.groupBy("key").agg(F.min(F.struct("first", "h", "n", *sigs)).alias("lead"))
     star = (rows.select("key", F.col("h").alias("b"), *side("b")).join(
-        lead.select("key", F.col("lead.h").alias("a"), *[F.col(f"lead.{c}").alias(f"{c}_a") for c in ("n", "sig")]), "key")
+        lead.select("key", F.col("lead.h").alias("a"), *[F.col(f"lead.{c}").alias(f"{c}_a") for c in ("n", *sigs)]), "key")
         .filter((F.col("a") != F.col("b")) & fit).select("a", "b").distinct())
     found = scratch.put(verified(star), f"{name}-star")
     later = rows.join(found, "h", "left_anti").select("key", F.col("h").alias("b"), *side("b", "own"))
@@ -317,18 +346,18 @@ def _lines_met(classes: DataFrame, met: DataFrame) -> DataFrame:
 
 def near_by_chars(classes: DataFrame, rules: LineRules, scratch: Scratch) -> DataFrame:
     """(h) of the classes within ``threshold`` characters of an earlier one."""
-    met = met_rows(char_rows(classes, rules), scratch, "chars-met")
+    met = met_rows(char_rows(classes, rules), scratch, "chars-met", indexed=True)
     lines = scratch.put(_lines_met(classes, met).select(
-        "h", "first", F.length("line").alias("n"), F.array(_letters(0), _letters(1)).alias("sig"),
-        F.split("line", "").alias("chars")), "chars-lines")
-    out = _near(met, lines, F.lit(rules.threshold), within(F.col("chars_a"), F.col("chars_b"), rules.threshold), scratch, "chars")
+        "h", "first", F.length("line").alias("n"), F.array(_letters(0), _letters(1)).alias("sig"), "line"), "chars-lines")
+    out = _near(met, lines, F.lit(rules.threshold), within(F.col("chars_a"), F.col("chars_b"), rules.threshold), scratch, "chars",
+                {f"chars_{k}": F.split(f"line_{k}", "") for k in "ab"})
     scratch.drop("chars-met", "chars-lines")
     return out
 
 
 def near_by_words(classes: DataFrame, rules: LineRules, scratch: Scratch) -> DataFrame:
     """(h) of the classes within :func:`word_edits` words of an earlier one."""
-    met = met_rows(word_rows(classes, rules), scratch, "words-met")
+    met = met_rows(word_rows(classes, rules), scratch, "words-met", indexed=True)
     hashed = F.transform(words_of(F.col("line")), lambda w: F.xxhash64(w))
     lines = _lines_met(classes, met).select("h", "first", F.explode(F.array(hashed)).alias("words"))
     lines = lines.select("h", "first", "words", F.explode(F.array(_word_bag(F.col("words")))).alias("bag"))
@@ -356,15 +385,15 @@ def removals(docs: DataFrame, rules: LineRules, scratch: Scratch, id_col: str =
 
 def removed_lines(docs: DataFrame, rules: LineRules, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, t, gone: array of (line_no, near)) of the documents that lose lines."""
-    scratch = Scratch(docs.sparkSession, "lines")
+    scratch = Scratch(docs.sparkSession, "lines", _TABLES)
     lost = removals(docs, rules, scratch, id_col, text_col)
     gone = (_keyed(lines_of(docs, id_col, text_col)).select("h", "id", "t", "line_no")
-            .join(lost, "h")
+            .join(lost.hint("shuffle_hash"), "h")
             .filter(F.col("near") | ~F.struct("id", "t", "line_no").eqNullSafe(F.col("first"))))
     out = gone.groupBy("id", "t").agg(F.collect_set(F.struct("line_no", "near")).alias("gone"))
     out = scratch.put(out, "gone")
     scratch.drop("removals")
-    return out.hint("merge")      # grows with the corpus: never broadcast
+    return out.hint("shuffle_hash")      # grows with the corpus: never broadcast; the texts need no sort
 
 
 def _without(text: Column, gone: Column) -> Column:
@@ -382,7 +411,7 @@ def line_dedup(docs: DataFrame, rules: LineRules, id_col: str = "doc_id", text_c
     j = src.join(gone, F.col("id").eqNullSafe(F.col("gone_id")) & (F.xxhash64("text") == F.col("gone_t")), "left")
     count = lambda near: F.coalesce(F.size(F.filter("gone", lambda g: g["near"] == near)), F.lit(0)).cast("long")
     # blank lines aren't counted; a null text has no lines
-    n_lines = F.coalesce(F.size(F.filter(F.split("text", "\n"), lambda x: x.rlike("\\S"))), F.lit(0)).cast("long")
+    n_lines = F.coalesce(F.size(F.filter(F.split("text", "\n"), _has_ink)), F.lit(0)).cast("long")
     return j.select(F.col("id").alias(id_col), n_lines.alias("n_lines"),
                     F.when(F.col("gone").isNull(), F.lit(0).cast("long")).otherwise(count(False)).alias("n_exact"),
                     F.when(F.col("gone").isNull(), F.lit(0).cast("long")).otherwise(count(True)).alias("n_near"),

@@ -59,15 +59,15 @@ def drop(spark: SparkSession, path: str) -> None:
 class Scratch:
     """Written tables of one operator run: ``put`` writes and rereads a
     table (lineage ends there, lost executors lose nothing), ``drop``
-    removes one that no later step reads."""
+    removes one that no later step reads; ``options`` are the writer's."""
 
-    def __init__(self, spark: SparkSession, what: str):
-        self.spark, self.what, self.paths = spark, what, {}
+    def __init__(self, spark: SparkSession, what: str, options: dict[str, str] | None = None):
+        self.spark, self.what, self.paths, self.options = spark, what, {}, options or {}
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
         path = scratch_path(self.spark, f"{self.what}-{name}")
         with cleaned_shuffles(self.spark), small_batches(self.spark):
-            df.write.parquet(path)
+            df.write.options(**self.options).parquet(path)
         self.paths[name] = path
         return self.spark.read.schema(df.schema).parquet(path)
 

@@ -555,6 +555,42 @@ def test_words_as_characters_and_letters(spark):
     assert r.bag == "dvaad" and r.sig == [2 + (2 << 12), 1 << 32]
 
 
+@pytest.mark.parametrize("crowd", [128, 1 << 20])
+def test_met_rows_of_the_index_leave_out_keys_of_probes_alone(spark, crowd, monkeypatch):
+    monkeypatch.setattr(line_dedup, "_CROWD", crowd)
+    hs = [-2 ** 63 + k * (2 ** 64 // 640) for k in range(640)]
+    rows = [(h, 7, h == hs[9]) for h in hs] + [(h, 100 + k // 2, k % 4 == 0) for k, h in enumerate(hs[:50])]
+    rows += [(hs[300], 900, True)] * 3 + [(hs[500], 901, True), (hs[500], 901, False)] + [(h, 902, False) for h in hs[20:60]]
+    df = spark.createDataFrame(rows, "h long, key long, own boolean")
+    got = {tuple(r) for r in line_dedup.met_rows(df, Scratch(spark, "t"), "met", indexed=True).select("key", "h", "own").collect()}
+    held = {}
+    for h, key, own in rows:
+        held.setdefault(key, {}).setdefault(h, []).append(own)
+    crowded = {key for key, by in held.items() if sum(h < -2 ** 63 + 2 ** 58 for h in by) >= crowd // 64}    # these all stay
+    assert got == {(key, h, max(own)) for key, by in held.items() if len(by) > 1 and (key in crowded or any(map(any, by.values())))
+                   for h, own in by.items()}
+    assert (7 in crowded) == (crowd == 128) and 902 not in {key for key, _, _ in got}
+
+
+def test_counts_of_letters_are_compared_at_once_in_code_that_is_compiled(spark):
+    rng = random.Random(8)
+    pairs = []
+    for k in range(600):
+        a = [rng.randrange(1 << 52) for _ in range(2)]
+        b = [x ^ rng.choice([0, 1, 8, 15]) << rng.randrange(49) if k % 2 else rng.randrange(1 << 52) for x in a]
+        pairs.append((k, [0, 0] if k < 3 else a, [(1 << 52) - 1] * 2 if k == 1 else b))
+    df = spark.createDataFrame([(k, *a, *b) for k, a, b in pairs], "k int, sig0_a long, sig1_a long, sig0_b long, sig1_b long")
+
+    def apart(a, b):
+        return sum(abs(((x >> 4 * k & 15) - (y >> 4 * k & 15) + 8) % 16 - 8) for x, y in zip(a, b) for k in range(13))
+    near = df.select("k", *[line_dedup._bags_near(F.lit(m)).alias(f"m{m}") for m in (0, 2, 20, 40, 52)])
+    for (k, a, b), r in zip(pairs, near.orderBy("k").collect()):
+        assert tuple(r)[1:] == tuple(apart(a, b) <= 2 * m for m in (0, 2, 20, 40, 52)), k
+    plan = df.filter(line_dedup._bags_near(F.lit(2)))._jdf.queryExecution()
+    sizes = re.findall(r"maxMethodCodeSize:(\d+)", spark._jvm.PythonSQLUtils.explainString(plan, "codegen"))
+    assert sizes and max(map(int, sizes)) < 8000      # the JVM interprets longer methods for ever
+
+
 def test_line_dedup_keeps_columns_and_drops_emptied_documents(spark):
     line = "a line that is long enough to count"
     df = spark.createDataFrame([(1, line, "a", 35, 9), (2, line + ".", "b", 36, 9), (3, "other text\n" + line, "c", 46, 9), (4, None, "d", 0, 9),
